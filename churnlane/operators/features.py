@@ -29,20 +29,26 @@ REASON = "_reason"
 
 @dataclass
 class Value:
-    """One feature value: its kind, its text form and its numeric form."""
+    """One feature value: its kind, its text form and its numeric form.
+
+    ``static`` is the kind when every non-null row has it (a typed column);
+    rules then compile to plain arithmetic instead of per-row kind tests.
+    It is None for JSON values, whose kind varies per row.
+    """
     kind: Column   # one of NULL / NUMBER / BOOL / STRING
     text: Column   # str(value) as the service would print it; null for NULL
     num: Column    # double for NUMBER / BOOL, else null
+    static: str | None = None
 
     @staticmethod
     def number(c: Column) -> "Value":
         c = c.cast("double")
         return Value(F.when(c.isNull(), F.lit(NULL)).otherwise(F.lit(NUMBER)),
-                     _num_text(c), c)
+                     _num_text(c), c, NUMBER)
 
     @staticmethod
     def absent() -> "Value":
-        return Value(F.lit(NULL), F.lit(None).cast("string"), F.lit(None).cast("double"))
+        return Value(F.lit(NULL), F.lit(None).cast("string"), F.lit(None).cast("double"), NULL)
 
 
 def _num_text(c: Column) -> Column:
@@ -60,15 +66,15 @@ def from_column(df: DataFrame, name: str) -> Value:
     if isinstance(dtype, T.BooleanType):
         return Value(F.when(c.isNull(), F.lit(NULL)).otherwise(F.lit(BOOL)),
                      F.when(c, F.lit("True")).when(~c, F.lit("False")),
-                     c.cast("double"))
+                     c.cast("double"), BOOL)
     if isinstance(dtype, (T.IntegralType,)):
         return Value(F.when(c.isNull(), F.lit(NULL)).otherwise(F.lit(NUMBER)),
-                     c.cast("string"), c.cast("double"))
+                     c.cast("string"), c.cast("double"), NUMBER)
     if isinstance(dtype, T.NumericType):
         return Value.number(c)
     c = c.cast("string")
     return Value(F.when(c.isNull(), F.lit(NULL)).otherwise(F.lit(STRING)), c,
-                 F.lit(None).cast("double"))
+                 F.lit(None).cast("double"), STRING)
 
 
 def from_variant(v: Column, key: str) -> Value:
@@ -89,11 +95,60 @@ def from_variant(v: Column, key: str) -> Value:
 
 
 def values_from_json(json_col, keys: list[str]) -> tuple[Column, dict[str, Value]]:
-    """Parse a JSON-object text column once (as VARIANT) and wrap ``keys``."""
+    """Parse a JSON-object text column (as VARIANT) and wrap ``keys``.
+
+    Expression form (for small projections); prefer :func:`with_json_values`
+    on a DataFrame, which computes each field once.
+    """
     v = F.try_parse_json(clean._c(json_col))
     return v, {k: from_variant(v, k) for k in keys}
 
 
+def with_json_values(df: DataFrame, json_col: str, keys: list[str]) -> tuple[DataFrame, dict[str, Value]]:
+    """Parse ``json_col`` once and materialise each key's kind/text/number.
+
+    Three stacked projections: the VARIANT, then each key's field, then its
+    kind / text / number.  The rules then reference plain columns, so the
+    parse and the per-key type tests run once per row instead of once per
+    use (the optimizer keeps expensive shared expressions un-inlined).
+    Helper columns start with ``_cl_`` and are dropped by :func:`prepare`.
+    """
+    out = df.withColumn("_cl_variant", F.try_parse_json(F.col(json_col)))
+    out = out.withColumns({f"_cl_{k}__f": F.try_variant_get(F.col("_cl_variant"), f"$.{k}", "variant")
+                           for k in keys})
+    out = out.withColumns({f"_cl_{k}__t": F.schema_of_variant(F.col(f"_cl_{k}__f")) for k in keys})
+    kinds = {}
+    for k in keys:
+        field, typ = F.col(f"_cl_{k}__f"), F.col(f"_cl_{k}__t")
+        kinds[f"_cl_{k}__k"] = (
+            F.when(field.isNull() | typ.isin("VOID", "NULL"), F.lit(NULL))
+            .when(typ == "BOOLEAN", F.lit(BOOL))
+            .when(typ.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
+                  | typ.startswith("DECIMAL"), F.lit(NUMBER))
+            .otherwise(F.lit(STRING)))
+    out = out.withColumns(kinds)
+    fields = []
+    for k in keys:
+        field, kind = F.col(f"_cl_{k}__f"), F.col(f"_cl_{k}__k")
+        as_text = F.try_variant_get(field, "$", "string")
+        fields += [
+            kind.alias(f"_cl_{k}__kind"),
+            F.when(kind == BOOL, F.initcap(as_text))
+            .when(kind == STRING, F.coalesce(as_text, F.to_json(field)))
+            .when(kind == NUMBER, as_text).alias(f"_cl_{k}__s"),
+            F.when(kind.isin(NUMBER, BOOL), F.try_variant_get(field, "$", "double"))
+            .alias(f"_cl_{k}__n"),
+        ]
+    # inline(array(struct)) materialises the per-key values once per row: a
+    # later filter on them (ok | rejected) cannot be pushed below this
+    # Generate, so it does not re-run the parse inside the filter condition.
+    helper = [c for c in out.columns if c.startswith("_cl_")]
+    out = out.select(*[c for c in out.columns if c not in helper],
+                     F.inline(F.array(F.struct(*fields))))
+    return out, {k: Value(F.col(f"_cl_{k}__kind"), F.col(f"_cl_{k}__s"), F.col(f"_cl_{k}__n"))
+                 for k in keys}
+
+
 def values_from_columns(df: DataFrame, keys: list[str]) -> dict[str, Value]:
     return {k: from_column(df, k) for k in keys}
 
@@ -102,11 +157,23 @@ def values_from_columns(df: DataFrame, keys: list[str]) -> dict[str, Value]:
 
 def is_blank(x: Value) -> Column:
     """SCA-18 on a value: null, or the empty string."""
+    if x.static == NULL:
+        return F.lit(True)
+    if x.static in (NUMBER, BOOL):
+        return x.num.isNull()
+    if x.static == STRING:
+        return clean.is_blank(x.text)
     return (x.kind == NULL) | ((x.kind == STRING) & (x.text == ""))
 
 
 def lenient_float(x: Value, default: float = 0.0) -> Column:
     """SCA-1 on a value (number/boolean -> float, text -> guarded parse)."""
+    if x.static == NULL:
+        return F.lit(float(default))
+    if x.static in (NUMBER, BOOL):
+        return F.coalesce(x.num, F.lit(float(default)))
+    if x.static == STRING:
+        return clean.to_float(x.text, default=default)
     return (F.when(x.kind.isin(NUMBER, BOOL), x.num)
             .when(x.kind == STRING, clean.to_float(x.text, default=default))
             .otherwise(F.lit(float(default))))
@@ -133,6 +200,7 @@ def derive(vals: dict[str, Value]) -> dict[str, Value]:
     product = lenient_float(get("niveau_hierarchique_poste")) * lenient_float(get("niveau_education"))
     out["formations_par_an"] = numeric(F.when(is_blank(fpa), ratio).otherwise(lenient_float(fpa)))
     out["poste_x_niveau"] = numeric(F.when(is_blank(pxn), product).otherwise(lenient_float(pxn)))
+    # Derived values are never null, so their kind is a number on every row.
     return out
 
 
@@ -161,11 +229,16 @@ def encode(column: str, x: Value) -> tuple[Column, Column]:
     dictionary); text and booleans are normalised (strip + lower) and looked
     up; anything not found is unknown (code null, flag true).
     """
+    if x.static == NULL:
+        return F.lit(0.0), F.lit(False)
+    if x.static == NUMBER:
+        return F.coalesce(x.num, F.lit(0.0)), F.lit(False)
     looked = F.try_element_at(code_map(column), clean.strip_lower(x.text))
+    is_number = F.lit(False) if x.static in (STRING, BOOL) else (x.kind == NUMBER)
     code = (F.when(is_blank(x), F.lit(0.0))
-            .when(x.kind == NUMBER, x.num)
+            .when(is_number, x.num)
             .otherwise(looked))
-    unknown = ~is_blank(x) & (x.kind != NUMBER) & looked.isNull()
+    unknown = ~is_blank(x) & ~is_number & looked.isNull()
     return code, unknown
 
 

@@ -35,10 +35,11 @@ def predict_requests(requests: DataFrame, model: LogisticModel, features_col: st
     ``seuil`` 0.37 (the request's threshold is the one applied, T11).
     Names default to John / Doe when null or empty (SCA-15, predict path).
     """
-    keys = list(dict.fromkeys(model.columns + DERIVATION_INPUTS))
-    _, vals = FE.values_from_json(F.col(features_col), keys)
+    derived = {"formations_par_an", "poste_x_niveau"} & set(model.columns)
+    keys = list(dict.fromkeys(model.columns + (DERIVATION_INPUTS if derived else [])))
+    parsed, vals = FE.with_json_values(requests, features_col, keys)
     keep = request_columns(requests) + [features_col]
-    prepared = FE.prepare(requests, vals, model.columns, model.layout, onehot, keep=keep)
+    prepared = FE.prepare(parsed, vals, model.columns, model.layout, onehot, keep=keep)
     ok, rejected = FE.split_ok_rejected(prepared)
     seuil = F.coalesce(F.col("seuil"), F.lit(S.DEFAULT_THRESHOLD)) if "seuil" in requests.columns \
         else F.lit(S.DEFAULT_THRESHOLD)
