@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 
 from churnlane import schemas as S
 from churnlane.functions import clean
+from churnlane.operators.joins import join_bounded
 from churnlane.session import scratch_path
 
+# Largest id set broadcast to every task (a long hash set of ~2M keys stays
+# well under 100 MB); larger sets take the shuffle join.
+MAX_BROADCAST_IDS = 2_000_000
+
 
 # ---------------------------------------------------------------- GOV-1
 
@@ -30,8 +35,13 @@ def erase(users: DataFrame, results: DataFrame, requested: DataFrame,
     req = requested.select(F.col(requested_key or user_key).alias("_cl_uid")).distinct()
     erased = users.select(F.col(user_key).alias("_cl_uid")).join(req, "_cl_uid", "left_semi")
     unknown = req.join(erased, "_cl_uid", "left_anti").withColumnRenamed("_cl_uid", user_key)
-    users_kept = users.join(erased, users[user_key] == erased["_cl_uid"], "left_anti")
-    results_kept = results.join(erased, results[owner_col] == erased["_cl_uid"], "left_anti")
+    # The erased-id set is usually far smaller than the results: broadcast it
+    # when proven small so the results are filtered in place, unshuffled.
+    # Otherwise both sides shuffle on the owner; AQE splits a hot owner.
+    users_kept = join_bounded(users.withColumn("_cl_uid", F.col(user_key)), erased, "_cl_uid",
+                              "left_anti", max_rows=MAX_BROADCAST_IDS).drop("_cl_uid")
+    results_kept = join_bounded(results.withColumn("_cl_uid", F.col(owner_col)), erased, "_cl_uid",
+                                "left_anti", max_rows=MAX_BROADCAST_IDS).drop("_cl_uid")
     return users_kept, results_kept, unknown
 
 
@@ -103,6 +113,24 @@ def register_unique(incoming: DataFrame, stored: DataFrame, name_col: str = "use
     return accepted, rejected
 
 
+def users_from_registrations(spark: SparkSession, accepted: DataFrame, users_path: str,
+                             name_col: str = "username") -> DataFrame:
+    """GOV-2 + SCA-23: append accepted names to the users table.
+
+    Ids continue after the stored maximum; ``created_at`` is the job's UTC
+    timestamp (one value for the whole batch, like a default at insert).
+    """
+    from churnlane.sources.ingest import create_table_if_absent, with_dense_id
+
+    create_table_if_absent(spark, users_path, S.USERS_SCHEMA)
+    base = spark.read.parquet(users_path).agg(F.max("id").alias("m")).first()["m"] or 0
+    rows = accepted.select(F.col(name_col).alias("username")).checkpoint(eager=True)
+    numbered = with_dense_id(rows, "id", start=base + 1).select(
+        "id", "username", F.current_timestamp().alias("created_at"))
+    numbered.write.mode("append").parquet(users_path)
+    return spark.read.parquet(users_path)
+
+
 # ---------------------------------------------------------------- GOV-3
 
 def validation_reason(username: Column | None = None, password: Column | None = None,

@@ -15,7 +15,8 @@ from churnlane import schemas as S
 from churnlane.functions import clean
 from churnlane.operators import features as FE
 from churnlane.operators.results import details_json
-from churnlane.operators.scoring import LogisticModel, score
+from churnlane.operators.scoring import (LABEL, PREDICTION, PROBA, THRESHOLD, LogisticModel,
+                                         binarise, label_text, score)
 
 DERIVATION_INPUTS = ["annee_experience_totale", "nb_formations_suivies",
                      "niveau_education", "formations_par_an", "poste_x_niveau",
@@ -61,3 +62,52 @@ def as_results_rows(scored: DataFrame) -> DataFrame:
     return scored.select(*[
         (F.col(c) if c in scored.columns else F.lit(None)).cast(S.RESULTS_SCHEMA[c].dataType).alias(c)
         for c in cols])
+
+
+def predict_with_models(requests: DataFrame, models: dict[str, LogisticModel],
+                        model_col: str = "modele", features_col: str = "features",
+                        proba_digits: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """ML-2 / ML-3 / JOI-9 with the model named per request, in one pass.
+
+    ``models`` is the loaded registry (bounded: one entry per model).  Each
+    model's contract layout is computed under its own column names and the
+    probability is a CASE over the model name, so the input is read once
+    whatever the number of models.  Requests naming no loaded model are
+    rejected with reason ``unknown_model``; an unknown category rejects the
+    request for the model it names.
+    """
+    needs_derived = any({"formations_par_an", "poste_x_niveau"} & set(m.columns)
+                        for m in models.values())
+    keys = list(dict.fromkeys([c for m in models.values() for c in m.columns]
+                              + (DERIVATION_INPUTS if needs_derived else [])))
+    parsed, vals = FE.with_json_values(requests, features_col, keys)
+    name = F.col(model_col)
+    per_model, reasons, probas = [], [], []
+    for i, (mname, m) in enumerate(models.items()):
+        cols, reason = FE.layout_columns(vals, m.columns, m.layout, list(m.onehot) or None)
+        per_model += [c.alias(f"_cl_m{i}_{col}") for c, col in zip(cols, m.columns)]
+        reasons.append((mname, reason))
+        probas.append((mname, i, m))
+    reason = F.when(name.isNull() | ~name.isin(*models), F.lit("unknown_model"))
+    for mname, r in reasons:
+        reason = reason.when(name == F.lit(mname), r)
+    keep = request_columns(requests) + [features_col]
+    staged = parsed.select(*[F.col(c) for c in keep], *per_model, reason.alias(FE.REASON))
+    ok = staged.where(F.col(FE.REASON).isNull())
+    rejected = staged.where(F.col(FE.REASON).isNotNull()).select(*keep, FE.REASON)
+    p = None
+    for mname, i, m in probas:
+        branch = m.probability(lambda c, i=i: F.col(f"_cl_m{i}_{c}"))
+        p = F.when(name == F.lit(mname), branch) if p is None else p.when(name == F.lit(mname), branch)
+    seuil = F.coalesce(F.col("seuil"), F.lit(S.DEFAULT_THRESHOLD)) if "seuil" in requests.columns \
+        else F.lit(S.DEFAULT_THRESHOLD)
+    scored = ok.withColumns({"_cl_p": p, THRESHOLD: seuil.cast("double")})
+    pred = binarise(F.col("_cl_p"), F.col(THRESHOLD))
+    scored = scored.withColumns({
+        "modele_utilise": name,
+        PROBA: F.col("_cl_p") if proba_digits is None else F.round("_cl_p", proba_digits),
+        PREDICTION: pred,
+        LABEL: label_text(pred),
+    })
+    helper = [c for c in scored.columns if c.startswith("_cl_")] + [FE.REASON]
+    return scored.drop(*helper), rejected

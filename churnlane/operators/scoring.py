@@ -47,22 +47,23 @@ class LogisticModel:
         """ML-1: one layout per model, from its roles (not per-row trial)."""
         return FE.ALIGNED_LAYOUT if self.onehot else FE.NUMERIC_LAYOUT
 
-    def margin(self) -> Column:
+    def margin(self, col: Callable[[str], Column] = F.col) -> Column:
+        """b + sum(w * scaled x) + one-hot terms; ``col`` resolves input names."""
         z = F.lit(float(self.intercept))
         for c, w in self.weights.items():
-            x = F.col(c).cast("double")
+            x = col(c).cast("double")
             if c in self.scaler:
                 center, scale = self.scaler[c]
                 x = (x - F.lit(float(center))) / F.lit(float(scale))
             z = z + F.lit(float(w)) * x
         for c, cats in self.onehot.items():
             for value, w in cats.items():
-                z = z + F.when(F.col(c) == F.lit(value), F.lit(float(w))).otherwise(F.lit(0.0))
+                z = z + F.when(col(c) == F.lit(value), F.lit(float(w))).otherwise(F.lit(0.0))
         return z
 
-    def probability(self) -> Column:
+    def probability(self, col: Callable[[str], Column] = F.col) -> Column:
         """SCA-9: positive-class probability, 1 / (1 + exp(-z))."""
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margin()))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margin(col)))
 
 
 def model_from_table(coefficients: DataFrame, name: str, max_rows: int = 100_000) -> LogisticModel:

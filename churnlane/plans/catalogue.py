@@ -18,10 +18,11 @@ from churnlane.operators import governance as G
 from churnlane.operators import registry as R
 from churnlane.operators import results as RS
 from churnlane.operators import scoring as SC
-from churnlane.operators.predict import as_results_rows, predict_requests
+from churnlane.operators.predict import as_results_rows, predict_requests, predict_with_models
 from churnlane.plans import standins as SI
 from churnlane.session import read_table, scratch_path
 from churnlane.sources import ingest as IN
+from churnlane.sources import sinks as SK
 from churnlane.streaming import score_stream as ST
 
 
@@ -255,6 +256,27 @@ def score_and_append(spark, sf_dir):
                        F.get_json_object("details", "$.k").cast("long").alias("details_k"))
 
 
+def _by_model(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    reqs = ev.select(F.col("event_id").alias("request_id"),
+                     SI.events_model_choice(F.col("event_type")).alias("modele"),
+                     F.col("props").alias("features"))
+    return predict_with_models(reqs, SI.EVENTS_MODELS, proba_digits=6)
+
+
+def score_by_model(spark, sf_dir):
+    """ML-2 ML-3 JOI-9: each request scored by the model it names, one pass."""
+    scored, _ = _by_model(spark, sf_dir)
+    return scored.select("request_id", "modele_utilise", SC.PROBA, SC.PREDICTION, SC.LABEL,
+                         SC.THRESHOLD)
+
+
+def score_by_model_rejected(spark, sf_dir):
+    """JOI-9 ML-10: requests naming a model that is not loaded."""
+    _, rejected = _by_model(spark, sf_dir)
+    return rejected.select("request_id", "modele", F.col("_reason").alias("reason"))
+
+
 def stream_score(spark, sf_dir):
     """STR-1: the same scoring as a file-source stream into a Parquet sink."""
     schema = _t(spark, sf_dir, "events").schema
@@ -475,8 +497,8 @@ def evolve_schema(spark, sf_dir):
                                                F.col("s_name").alias("name"),
                                                F.col("s_nationkey").alias("nationkey"))
     old.write.parquet(path)
-    new.write.mode("append").parquet(path)
-    return spark.read.option("mergeSchema", True).parquet(path).select("id", "name", "nationkey")
+    SK.append_evolving(path, new)
+    return SK.read_evolved(spark, path).select("id", "name", "nationkey")
 
 
 def csv_roundtrip(spark, sf_dir):
@@ -522,6 +544,8 @@ QUERIES = {
     "impute_defaults": impute_defaults,
     "logistic_score": logistic_score,
     "score_and_append": score_and_append,
+    "score_by_model": score_by_model,
+    "score_by_model_rejected": score_by_model_rejected,
     "stream_score": stream_score,
     "stream_enrich": stream_enrich,
     "registry_lookup": registry_lookup,

@@ -25,6 +25,9 @@ def margin_sql(m: LogisticModel, col_sql: dict[str, str] | None = None) -> str:
             center, scale = m.scaler[c]
             x = f"(({x} - {_d(center)}) / {_d(scale)})"
         z = f"({z} + {_d(w)} * {x})"
+    for c, cats in m.onehot.items():
+        for value, w in cats.items():
+            z = f"({z} + CASE WHEN {col_sql.get(c, c)} = '{value}' THEN {_d(w)} ELSE {_d(0)} END)"
     return z
 
 
@@ -81,6 +84,17 @@ SELECT {{extra}}
 FROM s
 """
 
+K_JSON = "COALESCE(TRY_CAST(json_extract(props, '$.k') AS DOUBLE), 0.0)"
+P_TOP1 = proba_sql(SI.EVENTS_MODEL, {"k": K_JSON, "frequence_deplacement": "0.0"})
+P_TOP2 = proba_sql(SI.EVENTS_MODEL_B, {"k": K_JSON, "statut_marital": "''"})
+BY_MODEL = f"""
+WITH s AS (
+  SELECT event_id AS request_id,
+         CASE event_type WHEN 'error' THEN 'ghost' WHEN 'click' THEN 'top2' ELSE 'top1' END AS modele,
+         CASE WHEN event_type = 'click' THEN {P_TOP2} ELSE {P_TOP1} END AS p
+  FROM events)
+"""
+
 TRAVEL = """CASE o_orderpriority WHEN '1-URGENT' THEN 'Fréquent' WHEN '2-HIGH' THEN ' Travel_Rarely '
   WHEN '3-MEDIUM' THEN 'AUCUN' WHEN '5-LOW' THEN NULL ELSE 'not specified' END"""
 TRAVEL_CODE = """CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 2.0 WHEN '2-HIGH' THEN 1.0
@@ -202,6 +216,14 @@ ORACLE = {
         FROM lineitem""",
     "score_and_append": SCORED_EVENTS.replace("{extra}", ""),
     "stream_score": SCORED_EVENTS.replace("{extra}", "event_id AS request_id,"),
+    "score_by_model": BY_MODEL + f"""
+        SELECT request_id, modele AS modele_utilise, round(p, 6) AS probabilite_de_quitter,
+               {pred_sql('p')} AS prediction, {label_sql(pred_sql('p'))} AS libelle_prediction,
+               {_d(0.37)} AS seuil_applique
+        FROM s WHERE modele <> 'ghost'""",
+    "score_by_model_rejected": """
+        SELECT event_id AS request_id, 'ghost' AS modele, 'unknown_model' AS reason
+        FROM events WHERE event_type = 'error'""",
     "stream_enrich": """
         SELECT e.event_id, e.user_id, c.c_name, c.c_acctbal
         FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id""",

@@ -36,6 +36,14 @@ EVENTS_MODEL = LogisticModel(
     name="top1", columns=["k", "frequence_deplacement"], intercept=-1.0,
     weights={"k": 0.03, "frequence_deplacement": 0.5}, scaler={"k": (50.0, 29.0)})
 
+# Second toy model over request features, with a one-hot input (aligned layout).
+EVENTS_MODEL_B = LogisticModel(
+    name="top2", columns=["k", "statut_marital"], intercept=0.5, weights={"k": -0.02},
+    onehot={"statut_marital": {"single": 0.7}})
+
+# The loaded registry used by per-request model choice.
+EVENTS_MODELS = {"top1": EVENTS_MODEL, "top2": EVENTS_MODEL_B}
+
 # Contract used for the layout queries over orders.
 ORDERS_CONTRACT = ["montant", "frequence_deplacement", "heure_supplementaires", "absente"]
 
@@ -104,6 +112,12 @@ def events_as_requests(events: DataFrame) -> DataFrame:
     )
 
 
+def events_model_choice(event_type: Column) -> Column:
+    """Model named by each request: errors name a model that is not loaded."""
+    return (F.when(event_type == "error", F.lit("ghost"))
+            .when(event_type == "click", F.lit("top2")).otherwise(F.lit("top1")))
+
+
 def events_as_results(events: DataFrame) -> DataFrame:
     """events -> stored results with a link for purchases, JSON details otherwise."""
     from churnlane.operators.results import details_json

@@ -57,3 +57,22 @@ def test_orphans_audit_and_repair(spark):
     assert [r.id for r in G.orphans(results, feats).collect()] == [2]
     fixed = {r.id: r.employe_id for r in G.repair_orphans(results, feats).collect()}
     assert fixed == {1: 8, 2: None, 3: None}
+
+
+def test_required_id_rule(spark):
+    df = spark.createDataFrame([(None,), ("",), ("12",)], "i string")
+    rows = df.select(G.validation_reason(ident=F.col("i"), require_ident=True).alias("r")).collect()
+    assert [r.r for r in rows] == ["missing_id", "missing_id", None]
+
+
+def test_users_from_registrations_ids_and_timestamp(spark, tmp_dir):
+    path = f"{tmp_dir}/users"
+    first = spark.createDataFrame([("alice",), ("bob",)], "username string")
+    G.users_from_registrations(spark, first, path)
+    users = G.users_from_registrations(spark, spark.createDataFrame([("carol",)], "username string"),
+                                       path)
+    rows = sorted(users.collect(), key=lambda r: r.id)
+    assert [(r.id, r.username) for r in rows] == [(1, "alice"), (2, "bob"), (3, "carol")]
+    assert all(r.created_at is not None for r in rows)
+    assert dict((f.name, f.dataType.simpleString()) for f in users.schema.fields) == {
+        "id": "bigint", "username": "string", "created_at": "timestamp"}

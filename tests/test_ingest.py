@@ -72,3 +72,15 @@ def test_two_source_bootstrap(spark, tmp_dir):
     again = IN.ingest_features_and_labels(spark, f"{tmp_dir}/X", f"{tmp_dir}/Y",
                                           f"{tmp_dir}/fx", f"{tmp_dir}/fy")
     assert again == (False, False) and spark.read.parquet(f"{tmp_dir}/fx").count() == 2
+
+
+def test_schema_evolution_helpers(spark, tmp_dir):
+    from churnlane.sources import sinks as SK
+    path = f"{tmp_dir}/evolve"
+    spark.createDataFrame([(1, "a")], "id long, name string").write.parquet(path)
+    SK.append_evolving(path, spark.createDataFrame([(2, "b", 7)], "id long, name string, extra int"))
+    rows = sorted(SK.read_evolved(spark, path).collect(), key=lambda r: r.id)
+    assert [(r.id, r.extra) for r in rows] == [(1, None), (2, 7)]
+    df = SK.ensure_columns(spark.createDataFrame([(1,)], "id long"),
+                           [T.StructField("id", T.LongType()), T.StructField("details", T.StringType())])
+    assert df.columns == ["id", "details"] and df.first().details is None

@@ -110,3 +110,20 @@ def test_predict_rejects_unknown_category(spark):
     scored, rejected = predict_requests(reqs, m)
     assert [r.request_id for r in scored.collect()] == [2]
     assert [r.request_id for r in rejected.collect()] == [1]
+
+
+def test_predict_with_models_per_request(spark):
+    from churnlane.operators.predict import predict_with_models
+    m1 = LogisticModel("a", ["age"], intercept=0.0, weights={"age": 1.0})
+    m2 = LogisticModel("b", ["statut_marital"], intercept=0.0, onehot={"statut_marital": {"Single": 2.0}})
+    reqs = spark.createDataFrame(
+        [(1, "a", json.dumps({"age": 0})), (2, "b", json.dumps({"statut_marital": "Single"})),
+         (3, "zz", json.dumps({"age": 0})), (4, "b", json.dumps({"statut_marital": "mystere"})),
+         (5, None, "{}")],
+        "request_id long, modele string, features string")
+    scored, rejected = predict_with_models(reqs, {"a": m1, "b": m2})
+    got = {r.request_id: (r.modele_utilise, round(r.probabilite_de_quitter, 6)) for r in scored.collect()}
+    assert got == {1: ("a", 0.5), 2: ("b", round(1 / (1 + 2.718281828459045 ** -2), 6))}
+    reasons = {r.request_id: r._reason for r in rejected.collect()}
+    assert reasons[3] == "unknown_model" and reasons[5] == "unknown_model"
+    assert reasons[4].startswith("unknown value for 'statut_marital'")
