@@ -55,7 +55,7 @@ def to_float(c, dtype: T.DataType | None = None, default: float = 0.0) -> Column
     c = _c(c)
     if dtype is not None and not isinstance(dtype, T.StringType):
         return F.coalesce(c.cast("double"), F.lit(float(default)))
-    v = F.regexp_replace(c, ",", ".")
+    v = F.translate(c, ",", ".")
     return (F.when(is_blank(c), F.lit(float(default)))
             .when(v.rlike(NUM), F.trim(v, F.lit("\t\n\x0b\x0c\r ")).try_cast("double"))
             .otherwise(F.lit(float(default))))

@@ -94,8 +94,12 @@ def record(features: DataFrame, labels: DataFrame, ident, key: str = "id",
 
 def records(features: DataFrame, labels: DataFrame, requested: DataFrame, key: str = "id",
             label_col: str = "a_quitte_l_entreprise", requested_key: str | None = None) -> DataFrame:
-    """JOI-2 batch form: records for every requested key (semi-join)."""
-    req = requested.select(F.col(requested_key or key).alias(key))
+    """JOI-2 batch form: records for every requested key (semi-join).
+
+    Requested keys are de-duplicated first (partial aggregate), so a key
+    requested by a third of all rows reaches the join as one row per task.
+    """
+    req = requested.select(F.col(requested_key or key).alias(key)).distinct()
     f = features.join(req, key, "left_semi")
     return f.join(labels.select(key, label_col), key, "left")
 

@@ -76,7 +76,8 @@ def history_for_owners(results: DataFrame, owners: DataFrame, owner_col: str = "
                        id_col: str = "id", columns: list[str] | None = None) -> DataFrame:
     """GOV-4 batch form: the histories of a set of owners, each newest first."""
     cols = columns or HISTORY_COLUMNS
-    return (results.join(owners.select(owner_col), owner_col, "left_semi")
+    owners = owners.select(owner_col).distinct()   # a hot owner collapses map-side
+    return (results.join(owners, owner_col, "left_semi")
             .select(*cols).orderBy(F.col(owner_col).asc(), F.col(id_col).desc_nulls_last()))
 
 

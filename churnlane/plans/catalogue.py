@@ -130,7 +130,7 @@ def detail_two_source(spark, sf_dir):
 
 def _dirty_text(li: DataFrame) -> DataFrame:
     n = F.col("l_linenumber")
-    raw = (F.when(n == 1, F.regexp_replace(F.col("l_quantity").cast("string"), r"\.", ","))
+    raw = (F.when(n == 1, F.translate(F.col("l_quantity").cast("string"), ".", ","))
            .when(n == 2, F.concat(F.lit(" "), F.col("l_extendedprice").cast("string"), F.lit(" ")))
            .when(n == 3, F.lit("abc"))
            .when(n == 4, F.lit(""))
