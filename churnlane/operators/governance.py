@@ -121,11 +121,14 @@ def users_from_registrations(spark: SparkSession, accepted: DataFrame, users_pat
     timestamp (one value for the whole batch, like a default at insert).
     """
     from churnlane.sources.ingest import create_table_if_absent, with_dense_id
+    from churnlane.sources.sinks import reserve_ids
 
     create_table_if_absent(spark, users_path, S.USERS_SCHEMA)
-    base = spark.read.parquet(users_path).agg(F.max("id").alias("m")).first()["m"] or 0
     rows = accepted.select(F.col(name_col).alias("username")).checkpoint(eager=True)
-    numbered = with_dense_id(rows, "id", start=base + 1).select(
+    n = rows.count()
+    if n == 0:
+        return spark.read.parquet(users_path)
+    numbered = with_dense_id(rows, "id", start=reserve_ids(spark, users_path, n)).select(
         "id", "username", F.current_timestamp().alias("created_at"))
     numbered.write.mode("append").parquet(users_path)
     return spark.read.parquet(users_path)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from churnlane import schemas as S
 from churnlane.functions import clean
-from churnlane.sources.ingest import path_exists, with_dense_id
+from churnlane.sources.ingest import with_dense_id
+from churnlane.sources.sinks import reserve_ids
 
 HISTORY_COLUMNS = ["id", "prenom", "nom", "modele_utilise", "probabilite_de_quitter",
                    "prediction", "libelle_prediction", "seuil_applique", "id_user", "employe_id"]
@@ -33,22 +34,26 @@ def details_json(features_json, employe_id) -> "F.Column":
     return F.when(F.coalesce(clean._c(employe_id), F.lit(0)) == 0, text)
 
 
-def append_results(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+def append_results(spark: SparkSession, path: str, rows: DataFrame,
+                   owner_col: str = "id_user") -> DataFrame:
     """SNK-1: append ``rows`` (results columns without ``id``) to ``path``.
 
-    New ids continue after the stored maximum.  The rows are materialised
-    first (reliable checkpoint), so numbering reads stable input even if an
-    executor is lost mid-job.  Returns the rows as written (with ids).
+    New ids continue after the last reserved id (see :func:`reserve_ids`).
+    The rows are materialised first (reliable checkpoint), so numbering reads
+    stable input even if an executor is lost mid-job.  Each partition is
+    sorted by owner before writing (no shuffle), so row-group min/max
+    statistics let owner-scoped history reads skip most of the file.
+    Returns the rows as written (with ids).
     """
-    base = 0
-    if path_exists(spark, path):
-        mx = spark.read.parquet(path).agg(F.max("id").alias("m")).first()["m"]
-        base = mx or 0
     cols = [f.name for f in S.RESULTS_SCHEMA.fields if f.name != "id"]
     prepared = rows.select(*[F.col(c).cast(S.RESULTS_SCHEMA[c].dataType).alias(c) for c in cols])
     prepared = prepared.checkpoint(eager=True)
-    numbered = with_dense_id(prepared, "id", start=base + 1)
-    numbered.write.mode("append").parquet(path)
+    n = prepared.count()
+    if n == 0:
+        return prepared.withColumn("id", F.lit(None).cast("long")).select("id", *cols)
+    first = reserve_ids(spark, path, n)
+    numbered = with_dense_id(prepared, "id", start=first)
+    numbered.sortWithinPartitions(owner_col, "id").write.mode("append").parquet(path)
     return numbered
 
 

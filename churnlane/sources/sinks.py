@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlane.sources.ingest import path_exists
+
 
 def ensure_columns(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
     """SNK-3: add each missing column as a typed null (existing ones kept)."""
@@ -30,3 +32,28 @@ def read_evolved(spark: SparkSession, path: str) -> DataFrame:
 def union_evolving(old: DataFrame, new: DataFrame) -> DataFrame:
     """In-plan form of the same rule: union by name, missing columns null."""
     return old.unionByName(new, allowMissingColumns=True)
+
+
+def _ledger_path(path: str) -> str:
+    # Readers skip paths starting with "_", so the ledger lives inside the table.
+    return f"{path.rstrip('/')}/_id_ledger"
+
+
+def reserve_ids(spark: SparkSession, path: str, n: int) -> int:
+    """Reserve ``n`` ids for ``path``; returns the first one.
+
+    The ledger holds one tiny row per append (first, last id), so the next
+    id never needs a scan of the results.  A table written before the ledger
+    existed is scanned once for its maximum.  The reservation is written
+    before the data: a failed append leaves a gap, never a duplicate id.
+    """
+    ledger = _ledger_path(path)
+    if path_exists(spark, ledger):
+        last = spark.read.parquet(ledger).agg(F.max("last_id").alias("m")).first()["m"] or 0
+    elif path_exists(spark, path):
+        last = spark.read.parquet(path).agg(F.max("id").alias("m")).first()["m"] or 0
+    else:
+        last = 0
+    spark.createDataFrame([(last + 1, last + n)], "first_id long, last_id long") \
+        .coalesce(1).write.mode("append").parquet(ledger)
+    return last + 1

@@ -84,3 +84,12 @@ def test_schema_evolution_helpers(spark, tmp_dir):
     df = SK.ensure_columns(spark.createDataFrame([(1,)], "id long"),
                            [T.StructField("id", T.LongType()), T.StructField("details", T.StringType())])
     assert df.columns == ["id", "details"] and df.first().details is None
+
+
+def test_id_ledger_continues_legacy_table(spark, tmp_dir):
+    from churnlane.sources.sinks import reserve_ids
+    path = f"{tmp_dir}/legacy"
+    spark.createDataFrame([(5,), (9,)], "id long").write.parquet(path)
+    assert reserve_ids(spark, path, 3) == 10          # scanned once: max id 9
+    assert reserve_ids(spark, path, 2) == 13          # from the ledger now
+    assert spark.read.parquet(path).count() == 2      # the ledger is not read as data
