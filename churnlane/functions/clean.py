@@ -16,6 +16,13 @@ from pyspark.sql import types as T
 NUM = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*$"
 STRIP = r"(?U)^\s+|\s+$"
 
+# The full float grammar applied to text already stripped of Unicode
+# whitespace: ASCII digit groups may be joined by single underscores.
+_DIGITS = r"[0-9](?:_?[0-9])*"
+FLOAT_TEXT = (rf"(?i)^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
+              rf"(?:e[+-]?{_DIGITS})?$")
+SPECIAL_TEXT = r"(?i)^[+-]?(?:nan|inf|infinity)$"
+
 ColumnOrName = "Column | str"
 
 
@@ -55,9 +62,13 @@ def to_float(c, dtype: T.DataType | None = None, default: float = 0.0) -> Column
     c = _c(c)
     if dtype is not None and not isinstance(dtype, T.StringType):
         return F.coalesce(c.cast("double"), F.lit(float(default)))
-    v = F.translate(c, ",", ".")
+    # Unicode whitespace is stripped like str.strip(); ',' becomes '.'.
+    v = F.regexp_replace(F.translate(c, ",", "."), STRIP, "")
     return (F.when(is_blank(c), F.lit(float(default)))
-            .when(v.rlike(NUM), F.trim(v, F.lit("\t\n\x0b\x0c\r ")).try_cast("double"))
+            .when(v.rlike(FLOAT_TEXT), F.translate(v, "_", "").try_cast("double"))
+            .when(v.rlike(SPECIAL_TEXT),
+                  F.when(F.lower(v).endswith("nan"), F.lit(float("nan")))
+                  .otherwise(v.try_cast("double")))
             .otherwise(F.lit(float(default))))
 
 

@@ -38,12 +38,27 @@ def _is_true(v: Column, key: str) -> Column:
     return F.coalesce(F.try_variant_get(v, f"$.{key}", "boolean"), F.lit(False))
 
 
-def _string_list(v: Column) -> Column:
-    """The value as array<string> when it is a non-empty list of strings, else null."""
+def _as_list(v: Column) -> tuple[Column, Column]:
+    """``list(value)`` of a JSON value, as (array<string>, all items were strings).
+
+    A list gives its items, a string its characters, an object its keys;
+    anything else (number, boolean, null) is not iterable and gives null.
+    """
+    typ = F.schema_of_variant(v)
     arr = F.try_variant_get(v, "$", "array<variant>")
-    strs = F.try_variant_get(v, "$", "array<string>")
-    all_str = F.forall(arr, lambda e: F.schema_of_variant(e) == F.lit("STRING"))
-    return F.when(arr.isNotNull() & (F.size(arr) > 0) & all_str, strs)
+    items = (F.when(typ.startswith("ARRAY"), F.try_variant_get(v, "$", "array<string>"))
+             .when(typ == "STRING", F.split(F.try_variant_get(v, "$", "string"), ""))
+             .when(typ.startswith("OBJECT"), F.json_object_keys(F.to_json(v))))
+    all_str = (F.when(typ.startswith("ARRAY"),
+                      F.forall(arr, lambda e: F.schema_of_variant(e) == F.lit("STRING")))
+               .otherwise(items.isNotNull()))
+    return items, all_str
+
+
+def _string_list(v: Column) -> Column:
+    """The value's ``list()`` when non-empty and made of strings, else null."""
+    items, all_str = _as_list(v)
+    return F.when(items.isNotNull() & (F.size(items) > 0) & all_str, items)
 
 
 def _number(v: Column) -> Column:
@@ -195,16 +210,21 @@ def roles_report(branches: DataFrame, model_col: str = "name", steps_col: str =
 def branches_from_registry(registry: DataFrame) -> DataFrame:
     """Explode each model's declared transformers into the branch table.
 
-    Branches with no column list ("remainder", "drop", not a list) are skipped.
+    Branches whose columns are null, "remainder" or "drop", or not iterable,
+    are skipped; other values are taken as ``list(value)``.
     """
     res = resolve(registry).where(F.col("loaded"))
     tr = F.try_variant_get("model", "$.transformers", "array<variant>")
     ex = res.select("name", F.posexplode(tr).alias("bpos", "b"))
+    cols_v = F.try_variant_get("b", "$.columns", "variant")
+    items, _ = _as_list(cols_v)
+    as_text = F.try_variant_get(cols_v, "$", "string")
+    skipped = as_text.isin("remainder", "drop") & (F.schema_of_variant(cols_v) == "STRING")
     ex = ex.select("name", "bpos",
                    F.try_variant_get("b", "$.name", "string").alias("branch"),
                    F.coalesce(F.try_variant_get("b", "$.steps", "array<string>"),
                               F.array().cast("array<string>")).alias("steps"),
-                   _string_list(F.try_variant_get("b", "$.columns", "variant")).alias("cols"))
+                   F.when(~F.coalesce(skipped, F.lit(False)), items).alias("cols"))
     ex = ex.where(F.col("cols").isNotNull())
     return ex.select("name", "branch", "steps",
                      F.posexplode("cols").alias("cpos", "column"),

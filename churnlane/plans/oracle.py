@@ -6,7 +6,7 @@ Literal doubles are cast explicitly (DuckDB reads ``0.37`` as DECIMAL).
 
 from __future__ import annotations
 
-from churnlane.functions.clean import NUM
+from churnlane.functions.clean import FLOAT_TEXT, SPECIAL_TEXT
 from churnlane.operators.features import accepted_values
 from churnlane.operators.scoring import LogisticModel
 from churnlane.plans import standins as SI
@@ -44,9 +44,11 @@ def label_sql(pred: str) -> str:
 
 
 def lenient_sql(raw: str) -> str:
-    v = f"replace({raw}, ',', '.')"
+    v = f"regexp_replace(replace({raw}, ',', '.'), '^\\s+|\\s+$', '', 'g')"
     return (f"CASE WHEN {raw} IS NULL OR {raw} = '' THEN {_d(0)} "
-            f"WHEN regexp_matches({v}, '{NUM}') THEN TRY_CAST(trim({v}) AS DOUBLE) "
+            f"WHEN regexp_matches({v}, '{FLOAT_TEXT}') THEN TRY_CAST(replace({v}, '_', '') AS DOUBLE) "
+            f"WHEN regexp_matches({v}, '{SPECIAL_TEXT}') THEN "
+            f"CASE WHEN lower({v}) LIKE '%nan' THEN CAST('nan' AS DOUBLE) ELSE TRY_CAST({v} AS DOUBLE) END "
             f"ELSE {_d(0)} END")
 
 

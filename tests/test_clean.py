@@ -11,7 +11,9 @@ LENIENT = [
     (None, 0.0), ("1,5", 1.5), ("abc", 0.0), ("3,5", 3.5),
     ("", 0.0), (" ", 0.0), ("1,234.5", 0.0), ("1d", 0.0), ("0x1p3", 0.0),
     (" 3 ", 3.0), ("1e3", 1000.0), ("+5", 5.0), (".5", 0.5), ("5.", 5.0),
-    ("\t7\n", 7.0), ("-2,25", -2.25), ("1_000", 0.0), ("2F", 0.0),
+    ("\t7\n", 7.0), ("-2,25", -2.25), ("2F", 0.0),
+    ("1_000", 1000.0), ("1_0,5", 10.5), ("1e1_0", 1e10), ("1__0", 0.0), ("_1", 0.0),
+    ("\u00a03\u2003", 3.0), ("\uff13", 0.0),
 ]
 
 
@@ -23,9 +25,10 @@ def test_lenient_float_goldens(spark):
 
 
 def test_lenient_float_nan_inf(spark):
-    df = spark.createDataFrame([("nan",), ("inf",), ("-Infinity",)], "v string")
+    df = spark.createDataFrame([("nan",), ("inf",), ("-Infinity",), ("-nan",), (" +INF ",)], "v string")
     got = [r.x for r in df.select(clean.to_float("v").alias("x")).collect()]
     assert math.isnan(got[0]) and got[1] == math.inf and got[2] == -math.inf
+    assert math.isnan(got[3]) and got[4] == math.inf
 
 
 def test_lenient_float_typed_numbers(spark):

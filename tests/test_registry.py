@@ -24,6 +24,9 @@ def test_bundle_resolution_priorities(spark):
                             "steps": [{"type": "S"}, {"type": "T", "feature_names_in_": ["z"]}]},
                "best_threshold": 0.6}),
         ("g", "not json"),
+        ("h", {"estimator": {"predict": True}, "colonnes": "ab", "threshold": "0.9"}),
+        ("i", {"estimator": {"predict": True}, "columns": [], "features": {"u": 1, "v": 2}}),
+        ("j", {"estimator": {"predict": True}, "columns": ["a", 3]}),
     ])
     got = {r.name: r for r in R.resolve(reg).collect()}
     a = got["a"]
@@ -36,6 +39,9 @@ def test_bundle_resolution_priorities(spark):
     assert got["e"].loaded and got["e"].model_key == "weird" and got["e"].threshold == 1.0
     assert got["f"].columns == ["z"] and got["f"].threshold == 0.6
     assert not got["g"].loaded
+    assert got["h"].columns == ["a", "b"] and got["h"].threshold == 0.37   # list("ab"); text is no number
+    assert got["i"].columns == ["u", "v"]                                   # empty list skipped, dict keys
+    assert got["j"].columns == S.MODEL_COLUMNS and not got["j"].columns_extracted
 
 
 def test_contract_lookup_tags(spark):
@@ -65,6 +71,17 @@ def test_roles_from_registry(spark):
                    "autres": ["poste"]}
 
 
+def test_roles_column_values_as_lists(spark):
+    meta = {"model": {"predict": True, "transformers": [
+        {"name": "s", "steps": ["StandardScaler"], "columns": "ab"},
+        {"name": "d", "steps": ["StandardScaler"], "columns": "drop"},
+        {"name": "n", "steps": ["OneHotEncoder"], "columns": None},
+        {"name": "o", "steps": ["OneHotEncoder"], "columns": {"k": 1}}]}}
+    reg = _reg(spark, [("m", meta)])
+    rep = {r.role: r.colonnes for r in R.roles_report(R.branches_from_registry(reg)).collect()}
+    assert rep == {"numeriques": ["a", "b"], "onehot": ["k"]}
+
+
 def test_roles_keep_first_seen_order(spark):
     rows = [("m", ["StandardScaler"], "b", 3), ("m", ["StandardScaler"], "a", 5),
             ("m", ["StandardScaler"], "b", 9), ("m", ["MyOneHotThing"], "c", 1)]
