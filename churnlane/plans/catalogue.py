@@ -290,6 +290,17 @@ def stream_score(spark, sf_dir):
     return out
 
 
+def stream_to_results(spark, sf_dir):
+    """STR-1 SNK-1: streamed requests appended to the results table with ids."""
+    schema = _t(spark, sf_dir, "events").schema
+    back = ST.stream_to_results(
+        spark, sf_dir, schema, lambda b: as_results_rows(_score_events(b)),
+        scratch_path(spark, "stream-results"), scratch_path(spark, "stream-results-ckpt"),
+        query_name="events", glob="events.parquet")
+    return back.select(*_REQUEST_OUT,
+                       F.get_json_object("details", "$.k").cast("long").alias("details_k"))
+
+
 def stream_enrich(spark, sf_dir):
     """STR-2: stream-static left join of events to customers."""
     schema = _t(spark, sf_dir, "events").schema
@@ -547,6 +558,7 @@ QUERIES = {
     "score_by_model": score_by_model,
     "score_by_model_rejected": score_by_model_rejected,
     "stream_score": stream_score,
+    "stream_to_results": stream_to_results,
     "stream_enrich": stream_enrich,
     "registry_lookup": registry_lookup,
     "unknown_model": unknown_model,

@@ -218,6 +218,7 @@ ORACLE = {
         FROM lineitem""",
     "score_and_append": SCORED_EVENTS.replace("{extra}", ""),
     "stream_score": SCORED_EVENTS.replace("{extra}", "event_id AS request_id,"),
+    "stream_to_results": SCORED_EVENTS.replace("{extra}", ""),
     "score_by_model": BY_MODEL + f"""
         SELECT request_id, modele AS modele_utilise, round(p, 6) AS probabilite_de_quitter,
                {pred_sql('p')} AS prediction, {label_sql(pred_sql('p'))} AS libelle_prediction,

@@ -39,21 +39,29 @@ def _ledger_path(path: str) -> str:
     return f"{path.rstrip('/')}/_id_ledger"
 
 
-def reserve_ids(spark: SparkSession, path: str, n: int) -> int:
+def reserve_ids(spark: SparkSession, path: str, n: int, key: str | None = None) -> int:
     """Reserve ``n`` ids for ``path``; returns the first one.
 
-    The ledger holds one tiny row per append (first, last id), so the next
-    id never needs a scan of the results.  A table written before the ledger
-    existed is scanned once for its maximum.  The reservation is written
-    before the data: a failed append leaves a gap, never a duplicate id.
+    The ledger holds one tiny row per append (first, last id, optional key),
+    so the next id never needs a scan of the results.  A table written before
+    the ledger existed is scanned once for its maximum.  The reservation is
+    written before the data: a failed append leaves a gap, never a duplicate
+    id.  With ``key`` (e.g. a stream's batch) a second reservation under the
+    same key returns the first one's range, so a replayed batch gets the
+    same ids.  One ledger row per append: compact it with the table.
     """
     ledger = _ledger_path(path)
     if path_exists(spark, ledger):
-        last = spark.read.parquet(ledger).agg(F.max("last_id").alias("m")).first()["m"] or 0
+        led = spark.read.parquet(ledger)
+        if key is not None and "key" in led.columns:
+            hit = led.where(F.col("key") == F.lit(key)).select("first_id").limit(1).collect()
+            if hit:
+                return hit[0]["first_id"]
+        last = led.agg(F.max("last_id").alias("m")).first()["m"] or 0
     elif path_exists(spark, path):
         last = spark.read.parquet(path).agg(F.max("id").alias("m")).first()["m"] or 0
     else:
         last = 0
-    spark.createDataFrame([(last + 1, last + n)], "first_id long, last_id long") \
-        .coalesce(1).write.mode("append").parquet(ledger)
+    spark.createDataFrame([(last + 1, last + n, key)], "first_id long, last_id long, key string") \
+        .coalesce(1).write.mode("append").option("mergeSchema", "true").parquet(ledger)
     return last + 1

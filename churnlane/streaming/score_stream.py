@@ -71,3 +71,24 @@ def foreach_batch_append(stream: DataFrame, sink: Callable[[DataFrame, int], Non
     return (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
+
+
+def stream_to_results(spark: SparkSession, source_path: str, schema: T.StructType,
+                      to_rows: Callable[[DataFrame], DataFrame], results_path: str,
+                      checkpoint: str, query_name: str, glob: str | None = None) -> DataFrame:
+    """STR-1 + SNK-1: score each micro-batch and append it to the results table.
+
+    ``to_rows`` maps a batch of requests to results rows (without ids).  Each
+    batch is appended with :func:`append_batch` under the key
+    ``<query_name>-<batch id>``: ids are dense per batch and continue across
+    batches, and a batch replayed after a failure rewrites the same rows with
+    the same ids.  Returns the results table read back.
+    """
+    from churnlane.operators.results import append_batch
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        append_batch(spark, results_path, to_rows(batch), f"{query_name}-{batch_id}")
+
+    q = foreach_batch_append(read_stream(spark, source_path, schema, glob=glob), sink, checkpoint)
+    q.awaitTermination()
+    return spark.read.parquet(results_path)
