@@ -32,6 +32,9 @@ def predict_requests(requests: DataFrame, model: LogisticModel, features_col: st
                      proba_digits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Return (scored rows, rejected rows) for JSON-feature requests.
 
+    Every request is scored by ``model``; use :func:`predict_with_models`
+    when requests name their model.  ``onehot`` overrides the model's own
+    one-hot columns (the aligned layout's text columns).
     Absent optional fields take their defaults only when absent (SCA-16):
     ``seuil`` 0.37 (the request's threshold is the one applied, T11).
     Names default to John / Doe when null or empty (SCA-15, predict path).
@@ -40,6 +43,7 @@ def predict_requests(requests: DataFrame, model: LogisticModel, features_col: st
     keys = list(dict.fromkeys(model.columns + (DERIVATION_INPUTS if derived else [])))
     parsed, vals = FE.with_json_values(requests, features_col, keys)
     keep = request_columns(requests) + [features_col]
+    onehot = onehot if onehot is not None else (list(model.onehot) or None)
     prepared = FE.prepare(parsed, vals, model.columns, model.layout, onehot, keep=keep)
     ok, rejected = FE.split_ok_rejected(prepared)
     seuil = F.coalesce(F.col("seuil"), F.lit(S.DEFAULT_THRESHOLD)) if "seuil" in requests.columns \

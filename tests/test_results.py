@@ -127,3 +127,17 @@ def test_predict_with_models_per_request(spark):
     reasons = {r.request_id: r._reason for r in rejected.collect()}
     assert reasons[3] == "unknown_model" and reasons[5] == "unknown_model"
     assert reasons[4].startswith("unknown value for 'statut_marital'")
+
+
+def test_predict_requests_uses_model_onehot_columns(spark):
+    import math
+    m = LogisticModel("top1", ["statut_marital", "heure_supplementaires"], intercept=0.0,
+                      weights={"heure_supplementaires": 1.0},
+                      onehot={"statut_marital": {"Single": 2.0}})
+    reqs = spark.createDataFrame([(1, json.dumps({"statut_marital": "Single",
+                                                  "heure_supplementaires": "Oui"}))],
+                                 "request_id long, features string")
+    scored, rejected = predict_requests(reqs, m)
+    r = scored.first()
+    # one-hot column kept as text (matches 'Single'), the other category encoded (Oui -> 1)
+    assert r.probabilite_de_quitter == 1 / (1 + math.exp(-3.0)) and rejected.count() == 0
