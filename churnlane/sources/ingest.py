@@ -35,32 +35,32 @@ def read_csv_text(spark: SparkSession, path: str, header: bool = True, **options
     return reader.csv(path)
 
 
+def _q(name: str):
+    """A column by its literal name (CSV headers may hold dots or spaces)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _na_to_null(c: str):
-    col = F.col(c)
+    col = _q(c)
     return F.when(col.isin(*NA_TOKENS) | col.isNull(), F.lit(None)).otherwise(col)
 
 
-def infer_three_types(df: DataFrame) -> T.StructType:
-    """SRC-2: integer / float / string per column, decided in ONE aggregate.
-
-    Rule (pandas-like): missing tokens are nulls; a column whose present
-    values are all integral and that has no missing value is integer (Long);
-    a column whose present values all parse as numbers is float (Double; an
-    integer column with a gap also becomes float, as does an all-missing
-    column); everything else - booleans and dates included - is string.
-    The aggregate is partial/final, so it stays one small row at any scale.
-    """
+def _type_counters(columns: list[str]) -> list:
+    """Per column: missing values, present non-integral, present non-numeric."""
     aggs = []
-    for c in df.columns:
+    for c in columns:
         v = _na_to_null(c)
         aggs += [
             F.count(F.when(v.isNull(), 1)).alias(f"{c}__null"),
             F.count(F.when(v.isNotNull() & ~v.rlike(_INT_RE), 1)).alias(f"{c}__notint"),
             F.count(F.when(v.isNotNull() & ~v.rlike(_FLOAT_RE), 1)).alias(f"{c}__notnum"),
         ]
-    stats = df.agg(*aggs).first()   # one row, 3 counters per column
+    return aggs
+
+
+def _decide_types(columns: list[str], stats) -> T.StructType:
     fields = []
-    for c in df.columns:
+    for c in columns:
         nulls, notint, notnum = stats[f"{c}__null"], stats[f"{c}__notint"], stats[f"{c}__notnum"]
         if notnum > 0:
             dtype = T.StringType()
@@ -72,15 +72,28 @@ def infer_three_types(df: DataFrame) -> T.StructType:
     return T.StructType(fields)
 
 
+def infer_three_types(df: DataFrame) -> T.StructType:
+    """SRC-2: integer / float / string per column, decided in ONE aggregate.
+
+    Rule (pandas-like): missing tokens are nulls; a column whose present
+    values are all integral and that has no missing value is integer (Long);
+    a column whose present values all parse as numbers is float (Double; an
+    integer column with a gap also becomes float, as does an all-missing
+    column); everything else - booleans and dates included - is string.
+    The aggregate is partial/final, so it stays one small row at any scale.
+    """
+    return _decide_types(df.columns, df.agg(*_type_counters(df.columns)).first())
+
+
 def apply_types(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast text columns to the inferred types (missing tokens -> null for numbers)."""
     cols = []
     for f in schema.fields:
         if isinstance(f.dataType, T.StringType):
-            cols.append(F.col(f.name))
+            cols.append(_q(f.name))
         else:
             cols.append(F.trim(_na_to_null(f.name)).try_cast(f.dataType).alias(f.name))
-    rest = [F.col(c) for c in df.columns if c not in schema.fieldNames()]
+    rest = [_q(c) for c in df.columns if c not in schema.fieldNames()]
     return df.select(*cols, *rest)
 
 
@@ -112,7 +125,7 @@ def with_positional_id(df: DataFrame, id_col: str = "id", start: int = 1) -> Dat
     return joined.select(
         (F.col("_cl_off") + (F.col("_cl_mono") - F.col("_cl_m0")) + F.lit(start))
         .cast("long").alias(id_col),
-        *[F.col(c) for c in df.columns])
+        *[_q(c) for c in df.columns])
 
 
 def with_dense_id(df: DataFrame, id_col: str = "id", start: int = 1) -> DataFrame:
@@ -132,18 +145,42 @@ def with_dense_id(df: DataFrame, id_col: str = "id", start: int = 1) -> DataFram
     return joined.select(
         (F.col("_cl_off") + (F.col("_cl_mono") - F.col("_cl_m0")) + F.lit(start))
         .cast("long").alias(id_col),
-        *[F.col(c) for c in df.columns])
+        *[_q(c) for c in df.columns])
 
 
 def read_csv_table(spark: SparkSession, path: str, id_col: str | None = "id",
                    **options) -> DataFrame:
-    """SRC-1 + SRC-2 + SRC-5: typed table with a positional key."""
+    """SRC-1 + SRC-2 + SRC-5: typed table with a positional key.
+
+    Two passes over the files: the first learns, in one grouped aggregate,
+    each split's row count and the per-column type counters (one row per
+    split); the second casts and numbers the rows.  The column types come
+    from summing the split rows, the split offsets from a running sum over
+    them, so no data row is ever shuffled, sorted or collected.
+    """
     text = read_csv_text(spark, path, **options)
-    schema = infer_three_types(text)
-    typed = apply_types(text, schema)
     if id_col is None:
-        return typed
-    return with_positional_id(typed, id_col=id_col)
+        return apply_types(text, infer_three_types(text))
+    cols = text.columns
+    base = text.select(
+        "*",
+        F.col("_metadata.file_path").alias("_cl_fp"),
+        F.col("_metadata.file_block_start").alias("_cl_fb"),
+        F.monotonically_increasing_id().alias("_cl_mono"))
+    splits = base.groupBy("_cl_fp", "_cl_fb").agg(
+        F.count(F.lit(1)).alias("_cl_n"), F.min("_cl_mono").alias("_cl_m0"),
+        *_type_counters(cols)).checkpoint(eager=True)   # one row per split
+    counters = [c for c in splits.columns if "__" in c]
+    schema = _decide_types(cols, splits.agg(*[F.sum(_q(c)).alias(c) for c in counters]).first())
+    w = Window.orderBy("_cl_fp", "_cl_fb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("_cl_fp", "_cl_fb", "_cl_m0",
+                            F.coalesce(F.sum("_cl_n").over(w), F.lit(0)).alias("_cl_off"))
+    typed = apply_types(base, schema)
+    joined = join_bounded(typed, offsets, ["_cl_fp", "_cl_fb"], "inner",
+                          max_rows=MAX_BROADCAST_ROWS)
+    return joined.select(
+        (F.col("_cl_off") + (F.col("_cl_mono") - F.col("_cl_m0")) + F.lit(1)).cast("long")
+        .alias(id_col), *[_q(c) for c in cols])
 
 
 def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:

@@ -93,3 +93,11 @@ def test_id_ledger_continues_legacy_table(spark, tmp_dir):
     assert reserve_ids(spark, path, 3) == 10          # scanned once: max id 9
     assert reserve_ids(spark, path, 2) == 13          # from the ledger now
     assert spark.read.parquet(path).count() == 2      # the ledger is not read as data
+
+
+def test_headers_with_dots_and_spaces(spark, tmp_dir):
+    _write(f"{tmp_dir}/z/a.csv", "a.b,c d,e\n1,x,2.5\n2,y,NA\n")
+    df = IN.read_csv_table(spark, f"{tmp_dir}/z", id_col="id")
+    assert df.columns == ["id", "a.b", "c d", "e"]
+    rows = df.orderBy("id").collect()
+    assert [(r["id"], r["a.b"], r["c d"], r["e"]) for r in rows] == [(1, 1, "x", 2.5), (2, 2, "y", None)]
