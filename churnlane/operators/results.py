@@ -171,14 +171,15 @@ def detail(results: DataFrame, features: DataFrame, features_key: str = "id",
     if owner is not None:
         results = results.where(F.col(owner_col) == F.lit(owner))
     feat_cols = [c for c in features.columns if c != features_key]
-    packed = features.select(
-        F.col(features_key).alias("_cl_fk"),
-        F.to_json(F.struct(*[F.col(c) for c in feat_cols]),
-                  {"ignoreNullFields": "false"}).alias("_cl_feat"))
+    # The feature columns travel as one struct; JSON is built after the join,
+    # only for the rows that matched, not for the whole features table.
+    packed = features.select(F.col(features_key).alias("_cl_fk"),
+                             F.struct(*[F.col(c) for c in feat_cols]).alias("_cl_feat"))
     linked = (results.where(F.col(link_col).isNotNull())
               .join(packed, F.col(link_col) == F.col("_cl_fk"), "left")
-              .withColumns({"features": F.coalesce("_cl_feat", F.lit("{}")),
-                            "source_features": F.lit(S.FEATURES_FROM_TABLE)})
+              .withColumns({"features": F.coalesce(
+                  F.to_json("_cl_feat", {"ignoreNullFields": "false"}), F.lit("{}")),
+                  "source_features": F.lit(S.FEATURES_FROM_TABLE)})
               .drop("_cl_fk", "_cl_feat"))
     raw = F.col(details_col)
     unlinked = (results.where(F.col(link_col).isNull())
