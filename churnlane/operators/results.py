@@ -34,6 +34,28 @@ def details_json(features_json, employe_id) -> "F.Column":
     return F.when(F.coalesce(clean._c(employe_id), F.lit(0)) == 0, text)
 
 
+def saved_rows(saves: DataFrame, features_col: str = "features") -> DataFrame:
+    """SNK-1 save route (SCA-16, T17): already computed predictions to store.
+
+    Absent fields take their declared defaults (prenom John, nom Doe,
+    features {}, employe_id null); an explicit null name is kept, unlike
+    the predict path, which also replaces null and ''.  ``details`` holds the
+    features JSON only when no employee is linked.
+    """
+    cols = set(saves.columns)
+    feats = F.col(features_col) if features_col in cols else F.lit("{}")
+    link = F.col("employe_id").cast("long") if "employe_id" in cols else F.lit(None).cast("long")
+    out = saves.withColumns({
+        "prenom": F.col("prenom") if "prenom" in cols else F.lit(S.DEFAULT_FIRST_NAME),
+        "nom": F.col("nom") if "nom" in cols else F.lit(S.DEFAULT_LAST_NAME),
+        "employe_id": link,
+        "details": details_json(feats, link),
+    })
+    keep = [f.name for f in S.RESULTS_SCHEMA.fields if f.name != "id"]
+    return out.select(*[(F.col(c) if c in out.columns else F.lit(None)).cast(
+        S.RESULTS_SCHEMA[c].dataType).alias(c) for c in keep])
+
+
 def append_results(spark: SparkSession, path: str, rows: DataFrame,
                    owner_col: str = "id_user") -> DataFrame:
     """SNK-1: append ``rows`` (results columns without ``id``) to ``path``.

@@ -141,3 +141,15 @@ def test_predict_requests_uses_model_onehot_columns(spark):
     r = scored.first()
     # one-hot column kept as text (matches 'Single'), the other category encoded (Oui -> 1)
     assert r.probabilite_de_quitter == 1 / (1 + math.exp(-3.0)) and rejected.count() == 0
+
+
+def test_save_route_defaults(spark):
+    base = "modele_utilise string, probabilite_de_quitter double, prediction int, " \
+           "libelle_prediction string, seuil_applique double"
+    absent = spark.createDataFrame([("top1", 0.4, 1, "Quitte", 0.37)], base)
+    r = RS.saved_rows(absent).first()
+    assert (r.prenom, r.nom, r.employe_id, r.details) == ("John", "Doe", None, "{}")
+    explicit = spark.createDataFrame([("top1", 0.4, 1, "Quitte", 0.37, None, "", 4, '{"a": 1}')],
+                                     base + ", prenom string, nom string, employe_id long, features string")
+    r = RS.saved_rows(explicit).first()
+    assert (r.prenom, r.nom, r.employe_id, r.details) == (None, "", 4, None)
