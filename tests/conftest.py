@@ -14,7 +14,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from churnlane.session import get_spark
 
-    s = get_spark("local[*]", shuffle_partitions=8)
+    s = get_spark("local[*]", shuffle_partitions=8,
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="churnlane-wh-")})
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="churnlane-test-ckpt-"))
     yield s

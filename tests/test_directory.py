@@ -65,3 +65,22 @@ def test_prefix_ranges_equal_text_prefix(spark, ids, q):
     got = sorted(r.id for r in df.where(cond).collect())
     want = sorted(i for i in ids if str(i).startswith(q))
     assert got == want
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from churnlane.sources.sinks import write_bucketed
+    feats = spark.range(0, 2000).select(F.col("id"), (F.col("id") % 90).alias("age"))
+    labels = spark.range(0, 2000, 3).select(F.col("id"), F.lit("Oui").alias("a_quitte_l_entreprise"))
+    f = write_bucketed(feats, "features_b", "id", 8)
+    lab = write_bucketed(labels, "labels_b", "id", 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = f.join(lab, "id", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert joined.where(F.col("a_quitte_l_entreprise") == "Oui").count() == 667
+        d = D.directory(f, lab, q="12")
+        assert [r.id for r in d.collect()][:3] == [12, 120, 121]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
