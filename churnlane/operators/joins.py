@@ -34,3 +34,40 @@ def lookup_fixed(big: DataFrame, dim: DataFrame, on, how: str = "left") -> DataF
     """Join to a dimension whose size is fixed by construction (a literal table
     built from constants, e.g. a model registry or code dictionary)."""
     return big.join(F.broadcast(dim), on, how)
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
+    """Keys holding at least ``min_rows`` rows (one partial aggregate).
+
+    At most ``total rows / min_rows`` keys qualify, so the result is small.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_cl_rows"))
+    return counts.where(F.col("_cl_rows") >= min_rows).select(key)
+
+
+def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
+                how: str = "left", salts: int = 16, min_rows: int = 1_000_000) -> DataFrame:
+    """Equi-join that splits hot keys of ``big`` over ``salts`` tasks.
+
+    Rows of ``big`` whose key is hot get a salt 0..salts-1 (spread by a hash
+    of the row); the ``small`` rows of those keys are replicated once per
+    salt; every other row keeps salt 0 and is not replicated.  The join then
+    runs on (key, salt), so one key's rows are no longer bound to one task.
+    Works for inner and left joins (``big`` is the left side).  Independent
+    of AQE skew handling; use when a key may hold a large share of ``big``.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    hot = hot_keys(big, big_key, min_rows).withColumn("_cl_hot", F.lit(True))
+    hot = hot.persist(StorageLevel.MEMORY_AND_DISK)
+    hot_s = hot.withColumnRenamed(big_key, small_key)
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts))
+    b = (join_bounded(big, hot, big_key, "left", max_rows=100_000)
+         .select(*big.columns,
+                 F.when(F.col("_cl_hot"), spread).otherwise(F.lit(0)).alias("_cl_salt")))
+    s = (join_bounded(small, hot_s, small_key, "left", max_rows=100_000)
+         .select(*small.columns, F.explode(F.when(
+             F.col("_cl_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+             .alias("_cl_salt")))
+    cond = (b[big_key] == s[small_key]) & (b["_cl_salt"] == s["_cl_salt"])
+    return b.join(s, cond, how).drop(b["_cl_salt"]).drop(s["_cl_salt"])

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from churnlane import schemas as S
 from churnlane.functions import clean
+from churnlane.operators.joins import salted_join
 from churnlane.sources.ingest import with_dense_id
 from churnlane.sources.sinks import reserve_ids
 
@@ -180,7 +181,8 @@ def as_json_rows(df: DataFrame) -> DataFrame:
 
 def detail(results: DataFrame, features: DataFrame, features_key: str = "id",
            link_col: str = "employe_id", details_col: str = "details",
-           owner=None, owner_col: str = "id_user") -> DataFrame:
+           owner=None, owner_col: str = "id_user", salts: int = 0,
+           hot_min_rows: int = 1_000_000) -> DataFrame:
     """JOI-3 + PRJ-2 + PRJ-5 + SCA-20: every result with its features.
 
     Linked rows (link not null) take the features table row (all columns
@@ -189,6 +191,8 @@ def detail(results: DataFrame, features: DataFrame, features_key: str = "id",
     ``source_features``.  Rows with no link skip the join entirely, so
     null links (often most rows) never pile into one shuffle partition.
     ``owner`` scopes the rows (FLT-5): another owner's row is not found.
+    ``salts`` > 0 splits employees linked by at least ``hot_min_rows`` results
+    over that many tasks (see ``joins.salted_join``); 0 leaves skew to AQE.
     """
     if owner is not None:
         results = results.where(F.col(owner_col) == F.lit(owner))
@@ -197,8 +201,10 @@ def detail(results: DataFrame, features: DataFrame, features_key: str = "id",
     # only for the rows that matched, not for the whole features table.
     packed = features.select(F.col(features_key).alias("_cl_fk"),
                              F.struct(*[F.col(c) for c in feat_cols]).alias("_cl_feat"))
-    linked = (results.where(F.col(link_col).isNotNull())
-              .join(packed, F.col(link_col) == F.col("_cl_fk"), "left")
+    with_link = results.where(F.col(link_col).isNotNull())
+    joined = (salted_join(with_link, packed, link_col, "_cl_fk", "left", salts, hot_min_rows)
+              if salts else with_link.join(packed, F.col(link_col) == F.col("_cl_fk"), "left"))
+    linked = (joined
               .withColumns({"features": F.coalesce(
                   F.to_json("_cl_feat", {"ignoreNullFields": "false"}), F.lit("{}")),
                   "source_features": F.lit(S.FEATURES_FROM_TABLE)})

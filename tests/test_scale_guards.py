@@ -88,3 +88,25 @@ def test_plan_shape(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in BAD_OPERATORS:
         assert op not in plan, f"{name} plan contains {op}"
+
+
+def test_salted_detail_equals_plain(spark, hot_results):
+    feats = spark.createDataFrame([(7, 30), (8, 31)], "id long, age int")
+    res = hot_results.withColumn("details", F.lit(None).cast("string"))
+    plain = sorted((tuple(r) for r in RS.detail(res, feats).collect()), key=repr)
+    salted_df = RS.detail(res, feats, salts=8, hot_min_rows=100)
+    assert sorted((tuple(r) for r in salted_df.collect()), key=repr) == plain
+    plan = salted_df._jdf.queryExecution().executedPlan().toString()
+    assert "_cl_salt" in plan
+
+
+def test_salted_join_inner_and_left(spark):
+    from churnlane.operators.joins import salted_join
+    big = spark.range(3000).select(F.when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.col("id") % 50)
+                                   .alias("k"), F.col("id"))
+    small = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c")], "k2 long, v string")
+    for how in ("inner", "left"):
+        want = sorted((tuple(r) for r in big.join(small, big.k == small.k2, how).collect()), key=repr)
+        got = sorted((tuple(r) for r in salted_join(big, small, "k", "k2", how, salts=4,
+                                                    min_rows=500).collect()), key=repr)
+        assert got == want
