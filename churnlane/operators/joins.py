@@ -18,13 +18,15 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "left",
-                 max_rows: int = 1_000_000) -> DataFrame:
+                 max_rows: int = 1_000_000, persist: bool = True) -> DataFrame:
     """Join ``big`` to ``small``, broadcasting ``small`` only if it is proven small.
 
-    ``small`` is persisted first so the bound check and the join read the
-    same rows without recomputation.
+    With ``persist`` the small side is cached so the bound check and the
+    join read it once; pass False when it is cheap to recompute (e.g. counts
+    over already persisted rows) or when the call repeats per micro-batch.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    if persist:
+        small = small.persist(StorageLevel.MEMORY_AND_DISK)
     if row_count_at_most(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

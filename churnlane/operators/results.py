@@ -9,6 +9,7 @@ SCA-19 / SCA-20 JSON out / in.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -62,22 +63,25 @@ def append_results(spark: SparkSession, path: str, rows: DataFrame,
     """SNK-1: append ``rows`` (results columns without ``id``) to ``path``.
 
     New ids continue after the last reserved id (see :func:`reserve_ids`).
-    The rows are materialised first (reliable checkpoint), so numbering reads
-    stable input even if an executor is lost mid-job.  Each partition is
-    sorted by owner before writing (no shuffle), so row-group min/max
-    statistics let owner-scoped history reads skip most of the file.
-    Returns the rows as written (with ids).
+    ``rows`` must be deterministic (scoring is): it is persisted for the
+    append and read twice (counts per partition, then numbering); a lost
+    executor recomputes the same rows.  Each partition is sorted by owner
+    before writing (no shuffle), so row-group min/max statistics let
+    owner-scoped history reads skip most of the file.  Returns the number
+    of rows appended.
     """
     cols = [f.name for f in S.RESULTS_SCHEMA.fields if f.name != "id"]
     prepared = rows.select(*[F.col(c).cast(S.RESULTS_SCHEMA[c].dataType).alias(c) for c in cols])
-    prepared = prepared.checkpoint(eager=True)
-    n = prepared.count()
-    if n == 0:
-        return prepared.withColumn("id", F.lit(None).cast("long")).select("id", *cols)
-    first = reserve_ids(spark, path, n)
-    numbered = with_dense_id(prepared, "id", start=first)
-    numbered.sortWithinPartitions(owner_col, "id").write.mode("append").parquet(path)
-    return numbered
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = prepared.count()
+        if n:
+            first = reserve_ids(spark, path, n)
+            numbered = with_dense_id(prepared, "id", start=first)
+            numbered.sortWithinPartitions(owner_col, "id").write.mode("append").parquet(path)
+    finally:
+        prepared.unpersist()
+    return n
 
 
 def append_batch(spark: SparkSession, path: str, rows: DataFrame, batch_key: str,
@@ -88,18 +92,24 @@ def append_batch(spark: SparkSession, path: str, rows: DataFrame, batch_key: str
     range) and its rows overwrite their own partition ``batch=<key>``, so a
     batch re-run after a failure rewrites identical content instead of
     appending twice.  Tables written this way are partitioned by ``batch``.
+    The batch is persisted only for the append and released afterwards, so
+    a long-running stream accumulates neither cache nor checkpoint files.
+    Returns the batch's rows as written.
     """
     cols = [f.name for f in S.RESULTS_SCHEMA.fields if f.name != "id"]
     prepared = rows.select(*[F.col(c).cast(S.RESULTS_SCHEMA[c].dataType).alias(c) for c in cols])
-    prepared = prepared.checkpoint(eager=True)
-    n = prepared.count()
-    if n == 0:
-        return prepared.withColumn("id", F.lit(None).cast("long")).select("id", *cols)
-    first = reserve_ids(spark, path, n, key=batch_key)
-    numbered = with_dense_id(prepared, "id", start=first)
-    (numbered.sortWithinPartitions(owner_col, "id").write.mode("overwrite")
-     .parquet(f"{path.rstrip('/')}/batch={batch_key}"))
-    return numbered
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = prepared.count()
+        if n == 0:
+            return prepared.withColumn("id", F.lit(None).cast("long")).select("id", *cols)
+        first = reserve_ids(spark, path, n, key=batch_key)
+        numbered = with_dense_id(prepared, "id", start=first)
+        (numbered.sortWithinPartitions(owner_col, "id").write.mode("overwrite")
+         .parquet(f"{path.rstrip('/')}/batch={batch_key}"))
+    finally:
+        prepared.unpersist()
+    return spark.read.parquet(f"{path.rstrip('/')}/batch={batch_key}")
 
 
 # ---------------------------------------------------------------- history

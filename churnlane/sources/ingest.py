@@ -131,8 +131,9 @@ def with_positional_id(df: DataFrame, id_col: str = "id", start: int = 1) -> Dat
 def with_dense_id(df: DataFrame, id_col: str = "id", start: int = 1) -> DataFrame:
     """Dense ids for a computed (non-file) DataFrame, in partition order.
 
-    ``df`` must be deterministic or already materialised (checkpointed):
-    the per-partition counts and the numbering read it twice.
+    ``df`` must be deterministic or already materialised (persisted or
+    checkpointed): the per-partition counts and the numbering read it twice.
+    The counts (one row per partition) are recomputed rather than cached.
     """
     base = df.select("*", F.spark_partition_id().alias("_cl_pid"),
                      F.monotonically_increasing_id().alias("_cl_mono"))
@@ -141,7 +142,8 @@ def with_dense_id(df: DataFrame, id_col: str = "id", start: int = 1) -> DataFram
     w = Window.orderBy("_cl_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("_cl_pid", "_cl_m0",
                            F.coalesce(F.sum("_cl_n").over(w), F.lit(0)).alias("_cl_off"))
-    joined = join_bounded(base, offsets, ["_cl_pid"], "inner", max_rows=MAX_BROADCAST_ROWS)
+    joined = join_bounded(base, offsets, ["_cl_pid"], "inner", max_rows=MAX_BROADCAST_ROWS,
+                          persist=False)
     return joined.select(
         (F.col("_cl_off") + (F.col("_cl_mono") - F.col("_cl_m0")) + F.lit(start))
         .cast("long").alias(id_col),
