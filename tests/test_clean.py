@@ -77,3 +77,34 @@ def test_percent_texts(spark):
 def test_like_escape():
     assert clean.like_escape("a%b_c\\") == "a\\%b\\_c\\\\"
     assert F is not None
+
+
+def _python_rule(v):
+    """The service's rule, stated with Python itself: blank -> 0, ',' -> '.'."""
+    if v is None or v == "":
+        return 0.0
+    try:
+        return float(v.replace(",", "."))
+    except ValueError:
+        return 0.0
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_PIECES = st.sampled_from(list("0123456789") + ["+", "-", ".", ",", "e", "E", "_", " ", "\t",
+                                                " ", " ", "nan", "inf", "Infinity",
+                                                "x", "d", "f", "0x", "p"])
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(_PIECES, max_size=7).map("".join), min_size=20, max_size=20))
+def test_lenient_float_matches_python_float(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    got = {r.i: r.x for r in df.select("i", clean.to_float("v").alias("x")).collect()}
+    for i, t in enumerate(texts):
+        want = _python_rule(t)
+        if math.isnan(want):
+            assert math.isnan(got[i]), t
+        else:
+            assert got[i] == want, (t, got[i], want)
