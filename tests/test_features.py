@@ -149,3 +149,43 @@ def test_impute_defaults(spark):
     rows = FE.impute_defaults(df).collect()
     assert [(r.age, r.formations_par_an) for r in rows] == [(36, 1.0), (40, 0.3)]
     assert F is not None
+
+
+def _python_encode(column, value):
+    """The encoding rule stated in Python: (code, rejected)."""
+    if value is None or value == "":
+        return 0.0, False
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        return float(value), False
+    code = S.CATEGORY_CODES[column].get(str(value).strip().lower())
+    return (None, True) if code is None else (float(code), False)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_WORDS = sorted({w for codes in S.CATEGORY_CODES.values() for w in codes} | {"mystere", "Oui "})
+_VALUES = st.one_of(
+    st.none(), st.just(""), st.booleans(), st.integers(-3, 9), st.floats(-2, 5, allow_nan=False),
+    st.tuples(st.sampled_from(_WORDS), st.sampled_from(["", " ", "\t", "  "]),
+              st.sampled_from(["lower", "upper", "title"])).map(
+        lambda t: t[1] + getattr(t[0], t[2])() + t[1]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(S.CATEGORICAL_COLUMNS), _VALUES), min_size=15, max_size=15))
+def test_encode_matches_python_rule(spark, cases):
+    rows = [(i, json.dumps({col: val})) for i, (col, val) in enumerate(cases)]
+    df = spark.createDataFrame(rows, "i int, j string")
+    df, vals = FE.with_json_values(df, "j", S.CATEGORICAL_COLUMNS)
+    exprs = []
+    for col in S.CATEGORICAL_COLUMNS:
+        code, unknown = FE.encode(col, vals[col])
+        exprs += [code.alias(f"{col}_c"), unknown.alias(f"{col}_u")]
+    got = {r.i: r for r in df.select("i", *exprs).collect()}
+    for i, (col, val) in enumerate(cases):
+        code, rejected = _python_encode(col, val)
+        r = got[i]
+        assert r[f"{col}_u"] == rejected, (col, val)
+        if not rejected:
+            assert r[f"{col}_c"] == pytest.approx(code), (col, val)
