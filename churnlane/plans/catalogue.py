@@ -520,16 +520,16 @@ def csv_roundtrip(spark, sf_dir):
 
 
 def positional_join(spark, sf_dir):
-    """SRC-5 SRC-8: two CSV files keyed by row position, joined on the key."""
+    """SRC-3 SRC-4 SRC-5 SRC-8 SNK-4: two-source bootstrap keyed by position, joined on the key."""
     o = _t(spark, sf_dir, "orders")
     xp, yp = scratch_path(spark, "x-csv"), scratch_path(spark, "y-csv")
     (o.select("o_orderkey", "o_totalprice", "o_orderpriority").orderBy("o_orderkey")
      .write.option("header", True).csv(xp))
     (o.orderBy("o_orderkey").select("o_orderstatus")
      .write.option("header", True).csv(yp))
-    x = IN.read_csv_table(spark, xp, id_col="id")
-    y = IN.read_csv_table(spark, yp, id_col="id")
-    return x.join(y, "id", "inner")
+    fx, fy = scratch_path(spark, "features-table"), scratch_path(spark, "labels-table")
+    IN.ingest_features_and_labels(spark, xp, yp, fx, fy)
+    return spark.read.parquet(fx).join(spark.read.parquet(fy), "id", "inner")
 
 
 QUERIES = {
