@@ -170,12 +170,21 @@ def split_known_model(requests: DataFrame, registry: DataFrame,
 
 
 def describe(registry: DataFrame, model: str) -> DataFrame:
-    """ML-7: inspection summary of one model (empty when not loaded)."""
-    return (loaded_models(registry).where(F.col("name") == model).select(
+    """ML-7: inspection summary of one model (empty when not loaded).
+
+    Includes ``roles``: role -> columns in first-seen order (ML-8); a model
+    has at most three roles, so the map is bounded by construction.
+    """
+    loaded = loaded_models(registry).where(F.col("name") == model)
+    roles = (roles_report(branches_from_registry(registry.where(F.col("name") == model)))
+             .groupBy("name").agg(F.map_from_entries(F.collect_list(
+                 F.struct("role", "colonnes"))).alias("roles")))
+    return (loaded.join(roles, "name", "left").select(
         "name", F.try_variant_get("model", "$.type", "string").alias("type_model"),
         F.col("has_scaler").alias("a_scaler"), "scaler_type",
         F.size("columns").alias("nb_colonnes"), F.col("columns").alias("colonnes"),
-        F.col("threshold_saved").alias("seuil_sauvegarde")))
+        F.col("threshold_saved").alias("seuil_sauvegarde"),
+        F.coalesce("roles", F.create_map().cast("map<string,array<string>>")).alias("roles")))
 
 
 # ---------------------------------------------------------------- ML-8 roles

@@ -95,4 +95,7 @@ def test_describe(spark):
     d = R.describe(reg, "top1").first()
     assert d.type_model == "LogisticRegression" and d.a_scaler and d.nb_colonnes == 2
     assert d.seuil_sauvegarde == 0.4
+    assert d.roles == {"onehot": ["statut_marital"], "numeriques": ["age", "revenu_mensuel"],
+                       "autres": ["poste"]}
+    assert R.describe(reg, "top2").first().roles == {}
     assert R.describe(reg, "nope").count() == 0
