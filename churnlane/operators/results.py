@@ -115,19 +115,17 @@ def append_batch(spark: SparkSession, path: str, rows: DataFrame, batch_key: str
 # ---------------------------------------------------------------- history
 
 def history(results: DataFrame, owner, prenom: str | None = None, nom: str | None = None,
-            limit: int | None = None) -> DataFrame:
+            limit: int | None = None, literal: bool = False) -> DataFrame:
     """FLT-1/2/5 + SRT-1 + PRJ-1: one owner's predictions, newest first.
 
     No owner -> empty result.  prenom / nom: case-insensitive patterns,
-    stripped; a falsy value skips the filter; wildcards stay live (T13).
+    stripped; a falsy value skips the filter (" " is not falsy: it becomes
+    the empty pattern); wildcards stay live unless ``literal`` (T13).
     """
     if owner is None:
         return results.select(*HISTORY_COLUMNS).where(F.lit(False))
-    df = results.where(F.col("id_user") == F.lit(owner))
-    if prenom:
-        df = df.where(F.col("prenom").ilike(prenom.strip()))
-    if nom:
-        df = df.where(F.col("nom").ilike(nom.strip()))
+    df = name_search(results.where(F.col("id_user") == F.lit(owner)), "prenom", "nom",
+                     prenom, nom, literal)
     out = df.select(*HISTORY_COLUMNS).orderBy(F.col("id").desc_nulls_last())
     return out.limit(limit) if limit is not None else out
 
@@ -142,12 +140,15 @@ def history_for_owners(results: DataFrame, owners: DataFrame, owner_col: str = "
 
 
 def name_search(df: DataFrame, first_col: str, last_col: str,
-                prenom: str | None, nom: str | None) -> DataFrame:
-    """FLT-2 + SCA-12 on any table: both patterns ANDed, falsy -> skipped."""
-    if prenom:
-        df = df.where(F.col(first_col).ilike(prenom.strip()))
-    if nom:
-        df = df.where(F.col(last_col).ilike(nom.strip()))
+                prenom: str | None, nom: str | None, literal: bool = False) -> DataFrame:
+    """FLT-2 + SCA-12 on any table: both patterns ANDed, falsy -> skipped.
+
+    ``literal`` escapes % and _ so the text matches as typed.
+    """
+    for col, value in ((first_col, prenom), (last_col, nom)):
+        if value:
+            pattern = value.strip()
+            df = df.where(F.col(col).ilike(clean.like_escape(pattern) if literal else pattern))
     return df
 
 

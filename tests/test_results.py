@@ -56,6 +56,9 @@ def test_history_owner_order_and_filters(spark):
     assert [r.id for r in RS.history(res, 1, prenom="").collect()] == ids
     assert "details" not in RS.history(res, 1).columns
     assert [r.id for r in RS.history(res, 1, limit=2).collect()] == [5, 4]
+    assert RS.history(res, 1, prenom=" ").count() == 0            # " " -> ILIKE ''
+    assert RS.history(res, 1, prenom="j_").count() == 4           # live wildcard
+    assert RS.history(res, 1, prenom="j_", literal=True).count() == 0
 
 
 def test_topk_and_counts(spark):
