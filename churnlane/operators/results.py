@@ -116,7 +116,8 @@ def append_batch(spark: SparkSession, path: str, rows: DataFrame, batch_key: str
 
 def history(results: DataFrame, owner, prenom: str | None = None, nom: str | None = None,
             limit: int | None = None, literal: bool = False) -> DataFrame:
-    """FLT-1/2/5 + SRT-1 + PRJ-1: one owner's predictions, newest first.
+    """FLT-1/2/5 + SRT-1 + SRT-3 + PRJ-1: one owner's predictions, newest first
+    (the newest row is the first one, as the page prepends it).
 
     No owner -> empty result.  prenom / nom: case-insensitive patterns,
     stripped; a falsy value skips the filter (" " is not falsy: it becomes
