@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -63,7 +64,11 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     hot = hot_keys(big, big_key, min_rows).withColumn("_cl_hot", F.lit(True))
     hot = hot.persist(StorageLevel.MEMORY_AND_DISK)
     hot_s = hot.withColumnRenamed(big_key, small_key)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts))
+    # A deterministic spread (a retried task puts each row in the same salt);
+    # hash functions reject map and variant columns, so those are left out.
+    hashable = [f.name for f in big.schema.fields
+                if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(salts))
     b = (join_bounded(big, hot, big_key, "left", max_rows=100_000)
          .select(*big.columns,
                  F.when(F.col("_cl_hot"), spread).otherwise(F.lit(0)).alias("_cl_salt")))

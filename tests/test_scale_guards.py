@@ -110,3 +110,12 @@ def test_salted_join_inner_and_left(spark):
         got = sorted((tuple(r) for r in salted_join(big, small, "k", "k2", how, salts=4,
                                                     min_rows=500).collect()), key=repr)
         assert got == want
+
+
+def test_salted_join_with_map_column(spark):
+    from churnlane.operators.joins import salted_join
+    big = spark.range(400).select((F.col("id") % 2).alias("k"),
+                                  F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    small = spark.createDataFrame([(0, "x"), (1, "y")], "k2 long, v string")
+    out = salted_join(big, small, "k", "k2", "left", salts=4, min_rows=100)
+    assert out.count() == 400 and out.where(F.col("v").isNull()).count() == 0
