@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlane import schemas as S
 from churnlane.functions import clean
 from churnlane.operators import directory as D
 from churnlane.operators import features as FE
