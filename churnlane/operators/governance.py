@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from churnlane import schemas as S
 from churnlane.functions import clean
-from churnlane.operators.joins import join_bounded
+from churnlane.operators.joins import join_bounded, salted_join
 from churnlane.session import scratch_path
 
 # Largest id set broadcast to every task (a long hash set of ~2M keys stays
@@ -26,11 +26,14 @@ MAX_BROADCAST_IDS = 2_000_000
 
 def erase(users: DataFrame, results: DataFrame, requested: DataFrame,
           user_key: str = "id", owner_col: str = "id_user",
-          requested_key: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+          requested_key: str | None = None, salts: int = 0,
+          hot_min_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame, DataFrame]:
     """GOV-1 + JOI-5: remove users and, with them, all their results.
 
     Returns (users kept, results kept, unknown requested ids).  Both removals
     are anti joins on the same erased-id set, so they agree by construction.
+    ``salts`` > 0 splits owners with at least ``hot_min_rows`` results over
+    that many tasks in the results anti join (``joins.salted_join``).
     """
     req = requested.select(F.col(requested_key or user_key).alias("_cl_uid")).distinct()
     erased = users.select(F.col(user_key).alias("_cl_uid")).join(req, "_cl_uid", "left_semi")
@@ -40,8 +43,14 @@ def erase(users: DataFrame, results: DataFrame, requested: DataFrame,
     # Otherwise both sides shuffle on the owner; AQE splits a hot owner.
     users_kept = join_bounded(users.withColumn("_cl_uid", F.col(user_key)), erased, "_cl_uid",
                               "left_anti", max_rows=MAX_BROADCAST_IDS).drop("_cl_uid")
-    results_kept = join_bounded(results.withColumn("_cl_uid", F.col(owner_col)), erased, "_cl_uid",
-                                "left_anti", max_rows=MAX_BROADCAST_IDS).drop("_cl_uid")
+    if salts:
+        erased_ids = erased.withColumnRenamed("_cl_uid", "_cl_eid")
+        results_kept = salted_join(results, erased_ids, owner_col, "_cl_eid", "left_anti",
+                                   salts, hot_min_rows)
+    else:
+        results_kept = join_bounded(results.withColumn("_cl_uid", F.col(owner_col)), erased,
+                                    "_cl_uid", "left_anti", max_rows=MAX_BROADCAST_IDS) \
+            .drop("_cl_uid")
     return users_kept, results_kept, unknown
 
 
@@ -54,7 +63,8 @@ class ErasureOutcome:
 
 def erase_and_write(spark: SparkSession, users: DataFrame, results: DataFrame,
                     requested: DataFrame, user_key: str = "id", owner_col: str = "id_user",
-                    requested_key: str | None = None) -> ErasureOutcome:
+                    requested_key: str | None = None, salts: int = 0,
+                    hot_min_rows: int = 1_000_000) -> ErasureOutcome:
     """GOV-1 as a job: write both new versions to NEW paths, then validate.
 
     Never overwrites what it reads.  Validation: rows before = kept +
@@ -62,7 +72,7 @@ def erase_and_write(spark: SparkSession, users: DataFrame, results: DataFrame,
     pointer file) only when the returned report is consistent.
     """
     users_kept, results_kept, unknown = erase(users, results, requested, user_key,
-                                              owner_col, requested_key)
+                                              owner_col, requested_key, salts, hot_min_rows)
     up, rp = scratch_path(spark, "users"), scratch_path(spark, "results")
     users_kept.write.parquet(up)
     results_kept.write.parquet(rp)
@@ -81,7 +91,8 @@ def erase_and_write(spark: SparkSession, users: DataFrame, results: DataFrame,
 
 def register_unique(incoming: DataFrame, stored: DataFrame, name_col: str = "username",
                     order_cols: list[str] | None = None,
-                    stored_name_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+                    stored_name_col: str | None = None, salts: int = 0,
+                    hot_min_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """GOV-2 + JOI-6 + FLT-9: accept the first request per stripped name.
 
     Returns (accepted, rejected).  Rejected reasons: ``already_exists`` (the
@@ -89,6 +100,8 @@ def register_unique(incoming: DataFrame, stored: DataFrame, name_col: str = "use
     it).  The first request per name is found with a min-aggregate on the
     ordering struct (partial aggregation: a hot name costs one row per map
     task), not a window that would sort every duplicate in one task.
+    ``salts`` > 0 also splits a hot name's requests over that many tasks
+    when they are matched back to the first one.
     """
     key = clean.strip(F.col(name_col))
     inc = incoming.withColumn("_cl_name", key)
@@ -100,8 +113,13 @@ def register_unique(incoming: DataFrame, stored: DataFrame, name_col: str = "use
     firsts = inc.groupBy("_cl_name").agg(F.min("_cl_ord").alias("_cl_first"))
     names = stored.select(clean.strip(F.col(stored_name_col or name_col)).alias("_cl_name")) \
         .distinct().withColumn("_cl_exists", F.lit(True))
-    tagged = (inc.join(firsts, "_cl_name", "inner")
-              .join(names, "_cl_name", "left"))
+    if salts:
+        firsts_k = firsts.withColumnRenamed("_cl_name", "_cl_fname")
+        tagged = salted_join(inc, firsts_k, "_cl_name", "_cl_fname", "inner", salts,
+                             hot_min_rows).drop("_cl_fname").join(names, "_cl_name", "left")
+    else:
+        tagged = (inc.join(firsts, "_cl_name", "inner")
+                  .join(names, "_cl_name", "left"))
     reason = (F.when(F.col("_cl_exists"), F.lit("already_exists"))
               .when(F.col("_cl_ord") != F.col("_cl_first"), F.lit("duplicate")))
     tagged = tagged.withColumn("reason", reason)

@@ -56,11 +56,13 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     of the row); the ``small`` rows of those keys are replicated once per
     salt; every other row keeps salt 0 and is not replicated.  The join then
     runs on (key, salt), so one key's rows are no longer bound to one task.
-    Works for inner and left joins (``big`` is the left side).  Independent
-    of AQE skew handling; use when a key may hold a large share of ``big``.
+    Works for inner, left, left_semi and left_anti joins (``big`` is the
+    left side): partner rows are present in every salt, so a row finds a
+    match in its own salt exactly when it has one at all.  Independent of
+    AQE skew handling; use when a key may hold a large share of ``big``.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("salted_join supports inner and left joins")
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError("salted_join supports inner, left, left_semi and left_anti joins")
     hot = hot_keys(big, big_key, min_rows).withColumn("_cl_hot", F.lit(True))
     hot = hot.persist(StorageLevel.MEMORY_AND_DISK)
     hot_s = hot.withColumnRenamed(big_key, small_key)
@@ -77,4 +79,6 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
              F.col("_cl_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
              .alias("_cl_salt")))
     cond = (b[big_key] == s[small_key]) & (b["_cl_salt"] == s["_cl_salt"])
+    if how in ("left_semi", "left_anti"):
+        return b.join(s, cond, how).drop("_cl_salt")
     return b.join(s, cond, how).drop(b["_cl_salt"]).drop(s["_cl_salt"])

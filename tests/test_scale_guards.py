@@ -119,3 +119,20 @@ def test_salted_join_with_map_column(spark):
     small = spark.createDataFrame([(0, "x"), (1, "y")], "k2 long, v string")
     out = salted_join(big, small, "k", "k2", "left", salts=4, min_rows=100)
     assert out.count() == 400 and out.where(F.col("v").isNull()).count() == 0
+
+
+def test_salted_erase_and_register_equal_plain(spark, hot_results):
+    users = spark.range(1, 1010)
+    req = spark.createDataFrame([(1,), (5,)], "id long")
+    _, plain, _ = G.erase(users, hot_results, req)
+    _, salted, _ = G.erase(users, hot_results, req, salts=8, hot_min_rows=100)
+    assert sorted(r.id for r in salted.collect()) == sorted(r.id for r in plain.collect())
+    inc = spark.range(N).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), (F.col("id") % 400)
+                                                                        .cast("string")))
+        .alias("username"), F.col("id").alias("t"))
+    stored = spark.createDataFrame([("u7",)], "username string")
+    a1, r1 = G.register_unique(inc, stored, order_cols=["t"])
+    a2, r2 = G.register_unique(inc, stored, order_cols=["t"], salts=8, hot_min_rows=100)
+    assert sorted(tuple(r) for r in a1.collect()) == sorted(tuple(r) for r in a2.collect())
+    assert sorted(tuple(r) for r in r1.collect()) == sorted(tuple(r) for r in r2.collect())
