@@ -33,12 +33,6 @@ def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "left",
     return big.join(small, on, how)
 
 
-def lookup_fixed(big: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
-    """Join to a dimension whose size is fixed by construction (a literal table
-    built from constants, e.g. a model registry or code dictionary)."""
-    return big.join(F.broadcast(dim), on, how)
-
-
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     """Keys holding at least ``min_rows`` rows (one partial aggregate).
 

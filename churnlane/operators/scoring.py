@@ -188,6 +188,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float]:
                             F.sum("tot").over(Window.orderBy("pid").rowsBetween(
                                 Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
     # cum = number of values <= x ; value x covers ranks [cum - n, cum - 1].
+    # ``offsets`` has one row per range partition (at most the shuffle
+    # partition count), so broadcasting it is bounded by construction.
     cum = (local.join(F.broadcast(offsets), "pid")
            .select("x", "n", (F.col("cum_in") + F.col("off")).alias("cum"), "total"))
     cum = cum.persist()
