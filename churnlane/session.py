@@ -51,7 +51,13 @@ def _is_local(spark: SparkSession) -> bool:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint root, creating one only on local sessions."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Spark Connect) session has no SparkContext here
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on this session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
