@@ -81,3 +81,31 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int,
         writer = writer.sortBy(key)
     writer.saveAsTable(table)
     return df.sparkSession.table(table)
+
+
+def compact_ledger(spark: SparkSession, path: str, keep_keyed: int = 1000) -> int:
+    """Rewrite the id ledger of ``path`` as one small file; returns its rows.
+
+    Keeps one row carrying the highest reserved id and the ``keep_keyed``
+    most recent keyed reservations (the only ones a stream can replay).  The
+    kept rows are bounded, so they are collected first and then written over
+    the ledger.  Run it while no append is running.  If it is interrupted,
+    the next reservation falls back to one scan of the table's ids, and a
+    replayed batch whose key was dropped gets new ids but still overwrites
+    its own partition, so no id and no row is duplicated either way.
+    """
+    ledger = _ledger_path(path)
+    if not path_exists(spark, ledger):
+        return 0
+    led = spark.read.parquet(ledger)
+    top = led.agg(F.max("last_id").alias("m")).first()["m"]
+    if top is None:
+        return 0
+    keyed = (led.where(F.col("key").isNotNull()).orderBy(F.col("last_id").desc())
+             .limit(keep_keyed).collect()) if "key" in led.columns else []
+    rows = [(r["first_id"], r["last_id"], r["key"]) for r in keyed]
+    if not any(r[1] == top for r in rows):
+        rows.append((top, top, None))
+    spark.createDataFrame(rows, "first_id long, last_id long, key string") \
+        .coalesce(1).write.mode("overwrite").parquet(ledger)
+    return len(rows)

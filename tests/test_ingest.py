@@ -101,3 +101,14 @@ def test_headers_with_dots_and_spaces(spark, tmp_dir):
     assert df.columns == ["id", "a.b", "c d", "e"]
     rows = df.orderBy("id").collect()
     assert [(r["id"], r["a.b"], r["c d"], r["e"]) for r in rows] == [(1, 1, "x", 2.5), (2, 2, "y", None)]
+
+
+def test_compact_ledger_keeps_continuation_and_recent_keys(spark, tmp_dir):
+    from churnlane.sources.sinks import compact_ledger, reserve_ids
+    path = f"{tmp_dir}/ledgered"
+    firsts = [reserve_ids(spark, path, 5, key=f"s-{b}") for b in range(6)]
+    assert firsts == [1, 6, 11, 16, 21, 26]
+    assert compact_ledger(spark, path, keep_keyed=2) == 2
+    assert spark.read.parquet(f"{path}/_id_ledger").count() == 2
+    assert reserve_ids(spark, path, 5, key="s-5") == 26      # recent batch replays same ids
+    assert reserve_ids(spark, path, 3) == 31                 # continuation kept
