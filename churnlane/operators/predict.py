@@ -49,15 +49,19 @@ def predict_requests(requests: DataFrame, model: LogisticModel, features_col: st
     seuil = F.coalesce(F.col("seuil"), F.lit(S.DEFAULT_THRESHOLD)) if "seuil" in requests.columns \
         else F.lit(S.DEFAULT_THRESHOLD)
     scored = score(ok, model, threshold=seuil, proba_digits=proba_digits)
+    return _finish(scored, requests.columns, features_col), rejected
+
+
+def _finish(scored: DataFrame, request_cols: list[str], features_col: str) -> DataFrame:
+    """Predict-path names (null or '' -> John / Doe) and the details JSON."""
     scored = scored.withColumns({
         "prenom": clean.falsy_default(F.col("prenom"), S.DEFAULT_FIRST_NAME)
-        if "prenom" in requests.columns else F.lit(S.DEFAULT_FIRST_NAME),
+        if "prenom" in request_cols else F.lit(S.DEFAULT_FIRST_NAME),
         "nom": clean.falsy_default(F.col("nom"), S.DEFAULT_LAST_NAME)
-        if "nom" in requests.columns else F.lit(S.DEFAULT_LAST_NAME),
+        if "nom" in request_cols else F.lit(S.DEFAULT_LAST_NAME),
     })
-    link = F.col("employe_id") if "employe_id" in requests.columns else F.lit(None).cast("long")
-    scored = scored.withColumn("details", details_json(F.col(features_col), link))
-    return scored, rejected
+    link = F.col("employe_id") if "employe_id" in request_cols else F.lit(None).cast("long")
+    return scored.withColumn("details", details_json(F.col(features_col), link))
 
 
 def as_results_rows(scored: DataFrame) -> DataFrame:
@@ -114,4 +118,4 @@ def predict_with_models(requests: DataFrame, models: dict[str, LogisticModel],
         LABEL: label_text(pred),
     })
     helper = [c for c in scored.columns if c.startswith("_cl_")] + [FE.REASON]
-    return scored.drop(*helper), rejected
+    return _finish(scored.drop(*helper), requests.columns, features_col), rejected
