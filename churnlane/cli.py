@@ -80,12 +80,13 @@ def cmd_detail(spark, a):
 
 
 def cmd_directory(spark, a):
-    _emit(D.directory(_read(spark, a.features), _read(spark, a.labels), q=a.q,
-                      limit=a.limit), a.out)
+    _emit(D.directory(_read(spark, a.features), _read(spark, a.labels), key=a.key,
+                      label_col=a.label, q=a.q, limit=a.limit), a.out)
 
 
 def cmd_record(spark, a):
-    _emit(D.record(_read(spark, a.features), _read(spark, a.labels), a.id), a.out)
+    _emit(D.record(_read(spark, a.features), _read(spark, a.labels), a.id, key=a.key,
+                   label_col=a.label), a.out)
 
 
 def cmd_register(spark, a):
@@ -151,6 +152,8 @@ def build_parser() -> argparse.ArgumentParser:
     s = sub.add_parser("directory", help="features joined to labels, optional id prefix")
     s.add_argument("--features", required=True)
     s.add_argument("--labels", required=True)
+    s.add_argument("--key", default="id", help="key column of both tables")
+    s.add_argument("--label", default="a_quitte_l_entreprise", help="label column")
     s.add_argument("--q")
     s.add_argument("--limit", type=int)
     s.add_argument("--out")
@@ -159,6 +162,8 @@ def build_parser() -> argparse.ArgumentParser:
     s = sub.add_parser("record", help="one employee's features and label")
     s.add_argument("--features", required=True)
     s.add_argument("--labels", required=True)
+    s.add_argument("--key", default="id", help="key column of both tables")
+    s.add_argument("--label", default="a_quitte_l_entreprise", help="label column")
     s.add_argument("--id", type=int, required=True)
     s.add_argument("--out")
     s.set_defaults(fn=cmd_record)
