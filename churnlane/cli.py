@@ -47,18 +47,51 @@ def cmd_ingest(spark, a):
 
 
 def cmd_predict(spark, a):
-    coef = _read(spark, a.coefficients)
-    names = [r["model"] for r in coef.select("model").distinct().limit(10_001).collect()]
-    if len(names) > 10_000:
-        raise SystemExit("more than 10000 models in the coefficient table")
-    models = {n: model_from_table(coef, n) for n in names}
-    scored, rejected = predict_with_models(_read(spark, a.requests), models)
+    scored, rejected = predict_with_models(_read(spark, a.requests),
+                                           _load_models(spark, a.coefficients))
     if a.rejected:
         rejected.write.mode("overwrite").parquet(a.rejected)
     n = RS.append_results(spark, a.results, as_results_rows(scored))
     print(json.dumps({"appended": n}))
 
 
+def cmd_stream_predict(spark, a):
+    from pyspark import StorageLevel
+
+    from churnlane import schemas as S
+    from churnlane.streaming.score_stream import foreach_batch_append, read_stream
+
+    models = _load_models(spark, a.coefficients)
+    try:
+        schema = spark.read.format(a.format).load(a.source).schema
+    except Exception:  # no file yet: the declared request schema
+        schema = S.REQUEST_SCHEMA
+
+    def sink(batch, batch_id):
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            key = f"{a.name}-{batch_id}"
+            scored, rejected = predict_with_models(batch, models)
+            RS.append_batch(spark, a.results, as_results_rows(scored), key)
+            if a.rejected:
+                rejected.write.mode("overwrite").parquet(f"{a.rejected.rstrip('/')}/batch={key}")
+        finally:
+            batch.unpersist()
+
+    q = foreach_batch_append(read_stream(spark, a.source, schema, fmt=a.format,
+                                         max_files_per_trigger=a.max_files), sink, a.checkpoint)
+    q.awaitTermination()
+    print(json.dumps({"results": a.results}))
+
+
+def _load_models(spark, path):
+    coef = _read(spark, path)
+    names = [r["model"] for r in coef.select("model").distinct().limit(10_001).collect()]
+    if len(names) > 10_000:
+        raise SystemExit("more than 10000 models in the coefficient table")
+    return {n: model_from_table(coef, n) for n in names}
+
+
 def cmd_columns(spark, a):
     req = spark.createDataFrame([(a.model,)], "modele string")
     _emit(R.contract_for(req, _read(spark, a.registry)), a.out)
@@ -124,6 +157,17 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--rejected")
     s.set_defaults(fn=cmd_predict)
 
+    s = sub.add_parser("stream-predict", help="score request files as they arrive (stream)")
+    s.add_argument("--source", required=True, help="folder receiving request files")
+    s.add_argument("--format", default="parquet")
+    s.add_argument("--coefficients", required=True)
+    s.add_argument("--results", required=True)
+    s.add_argument("--rejected")
+    s.add_argument("--checkpoint", required=True, help="stream checkpoint (shared storage)")
+    s.add_argument("--name", default="requests", help="stream name used in batch keys")
+    s.add_argument("--max-files", type=int, help="files per micro-batch")
+    s.set_defaults(fn=cmd_stream_predict)
+
     for name, fn, help_ in (("columns", cmd_columns, "a model's column contract"),
                             ("describe", cmd_describe, "a model's inspection summary")):
         s = sub.add_parser(name, help=help_)

@@ -71,3 +71,29 @@ def test_cli_register_appends_to_users_table(spark, tmp_dir):
     stored = sorted((r.id, r.username) for r in spark.read.parquet(users).collect())
     assert stored == [(1, "ann"), (2, "bob")]                       # second run: all exist
     assert [r.reason for r in spark.read.parquet(f"{tmp_dir}/rej").collect()] == ["duplicate"]
+
+
+def test_cli_stream_predict_picks_up_new_files_only(spark, tmp_dir):
+    coef = spark.createDataFrame([("top1", "__intercept__", None, 0.0, None, None),
+                                  ("top1", "age", None, 0.1, 30.0, 10.0)],
+                                 "model string, feature string, category string, weight double, "
+                                 "center double, scale double")
+    coef.write.parquet(f"{tmp_dir}/coef")
+    schema = ("request_id long, modele string, features string, prenom string, nom string, "
+              "employe_id long, id_user long")
+
+    def drop(name, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_dir}/in/{name}")
+
+    args = ["stream-predict", "--source", f"{tmp_dir}/in/*", "--coefficients", f"{tmp_dir}/coef",
+            "--results", f"{tmp_dir}/res", "--rejected", f"{tmp_dir}/rej",
+            "--checkpoint", f"{tmp_dir}/ckpt", "--max-files", "1"]
+    drop("a", [(1, "top1", json.dumps({"age": 40}), "A", None, None, 1),
+               (2, "ghost", "{}", None, None, None, 1)])
+    drop("b", [(3, "top1", json.dumps({"age": 20}), None, None, None, 2)])
+    cli.main(args, spark)
+    drop("c", [(4, "top1", json.dumps({"age": 30}), None, None, None, 2)])
+    cli.main(args, spark)
+    res = spark.read.parquet(f"{tmp_dir}/res")
+    assert sorted(r.id for r in res.collect()) == [1, 2, 3]
+    assert spark.read.parquet(f"{tmp_dir}/rej").count() == 1
