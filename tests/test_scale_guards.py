@@ -136,3 +136,33 @@ def test_salted_erase_and_register_equal_plain(spark, hot_results):
     a2, r2 = G.register_unique(inc, stored, order_cols=["t"], salts=8, hot_min_rows=100)
     assert sorted(tuple(r) for r in a1.collect()) == sorted(tuple(r) for r in a2.collect())
     assert sorted(tuple(r) for r in r1.collect()) == sorted(tuple(r) for r in r2.collect())
+
+
+def test_aqe_splits_hot_link_in_detail_join(spark):
+    """With a sort-merge join, AQE splits the hot employee's partition."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.enabled": "true",
+            "spark.sql.adaptive.skewJoin.enabled": "true",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        res = spark.range(90000).select(
+            F.col("id"), (F.col("id") % 1000).alias("id_user"),
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).cast("long")
+            .alias("employe_id"), F.lit(None).cast("string").alias("details"))
+        feats = spark.range(5000).select(F.col("id"), (F.col("id") % 60).alias("age"))
+        det = RS.detail(res, feats)
+        assert len(det.collect()) == 90000
+        plan = det._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
