@@ -24,6 +24,11 @@ from churnlane import schemas as S
 from churnlane.functions import clean
 
 NULL, NUMBER, BOOL, STRING = "null", "number", "bool", "string"
+
+
+def qcol(name: str) -> Column:
+    """A column by its literal name (names may contain dots or spaces)."""
+    return F.col("`" + name.replace("`", "``") + "`")
 REASON = "_reason"
 
 
@@ -62,7 +67,7 @@ def from_column(df: DataFrame, name: str) -> Value:
     if name not in df.columns:
         return Value.absent()
     dtype = df.schema[name].dataType
-    c = F.col(name)
+    c = qcol(name)
     if isinstance(dtype, T.BooleanType):
         return Value(F.when(c.isNull(), F.lit(NULL)).otherwise(F.lit(BOOL)),
                      F.when(c, F.lit("True")).when(~c, F.lit("False")),
@@ -104,6 +109,23 @@ def values_from_json(json_col, keys: list[str]) -> tuple[Column, dict[str, Value
     return v, {k: from_variant(v, k) for k in keys}
 
 
+def json_path(key: str) -> str | None:
+    """A variant path for one top-level key (dots allowed), or None when the
+    key holds both quote characters and no path can name it."""
+    if "'" not in key:
+        return f"$['{key}']"
+    if '"' not in key:
+        return f'$["{key}"]'
+    return None
+
+
+def _field_of(v: Column, key: str) -> Column:
+    path = json_path(key)
+    if path is not None:
+        return F.try_variant_get(v, path, "variant")
+    return F.try_element_at(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(key))
+
+
 def with_json_values(df: DataFrame, json_col: str, keys: list[str]) -> tuple[DataFrame, dict[str, Value]]:
     """Parse ``json_col`` once and materialise each key's kind/text/number.
 
@@ -111,16 +133,20 @@ def with_json_values(df: DataFrame, json_col: str, keys: list[str]) -> tuple[Dat
     kind / text / number.  The rules then reference plain columns, so the
     parse and the per-key type tests run once per row instead of once per
     use (the optimizer keeps expensive shared expressions un-inlined).
-    Helper columns start with ``_cl_`` and are dropped by :func:`prepare`.
+    Helper columns are named by position (``_cl_<i>...``), so any key text is
+    safe, and are dropped by :func:`prepare`.
     """
-    out = df.withColumn("_cl_variant", F.try_parse_json(F.col(json_col)))
-    out = out.withColumns({f"_cl_{k}__f": F.try_variant_get(F.col("_cl_variant"), f"$.{k}", "variant")
-                           for k in keys})
-    out = out.withColumns({f"_cl_{k}__t": F.schema_of_variant(F.col(f"_cl_{k}__f")) for k in keys})
+    if not keys:
+        return df, {}
+    out = df.withColumn("_cl_variant", F.try_parse_json(qcol(json_col)))
+    out = out.withColumns({f"_cl_{i}__f": _field_of(F.col("_cl_variant"), k)
+                           for i, k in enumerate(keys)})
+    out = out.withColumns({f"_cl_{i}__t": F.schema_of_variant(F.col(f"_cl_{i}__f"))
+                           for i in range(len(keys))})
     kinds = {}
-    for k in keys:
-        field, typ = F.col(f"_cl_{k}__f"), F.col(f"_cl_{k}__t")
-        kinds[f"_cl_{k}__k"] = (
+    for i in range(len(keys)):
+        field, typ = F.col(f"_cl_{i}__f"), F.col(f"_cl_{i}__t")
+        kinds[f"_cl_{i}__k"] = (
             F.when(field.isNull() | typ.isin("VOID", "NULL"), F.lit(NULL))
             .when(typ == "BOOLEAN", F.lit(BOOL))
             .when(typ.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
@@ -128,25 +154,25 @@ def with_json_values(df: DataFrame, json_col: str, keys: list[str]) -> tuple[Dat
             .otherwise(F.lit(STRING)))
     out = out.withColumns(kinds)
     fields = []
-    for k in keys:
-        field, kind = F.col(f"_cl_{k}__f"), F.col(f"_cl_{k}__k")
+    for i in range(len(keys)):
+        field, kind = F.col(f"_cl_{i}__f"), F.col(f"_cl_{i}__k")
         as_text = F.try_variant_get(field, "$", "string")
         fields += [
-            kind.alias(f"_cl_{k}__kind"),
+            kind.alias(f"_cl_{i}__kind"),
             F.when(kind == BOOL, F.initcap(as_text))
             .when(kind == STRING, F.coalesce(as_text, F.to_json(field)))
-            .when(kind == NUMBER, as_text).alias(f"_cl_{k}__s"),
+            .when(kind == NUMBER, as_text).alias(f"_cl_{i}__s"),
             F.when(kind.isin(NUMBER, BOOL), F.try_variant_get(field, "$", "double"))
-            .alias(f"_cl_{k}__n"),
+            .alias(f"_cl_{i}__n"),
         ]
     # inline(array(struct)) materialises the per-key values once per row: a
     # later filter on them (ok | rejected) cannot be pushed below this
     # Generate, so it does not re-run the parse inside the filter condition.
     helper = [c for c in out.columns if c.startswith("_cl_")]
-    out = out.select(*[c for c in out.columns if c not in helper],
+    out = out.select(*[qcol(c) for c in out.columns if c not in helper],
                      F.inline(F.array(F.struct(*fields))))
-    return out, {k: Value(F.col(f"_cl_{k}__kind"), F.col(f"_cl_{k}__s"), F.col(f"_cl_{k}__n"))
-                 for k in keys}
+    return out, {k: Value(F.col(f"_cl_{i}__kind"), F.col(f"_cl_{i}__s"), F.col(f"_cl_{i}__n"))
+                 for i, k in enumerate(keys)}
 
 
 def values_from_columns(df: DataFrame, keys: list[str]) -> dict[str, Value]:
@@ -303,7 +329,7 @@ def prepare(df: DataFrame, vals: dict[str, Value], columns: list[str],
     """One select: kept columns + contract columns + ``_reason``."""
     cols, reason = layout_columns(vals, columns, layout, onehot)
     keep = keep or []
-    return df.select(*[F.col(k) for k in keep], *cols, reason.alias(REASON))
+    return df.select(*[qcol(k) for k in keep], *cols, reason.alias(REASON))
 
 
 def split_ok_rejected(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -93,19 +93,20 @@ def predict_with_models(requests: DataFrame, models: dict[str, LogisticModel],
     per_model, reasons, probas = [], [], []
     for i, (mname, m) in enumerate(models.items()):
         cols, reason = FE.layout_columns(vals, m.columns, m.layout, list(m.onehot) or None)
-        per_model += [c.alias(f"_cl_m{i}_{col}") for c, col in zip(cols, m.columns)]
+        per_model += [c.alias(f"_cl_m{i}_{j}") for j, c in enumerate(cols)]
         reasons.append((mname, reason))
         probas.append((mname, i, m))
     reason = F.when(name.isNull() | ~name.isin(*models), F.lit("unknown_model"))
     for mname, r in reasons:
         reason = reason.when(name == F.lit(mname), r)
     keep = request_columns(requests) + [features_col]
-    staged = parsed.select(*[F.col(c) for c in keep], *per_model, reason.alias(FE.REASON))
+    staged = parsed.select(*[FE.qcol(c) for c in keep], *per_model, reason.alias(FE.REASON))
     ok = staged.where(F.col(FE.REASON).isNull())
     rejected = staged.where(F.col(FE.REASON).isNotNull()).select(*keep, FE.REASON)
     p = None
     for mname, i, m in probas:
-        branch = m.probability(lambda c, i=i: F.col(f"_cl_m{i}_{c}"))
+        pos = {c: j for j, c in enumerate(m.columns)}
+        branch = m.probability(lambda c, i=i, pos=pos: F.col(f"_cl_m{i}_{pos[c]}"))
         p = F.when(name == F.lit(mname), branch) if p is None else p.when(name == F.lit(mname), branch)
     seuil = F.coalesce(F.col("seuil"), F.lit(S.DEFAULT_THRESHOLD)) if "seuil" in requests.columns \
         else F.lit(S.DEFAULT_THRESHOLD)

@@ -47,7 +47,7 @@ class LogisticModel:
         """ML-1: one layout per model, from its roles (not per-row trial)."""
         return FE.ALIGNED_LAYOUT if self.onehot else FE.NUMERIC_LAYOUT
 
-    def margin(self, col: Callable[[str], Column] = F.col) -> Column:
+    def margin(self, col: Callable[[str], Column] = FE.qcol) -> Column:
         """b + sum(w * scaled x) + one-hot terms; ``col`` resolves input names."""
         z = F.lit(float(self.intercept))
         for c, w in self.weights.items():
@@ -61,7 +61,7 @@ class LogisticModel:
                 z = z + F.when(col(c) == F.lit(value), F.lit(float(w))).otherwise(F.lit(0.0))
         return z
 
-    def probability(self, col: Callable[[str], Column] = F.col) -> Column:
+    def probability(self, col: Callable[[str], Column] = FE.qcol) -> Column:
         """SCA-9: positive-class probability, 1 / (1 + exp(-z))."""
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margin(col)))
 

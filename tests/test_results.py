@@ -156,3 +156,15 @@ def test_save_route_defaults(spark):
                                      base + ", prenom string, nom string, employe_id long, features string")
     r = RS.saved_rows(explicit).first()
     assert (r.prenom, r.nom, r.employe_id, r.details) == (None, "", 4, None)
+
+
+def test_feature_names_with_dots_and_quotes(spark):
+    from churnlane.operators.predict import predict_with_models
+    odd = 'say "it\'s"'
+    m = LogisticModel("m", ["a.b", "it's", odd], intercept=-1.0,
+                      weights={"a.b": 1.0, "it's": 1.0, odd: 1.0})
+    reqs = spark.createDataFrame([(1, "m", json.dumps({"a.b": 1, "it's": 1, odd: 1, "a": {"b": 5}}))],
+                                 "request_id long, modele string, features string")
+    import math
+    for scored in (predict_requests(reqs, m)[0], predict_with_models(reqs, {"m": m})[0]):
+        assert scored.first().probabilite_de_quitter == 1 / (1 + math.exp(-2.0))
