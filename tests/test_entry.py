@@ -88,3 +88,15 @@ def test_stream_to_results_ids_and_replay(spark):
     append_batch(spark, path, rows, "t-0")
     again = spark.read.parquet(path)
     assert again.count() == n and again.agg(F.max("id")).first()[0] == n
+
+
+def test_bench_measure_contract(spark):
+    import json as _json
+
+    import bench
+    out = bench.measure(spark, SF_SMALL, ["directory_prefix", "history_topk"], runs=1)
+    line = _json.dumps(out)
+    assert "\n" not in line and out["unit"] == "sec" and out["sf"] == 0.001
+    assert set(out["queries"]) == {"directory_prefix", "history_topk"}
+    assert out["value"] > 0 and "errors" not in out
+    assert set(bench.HEADLINE) <= set(E.queries())
