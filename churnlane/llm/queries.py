@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlane.llm import ngram_join
+from churnlane.llm import ngram_join, substring
 from churnlane.session import read_table
 
 
@@ -14,6 +14,12 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of each document without the 13-word windows that earlier documents hold."""
+    return substring.with_digest(substring.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op4_ngram_jaccard_join,
+    op6_substring_dedup,
 )}
