@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlane.llm import ngram_join, substring
+from churnlane.llm import langid, ngram_join, substring
 from churnlane.session import read_table
 
 
@@ -19,7 +19,15 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.with_digest(substring.remove_repeats(read_table(spark, sf_dir, "documents")))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from the rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(~langid.held_out()))
+    return langid.predict(docs.withColumn("held_out", langid.held_out()), model, carry=("doc_id", "held_out"))
+
+
 QUERIES = {f.__name__: f for f in (
     op4_ngram_jaccard_join,
     op6_substring_dedup,
+    op7_language_id,
 )}
