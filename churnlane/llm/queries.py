@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from churnlane.llm import langid, ngram_join, substring
+from churnlane.llm import decontam, langid, ngram_join, substring
 from churnlane.session import read_table
 
 
@@ -14,6 +15,14 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: words, words inside benchmark windows, items found, and the verdict."""
+    found = decontam.hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        decontam.contaminated().alias("contaminated"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of each document without the 13-word windows that earlier documents hold."""
     return substring.with_digest(substring.remove_repeats(read_table(spark, sf_dir, "documents")))
@@ -28,6 +37,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op4_ngram_jaccard_join,
+    op5_benchmark_decontamination,
     op6_substring_dedup,
     op7_language_id,
 )}
