@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlane.llm import decontam, langid, ngram_join, substring
+from churnlane.llm import decontam, langid, mixing, ngram_join, sharding, substring
 from churnlane.session import read_table
 
 
@@ -35,9 +35,29 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.withColumn("held_out", langid.held_out()), model, carry=("doc_id", "held_out"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix at 100 % of all words takes from every document, by its source's target."""
+    return (mixing.mix(read_table(spark, sf_dir, "documents"))
+            .select("doc_id", "size", "source_size", "target", "taken"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard (0 to 39), slot and the shard after one more joins, for every document."""
+    return sharding_of(read_table(spark, sf_dir, "documents"))
+
+
+def sharding_of(docs: DataFrame, shards: int = 40) -> DataFrame:
+    """Rows of ``docs`` over ``shards`` shards under the law ``key``, in the columns of op10."""
+    root = sharding.tree(shards)
+    rows = sharding.shard_rows(docs, root, later=sharding.grown(root, [shards]))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 QUERIES = {f.__name__: f for f in (
     op4_ngram_jaccard_join,
     op5_benchmark_decontamination,
     op6_substring_dedup,
     op7_language_id,
+    op8_mixing,
+    op10_sharding,
 )}

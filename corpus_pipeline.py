@@ -8,20 +8,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlane.llm import ngram_join
-from churnlane.session import read_table, scratch_path
+from churnlane.llm import decontam, langid, mixing, ngram_join
+from churnlane.llm.queries import sharding_of
+from churnlane.session import ensure_checkpoint_dir, read_table, scratch_path
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or like none of the languages, go."""
+    ensure_checkpoint_dir(spark)
+    return langid.confident(docs, langid.learn(docs.where(~langid.held_out())))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    ensure_checkpoint_dir(spark)
     return ngram_join.one_per_component(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages go."""
+    ensure_checkpoint_dir(spark)
+    return decontam.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks for."""
+    ensure_checkpoint_dir(spark)
+    return mixing.materialise(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The shard and slot of every row of the mix."""
+    ensure_checkpoint_dir(spark)
+    return sharding_of(docs)
+
+
 STAGES = [
+    ("language_id", language),
     ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", decontaminate),
+    ("mixing", mix),
+    ("sharding", shard),
 ]
 
-#: Components, hash draws and learned prototypes are beyond SQL; see tests/llm.
+#: Learned prototypes and hash draws are beyond SQL; tests/llm checks the stages by brute force.
 ORACLE_SQL = None
 
 
