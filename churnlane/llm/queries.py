@@ -5,10 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlane.llm import decontam, langid, mixing, ngram_join, sharding, substring
+from churnlane.llm import chat, decontam, langid, mixing, ngram_join, quality, sharding, substring, tokens
 from churnlane.session import read_table
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the installed public tokenizer file lies; nothing is copied into the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal logged conversations, rendered."""
+    return chat.format_chats(read_table(spark, sf_dir, "conversations"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and byte-level BPE tokens of every document; over 512 tokens or not."""
+    return tokens.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the component of 5-word shingle sets at Jaccard 0.75 or more."""
     return (ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"))
@@ -41,6 +58,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts that the quality rules build on, and the cascade's verdict, for every document."""
+    return quality.judge(read_table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard (0 to 39), slot and the shard after one more joins, for every document."""
     return sharding_of(read_table(spark, sf_dir, "documents"))
@@ -54,10 +76,13 @@ def sharding_of(docs: DataFrame, shards: int = 40) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op2_chat_formatting,
+    op3_token_counts,
     op4_ngram_jaccard_join,
     op5_benchmark_decontamination,
     op6_substring_dedup,
     op7_language_id,
     op8_mixing,
+    op9_quality_rules,
     op10_sharding,
 )}
