@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlane.llm import chat, decontam, langid, mixing, ngram_join, quality, sharding, substring, tokens
+from churnlane.llm import chat, decontam, langid, line_dedup, mixing, ngram_join, quality, sharding, substring, tokens
 from churnlane.session import read_table
 
 
@@ -16,6 +16,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines left of each document without those similar to an earlier line of the corpus."""
+    return line_dedup.with_digest(line_dedup.remove_similar_lines(read_table(spark, sf_dir, "documents")))
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal logged conversations, rendered."""
     return chat.format_chats(read_table(spark, sf_dir, "conversations"))
@@ -76,6 +81,7 @@ def sharding_of(docs: DataFrame, shards: int = 40) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_line_dedup,
     op2_chat_formatting,
     op3_token_counts,
     op4_ngram_jaccard_join,
