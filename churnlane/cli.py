@@ -22,7 +22,7 @@ from churnlane.operators import governance as G
 from churnlane.operators import registry as R
 from churnlane.operators import results as RS
 from churnlane.operators.predict import as_results_rows, predict_with_models
-from churnlane.operators.scoring import model_from_table
+from churnlane.operators.scoring import models_from_table
 from churnlane.sources import ingest as IN
 
 
@@ -32,11 +32,13 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _emit(df: DataFrame, out: str | None, rows: int = 20) -> DataFrame:
+def _emit(df: DataFrame, out: str | None) -> DataFrame:
+    """Write to ``out``, or print every row as a JSON line (streamed, never gathered)."""
     if out:
         df.write.mode("overwrite").parquet(out)
     else:
-        df.show(rows, truncate=False)
+        for line in df.toJSON().toLocalIterator():
+            print(line)
     return df
 
 
@@ -85,11 +87,7 @@ def cmd_stream_predict(spark, a):
 
 
 def _load_models(spark, path):
-    coef = _read(spark, path)
-    names = [r["model"] for r in coef.select("model").distinct().limit(10_001).collect()]
-    if len(names) > 10_000:
-        raise SystemExit("more than 10000 models in the coefficient table")
-    return {n: model_from_table(coef, n) for n in names}
+    return models_from_table(_read(spark, path))
 
 
 def cmd_columns(spark, a):
@@ -102,11 +100,11 @@ def cmd_describe(spark, a):
 
 
 def cmd_history(spark, a):
-    _emit(RS.history(_read(spark, a.results), a.owner, a.prenom, a.nom, a.limit), a.out)
+    _emit(RS.history(RS.read_results(spark, a.results), a.owner, a.prenom, a.nom, a.limit), a.out)
 
 
 def cmd_detail(spark, a):
-    det = RS.detail(_read(spark, a.results), _read(spark, a.features), owner=a.owner)
+    det = RS.detail(RS.read_results(spark, a.results), _read(spark, a.features), owner=a.owner)
     if a.id is not None:
         det = det.where(F.col("id") == a.id)
     _emit(det, a.out)
@@ -134,7 +132,8 @@ def cmd_register(spark, a):
 def cmd_erase(spark, a):
     ids = spark.createDataFrame([(int(x),) for x in a.ids.split(",")], "id long") \
         if a.ids else _read(spark, a.ids_path).select(F.col(a.ids_column).alias("id"))
-    out = G.erase_and_write(spark, _read(spark, a.users), _read(spark, a.results), ids)
+    out = G.erase_and_write(spark, _read(spark, a.users), RS.read_results(spark, a.results), ids,
+                            users_out=a.users_out, results_out=a.results_out, old_results_path=a.results)
     rep = out.report.first().asDict()
     print(json.dumps({"users_path": out.users_path, "results_path": out.results_path, **rep}))
 
@@ -228,6 +227,8 @@ def build_parser() -> argparse.ArgumentParser:
     g.add_argument("--ids", help="comma separated user ids")
     g.add_argument("--ids-path", help="table of user ids to erase")
     s.add_argument("--ids-column", default="id")
+    s.add_argument("--users-out", help="new users table (default: under the scratch root)")
+    s.add_argument("--results-out", help="new results table (default: under the scratch root)")
     s.set_defaults(fn=cmd_erase)
     return p
 

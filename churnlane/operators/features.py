@@ -138,6 +138,8 @@ def with_json_values(df: DataFrame, json_col: str, keys: list[str]) -> tuple[Dat
     """
     if not keys:
         return df, {}
+    # of a repeated key the last value counts, as the service's parser has it
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     out = df.withColumn("_cl_variant", F.try_parse_json(qcol(json_col)))
     out = out.withColumns({f"_cl_{i}__f": _field_of(F.col("_cl_variant"), k)
                            for i, k in enumerate(keys)})
@@ -175,6 +177,26 @@ def with_json_values(df: DataFrame, json_col: str, keys: list[str]) -> tuple[Dat
                  for i, k in enumerate(keys)}
 
 
+def request_problem(requests: DataFrame, features_col: str, model_col: str | None = None) -> Column:
+    """FLT-12: why a request cannot be scored at all, null when it can.
+
+    ``features`` must be there and be a JSON object, the model must be named
+    and a threshold, where the table has the column, must be given and be a number.
+    """
+    requests.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    raw = qcol(features_col)
+    kind = F.schema_of_variant(F.try_parse_json(raw))
+    out = (F.when(raw.isNull(), F.lit("missing_features"))
+           .when(kind.isNull(), F.lit("features_not_json"))
+           .when(~kind.startswith("OBJECT"), F.lit("features_not_an_object")))
+    if model_col is not None:
+        out = F.when(qcol(model_col).isNull(), F.lit("missing_model")).otherwise(out)
+    if "seuil" in requests.columns:
+        seuil = F.col("seuil").cast("double")
+        out = F.coalesce(out, F.when(seuil.isNull() | F.isnan(seuil), F.lit("missing_threshold")))
+    return out
+
+
 def values_from_columns(df: DataFrame, keys: list[str]) -> dict[str, Value]:
     return {k: from_column(df, k) for k in keys}
 
@@ -296,7 +318,7 @@ def layout_columns(vals: dict[str, Value], columns: list[str], layout: str,
     fine).  Absent columns become 0.0 (numbers) or '' (text).  The reason
     reflects the numeric encoding of every categorical column, as the service
     always builds the numeric layout: an unknown category rejects the row
-    whatever layout the model uses.
+    whatever layout the model uses.  A number that is not finite rejects it too.
     """
     vals = derive(vals)
     text_cols = set()
@@ -317,7 +339,10 @@ def layout_columns(vals: dict[str, Value], columns: list[str], layout: str,
         elif c in text_cols:          # aligned: a non-categorical one-hot column
             out.append(raw_text(x).alias(c))
         else:
-            out.append(lenient_float(x).cast("double").alias(c))
+            number = lenient_float(x).cast("double")
+            reasons.append(F.when(F.isnan(number) | (F.abs(number) == float("inf")),
+                                  F.lit(f"value of '{c}' is not finite")))
+            out.append(number.alias(c))
     reason = F.coalesce(*reasons) if len(reasons) > 1 else (
         reasons[0] if reasons else F.lit(None).cast("string"))
     return out, reason

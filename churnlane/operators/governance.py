@@ -16,6 +16,7 @@ from churnlane import schemas as S
 from churnlane.functions import clean
 from churnlane.operators.joins import join_bounded, salted_join
 from churnlane.session import scratch_path
+from churnlane.sources.sinks import carry_ledger
 
 # Largest id set broadcast to every task (a long hash set of ~2M keys stays
 # well under 100 MB); larger sets take the shuffle join.
@@ -64,24 +65,38 @@ class ErasureOutcome:
 def erase_and_write(spark: SparkSession, users: DataFrame, results: DataFrame,
                     requested: DataFrame, user_key: str = "id", owner_col: str = "id_user",
                     requested_key: str | None = None, salts: int = 0,
-                    hot_min_rows: int = 1_000_000) -> ErasureOutcome:
+                    hot_min_rows: int = 1_000_000, users_out: str | None = None,
+                    results_out: str | None = None, old_results_path: str | None = None) -> ErasureOutcome:
     """GOV-1 as a job: write both new versions to NEW paths, then validate.
 
-    Never overwrites what it reads.  Validation: rows before = kept +
-    deleted for both tables.  The caller swaps paths (catalog location or
-    pointer file) only when the returned report is consistent.
+    Never overwrites what it reads.  The new versions go to ``users_out`` and
+    ``results_out`` (without them: under the scratch root).  With
+    ``old_results_path`` its id ledger goes over to the new results, so ids of
+    erased rows are never given again.  Deleted rows are counted on their own,
+    as the rows that match the erased set; unless rows before = kept + deleted
+    holds for both tables, the job raises and the old versions stay in use.
+    On success the caller points its readers at the new paths (catalog
+    location or pointer file).
     """
     users_kept, results_kept, unknown = erase(users, results, requested, user_key,
                                               owner_col, requested_key, salts, hot_min_rows)
-    up, rp = scratch_path(spark, "users"), scratch_path(spark, "results")
+    up = users_out or scratch_path(spark, "users")
+    rp = results_out or scratch_path(spark, "results")
     users_kept.write.parquet(up)
     results_kept.write.parquet(rp)
-    before_u, before_r = users.count(), results.count()
+    if old_results_path is not None:
+        carry_ledger(spark, old_results_path, rp)
+    asked = requested.select(F.col(requested_key or user_key).alias("_cl_uid")).distinct()
+    erased = users.select(F.col(user_key).alias("_cl_uid")).join(asked, "_cl_uid", "left_semi").distinct()
+    gone_u = users.join(erased, users[user_key] == erased["_cl_uid"], "left_semi").count()
+    gone_r = results.join(erased, results[owner_col] == erased["_cl_uid"], "left_semi").count()
     after_u = spark.read.parquet(up).count()
     after_r = spark.read.parquet(rp).count()
+    if (users.count(), results.count()) != (after_u + gone_u, after_r + gone_r):
+        raise RuntimeError("erasure does not add up: rows before differ from kept + deleted")
     n_unknown = unknown.count()
     report = spark.createDataFrame(
-        [(before_u - after_u, before_r - after_r, n_unknown, after_u, after_r)],
+        [(gone_u, gone_r, n_unknown, after_u, after_r)],
         "users_deleted long, results_deleted long, unknown_users long, "
         "users_kept long, results_kept long")
     return ErasureOutcome(up, rp, report)
@@ -95,9 +110,10 @@ def register_unique(incoming: DataFrame, stored: DataFrame, name_col: str = "use
                     hot_min_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """GOV-2 + JOI-6 + FLT-9: accept the first request per stripped name.
 
-    Returns (accepted, rejected).  Rejected reasons: ``already_exists`` (the
-    name is stored) or ``duplicate`` (an earlier request in this batch has
-    it).  The first request per name is found with a min-aggregate on the
+    Returns (accepted, rejected), together all of ``incoming``.  Rejected
+    reasons, in this order: ``missing_username`` (null), ``username_length``
+    (GOV-3), ``already_exists`` (the name is stored) or ``duplicate`` (an
+    earlier request in this batch has it).  The first request per name is found with a min-aggregate on the
     ordering struct (partial aggregation: a hot name costs one row per map
     task), not a window that would sort every duplicate in one task.
     ``salts`` > 0 also splits a hot name's requests over that many tasks
@@ -110,6 +126,11 @@ def register_unique(incoming: DataFrame, stored: DataFrame, name_col: str = "use
     else:            # arrival order: materialise once so both reads agree
         inc = inc.withColumn("_cl_ord", F.struct(F.monotonically_increasing_id().alias("m")))
         inc = inc.checkpoint(eager=True)
+    bad = F.when(F.col("_cl_name").isNull(), F.lit("missing_username")).otherwise(
+        validation_reason(username=F.col("_cl_name")))
+    inc = inc.withColumn("_cl_bad", bad)
+    invalid = inc.where(F.col("_cl_bad").isNotNull())
+    inc = inc.where(F.col("_cl_bad").isNull())   # null names never reach the joins
     firsts = inc.groupBy("_cl_name").agg(F.min("_cl_ord").alias("_cl_first"))
     names = stored.select(clean.strip(F.col(stored_name_col or name_col)).alias("_cl_name")) \
         .distinct().withColumn("_cl_exists", F.lit(True))
@@ -127,7 +148,8 @@ def register_unique(incoming: DataFrame, stored: DataFrame, name_col: str = "use
     accepted = tagged.where(F.col("reason").isNull()).select(
         F.col("_cl_name").alias(name_col), *out_cols)
     rejected = tagged.where(F.col("reason").isNotNull()).select(
-        F.col("_cl_name").alias(name_col), *out_cols, "reason")
+        F.col("_cl_name").alias(name_col), *out_cols, "reason").unionByName(invalid.select(
+            F.col("_cl_name").alias(name_col), *out_cols, F.col("_cl_bad").alias("reason")))
     return accepted, rejected
 
 

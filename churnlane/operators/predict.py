@@ -23,6 +23,9 @@ DERIVATION_INPUTS = ["annee_experience_totale", "nb_formations_suivies",
                      "niveau_hierarchique_poste"]
 
 
+PROBLEM = "_request_problem"
+
+
 def request_columns(requests: DataFrame) -> list[str]:
     return [c for c in requests.columns if c != "features"]
 
@@ -37,14 +40,18 @@ def predict_requests(requests: DataFrame, model: LogisticModel, features_col: st
     one-hot columns (the aligned layout's text columns).
     Absent optional fields take their defaults only when absent (SCA-16):
     ``seuil`` 0.37 (the request's threshold is the one applied, T11).
+    Requests without a JSON object of features, with an explicit null
+    threshold or with a value that is not finite are rejected, not scored.
     Names default to John / Doe when null or empty (SCA-15, predict path).
     """
     derived = {"formations_par_an", "poste_x_niveau"} & set(model.columns)
     keys = list(dict.fromkeys(model.columns + (DERIVATION_INPUTS if derived else [])))
-    parsed, vals = FE.with_json_values(requests, features_col, keys)
+    problem = FE.request_problem(requests, features_col)
+    parsed, vals = FE.with_json_values(requests.withColumn(PROBLEM, problem), features_col, keys)
     keep = request_columns(requests) + [features_col]
     onehot = onehot if onehot is not None else (list(model.onehot) or None)
-    prepared = FE.prepare(parsed, vals, model.columns, model.layout, onehot, keep=keep)
+    prepared = FE.prepare(parsed, vals, model.columns, model.layout, onehot, keep=[*keep, PROBLEM])
+    prepared = prepared.withColumn(FE.REASON, F.coalesce(PROBLEM, FE.REASON)).drop(PROBLEM)
     ok, rejected = FE.split_ok_rejected(prepared)
     seuil = F.coalesce(F.col("seuil"), F.lit(S.DEFAULT_THRESHOLD)) if "seuil" in requests.columns \
         else F.lit(S.DEFAULT_THRESHOLD)
@@ -80,15 +87,17 @@ def predict_with_models(requests: DataFrame, models: dict[str, LogisticModel],
     ``models`` is the loaded registry (bounded: one entry per model).  Each
     model's contract layout is computed under its own column names and the
     probability is a CASE over the model name, so the input is read once
-    whatever the number of models.  Requests naming no loaded model are
-    rejected with reason ``unknown_model``; an unknown category rejects the
-    request for the model it names.
+    whatever the number of models.  Requests that cannot be scored are rejected
+    with a reason (:func:`features.request_problem`), those naming no loaded
+    model with ``unknown_model``; an unknown category or a value that is not
+    finite rejects the request for the model it names.
     """
     needs_derived = any({"formations_par_an", "poste_x_niveau"} & set(m.columns)
                         for m in models.values())
     keys = list(dict.fromkeys([c for m in models.values() for c in m.columns]
                               + (DERIVATION_INPUTS if needs_derived else [])))
-    parsed, vals = FE.with_json_values(requests, features_col, keys)
+    problem = FE.request_problem(requests, features_col, model_col)
+    parsed, vals = FE.with_json_values(requests.withColumn(PROBLEM, problem), features_col, keys)
     name = F.col(model_col)
     per_model, reasons, probas = [], [], []
     for i, (mname, m) in enumerate(models.items()):
@@ -96,7 +105,7 @@ def predict_with_models(requests: DataFrame, models: dict[str, LogisticModel],
         per_model += [c.alias(f"_cl_m{i}_{j}") for j, c in enumerate(cols)]
         reasons.append((mname, reason))
         probas.append((mname, i, m))
-    reason = F.when(name.isNull() | ~name.isin(*models), F.lit("unknown_model"))
+    reason = F.when(F.col(PROBLEM).isNotNull(), F.col(PROBLEM)).when(~name.isin(*models), F.lit("unknown_model"))
     for mname, r in reasons:
         reason = reason.when(name == F.lit(mname), r)
     keep = request_columns(requests) + [features_col]

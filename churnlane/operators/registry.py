@@ -238,4 +238,4 @@ def branches_from_registry(registry: DataFrame) -> DataFrame:
     return ex.select("name", "branch", "steps",
                      F.posexplode("cols").alias("cpos", "column"),
                      "bpos").select("name", "branch", "steps", "column",
-                                    (F.col("bpos") * 100000 + F.col("cpos")).alias("pos"))
+                                    F.struct("bpos", "cpos").alias("pos"))

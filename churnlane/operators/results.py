@@ -9,6 +9,8 @@ SCA-19 / SCA-20 JSON out / in.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -58,58 +60,61 @@ def saved_rows(saves: DataFrame, features_col: str = "features") -> DataFrame:
         S.RESULTS_SCHEMA[c].dataType).alias(c) for c in keep])
 
 
-def append_results(spark: SparkSession, path: str, rows: DataFrame,
-                   owner_col: str = "id_user") -> DataFrame:
-    """SNK-1: append ``rows`` (results columns without ``id``) to ``path``.
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """The results table, whatever wrote it.
 
-    New ids continue after the last reserved id (see :func:`reserve_ids`).
-    ``rows`` must be deterministic (scoring is): it is persisted for the
-    append and read twice (counts per partition, then numbering); a lost
-    executor recomputes the same rows.  Each partition is sorted by owner
-    before writing (no shuffle), so row-group min/max statistics let
-    owner-scoped history reads skip most of the file.  Returns the number
-    of rows appended.
+    Every append has its own ``batch=`` folder; the read lists files at any
+    depth under the declared schema, so rows that an older version appended
+    at the table's root are read with them.
     """
+    return spark.read.schema(S.RESULTS_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+
+
+def _append(spark: SparkSession, path: str, rows: DataFrame, folder: str, key: str | None,
+            owner_col: str) -> int:
     cols = [f.name for f in S.RESULTS_SCHEMA.fields if f.name != "id"]
     prepared = rows.select(*[F.col(c).cast(S.RESULTS_SCHEMA[c].dataType).alias(c) for c in cols])
     prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = prepared.count()
         if n:
-            first = reserve_ids(spark, path, n)
-            numbered = with_dense_id(prepared, "id", start=first)
-            numbered.sortWithinPartitions(owner_col, "id").write.mode("append").parquet(path)
+            numbered = with_dense_id(prepared, "id", start=reserve_ids(spark, path, n, key=key))
+            (numbered.select("id", *cols).sortWithinPartitions(owner_col, "id")
+             .write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={folder}"))
     finally:
         prepared.unpersist()
     return n
 
 
+def append_results(spark: SparkSession, path: str, rows: DataFrame,
+                   owner_col: str = "id_user") -> int:
+    """SNK-1: append ``rows`` (results columns without ``id``) to ``path``.
+
+    New ids continue after the last reserved id (see :func:`reserve_ids`).
+    The rows get a ``batch=`` folder of their own, as a stream's batches do,
+    so both kinds of append are read together (:func:`read_results`).
+    ``rows`` must be deterministic (scoring is): it is persisted for the
+    append and read twice (counts per partition, then numbering); a lost
+    executor recomputes the same rows.  Each partition is sorted by owner
+    before writing (no shuffle), so row-group min/max statistics let
+    owner-scoped history reads skip most of the file.  Returns the number
+    of rows appended.
+    """
+    return _append(spark, path, rows, f"job-{uuid.uuid4().hex}", None, owner_col)
+
+
 def append_batch(spark: SparkSession, path: str, rows: DataFrame, batch_key: str,
-                 owner_col: str = "id_user") -> DataFrame:
+                 owner_col: str = "id_user") -> int:
     """SNK-1 for a micro-batch, idempotent under replay.
 
     The batch's ids are reserved under ``batch_key`` (a replay gets the same
-    range) and its rows overwrite their own partition ``batch=<key>``, so a
+    range) and its rows overwrite their own folder ``batch=<key>``, so a
     batch re-run after a failure rewrites identical content instead of
-    appending twice.  Tables written this way are partitioned by ``batch``.
-    The batch is persisted only for the append and released afterwards, so
-    a long-running stream accumulates neither cache nor checkpoint files.
-    Returns the batch's rows as written.
+    appending twice.  The batch is persisted only for the append and released
+    afterwards, so a long-running stream accumulates neither cache nor
+    checkpoint files.  Returns the number of rows written.
     """
-    cols = [f.name for f in S.RESULTS_SCHEMA.fields if f.name != "id"]
-    prepared = rows.select(*[F.col(c).cast(S.RESULTS_SCHEMA[c].dataType).alias(c) for c in cols])
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = prepared.count()
-        if n == 0:
-            return prepared.withColumn("id", F.lit(None).cast("long")).select("id", *cols)
-        first = reserve_ids(spark, path, n, key=batch_key)
-        numbered = with_dense_id(prepared, "id", start=first)
-        (numbered.sortWithinPartitions(owner_col, "id").write.mode("overwrite")
-         .parquet(f"{path.rstrip('/')}/batch={batch_key}"))
-    finally:
-        prepared.unpersist()
-    return spark.read.parquet(f"{path.rstrip('/')}/batch={batch_key}")
+    return _append(spark, path, rows, batch_key, batch_key, owner_col)
 
 
 # ---------------------------------------------------------------- history

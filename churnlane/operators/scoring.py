@@ -15,6 +15,7 @@ one distributed aggregate and likewise become literals (Estimator -> Model).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -66,7 +67,7 @@ class LogisticModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margin(col)))
 
 
-def model_from_table(coefficients: DataFrame, name: str, max_rows: int = 100_000) -> LogisticModel:
+def model_from_table(coefficients: DataFrame, name: str) -> LogisticModel:
     """Build a model from a coefficient table.
 
     Columns: model, feature, category (null for numeric), weight,
@@ -252,36 +253,50 @@ def apply_scaler(df: DataFrame, stats: dict[str, tuple[float, float]],
     return df.withColumns(cols)
 
 
-def fit_impute_mean(df: DataFrame, cols: list[str]) -> dict[str, float]:
-    """DEL-6: per-column mean of the present values."""
+def fit_impute_mean(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+    """DEL-6: per-column mean of the present values (None when none is present)."""
     row = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
-def apply_impute(df: DataFrame, fills: dict[str, float], suffix: str = "") -> DataFrame:
-    return df.withColumns({c + suffix: F.coalesce(F.col(c).cast("double"), F.lit(float(v)))
-                           for c, v in fills.items()})
+def fit_impute_median(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+    """DEL-6: per-column exact median of the present values (None when none is present)."""
+    fills = {}
+    for c in cols:
+        m = exact_quantiles(df, c, [0.5])[0]
+        fills[c] = None if math.isnan(m) else m
+    return fills
+
+
+def apply_impute(df: DataFrame, fills: dict[str, float | None], suffix: str = "") -> DataFrame:
+    """Fill missing values; a column without a fill (all missing at the fit) stays as it is."""
+    return df.withColumns({
+        c + suffix: F.col(c).cast("double") if v is None else F.coalesce(F.col(c).cast("double"), F.lit(float(v)))
+        for c, v in fills.items()})
 
 
 def one_hot(df: DataFrame, col: str, categories: list[str], prefix: str | None = None) -> DataFrame:
-    """DEL-2: one indicator column (double) per known category."""
+    """DEL-2: one indicator column (double) per known category.
+
+    Columns are named by the category; of categories whose names would be
+    the same, the later ones get their position in the vocabulary as well.
+    """
     prefix = prefix or col
+    names: dict[str, str] = {}
+    for i, v in enumerate(categories):
+        name = f"{prefix}_{_safe(v)}"
+        names[name if name not in names else f"{name}_{i}"] = v
     return df.withColumns({
-        f"{prefix}_{_safe(v)}": F.when(F.col(col) == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0))
-        for v in categories})
+        name: F.when(F.col(col) == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)) for name, v in names.items()})
 
 
 def _safe(v: str) -> str:
     return "".join(ch if ch.isalnum() else "_" for ch in str(v))
 
 
-def vocabulary(df: DataFrame, col: str, max_size: int = 10_000) -> list[str]:
-    """Distinct categories of ``col`` (sorted); the vocabulary size is checked."""
-    vals = (df.select(col).where(F.col(col).isNotNull()).distinct()
-            .limit(max_size + 1).collect())
-    if len(vals) > max_size:
-        raise ValueError(f"{col} has more than {max_size} categories")
-    return sorted(v[0] for v in vals)
+def vocabulary(df: DataFrame, col: str) -> list[str]:
+    """Distinct categories of ``col``, sorted: one per indicator column of :func:`one_hot`."""
+    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().sort(col).collect()]
 
 
 def apply_function(df: DataFrame, col: str, fn: Callable[[Column], Column],

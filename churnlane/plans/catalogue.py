@@ -251,11 +251,63 @@ def score_and_append(spark, sf_dir):
     path = scratch_path(spark, "results")
     rows = as_results_rows(_score_events(_t(spark, sf_dir, "events")))
     RS.append_results(spark, path, rows)
-    back = spark.read.parquet(path)
+    back = RS.read_results(spark, path)
     return back.select(*_REQUEST_OUT,
                        F.get_json_object("details", "$.k").cast("long").alias("details_k"))
 
 
+def append_mixed(spark, sf_dir):
+    """SNK-1 STR-1: half of the events appended by batch, half by stream, read back whole."""
+    path, half = scratch_path(spark, "mixed"), scratch_path(spark, "mixed-source")
+    ev = _t(spark, sf_dir, "events")
+    ev.where(F.col("event_id") % 2 == 0).write.parquet(half)
+    RS.append_results(spark, path, as_results_rows(_score_events(ev.where(F.col("event_id") % 2 == 1))))
+    back = ST.stream_to_results(spark, half, ev.schema, lambda b: as_results_rows(_score_events(b)), path,
+                                scratch_path(spark, "mixed-ckpt"), "mixed")
+    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"),
+                    F.min("id").cast("int").alias("first_id"), F.max("id").alias("last_id"),
+                    F.sum("id_user").alias("users"))
+
+
+def erase_then_append(spark, sf_dir):
+    """GOV-1 SNK-1: erased ids are never given again."""
+    path, new = scratch_path(spark, "before"), scratch_path(spark, "after")
+    ev = _t(spark, sf_dir, "events")
+    rows = as_results_rows(_score_events(ev))
+    RS.append_results(spark, path, rows)
+    users = ev.select(F.col("user_id").alias("id")).distinct()
+    G.erase_and_write(spark, users, RS.read_results(spark, path), users.where(F.col("id") % 2 == 0),
+                      results_out=new, old_results_path=path)
+    RS.append_results(spark, new, rows)
+    last = ev.count()
+    return RS.read_results(spark, new).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"),
+        F.min(F.when(F.col("id") > last, F.col("id"))).alias("first_new_id"))
+
+
+def _mixed_requests(spark, sf_dir):
+    """All events as requests; half of them broken in different ways."""
+    reqs = SI.events_as_requests(_t(spark, sf_dir, "events"))
+    kind = F.col("request_id") % 10
+    return reqs.withColumns({
+        "features": F.when(kind == 0, F.lit(None).cast("string")).when(kind == 1, "not json").when(kind == 2, "[1,2]")
+        .when(kind == 3, F.when(F.col("request_id") % 20 == 3, '{"k":"nan"}').otherwise('{"k":"1e400"}'))
+        .when(kind == 5, '{"k":5,"k":6}').otherwise(F.col("features")),
+        "modele": F.when(kind != 4, F.col("modele"))})
+
+
+def requests_ok(spark, sf_dir):
+    """ML-2 ML-10: the requests that can be scored; of a repeated key the last value counts."""
+    ok, _ = predict_with_models(_mixed_requests(spark, sf_dir), SI.EVENTS_MODELS, proba_digits=6)
+    return ok.select("request_id", SC.PROBA)
+
+
+def requests_rejected(spark, sf_dir):
+    """FLT-12 ML-10: the other requests, each with its reason."""
+    _, rejected = predict_with_models(_mixed_requests(spark, sf_dir), SI.EVENTS_MODELS)
+    return rejected.select("request_id", F.col("_reason").alias("reason"))
+
+
 def _by_model(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     reqs = ev.select(F.col("event_id").alias("request_id"),
@@ -392,6 +444,14 @@ def impute_stat(spark, sf_dir):
     return out.select("doc_id", F.round("quality_filled", 6).alias("quality_filled"))
 
 
+def impute_median(spark, sf_dir):
+    """DEL-6: exact median fill; a column without any value stays missing."""
+    o = _t(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice")).alias("price"),
+        F.lit(None).cast("double").alias("nothing"))
+    return SC.apply_impute(o, SC.fit_impute_median(o, ["price", "nothing"]))
+
+
 def one_hot(spark, sf_dir):
     """DEL-2: one indicator per priority (vocabulary from the data, size-checked)."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
@@ -434,22 +494,22 @@ def erase_report(spark, sf_dir):
 
 
 def _registration(spark, sf_dir):
-    ev = _t(spark, sf_dir, "events").where(F.col("event_type") == "signup")
-    incoming = ev.select(F.concat(F.lit(" u"), F.col("user_id").cast("string"), F.lit(" "))
-                         .alias("username"), "event_id", "ts")
-    stored = _t(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING").select(
+    ev = _t(spark, sf_dir, "events")
+    name = F.concat(F.lit(" u"), (F.col("user_id") * 11).cast("string"), F.lit(" "))
+    incoming = ev.select(F.when(F.col("event_id") % 500 != 7, name).alias("username"), "event_id", "ts")
+    stored = _t(spark, sf_dir, "customer").select(
         F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("username"))
     return G.register_unique(incoming, stored, order_cols=["ts", "event_id"])
 
 
 def register_unique(spark, sf_dir):
-    """GOV-2 JOI-6 FLT-9: first signup per stripped name, not already stored."""
+    """GOV-2 JOI-6 FLT-9: first request per stripped name, not already stored."""
     accepted, _ = _registration(spark, sf_dir)
     return accepted.select("username", "event_id")
 
 
 def register_rejected(spark, sf_dir):
-    """GOV-2: duplicate and already-existing signups with their reason."""
+    """GOV-2: every other request with its reason."""
     _, rejected = _registration(spark, sf_dir)
     return rejected.select("username", "event_id", "reason")
 
@@ -465,20 +525,16 @@ def validate_lengths(spark, sf_dir):
     return c.select("c_custkey", G.validation_reason(username, password, ident).alias("reason"))
 
 
-def _surviving_customers(spark, sf_dir):
-    return _t(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
-
-
 def orphan_audit(spark, sf_dir):
-    """GOV-5 JOI-4: events linked to an erased customer."""
-    ev = _t(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("employe_id"))
-    return G.orphans(ev, _surviving_customers(spark, sf_dir), features_key="c_custkey")
+    """GOV-5 JOI-4: events linked to no customer."""
+    ev = _t(spark, sf_dir, "events").select("event_id", (F.col("user_id") * 11).alias("employe_id"))
+    return G.orphans(ev, _t(spark, sf_dir, "customer"), features_key="c_custkey")
 
 
 def orphan_repair(spark, sf_dir):
     """GOV-5 JOI-4: ON DELETE SET NULL applied to the links."""
-    ev = _t(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("employe_id"))
-    return G.repair_orphans(ev, _surviving_customers(spark, sf_dir), features_key="c_custkey")
+    ev = _t(spark, sf_dir, "events").select("event_id", (F.col("user_id") * 11).alias("employe_id"))
+    return G.repair_orphans(ev, _t(spark, sf_dir, "customer"), features_key="c_custkey")
 
 
 # ------------------------------------------------------------ ingest / sinks
@@ -567,6 +623,11 @@ QUERIES = {
     "minmax": minmax,
     "robust": robust,
     "impute_stat": impute_stat,
+    "impute_median": impute_median,
+    "append_mixed": append_mixed,
+    "erase_then_append": erase_then_append,
+    "requests_ok": requests_ok,
+    "requests_rejected": requests_rejected,
     "one_hot": one_hot,
     "model_fit": model_fit,
     "erase_users": erase_users,

@@ -114,16 +114,14 @@ FROM orders
 LI_P = proba_sql(SI.LINEITEM_MODEL)
 
 ERASED = "(SELECT c_custkey FROM customer WHERE c_acctbal < 0)"
-SURVIVOR = ("EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id "
-            "AND c.c_acctbal >= 0)")
+SURVIVOR = "EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id * 11)"
 
 REG = """
 WITH inc AS (
-  SELECT trim(' u' || CAST(user_id AS VARCHAR) || ' ') AS username, event_id, ts
-  FROM events WHERE event_type = 'signup'),
+  SELECT 'u' || CAST(user_id * 11 AS VARCHAR) AS username, event_id, ts FROM events WHERE event_id % 500 <> 7
+  UNION ALL SELECT NULL, event_id, ts FROM events WHERE event_id % 500 = 7),
 r AS (SELECT *, row_number() OVER (PARTITION BY username ORDER BY ts, event_id) AS rn FROM inc),
-s AS (SELECT DISTINCT 'u' || CAST(c_custkey AS VARCHAR) AS username
-      FROM customer WHERE c_mktsegment = 'BUILDING')
+s AS (SELECT DISTINCT 'u' || CAST(c_custkey AS VARCHAR) AS username FROM customer)
 """
 
 DIRTY = f"""
@@ -290,12 +288,16 @@ ORACLE = {
                (SELECT count(*) FROM orders WHERE o_custkey NOT IN {ERASED}) AS results_kept""",
     "register_unique": REG + """
         SELECT username, event_id FROM r
-        WHERE rn = 1 AND username NOT IN (SELECT username FROM s)""",
+        WHERE rn = 1 AND username IS NOT NULL AND length(username) BETWEEN 3 AND 80
+          AND username NOT IN (SELECT username FROM s)""",
     "register_rejected": REG + """
         SELECT username, event_id,
-               CASE WHEN username IN (SELECT username FROM s) THEN 'already_exists'
+               CASE WHEN username IS NULL THEN 'missing_username'
+                    WHEN length(username) NOT BETWEEN 3 AND 80 THEN 'username_length'
+                    WHEN username IN (SELECT username FROM s) THEN 'already_exists'
                     ELSE 'duplicate' END AS reason
-        FROM r WHERE rn > 1 OR username IN (SELECT username FROM s)""",
+        FROM r WHERE username IS NULL OR length(username) NOT BETWEEN 3 AND 80
+                     OR rn > 1 OR username IN (SELECT username FROM s)""",
     "validate_lengths": """
         SELECT c_custkey,
           CASE WHEN NOT regexp_matches(ident, '^[0-9]+$') THEN 'id_not_integer'
@@ -307,10 +309,33 @@ ORACLE = {
                      CAST(c_custkey AS VARCHAR) ||
                        CASE WHEN c_nationkey = 7 THEN 'x' ELSE '' END AS ident
               FROM customer)""",
+    "append_mixed": """
+        SELECT count(*) AS n_rows, count(*) AS n_ids, 1 AS first_id, count(*) AS last_id,
+               sum(user_id) AS users FROM events""",
+    "erase_then_append": """
+        SELECT (SELECT count(*) FROM events WHERE user_id % 2 = 1) + count(*) AS n_rows,
+               count(*) + (SELECT count(*) FROM events WHERE user_id % 2 = 1) AS n_ids,
+               count(*) + 1 AS first_new_id FROM events""",
+    "requests_ok": f"""
+        SELECT event_id AS request_id, round(1 / (1 + exp(-(
+            CAST(-1.0 AS DOUBLE) + CAST(0.03 AS DOUBLE) *
+              ((CASE WHEN event_id % 10 = 5 THEN 6 ELSE CAST(props->>'k' AS DOUBLE) END) - 50.0) / 29.0))), 6)
+          AS probabilite_de_quitter
+        FROM events WHERE event_id % 10 > 4""",
+    "requests_rejected": """
+        SELECT event_id AS request_id, CASE event_id % 10 WHEN 0 THEN 'missing_features'
+          WHEN 1 THEN 'features_not_json' WHEN 2 THEN 'features_not_an_object'
+          WHEN 3 THEN 'value of ''k'' is not finite' ELSE 'missing_model' END AS reason
+        FROM events WHERE event_id % 10 <= 4""",
+    "impute_median": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN
+            (SELECT quantile_cont(o_totalprice, 0.5) FROM orders WHERE o_orderkey % 3 <> 0)
+            ELSE o_totalprice END AS price, CAST(NULL AS DOUBLE) AS nothing
+        FROM orders""",
     "orphan_audit": f"""
-        SELECT e.event_id, e.user_id AS employe_id FROM events e WHERE NOT {SURVIVOR}""",
+        SELECT e.event_id, e.user_id * 11 AS employe_id FROM events e WHERE NOT {SURVIVOR}""",
     "orphan_repair": f"""
-        SELECT e.event_id, CASE WHEN {SURVIVOR} THEN e.user_id END AS employe_id FROM events e""",
+        SELECT e.event_id, CASE WHEN {SURVIVOR} THEN e.user_id * 11 END AS employe_id FROM events e""",
     "table_count": "SELECT count(*) AS n FROM lineitem",
     "load_if_empty": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "evolve_schema": """

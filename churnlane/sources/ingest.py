@@ -210,11 +210,15 @@ def load_if_empty(spark: SparkSession, path: str, rows: DataFrame,
     """SRC-4 / SNK-2: append ``rows`` only if the stored table has no row.
 
     Idempotent across restarts.  ``isEmpty`` stops at the first row found.
+    Columns that the target lacks are an error: nothing is dropped silently.
     Returns True when rows were loaded.
     """
     target = spark.read.format(fmt).load(path)
     if not target.isEmpty():
         return False
+    extra = [c for c in rows.columns if c not in target.columns]
+    if extra:
+        raise ValueError(f"{path} has no column for {extra}; evolve its schema first (ensure_columns)")
     rows.select(*target.columns).write.mode("append").format(fmt).save(path)
     return True
 

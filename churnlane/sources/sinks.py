@@ -6,6 +6,10 @@ column appears as null for older rows, as ``ADD COLUMN IF NOT EXISTS`` does.
 
 from __future__ import annotations
 
+import hashlib
+import time
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,39 +38,101 @@ def union_evolving(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def _ledger_path(path: str) -> str:
-    # Readers skip paths starting with "_", so the ledger lives inside the table.
-    return f"{path.rstrip('/')}/_id_ledger"
+def _ledger(spark: SparkSession, path: str):
+    """(file system, JVM path) of a table's id ledger.
+
+    Readers skip paths starting with "_", so the ledger lives inside the table.
+    """
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_id_ledger")
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _ledger_names(fs, ledger, prefix: str) -> list[str]:
+    if not fs.exists(ledger):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(ledger)
+                  if st.getPath().getName().startswith(prefix))
+
+
+def _read_claim(spark: SparkSession, fs, file, wait_s: float = 10.0) -> tuple[int, int]:
+    """(first, last) of a ledger file; waits for a writer that has just created it."""
+    until = time.monotonic() + wait_s
+    while True:
+        stream = fs.open(file)
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        if text.endswith("\n"):
+            first, last = text.split()
+            return int(first), int(last)
+        if time.monotonic() > until:
+            raise RuntimeError(f"{file.toString()} was claimed but never filled in: a writer died; "
+                               "delete the file once no append runs")
+        time.sleep(0.05)
+
+
+def _claim(spark: SparkSession, fs, file, first: int, last: int) -> bool:
+    """Create ``file`` with the range; False when it is there already (nothing is overwritten)."""
+    try:
+        out = fs.create(file, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception.getClass().getName()) or fs.exists(file):
+            return False
+        raise
+    out.write(bytearray(f"{first} {last}\n".encode()))
+    out.close()
+    return True
 
 
 def reserve_ids(spark: SparkSession, path: str, n: int, key: str | None = None) -> int:
     """Reserve ``n`` ids for ``path``; returns the first one.
 
-    The ledger holds one tiny row per append (first, last id, optional key),
-    so the next id never needs a scan of the results.  A table written before
-    the ledger existed is scanned once for its maximum.  The reservation is
-    written before the data: a failed append leaves a gap, never a duplicate
-    id.  With ``key`` (e.g. a stream's batch) a second reservation under the
-    same key returns the first one's range, so a replayed batch gets the
-    same ids.  One ledger row per append: compact it with the table.
+    Each reservation is a file in the ledger named by its first id, which must
+    not exist yet: of two writers that want the same range one creates it, the
+    other reads it and goes on behind it (on file systems whose create without
+    overwrite is atomic, as HDFS and local ones; an object store without that
+    needs one writer at a time).  A table written before the ledger existed is
+    scanned once for its maximum.  The range is claimed before the data is
+    written: a failed append leaves a gap, never a duplicate id.  With ``key``
+    (e.g. a stream's batch) a second reservation returns the first one's
+    range, so a replayed batch gets the same ids.
     """
-    ledger = _ledger_path(path)
-    if path_exists(spark, ledger):
-        led = spark.read.parquet(ledger)
-        if key is not None and "key" in led.columns:
-            hit = led.where(F.col("key") == F.lit(key)).select("first_id").limit(1).collect()
-            if hit:
-                return hit[0]["first_id"]
-        last = led.agg(F.max("last_id").alias("m")).first()["m"] or 0
+    fs, ledger = _ledger(spark, path)
+    child = spark._jvm.org.apache.hadoop.fs.Path
+    mark = None
+    if key is not None:
+        mark = child(ledger, f"key-{hashlib.sha256(key.encode()).hexdigest()}")
+        if fs.exists(mark):
+            return _read_claim(spark, fs, mark)[0]
+    claims = _ledger_names(fs, ledger, "ids-")
+    if claims:
+        last = _read_claim(spark, fs, child(ledger, claims[-1]))[1]
     elif path_exists(spark, path):
-        last = spark.read.parquet(path).agg(F.max("id").alias("m")).first()["m"] or 0
+        stored = spark.read.option("recursiveFileLookup", "true").parquet(path)
+        last = stored.agg(F.max("id").alias("m")).first()["m"] or 0
     else:
         last = 0
-    spark.createDataFrame([(last + 1, last + n, key)], "first_id long, last_id long, key string") \
-        .coalesce(1).write.mode("append").option("mergeSchema", "true").parquet(ledger)
+    while not _claim(spark, fs, file := child(ledger, f"ids-{last + 1:020d}"), last + 1, last + n):
+        last = _read_claim(spark, fs, file)[1]
+    if mark is not None:
+        _claim(spark, fs, mark, last + 1, last + n)
     return last + 1
 
 
+def carry_ledger(spark: SparkSession, old_path: str, new_path: str) -> None:
+    """Let ``new_path``, a rewritten version of ``old_path``, continue its ids.
+
+    The highest reserved id goes over even when its rows do not, so an id is
+    never given twice; the keys of replayable batches go over as well.
+    """
+    fs, old = _ledger(spark, old_path)
+    new_fs, new = _ledger(spark, new_path)
+    util, child = spark._jvm.org.apache.hadoop.fs.FileUtil, spark._jvm.org.apache.hadoop.fs.Path
+    for name in [*_ledger_names(fs, old, "ids-")[-1:], *_ledger_names(fs, old, "key-")]:
+        new_fs.mkdirs(new)
+        util.copy(fs, child(old, name), new_fs, child(new, name), False,
+                  spark._jsc.hadoopConfiguration())
+
+
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int,
                    sort: bool = True, mode: str = "overwrite") -> DataFrame:
     """Write ``df`` as a catalog table bucketed (and sorted) by ``key``.
@@ -83,29 +149,15 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int,
     return df.sparkSession.table(table)
 
 
-def compact_ledger(spark: SparkSession, path: str, keep_keyed: int = 1000) -> int:
-    """Rewrite the id ledger of ``path`` as one small file; returns its rows.
+def compact_ledger(spark: SparkSession, path: str) -> int:
+    """Delete the reservations that later ones replace; returns the files left.
 
-    Keeps one row carrying the highest reserved id and the ``keep_keyed``
-    most recent keyed reservations (the only ones a stream can replay).  The
-    kept rows are bounded, so they are collected first and then written over
-    the ledger.  Run it while no append is running.  If it is interrupted,
-    the next reservation falls back to one scan of the table's ids, and a
-    replayed batch whose key was dropped gets new ids but still overwrites
-    its own partition, so no id and no row is duplicated either way.
+    The last range and every key stay, so ids continue and any batch that a
+    stream's checkpoint can replay keeps its range.  Safe beside appends: a
+    file is only deleted when a later one exists.
     """
-    ledger = _ledger_path(path)
-    if not path_exists(spark, ledger):
-        return 0
-    led = spark.read.parquet(ledger)
-    top = led.agg(F.max("last_id").alias("m")).first()["m"]
-    if top is None:
-        return 0
-    keyed = (led.where(F.col("key").isNotNull()).orderBy(F.col("last_id").desc())
-             .limit(keep_keyed).collect()) if "key" in led.columns else []
-    rows = [(r["first_id"], r["last_id"], r["key"]) for r in keyed]
-    if not any(r[1] == top for r in rows):
-        rows.append((top, top, None))
-    spark.createDataFrame(rows, "first_id long, last_id long, key string") \
-        .coalesce(1).write.mode("overwrite").parquet(ledger)
-    return len(rows)
+    fs, ledger = _ledger(spark, path)
+    child = spark._jvm.org.apache.hadoop.fs.Path
+    for name in _ledger_names(fs, ledger, "ids-")[:-1]:
+        fs.delete(child(ledger, name), False)
+    return len(_ledger_names(fs, ledger, "ids-")) + len(_ledger_names(fs, ledger, "key-"))

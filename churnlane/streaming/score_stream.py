@@ -42,7 +42,11 @@ def run_to_parquet(stream: DataFrame, out_path: str, checkpoint: str,
               .option("checkpointLocation", checkpoint).option("path", out_path))
     writer = writer.trigger(availableNow=True) if available_now else writer
     q = writer.start()
-    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"the stream did not finish within {timeout_s} s; its checkpoint resumes it")
     return q
 
 
@@ -83,11 +87,11 @@ def stream_to_results(spark: SparkSession, source_path: str, schema: T.StructTyp
     batches, and a batch replayed after a failure rewrites the same rows with
     the same ids.  Returns the results table read back.
     """
-    from churnlane.operators.results import append_batch
+    from churnlane.operators.results import append_batch, read_results
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         append_batch(spark, results_path, to_rows(batch), f"{query_name}-{batch_id}")
 
     q = foreach_batch_append(read_stream(spark, source_path, schema, glob=glob), sink, checkpoint)
     q.awaitTermination()
-    return spark.read.parquet(results_path)
+    return read_results(spark, results_path)

@@ -75,7 +75,7 @@ def test_stream_restart_adds_nothing(spark):
 def test_stream_to_results_ids_and_replay(spark):
     from pyspark.sql import functions as F
     from churnlane.operators.predict import as_results_rows
-    from churnlane.operators.results import append_batch
+    from churnlane.operators.results import append_batch, read_results
     path = scratch_path(spark, "sr")
     schema = C._t(spark, SF_SMALL, "events").schema
     back = ST.stream_to_results(spark, SF_SMALL, schema,
@@ -86,7 +86,7 @@ def test_stream_to_results_ids_and_replay(spark):
     # replaying batch 0 rewrites the same rows with the same ids
     rows = as_results_rows(C._score_events(C._t(spark, SF_SMALL, "events")))
     append_batch(spark, path, rows, "t-0")
-    again = spark.read.parquet(path)
+    again = read_results(spark, path)
     assert again.count() == n and again.agg(F.max("id")).first()[0] == n
 
 

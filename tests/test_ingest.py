@@ -103,12 +103,28 @@ def test_headers_with_dots_and_spaces(spark, tmp_dir):
     assert [(r["id"], r["a.b"], r["c d"], r["e"]) for r in rows] == [(1, 1, "x", 2.5), (2, 2, "y", None)]
 
 
-def test_compact_ledger_keeps_continuation_and_recent_keys(spark, tmp_dir):
+def test_compact_ledger_keeps_continuation_and_every_key(spark, tmp_dir):
     from churnlane.sources.sinks import compact_ledger, reserve_ids
     path = f"{tmp_dir}/ledgered"
     firsts = [reserve_ids(spark, path, 5, key=f"s-{b}") for b in range(6)]
     assert firsts == [1, 6, 11, 16, 21, 26]
-    assert compact_ledger(spark, path, keep_keyed=2) == 2
-    assert spark.read.parquet(f"{path}/_id_ledger").count() == 2
-    assert reserve_ids(spark, path, 5, key="s-5") == 26      # recent batch replays same ids
+    assert compact_ledger(spark, path) == 1 + 6
+    assert [reserve_ids(spark, path, 5, key=f"s-{b}") for b in range(6)] == firsts   # any batch replays
     assert reserve_ids(spark, path, 3) == 31                 # continuation kept
+
+
+def test_two_writers_never_share_a_range(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from churnlane.sources.sinks import reserve_ids
+    path = f"{tmp_dir}/raced"
+    with ThreadPoolExecutor(8) as pool:
+        firsts = sorted(pool.map(lambda _: reserve_ids(spark, path, 4), range(24)))
+    assert firsts == list(range(1, 97, 4))
+
+
+def test_load_if_empty_refuses_to_drop_columns(spark, tmp_dir):
+    import pytest
+    IN.create_table_if_absent(spark, f"{tmp_dir}/t", T.StructType([T.StructField("id", T.LongType())]))
+    with pytest.raises(ValueError):
+        IN.load_if_empty(spark, f"{tmp_dir}/t", spark.createDataFrame([(1, 2)], "id long, other long"))

@@ -95,7 +95,7 @@ def test_append_assigns_dense_continuing_ids(spark, tmp_dir):
     assert rejected.count() == 0
     RS.append_results(spark, path, as_results_rows(scored))
     RS.append_results(spark, path, as_results_rows(scored.limit(5)))
-    back = spark.read.parquet(path)
+    back = RS.read_results(spark, path)
     ids = sorted(r.id for r in back.collect())
     assert ids == list(range(1, 26))
     names = {(r.prenom, r.nom) for r in back.collect()}
@@ -168,3 +168,17 @@ def test_feature_names_with_dots_and_quotes(spark):
     import math
     for scored in (predict_requests(reqs, m)[0], predict_with_models(reqs, {"m": m})[0]):
         assert scored.first().probabilite_de_quitter == 1 / (1 + math.exp(-2.0))
+
+
+def test_old_root_files_and_appends_are_read_together(spark, tmp_dir):
+    from pyspark.sql.types import StructType
+
+    from churnlane import schemas as S
+    path = f"{tmp_dir}/old"
+    row = tuple(1 if f.name == "id" else None for f in S.RESULTS_SCHEMA.fields)
+    spark.createDataFrame([row], S.RESULTS_SCHEMA).write.parquet(path)
+    rows = spark.createDataFrame([row[1:]], StructType(S.RESULTS_SCHEMA.fields[1:]))
+    assert RS.append_results(spark, path, rows) == 1
+    assert RS.append_batch(spark, path, rows, "s-0") == 1
+    assert RS.append_batch(spark, path, rows, "s-0") == 1      # replayed
+    assert sorted(r.id for r in RS.read_results(spark, path).collect()) == [1, 2, 3]
