@@ -10,14 +10,15 @@ costs one entry per chunk.
 
 from __future__ import annotations
 
+import gc
 import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlane.llm.kernels import U64, binary
+from churnlane.llm.kernels import U64, binary, pack40, unpack40
 from churnlane.llm.ship import ship
 
 BLOB = "bucket int, chunk int, hashes binary, flags binary"
@@ -46,8 +47,12 @@ def bucket_bits(docs: DataFrame) -> int:
     return max(6, math.ceil(math.log2(2 * parts)))
 
 
-def pack(hashes: np.ndarray, flags: np.ndarray, bits: int, chunk: int) -> pa.Table:
-    """One row per bucket (the leading ``bits`` of a hash) of sorted distinct ``hashes``."""
+def pack(hashes: np.ndarray, flags: np.ndarray, bits: int, chunk: int, short: bool = False) -> pa.Table:
+    """One row per bucket (the leading ``bits`` of a hash) of sorted distinct ``hashes``.
+
+    ``short`` keeps 40 bits of each, for filters that may let a few more through.
+    """
+    as_bytes = pack40 if short else (lambda x: x.tobytes())
     bucket = (hashes >> U64(64 - bits)).astype(np.int64)
     cut = np.flatnonzero(np.diff(bucket)) + 1
     lo = np.concatenate([[0], cut]) if len(hashes) else np.zeros(0, np.int64)
@@ -56,7 +61,7 @@ def pack(hashes: np.ndarray, flags: np.ndarray, bits: int, chunk: int) -> pa.Tab
     return pa.table({
         "bucket": pa.array(bucket[lo], pa.int32()),
         "chunk": pa.array(np.full(len(lo), chunk), pa.int32()),
-        "hashes": binary([hashes[a:b].tobytes() for a, b in zip(lo, hi)]),
+        "hashes": binary([as_bytes(hashes[a:b]) for a, b in zip(lo, hi)]),
         "flags": binary([flags[a:b].tobytes() for a, b in zip(lo, hi)]),
     })
 
@@ -73,9 +78,9 @@ def unpacked(bits: pa.Table, level: int, size: int) -> np.ndarray:
     return got
 
 
-def _together(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray]:
+def _together(table: pa.Table, short: bool = False) -> tuple[list[int], np.ndarray, np.ndarray]:
     chunks = table.column("chunk").to_pylist()
-    parts = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
+    parts = [unpack40(x) if short else np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
     sizes = np.array([len(p) for p in parts], dtype=np.int64)
     return chunks, np.concatenate(parts), sizes
 
@@ -91,14 +96,14 @@ def _answer(chunks: list[int], sizes: np.ndarray, hit: np.ndarray, level: int, b
     })
 
 
-def held_elsewhere(blobs: DataFrame, level: int) -> DataFrame:
+def held_elsewhere(blobs: DataFrame, level: int, short: bool = False) -> DataFrame:
     """One bit per packed hash: it occurs in two documents or more.
 
     ``flags`` (uint8) say that it already does so inside its own chunk.
     """
 
     def compare(table: pa.Table) -> pa.Table:
-        chunks, h, sizes = _together(table)
+        chunks, h, sizes = _together(table, short)
         own = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("flags").to_pylist()])
         order = np.argsort(h, kind="stable")
         s = h[order]
@@ -111,6 +116,16 @@ def held_elsewhere(blobs: DataFrame, level: int) -> DataFrame:
     return blobs.groupBy("bucket").applyInArrow(compare, BITS)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    Its cleaner waits for the driver's garbage collection, which a driver
+    with little to do may not run for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def held_before(blobs: DataFrame, level: int) -> DataFrame:
     """One bit per packed hash: a smaller ``flags`` value (int64) has it in another chunk."""
 

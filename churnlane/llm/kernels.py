@@ -77,7 +77,7 @@ class Words:
     def __init__(self, buf: np.ndarray, offsets: np.ndarray, lower: bool):
         if lower:
             buf = _LOWER[buf]
-        self.buf, n = buf, len(buf)
+        self.buf, self.offsets, n = buf, offsets, len(buf)
         inside = WORD_BYTES[buf]
         edge = np.zeros(n + 1, dtype=bool)
         edge[offsets] = True
@@ -185,3 +185,25 @@ def to_long(x: np.ndarray) -> np.ndarray:
 
 def binary(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, type=pa.binary())
+
+
+def pack48(x: np.ndarray) -> bytes:
+    """The leading 48 bits of each value, 6 bytes each (two planes)."""
+    return (x >> U64(32)).astype(np.uint32).tobytes() + ((x >> U64(16)) & U64(0xFFFF)).astype(np.uint16).tobytes()
+
+
+def unpack48(raw: bytes) -> np.ndarray:
+    n = len(raw) // 6
+    high = np.frombuffer(raw, np.uint32, n).astype(np.uint64)
+    return (high << U64(32)) | (np.frombuffer(raw, np.uint16, n, 4 * n).astype(np.uint64) << U64(16))
+
+
+def pack40(x: np.ndarray) -> bytes:
+    """The leading 40 bits of each value, 5 bytes each."""
+    return (x >> U64(32)).astype(np.uint32).tobytes() + ((x >> U64(24)) & U64(0xFF)).astype(np.uint8).tobytes()
+
+
+def unpack40(raw: bytes) -> np.ndarray:
+    n = len(raw) // 5
+    high = np.frombuffer(raw, np.uint32, n).astype(np.uint64)
+    return (high << U64(32)) | (np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.uint64) << U64(24))

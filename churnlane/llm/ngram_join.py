@@ -11,10 +11,12 @@ signatures of a set are the hashes of those pairs of thirds.
    missing from its partner, so the other elements occur elsewhere.
 2. The rest emit PartEnum signatures for each pair of size bands that can
    hold a link.  Copies (equal sets) emit them once a chunk.
-3. Sets that share a signature are paired with the group's hub and with their
-   neighbour, and verified on the whole sets; components join the links.
-4. Signature groups that the links leave in several components are verified
-   pair by pair across components, so no link is lost.
+3. Sets that share a signature are paired and verified on the whole sets; in
+   a large group each is paired with the group's hub only.  Components join
+   the links.
+4. Where the sets of large groups are left in several components, the sets
+   outside the main one are compared with all others, a block of sets at a
+   time, so that no link between components is lost.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.chunks import BITS, BLOB, bucket_bits, chunked, held_elsewhere, pack, unpacked
+from churnlane.llm.chunks import BLOB, bucket_bits, chunked, held_elsewhere, pack, release, unpacked
 from churnlane.llm.components import components
-from churnlane.llm.kernels import U64, binary, mix64, shingle_sets, starts_of, to_long
+from churnlane.llm.kernels import U64, binary, mix64, pack48, shingle_sets, starts_of, to_long, unpack48
 from churnlane.session import scratch_path
 
 #: Similarity bound: den * intersection >= num * union.
@@ -35,8 +37,13 @@ NUM, DEN = 3, 4
 SEEDS = 4
 _HALF = U64(1) << U64(63)
 
-_OUT = ("kind int, id long, n long, set_id long, bucket int, chunk int, "
-        "hashes binary, owner binary, sets binary")
+#: Groups of one signature up to this size are paired whole at once.
+SMALL_GROUP = 6
+#: Sets whose signatures are made at a time.
+_BATCH = 1000
+
+_OUT = "kind int, id long, n long, set_id long, elements binary"
+_SIGS = "bucket int, sigs binary, owner binary, sets binary"
 
 
 def size_bands(largest: int) -> list[tuple[int, int]]:
@@ -123,87 +130,176 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sig_parts), np.concatenate(own_parts)
 
 
-def _half_of(sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which elements lie in the counted half of the domain, and their 63-bit value moved up."""
-    return sets < _HALF, sets << U64(1)
+def _rows(kind: int, ids, n, set_ids, elements) -> pa.Table:
+    return pa.table({"kind": pa.array([kind] * len(n), pa.int32()), "id": ids, "n": pa.array(n, pa.int64()),
+                     "set_id": set_ids, "elements": elements})
+
+
+def _signed(batches):
+    """Signature rows of (set_id, rank, elements): one per bucket and batch of sets."""
+    for whole in batches:
+        for i in range(0, whole.num_rows, _BATCH):
+            batch = whole.slice(i, _BATCH)
+            names = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                              for c in ("set_id", "rank")], axis=1)
+            bits = batch.column("bits")[0].as_py()
+            sig, own = signatures([unpack48(x) for x in batch.column("elements").to_pylist()])
+            order = np.argsort(sig, kind="stable")
+            sig, own = sig[order], own[order]
+            bucket = (sig >> U64(64 - bits)).astype(np.int64)
+            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(sig) else []
+            ends = [*cut[1:], len(sig)]
+            some = [np.unique(own[a:b], return_inverse=True) for a, b in zip(cut, ends)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([int(bucket[a]) for a in cut], pa.int32()),
+                binary([pack48(sig[a:b]) for a, b in zip(cut, ends)]),
+                binary([x.astype(np.uint16).tobytes() for _, x in some]),
+                binary([names[u].tobytes() for u, _ in some])], ["bucket", "sigs", "owner", "sets"])
+
+
+def _groups(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures and (set_id, rank) of one bucket that several sets share, by signature and rank."""
+    sig, names = [], []
+    for h, o, s in zip(*(table.column(c).to_pylist() for c in ("sigs", "owner", "sets"))):
+        sig.append(unpack48(h))
+        names.append(np.frombuffer(s, np.int64).reshape(-1, 2)[np.frombuffer(o, np.uint16)])
+    sig, names = np.concatenate(sig), np.concatenate(names)
+    order = np.argsort(sig, kind="stable")
+    sig, names = sig[order], names[order]
+    shared = np.zeros(len(sig), dtype=bool)
+    shared[1:] = sig[1:] == sig[:-1]
+    shared[:-1] |= shared[1:]
+    sig, names = sig[shared], names[shared]
+    order = np.lexsort((names[:, 0], names[:, 1], sig))
+    sig, names = sig[order], names[order]
+    keep = np.ones(len(sig), dtype=bool)
+    keep[1:] = (sig[1:] != sig[:-1]) | (names[1:, 0] != names[:-1, 0])
+    return sig[keep], names[keep]
 
 
-def _counted(table: pa.Table, width: int, bits: int):
-    sets, sizes = shingle_sets(table.column("text"), width, lower=True)
-    half, moved = _half_of(sets)
-    distinct, back, times = np.unique(moved[half], return_inverse=True, return_counts=True)
-    return sets, sizes, half, distinct, back, times
+def _distinct_pairs(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
+    """(a, b) with a < b, each once."""
+    a = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, np.int64)
+    b = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, np.int64)
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    keep = a != b
+    keep[1:] &= (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return pa.table({"a": pa.array(a[keep], pa.int64()), "b": pa.array(b[keep], pa.int64())})
 
 
-def _doc_rows(ids, sizes, set_ids, chunk) -> pa.Table:
-    n = len(sizes)
-    none = pa.nulls(n, pa.binary())
-    return pa.table({"kind": pa.array([0] * n, pa.int32()), "id": ids,
-                     "n": pa.array(sizes, pa.int64()), "set_id": set_ids,
-                     "bucket": pa.nulls(n, pa.int32()), "chunk": pa.array([chunk] * n, pa.int32()),
-                     "hashes": none, "owner": none, "sets": none})
+def _run_of(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry: the first entry of its run of equal signatures, and the run's length."""
+    lead = np.ones(len(sig), dtype=bool)
+    lead[1:] = sig[1:] != sig[:-1]
+    at = np.maximum.accumulate(np.where(lead, np.arange(len(sig)), 0))
+    return at, np.bincount(at, minlength=len(sig))[at]
 
 
-def _pairs_of(run: np.ndarray, sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hub, member) and (member, next member) of each run of equal signatures."""
-    lead = np.ones(len(run), dtype=bool)
-    np.not_equal(run[1:], run[:-1], out=lead[1:])
-    at = np.maximum.accumulate(np.where(lead, np.arange(len(run)), 0))
-    i = np.flatnonzero(~lead)
-    a = np.concatenate([sets[at[i]], sets[i - 1]])
-    b = np.concatenate([sets[i], sets[i]])
-    return a, b
+def _meeting(small: int):
+    """Function of one bucket: candidate pairs (a, b, hub) of sets that share a signature.
 
+    Groups of up to ``small`` sets are paired whole; in a larger one every set
+    is paired with the group's hub only, the set of the least document.
+    """
 
-def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    keep = np.ones(len(a), dtype=bool)
-    if len(a):
-        keep[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    keep &= a != b
-    return a[keep], b[keep]
-
-
-_CAND = "kind int, a long, b long, members binary"
-
-
-def _meet(table: pa.Table) -> pa.Table:
-    """Pairs and larger groups of distinct sets that share a signature of one bucket."""
-    sig, sets, first = [], [], []
-    for h, o, s in zip(*(table.column(c).to_pylist() for c in ("hashes", "owner", "sets"))):
-        known = np.frombuffer(s, np.int64).reshape(-1, 2)
-        own = np.frombuffer(o, np.uint32)
-        sig.append(np.frombuffer(h, np.uint64))
-        sets.append(known[own, 0])
-        first.append(known[own, 1])
-    sig, sets, first = np.concatenate(sig), np.concatenate(sets), np.concatenate(first)
-    order = np.lexsort((first, sets, sig))
-    sig, sets, first = sig[order], sets[order], first[order]
-    keep = np.ones(len(sig), dtype=bool)
-    keep[1:] = (sig[1:] != sig[:-1]) | (sets[1:] != sets[:-1])
-    sig, sets, first = sig[keep], sets[keep], first[keep]
-    again = np.zeros(len(sig), dtype=bool)
-    again[1:] = sig[1:] == sig[:-1]
-    shared = again.copy()
-    shared[:-1] |= again[1:]
-    sig, sets, first = sig[shared], sets[shared], first[shared]
-    order = np.lexsort((sets, first, sig))  # the hub is the set seen in the least document
-    sig, sets, first = sig[order], sets[order], first[order]
-    a, b = _distinct_pairs(*_pairs_of(sig, sets, first))
-    rows = [pa.table({"kind": pa.array(np.zeros(len(a)), pa.int32()), "a": pa.array(a, pa.int64()),
-                      "b": pa.array(b, pa.int64()), "members": pa.nulls(len(a), pa.binary())})]
-    cut = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
-    size = np.diff(np.concatenate([cut, [len(sig)]]))
-    if len(cut):
-        total = np.add.reduceat(mix64(sets.view(np.uint64)), cut)
-        _, one = np.unique(np.where(size > 2, total, U64(0)), return_index=True)
-        one = [i for i in one if size[i] > 2]
-        rows.append(pa.table({
-            "kind": pa.array([1] * len(one), pa.int32()), "a": pa.array(to_long(total[one]), pa.int64()),
-            "b": pa.array(size[one], pa.int64()),
-            "members": binary([sets[cut[i]: cut[i] + size[i]].tobytes() for i in one])}))
-    return pa.concat_tables(rows)
+    def meet(table: pa.Table) -> pa.Table:
+        sig, names = _groups(table)
+        sets = names[:, 0]
+        at, size = _run_of(sig)
+        pairs = []
+        for d in range(1, small):
+            i = np.flatnonzero((sig[d:] == sig[:-d]) & (size[d:] <= small))
+            pairs.append((sets[i], sets[i + d]))
+        member = np.flatnonzero(size > small)
+        whole, star = _distinct_pairs(pairs), _distinct_pairs([(sets[at[member]], sets[member])])
+        return pa.concat_tables([t.append_column("hub", pa.array([k] * len(t), pa.bool_()))
+                                 for t, k in ((whole, False), (star, True))])
+
+    return meet
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray], tile: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set."""
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    x, y = np.concatenate(left), np.concatenate(right)
+    xi = np.repeat(np.arange(len(left)), [len(s) for s in left])
+    yi = np.repeat(np.arange(len(right)), [len(s) for s in right])
+    both = np.intersect1d(x, y)
+    for i in range(0, len(both), tile):
+        part = both[i: i + tile]
+        grid = []
+        for values, owner, n in ((x, xi, len(left)), (y, yi, len(right))):
+            at = np.searchsorted(part, values).clip(0, len(part) - 1)
+            ok = part[at] == values
+            g = np.zeros((n, len(part)), dtype=np.float32)
+            g[owner[ok], at[ok]] = 1
+            grid.append(g)
+        out += grid[0] @ grid[1].T
+    return out
+
+
+def _block_links(batches):
+    """Links between two blocks of a cluster that join different components: a forest of them."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            left, right = row["one"], row["two"]
+            x, y = ([unpack48(e["elements"]) for e in side] for side in (left, right))
+            common = _common(x, y)
+            sizes = np.add.outer([len(s) for s in x], [len(s) for s in y])
+            lx, ly = (np.array([e["label"] for e in side], np.int64) for side in (left, right))
+            ok = (DEN * common >= NUM * (sizes - common)) & np.not_equal.outer(lx, ly)
+            root: dict[int, int] = {}
+
+            def find(v: int) -> int:
+                while root.get(v, v) != v:
+                    v = root[v]
+                return v
+
+            a, b = [], []
+            for i, j in zip(*np.nonzero(ok)):
+                p, q = find(int(lx[i])), find(int(ly[j]))
+                if p != q:
+                    root[max(p, q)] = min(p, q)
+                    a.append(left[i]["set_id"])
+                    b.append(right[j]["set_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _links_across(stars: DataFrame, sets: DataFrame, label: DataFrame, block: int = 256) -> DataFrame:
+    """Links that join components of ``label`` inside the clusters that large groups form.
+
+    Sets of one large group are in one cluster, joined by its hub.  In a
+    cluster of several components all sets outside the main one are compared
+    with all sets, block by block: a row is a pair of blocks, not of sets, and
+    no task holds more than two blocks.
+    """
+    cluster = components(stars)
+    hot = (cluster.join(label.select(F.col("node"), F.col("label").alias("lab")), "node", "left")
+           .select(F.col("node").alias("set_id"), F.col("label").alias("cluster"),
+                   F.coalesce("lab", "node").alias("label")))
+    sizes = hot.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
+    shape = (sizes.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("main"),
+                                          F.max("n").alias("n_main"), F.sum("n").alias("n"))
+             .where("n > n_main")
+             .select("cluster", "main", F.ceil(F.col("n_main") / block).alias("mains"),
+                     F.ceil((F.col("n") - F.col("n_main")) / block).alias("rests")))
+    placed = hot.join(shape, "cluster").withColumn(
+        "side", (F.col("label") != F.col("main")).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("set_id"), F.when(F.col("side") == 1, F.col("rests")).otherwise(F.col("mains"))))
+    blocks = (placed.select("set_id", "cluster", "label", "side", "block").join(sets.select("set_id", "elements"), "set_id")
+              .groupBy("cluster", "side", "block")
+              .agg(F.collect_list(F.struct("set_id", "label", "elements")).alias("sets")))
+    rest = shape.select("cluster", "mains", "rests", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("i"))
+    pairs = (rest.select("cluster", "i", F.lit(1).alias("side"), F.explode(
+        F.sequence(F.col("i"), F.col("rests") - 1)).alias("j"))
+        .unionByName(rest.select("cluster", "i", F.lit(0).alias("side"), F.explode(
+            F.sequence(F.lit(0), F.col("mains") - 1)).alias("j"))))
+    one = blocks.where("side = 1").select("cluster", F.col("block").alias("i"), F.col("sets").alias("one"))
+    two = blocks.select("cluster", "side", F.col("block").alias("j"), F.col("sets").alias("two"))
+    return (pairs.join(one, ["cluster", "i"]).join(two, ["cluster", "side", "j"]).select("one", "two")
+            .mapInArrow(_block_links, "a long, b long"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -213,139 +309,112 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             ok = []
             for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([x, y])
+                both = np.concatenate([unpack48(x), unpack48(y)])
+                n = len(both)
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
-                ok.append(DEN * common >= NUM * (len(x) + len(y) - common))
+                ok.append(DEN * common >= NUM * (n - common))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    left = sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("sa"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("sb"))
+    left = sets.select(F.col("set_id").alias("a"), F.col("elements").alias("sa"))
+    right = sets.select(F.col("set_id").alias("b"), F.col("elements").alias("sb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
-def _across(batches):
-    """Pairs of a group's members that lie in different components."""
-    for batch in batches:
-        for members, labels in zip(batch.column("members").to_pylist(), batch.column("labels").to_pylist()):
-            m, lab = np.array(members, np.int64), np.array(labels, np.int64)
-            for d in range(1, len(m)):
-                other = lab[d:] != lab[:-d]
-                if other.any():
-                    a, b = m[:-d][other], m[d:][other]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))],
-                                                     ["a", "b"])
-
-
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       width: int = 5) -> DataFrame:
-    """(id, n_shingles, component_id, set_id) for every row of ``docs``.
-
-    ``n_shingles`` counts the distinct ``width``-word n-grams of the whole
-    text (A-Z lower-cased); a text with fewer words, but not none, has one,
-    and a null or empty text none.  ``component_id`` is the smallest id
-    reachable over links, its own included; a document without n-grams links
-    with nothing.  Rows with equal ids stay separate rows.  A row without an
-    id never names a component; alone, its component is null.  Columns other
-    than the two named are ignored, so their names cannot clash.
-    """
-    spark = docs.sparkSession
+def _candidates(docs: DataFrame, id_col: str, text_col: str, width: int, path: str) -> DataFrame:
+    """Writes and returns (kind 0) every row's id, set size and set id, (kind 2) the sets that may link."""
     texts = chunked(docs, id_col, text_col)
     bits = bucket_bits(docs)
 
+    def counted(table: pa.Table):
+        sets, sizes = shingle_sets(table.column("text"), width, lower=True)
+        half = sets < _HALF
+        distinct, back, times = np.unique((sets[half] >> U64(23)) << U64(24), return_inverse=True, return_counts=True)
+        return sets, sizes, half, distinct, back, times
+
     def ask(table: pa.Table) -> pa.Table:
-        _, _, _, distinct, _, times = _counted(table, width, bits)
-        return pack(distinct, (times > 1).astype(np.uint8), bits, table.column("chunk")[0].as_py())
+        _, _, _, distinct, _, times = counted(table)
+        return pack(distinct, (times > 1).astype(np.uint8), bits, table.column("chunk")[0].as_py(), short=True)
 
-    answers = held_elsewhere(texts.groupBy("chunk").applyInArrow(ask, BLOB), 1)
+    answers = held_elsewhere(texts.groupBy("chunk").applyInArrow(ask, BLOB), 1, short=True)
 
     def emit(table: pa.Table, got: pa.Table) -> pa.Table:
         if not len(table):
-            return _doc_rows(pa.array([], pa.int64()), [], pa.array([], pa.int64()), 0)
-        chunk = table.column("chunk")[0].as_py()
-        sets, sizes, half, distinct, back, _ = _counted(table, width, bits)
+            none = pa.array([], pa.int64())
+            return _rows(0, none, [], none, binary([]))
+        sets, sizes, half, distinct, back, _ = counted(table)
         known = unpacked(got, 1, len(distinct))[back]
         at = starts_of(sizes)
         doc = np.repeat(np.arange(len(sizes)), sizes)
-        counted = np.bincount(doc[half], minlength=len(sizes))
+        total = np.bincount(doc[half], minlength=len(sizes))
         found = np.bincount(doc[half], weights=known, minlength=len(sizes)).astype(np.int64)
         # linked sets miss at most (den - num) / den of their elements
-        alive = (sizes > 0) & (found >= counted - sizes * (DEN - NUM) // DEN)
+        alive = (sizes > 0) & (found >= total - sizes * (DEN - NUM) // DEN)
         set_ids = to_long(_fold(sets, at))
         ids = table.column("id").combine_chunks()
-        rows = [_doc_rows(ids, sizes, pa.array(set_ids, pa.int64(), mask=sizes == 0), chunk)]
-        # equal sets of this chunk are one: the row of the least id speaks for them
         order_id = np.array([np.iinfo(np.int64).max if x is None else x for x in ids.to_pylist()], np.int64)
+        # equal sets of this chunk are one: the row of the least id speaks for them
         best: dict[int, int] = {}
         for d in np.flatnonzero(alive):
             s = int(set_ids[d])
             if s not in best or order_id[d] < order_id[best[s]]:
                 best[s] = int(d)
         keep = list(best.values())
-        mine = [sets[at[d]: at[d + 1]] for d in keep]
-        rows.append(pa.table({
-            "kind": pa.array([2] * len(keep), pa.int32()), "id": pa.array(order_id[keep], pa.int64()),
-            "n": pa.array(sizes[keep], pa.int64()), "set_id": pa.array(set_ids[keep], pa.int64()),
-            "bucket": pa.nulls(len(keep), pa.int32()), "chunk": pa.array([chunk] * len(keep), pa.int32()),
-            "hashes": binary([s.tobytes() for s in mine]),
-            "owner": pa.nulls(len(keep), pa.binary()), "sets": pa.nulls(len(keep), pa.binary())}))
-        sig, own = signatures(mine)
-        order = np.argsort(sig, kind="stable")
-        sig, own = sig[order], own[order].astype(np.uint32)
-        names = np.stack([set_ids[keep], order_id[keep]], axis=1).astype(np.int64) if keep else np.zeros((0, 2), np.int64)
-        bucket = (sig >> U64(64 - bits)).astype(np.int64)
-        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(sig) else np.zeros(0, np.int64)
-        end = np.concatenate([cut[1:], [len(sig)]]).astype(np.int64)
-        some = [np.unique(own[a:b], return_inverse=True) for a, b in zip(cut, end)]
-        n = len(cut)
-        rows.append(pa.table({
-            "kind": pa.array([1] * n, pa.int32()), "id": pa.nulls(n, pa.int64()), "n": pa.nulls(n, pa.int64()),
-            "set_id": pa.nulls(n, pa.int64()), "bucket": pa.array(bucket[cut], pa.int32()),
-            "chunk": pa.array([chunk] * n, pa.int32()),
-            "hashes": binary([sig[a:b].tobytes() for a, b in zip(cut, end)]),
-            "owner": binary([i.astype(np.uint32).tobytes() for _, i in some]),
-            "sets": binary([names[u].tobytes() for u, _ in some])}))
-        return pa.concat_tables(rows)
+        return pa.concat_tables([
+            _rows(0, ids, sizes, pa.array(set_ids, pa.int64(), mask=sizes == 0), pa.nulls(len(sizes), pa.binary())),
+            _rows(2, pa.array(order_id[keep], pa.int64()), sizes[keep], pa.array(set_ids[keep], pa.int64()),
+                  binary([pack48(sets[at[d]: at[d + 1]]) for d in keep]))])
 
-    path = scratch_path(spark, "ngram-join")
     (texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(emit, _OUT)
-     .write.partitionBy("kind").parquet(f"{path}/parts"))
-    parts = spark.read.schema(_OUT).parquet(f"{path}/parts")
-
-    def kind(k: int) -> DataFrame:
-        return parts.where(F.col("kind") == k)
-
-    kind(1).select("bucket", "hashes", "owner", "sets").groupBy("bucket").applyInArrow(_meet, _CAND) \
-        .write.partitionBy("kind").parquet(f"{path}/met")
-    met = spark.read.schema(_CAND).parquet(f"{path}/met")
-    pairs = met.where("kind = 0").select("a", "b").distinct()
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    sets = kind(2).select("set_id", "hashes").join(needed, "set_id", "left_semi").dropDuplicates(["set_id"])
-    _verified(pairs, sets).write.parquet(f"{path}/links")
-    links = spark.read.schema("a long, b long").parquet(f"{path}/links")
+     .write.partitionBy("kind").parquet(path))
+    return docs.sparkSession.read.schema(_OUT).parquet(path)
+
+
+def _met(sets: DataFrame, meet, schema: str, bits: int) -> DataFrame:
+    """``meet`` over the signatures of ``sets`` (set_id, rank, elements), bucket by bucket."""
+    return (sets.select("set_id", "rank", "elements", F.lit(bits).alias("bits"))
+            .mapInArrow(_signed, _SIGS).groupBy("bucket").applyInArrow(meet, schema))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       width: int = 5, small_group: int = SMALL_GROUP) -> DataFrame:
+    """(id, n_shingles, component_id, set_id) for every row of ``docs``.
+
+    ``n_shingles`` counts the distinct ``width``-word n-grams of the whole
+    text (A-Z lower-cased); a text with fewer words, but not none, has one,
+    and a null or empty text none.  ``component_id`` is the smallest id
+    reachable over links, its own included; a document without n-grams links
+    with nothing.  Rows with equal ids stay separate rows.  A row without an
+    id never names a component; alone, its component is null.  Columns other
+    than the two named are ignored, so their names cannot clash.
+    """
+    spark = docs.sparkSession
+    path = scratch_path(spark, "ngram-join")
+    pair, bits = "a long, b long", bucket_bits(docs)
+    parts = _candidates(docs, id_col, text_col, width, f"{path}/parts")
+    release(spark)
+    # one row per set; any of its rows will do, its least id ranks it
+    rank = parts.where("kind = 2").groupBy("set_id").agg(
+        F.min("id").alias("rank"), F.min_by("elements", "id").alias("elements"))
+    rank.write.parquet(f"{path}/sets")
+    sets = spark.read.schema("set_id long, rank long, elements binary").parquet(f"{path}/sets")
+
+    _met(sets, _meeting(small_group), f"{pair}, hub boolean", bits - 1).write.parquet(f"{path}/met")
+    met = spark.read.schema(f"{pair}, hub boolean").parquet(f"{path}/met")
+    release(spark)
+    _verified(met.select("a", "b").distinct(), sets).write.parquet(f"{path}/links")
+    links = spark.read.schema(pair).parquet(f"{path}/links")
     label = components(links)
 
-    # groups whose members the links do not join: verify what lies between
-    groups = met.where("kind = 1").select("a", "members").dropDuplicates(["a"])
-    member = groups.mapInArrow(_members, "gid long, member long")
-    named = (member.join(label, member.member == label.node, "left")
-             .select("gid", "member", F.coalesce("label", "member").alias("lab")))
-    mixed = (named.groupBy("gid").agg(F.min("lab").alias("x"), F.max("lab").alias("y")).where("x <> y").select("gid"))
-    left = (named.join(mixed, "gid", "left_semi").groupBy("gid")
-            .agg(F.collect_list("member").alias("members"), F.collect_list("lab").alias("labels")))
-    more = left.select("members", "labels").mapInArrow(_across, "a long, b long").distinct()
-    seen = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = more.join(seen, ["a", "b"], "left_anti")
-    all_sets = kind(2).select("set_id", "hashes")
-    wanted = more.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    _verified(more, all_sets.join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"])) \
-        .write.parquet(f"{path}/links2")
-    rest = spark.read.schema("a long, b long").parquet(f"{path}/links2")
-    if rest.limit(1).count():
-        label = components(links.unionByName(rest))
-
-    rows = kind(0).select("id", "n", "set_id")
+    stars = met.where("hub").select("a", "b").distinct()
+    if stars.limit(1).count():
+        _links_across(stars, sets, label).write.parquet(f"{path}/links2")
+        rest = spark.read.schema(pair).parquet(f"{path}/links2")
+        if rest.limit(1).count():
+            label = components(links.unionByName(rest))
+    release(spark)
+
+    rows = parts.where("kind = 0").select("id", "n", "set_id")
     least = rows.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("first_id"))
     tagged = (least.join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
               .select("set_id", "first_id", F.coalesce("label", "set_id").alias("label")))
@@ -356,15 +425,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     F.coalesce("component_id", "id").alias("component_id"), "set_id"))
 
 
-def _members(batches):
-    for batch in batches:
-        for gid, m in zip(batch.column("a").to_pylist(), batch.column("members").to_pylist()):
-            m = np.frombuffer(m, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(m), gid)), pa.array(m)], ["gid", "member"])
-
-
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay: the one of the smallest id in each component, all columns kept."""
+    """The documents that stay: the one of the smallest id in each component, all columns kept.
+
+    Rows that share the id of a document that stays are kept with it; rows
+    without an id are kept.
+    """
     own = jaccard_components(docs, id_col, text_col)
     gone = own.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
     return docs.join(gone, id_col, "left_anti")
