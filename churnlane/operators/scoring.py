@@ -73,11 +73,20 @@ def model_from_table(coefficients: DataFrame, name: str) -> LogisticModel:
     Columns: model, feature, category (null for numeric), weight,
     center, scale (nullable).  A feature named '__intercept__' holds the
     intercept; '__threshold__' an optional saved threshold.  The table is
-    model metadata (one row per coefficient); its size is checked.
+    model metadata: one row per coefficient of the models to be loaded.
     """
-    rows = coefficients.where(F.col("model") == name).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"model {name!r} has more than {max_rows} coefficients")
+    return _model(name, coefficients.where(F.col("model") == name).toLocalIterator())
+
+
+def models_from_table(coefficients: DataFrame) -> dict[str, LogisticModel]:
+    """Every model of the table, in one job."""
+    rows: dict[str, list] = {}
+    for r in coefficients.toLocalIterator():
+        rows.setdefault(r["model"], []).append(r)
+    return {name: _model(name, own) for name, own in rows.items()}
+
+
+def _model(name: str, rows) -> LogisticModel:
     m = LogisticModel(name=name, columns=[], intercept=0.0)
     for r in rows:
         if r["feature"] == "__intercept__":

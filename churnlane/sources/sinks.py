@@ -72,12 +72,18 @@ def _read_claim(spark: SparkSession, fs, file, wait_s: float = 10.0) -> tuple[in
 
 def _claim(spark: SparkSession, fs, file, first: int, last: int) -> bool:
     """Create ``file`` with the range; False when it is there already (nothing is overwritten)."""
-    try:
-        out = fs.create(file, False)
-    except Py4JJavaError as e:
-        if "FileAlreadyExists" in str(e.java_exception.getClass().getName()) or fs.exists(file):
+    fs.mkdirs(file.getParent())
+    if fs.getScheme() == "file":  # its create checks and then creates; this is one step
+        if not spark._jvm.java.io.File(file.toUri().getPath()).createNewFile():
             return False
-        raise
+        out = fs.create(file, True)
+    else:
+        try:
+            out = fs.create(file, False)
+        except Py4JJavaError:
+            if fs.exists(file):
+                return False
+            raise
     out.write(bytearray(f"{first} {last}\n".encode()))
     out.close()
     return True

@@ -36,10 +36,10 @@ def test_register_unique(spark):
 
 
 def test_register_unique_arrival_order(spark):
-    incoming = spark.createDataFrame([("x",), ("x",), ("y",)], "username string").coalesce(1)
+    incoming = spark.createDataFrame([("xxx",), ("xxx",), ("yyy",), (None,), ("z",)], "username string").coalesce(1)
     acc, rej = G.register_unique(incoming, spark.createDataFrame([], "username string"))
-    assert sorted(r.username for r in acc.collect()) == ["x", "y"]
-    assert [r.reason for r in rej.collect()] == ["duplicate"]
+    assert sorted(r.username for r in acc.collect()) == ["xxx", "yyy"]
+    assert sorted(r.reason for r in rej.collect()) == ["duplicate", "missing_username", "username_length"]
 
 
 def test_validation_reasons(spark):
