@@ -68,10 +68,9 @@ def _number(v: Column) -> Column:
     return F.when(ok, F.try_variant_get(v, "$", "double"))
 
 
-def _json_at(text_col: str, key: Column) -> Column:
-    """metadata[key] as VARIANT, for a key computed per row."""
-    return F.try_parse_json(F.call_function("get_json_object", F.col(text_col),
-                                            F.concat(F.lit("$."), key)))
+def _members(v: Column) -> Column:
+    """An object's members by key, whatever characters the keys hold (null for other values)."""
+    return F.try_variant_get(v, "$", "map<string,variant>")
 
 
 def resolve(registry: DataFrame, name_col: str = "name", meta_col: str = "metadata") -> DataFrame:
@@ -86,16 +85,16 @@ def resolve(registry: DataFrame, name_col: str = "name", meta_col: str = "metada
     named = F.coalesce(*[F.when(_is_true(_field(meta, k), "predict"), F.lit(k))
                          for k in S.MODEL_KEYS])
     # Introspection fallback: first key, in document order, holding a predictor.
-    any_key = F.expr(
-        f"get(filter(json_object_keys(`{meta_col}`), k -> coalesce("
-        f"get_json_object(`{meta_col}`, concat('$.', k, '.predict')) = 'true', false)), 0)")
+    any_key = F.get(F.filter(F.json_object_keys(F.col(meta_col)), lambda k: F.coalesce(
+        F.lower(F.to_json(F.try_variant_get(F.try_element_at(_members(meta), k), "$.predict", "variant"))) == "true",
+        F.lit(False))), 0)
     model_key = F.when(direct, F.lit(None).cast("string")).otherwise(F.coalesce(named, any_key))
     df = registry.select(F.col(name_col).alias("name"), F.col(meta_col).alias("_text"),
                          meta.alias("_meta"), direct.alias("_direct"),
                          model_key.alias("model_key"))
     m = F.col("_meta")
     df = df.withColumn("model", F.when(F.col("_direct"), m).otherwise(
-        _json_at("_text", F.col("model_key"))))
+        F.try_element_at(_members(m), F.col("model_key"))))
     scaler_key = F.coalesce(*[
         F.when(_is_true(_field(m, k), "transform") & F.coalesce(
             F.col("model_key") != F.lit(k), F.lit(True)), F.lit(k))
@@ -111,7 +110,7 @@ def resolve(registry: DataFrame, name_col: str = "name", meta_col: str = "metada
         (F.col("_direct") | F.col("model_key").isNotNull()).alias("loaded"),
         "model", "model_key",
         scaler_key.isNotNull().alias("has_scaler"),
-        F.try_variant_get(_json_at("_text", scaler_key), "$.type", "string").alias("scaler_type"),
+        F.try_variant_get(F.try_element_at(_members(m), scaler_key), "$.type", "string").alias("scaler_type"),
         F.coalesce(cols, _default_columns()).alias("columns"),
         cols.isNotNull().alias("columns_extracted"),
         F.coalesce(threshold_saved, F.lit(S.DEFAULT_THRESHOLD)).alias("threshold"),
@@ -172,19 +171,25 @@ def split_known_model(requests: DataFrame, registry: DataFrame,
 def describe(registry: DataFrame, model: str) -> DataFrame:
     """ML-7: inspection summary of one model (empty when not loaded).
 
-    Includes ``roles``: role -> columns in first-seen order (ML-8); a model
-    has at most three roles, so the map is bounded by construction.
+    Includes ``roles``: role -> columns in first-seen order (ML-8; at most
+    three roles), and ``detail``: each branch with its steps, columns and
+    function text, in order of appearance.
     """
     loaded = loaded_models(registry).where(F.col("name") == model)
     roles = (roles_report(branches_from_registry(registry.where(F.col("name") == model)))
              .groupBy("name").agg(F.map_from_entries(F.collect_list(
                  F.struct("role", "colonnes"))).alias("roles")))
-    return (loaded.join(roles, "name", "left").select(
+    detail = (branch_details(registry.where(F.col("name") == model)).groupBy("name").agg(
+        F.array_sort(F.collect_list(F.struct("place", "branch", "steps", "columns", "function"))).alias("_d")))
+    detail = detail.select("name", F.transform("_d", lambda d: F.struct(
+        d["branch"].alias("branche"), d["steps"].alias("etapes"), d["columns"].alias("colonnes"),
+        d["function"].alias("function_transformer"))).alias("detail"))
+    return (loaded.join(roles, "name", "left").join(detail, "name", "left").select(
         "name", F.try_variant_get("model", "$.type", "string").alias("type_model"),
         F.col("has_scaler").alias("a_scaler"), "scaler_type",
         F.size("columns").alias("nb_colonnes"), F.col("columns").alias("colonnes"),
         F.col("threshold_saved").alias("seuil_sauvegarde"),
-        F.coalesce("roles", F.create_map().cast("map<string,array<string>>")).alias("roles")))
+        F.coalesce("roles", F.create_map().cast("map<string,array<string>>")).alias("roles"), "detail"))
 
 
 # ---------------------------------------------------------------- ML-8 roles
@@ -216,26 +221,68 @@ def roles_report(branches: DataFrame, model_col: str = "name", steps_col: str =
                           F.size("_s").alias("nb_colonnes"))
 
 
-def branches_from_registry(registry: DataFrame) -> DataFrame:
-    """Explode each model's declared transformers into the branch table.
+def _nodes(registry: DataFrame) -> DataFrame:
+    """(name, path, node): every object inside a loaded model, parents before children.
 
-    Branches whose columns are null, "remainder" or "drop", or not iterable,
-    are skipped; other values are taken as ``list(value)``.
+    Children are the objects among an object's ``steps`` and the
+    ``transformer`` of each entry of its ``transformers``; models nest as deep
+    as they like.
+    """
+    level = resolve(registry).where(F.col("loaded")).select(
+        "name", F.array().cast("array<int>").alias("path"), F.col("model").alias("node"))
+    found = level
+    while True:
+        steps = F.transform(F.try_variant_get("node", "$.steps", "array<variant>"),
+                            lambda v, i: F.struct(F.array(F.lit(0), i).alias("at"), v.alias("node")))
+        inner = F.transform(F.try_variant_get("node", "$.transformers", "array<variant>"),
+                            lambda v, i: F.struct(F.array(F.lit(1), i).alias("at"),
+                                                  F.try_variant_get(v, "$.transformer", "variant").alias("node")))
+        none = F.array().cast("array<struct<at:array<int>,node:variant>>")
+        below = level.select("name", "path", F.explode(F.concat(
+            F.coalesce(steps, none), F.coalesce(inner, none))).alias("c"))
+        level = below.select("name", F.concat("path", "c.at").alias("path"), F.col("c.node").alias("node")) \
+            .where(F.schema_of_variant("node").startswith("OBJECT"))
+        if level.isEmpty():
+            return found
+        found = found.unionByName(level)
+
+
+def branch_details(registry: DataFrame) -> DataFrame:
+    """One row per branch of every column transformer inside a model, nested ones too.
+
+    Columns: name, place (order of appearance), branch, steps (type names),
+    columns, function (text of a function transformer).  Branches whose
+    columns are null, "remainder" or "drop", or not iterable, are skipped;
+    other values are taken as ``list(value)``.
     """
-    res = resolve(registry).where(F.col("loaded"))
-    tr = F.try_variant_get("model", "$.transformers", "array<variant>")
-    ex = res.select("name", F.posexplode(tr).alias("bpos", "b"))
+    ex = _nodes(registry).select("name", "path", F.posexplode(
+        F.try_variant_get("node", "$.transformers", "array<variant>")).alias("bpos", "b"))
     cols_v = F.try_variant_get("b", "$.columns", "variant")
     items, _ = _as_list(cols_v)
     as_text = F.try_variant_get(cols_v, "$", "string")
     skipped = as_text.isin("remainder", "drop") & (F.schema_of_variant(cols_v) == "STRING")
-    ex = ex.select("name", "bpos",
-                   F.try_variant_get("b", "$.name", "string").alias("branch"),
-                   F.coalesce(F.try_variant_get("b", "$.steps", "array<string>"),
-                              F.array().cast("array<string>")).alias("steps"),
-                   F.when(~F.coalesce(skipped, F.lit(False)), items).alias("cols"))
-    ex = ex.where(F.col("cols").isNotNull())
-    return ex.select("name", "branch", "steps",
-                     F.posexplode("cols").alias("cpos", "column"),
-                     "bpos").select("name", "branch", "steps", "column",
-                                    F.struct("bpos", "cpos").alias("pos"))
+    # a branch lists its steps, or holds a transformer (a pipeline with steps, or a single one)
+    held = F.try_variant_get("b", "$.transformer", "variant")
+    steps = F.coalesce(F.try_variant_get("b", "$.steps", "array<variant>"),
+                       F.try_variant_get(held, "$.steps", "array<variant>"),
+                       F.when(held.isNotNull(), F.array(held)), F.array().cast("array<variant>"))
+
+    def type_name(v: Column) -> Column:
+        return F.coalesce(F.try_variant_get(v, "$.type", "string"), F.try_variant_get(v, "$", "string"))
+
+    functions = F.transform(F.filter(steps, lambda v: type_name(v) == "FunctionTransformer"),
+                            lambda v: F.try_variant_get(v, "$.func", "string"))
+    return (ex.select("name", F.struct("path", "bpos").alias("place"),
+                      F.try_variant_get("b", "$.name", "string").alias("branch"),
+                      F.transform(steps, type_name).alias("steps"),
+                      F.when(~F.coalesce(skipped, F.lit(False)), items).alias("columns"),
+                      F.coalesce(F.try_variant_get("b", "$.func", "string"),
+                                 F.try_element_at(functions, F.lit(-1))).alias("function"))
+            .where(F.col("columns").isNotNull()))
+
+
+def branches_from_registry(registry: DataFrame) -> DataFrame:
+    """The branch table of :func:`roles_report`: one row per branch and column."""
+    return (branch_details(registry)
+            .select("name", "branch", "steps", "place", F.posexplode("columns").alias("cpos", "column"))
+            .select("name", "branch", "steps", "column", F.struct("place", "cpos").alias("pos")))

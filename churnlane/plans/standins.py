@@ -49,17 +49,19 @@ ORDERS_CONTRACT = ["montant", "frequence_deplacement", "heure_supplementaires",
 
 # Model registry used by the registry queries (JSON bundle descriptions).
 REGISTRY_ROWS = [
-    ("top1", '{"model": {"type": "LogisticRegression", "predict": true, '
-             '"feature_names_in_": ["age", "revenu_mensuel", "statut_marital"], '
-             '"transformers": [{"name": "cat", "steps": ["OneHotEncoder"], '
-             '"columns": ["statut_marital", "statut_marital"]}, '
-             '{"name": "num", "steps": ["StandardScaler"], "columns": ["age"]}, '
-             '{"name": "pipe", "steps": ["SimpleImputer", "FunctionTransformer"], '
-             '"columns": ["revenu_mensuel"]}, '
-             '{"name": "autre", "steps": ["OrdinalEncoder"], "columns": ["poste"]}, '
-             '{"name": "skip", "steps": ["StandardScaler"], "columns": "remainder"}, '
-             '{"name": "bad", "steps": ["StandardScaler"], "columns": 12}]}, '
-             '"scaler": {"type": "StandardScaler", "transform": true}, '
+    # a pipeline whose first step is a column transformer with a transformer nested in one branch
+    ("top1", '{"v1.best": {"type": "Pipeline", "predict": true, "steps": ['
+             '{"type": "ColumnTransformer", "transformers": ['
+             '{"name": "overtime", "columns": ["heure_supplementaires"], '
+             '"transformer": {"type": "MyOneHotThing"}}, '
+             '{"name": "pay", "columns": ["revenu_mensuel", "age", "age"], "transformer": {"type": "Pipeline", '
+             '"steps": [{"type": "SimpleImputer"}, {"type": "FunctionTransformer", "func": "log1p"}]}}, '
+             '{"name": "inner", "columns": ["genre"], "transformer": {"type": "ColumnTransformer", '
+             '"transformers": [{"name": "grade", "steps": ["RobustScaler"], "columns": "xy"}]}}, '
+             '{"name": "rest", "steps": ["MinMaxScaler"], "columns": "drop"}, '
+             '{"name": "none", "steps": ["MinMaxScaler"], "columns": 3}]}, '
+             '{"type": "LogisticRegression", "feature_names_in_": ["age", "genre"]}]}, '
+             '"scaler": {"type": "RobustScaler", "transform": true}, '
              '"columns": 12, "colonnes": ["age", "revenu_mensuel"], "threshold": 0.4}'),
     ("top2", '{"type": "LogisticRegression", "predict": true}'),
     ("top3", '{"scaler": {"type": "StandardScaler", "transform": true}}'),

@@ -67,8 +67,8 @@ def test_unknown_model_split(spark):
 def test_roles_from_registry(spark):
     reg = spark.createDataFrame(SI.REGISTRY_ROWS, "name string, metadata string")
     rep = {r.role: r.colonnes for r in R.roles_report(R.branches_from_registry(reg)).collect()}
-    assert rep == {"onehot": ["statut_marital"], "numeriques": ["age", "revenu_mensuel"],
-                   "autres": ["poste"]}
+    assert rep == {"onehot": ["heure_supplementaires"], "numeriques": ["revenu_mensuel", "age", "x", "y"],
+                   "autres": ["genre"]}
 
 
 def test_roles_column_values_as_lists(spark):
@@ -93,9 +93,13 @@ def test_roles_keep_first_seen_order(spark):
 def test_describe(spark):
     reg = spark.createDataFrame(SI.REGISTRY_ROWS, "name string, metadata string")
     d = R.describe(reg, "top1").first()
-    assert d.type_model == "LogisticRegression" and d.a_scaler and d.nb_colonnes == 2
+    assert d.type_model == "Pipeline" and d.a_scaler and d.nb_colonnes == 2
     assert d.seuil_sauvegarde == 0.4
-    assert d.roles == {"onehot": ["statut_marital"], "numeriques": ["age", "revenu_mensuel"],
-                       "autres": ["poste"]}
+    assert d.roles == {"onehot": ["heure_supplementaires"], "numeriques": ["revenu_mensuel", "age", "x", "y"],
+                       "autres": ["genre"]}
+    assert [tuple(x) for x in d.detail] == [
+        ("overtime", ["MyOneHotThing"], ["heure_supplementaires"], None),
+        ("pay", ["SimpleImputer", "FunctionTransformer"], ["revenu_mensuel", "age", "age"], "log1p"),
+        ("inner", ["ColumnTransformer"], ["genre"], None), ("grade", ["RobustScaler"], ["x", "y"], None)]
     assert R.describe(reg, "top2").first().roles == {}
     assert R.describe(reg, "nope").count() == 0
