@@ -207,14 +207,18 @@ def orphans(results: DataFrame, features: DataFrame, link_col: str = "employe_id
 
 
 def repair_orphans(results: DataFrame, features: DataFrame, link_col: str = "employe_id",
-                   features_key: str = "id") -> DataFrame:
+                   features_key: str = "id", spread: int = 64) -> DataFrame:
     """GOV-5 / JOI-4 repair: ON DELETE SET NULL for dangling links.
 
-    Unlinked rows bypass the join (no null-key pile-up in one partition).
+    One scan and one join: rows without a link are spread over ``spread``
+    extra key values, which no features row has, instead of meeting in one
+    partition; ``spread`` does not change the result.
     """
-    keys = features.select(F.col(features_key).alias("_cl_k")).distinct()
-    linked = results.where(F.col(link_col).isNotNull())
-    fixed = (linked.join(keys, linked[link_col] == keys["_cl_k"], "left")
-             .withColumn(link_col, F.when(F.col("_cl_k").isNotNull(), F.col(link_col)))
-             .drop("_cl_k"))
-    return fixed.unionByName(results.where(F.col(link_col).isNull()))
+    keys = features.select(F.col(features_key).alias("_cl_k"), F.lit(0).alias("_cl_s0")).distinct()
+    own = [F.col(c) for c, t in results.dtypes if not t.startswith(("map", "variant"))]
+    tagged = results.withColumn("_cl_s", F.when(
+        F.col(link_col).isNull(), F.pmod(F.xxhash64(*own), F.lit(spread)).cast("int") + 1).otherwise(F.lit(0)))
+    same = (tagged[link_col] == keys["_cl_k"]) & (tagged["_cl_s"] == keys["_cl_s0"])
+    return (tagged.join(keys, same, "left")
+            .withColumn(link_col, F.when(F.col("_cl_k").isNotNull(), F.col(link_col)))
+            .select(*results.columns))

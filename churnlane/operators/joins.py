@@ -7,11 +7,12 @@ picks sort-merge (with skew splitting) or a runtime broadcast by real size.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlane.session import cut_lineage
+
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max+1)."""
@@ -19,15 +20,13 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "left",
-                 max_rows: int = 1_000_000, persist: bool = True) -> DataFrame:
+                 max_rows: int = 1_000_000) -> DataFrame:
     """Join ``big`` to ``small``, broadcasting ``small`` only if it is proven small.
 
-    With ``persist`` the small side is cached so the bound check and the
-    join read it once; pass False when it is cheap to recompute (e.g. counts
-    over already persisted rows) or when the call repeats per micro-batch.
+    Nothing is cached: the bound check reads at most ``max_rows + 1`` rows of
+    ``small`` and the join reads it again.  The answer does not depend on the
+    bound; past it Catalyst and AQE choose by real size.
     """
-    if persist:
-        small = small.persist(StorageLevel.MEMORY_AND_DISK)
     if row_count_at_most(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
@@ -58,7 +57,7 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("salted_join supports inner, left, left_semi and left_anti joins")
     hot = hot_keys(big, big_key, min_rows).withColumn("_cl_hot", F.lit(True))
-    hot = hot.persist(StorageLevel.MEMORY_AND_DISK)
+    hot = cut_lineage(hot)   # counted once; the checkpoint is cleaned with the DataFrame
     hot_s = hot.withColumnRenamed(big_key, small_key)
     # A deterministic spread (a retried task puts each row in the same salt);
     # hash functions reject map and variant columns, so those are left out.

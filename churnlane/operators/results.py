@@ -159,14 +159,21 @@ def name_search(df: DataFrame, first_col: str, last_col: str,
 
 
 def topk_per_owner(results: DataFrame, k: int = 20, owner_col: str = "id_user",
-                   id_col: str = "id") -> DataFrame:
+                   id_col: str = "id", salts: int = 16) -> DataFrame:
     """LIM-2: the ``k`` newest rows of every owner (rank column ``position``).
 
-    ``row_number() <= k`` lets Spark insert a partial window-group limit
-    before the shuffle, so a hot owner sends at most k rows per map task.
+    Ranked in two steps, by (owner, salt) and then by owner: Spark's partial
+    limit before the shuffle stops at a threshold of ``k``, and beyond it the
+    first step still splits a hot owner, so that the second one gets at most
+    ``salts * k`` rows of an owner at any ``k``.
     """
-    w = Window.partitionBy(owner_col).orderBy(F.col(id_col).desc())
-    return (results.withColumn("position", F.row_number().over(w))
+    salt = F.pmod(F.xxhash64(id_col), F.lit(salts))
+    newest = F.col(id_col).desc()
+    part = Window.partitionBy(owner_col, "_cl_salt").orderBy(newest)
+    some = (results.withColumn("_cl_salt", salt).withColumn("_cl_rank", F.row_number().over(part))
+            .where(F.col("_cl_rank") <= k).drop("_cl_salt", "_cl_rank"))
+    w = Window.partitionBy(owner_col).orderBy(newest)
+    return (some.withColumn("position", F.row_number().over(w))
             .where(F.col("position") <= k)
             .withColumn("position", F.col("position").cast("long")))
 

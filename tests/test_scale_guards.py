@@ -46,7 +46,7 @@ def test_counts_and_erase_hot_owner(spark, hot_results):
 
 def test_register_hot_name(spark):
     inc = spark.range(N).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), F.col("id").cast("string")))
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("usr"), F.col("id").cast("string")))
         .alias("username"), F.col("id").alias("t")).repartition(6)
     acc, rej = G.register_unique(inc, spark.createDataFrame([], "username string"), order_cols=["t"])
     assert acc.where(F.col("username") == "hot").collect()[0].t == 0
