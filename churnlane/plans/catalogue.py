@@ -86,6 +86,42 @@ def history_by_owner(spark, sf_dir):
     ).withColumn("probabilite_de_quitter", F.round("probabilite_de_quitter", 6))
 
 
+def history_of_owner(spark, sf_dir):
+    """FLT-1 FLT-2 SRT-1 LIM: one owner's newest results whose first name matches."""
+    h = RS.history(_results(spark, sf_dir), 7, prenom=" F ", limit=5)
+    return h.select("id", "prenom", "nom", F.round("probabilite_de_quitter", 6).alias("probabilite_de_quitter"))
+
+
+def history_no_owner(spark, sf_dir):
+    """FLT-5: no owner, no rows."""
+    return RS.history(_results(spark, sf_dir), None).select("id", "id_user")
+
+
+def record_one(spark, sf_dir):
+    """FLT-3 LIM-1 JOI-2: one record by its key."""
+    return D.record(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"), 11, key="doc_id",
+                    label_col="quality")
+
+
+def results_json(spark, sf_dir):
+    """SNK-5: rows as JSON text, nulls kept, parsed again."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.when(
+        F.col("o_orderkey") % 4 > 0, F.col("o_totalprice")).alias("p"))
+    text = RS.as_json_rows(o).where(F.size(F.json_object_keys("json")) == len(o.columns))
+    return text.select(F.from_json("json", o.schema).alias("j")).select("j.*")
+
+
+def strict_numbers(spark, sf_dir):
+    """SCA-4 SCA-10: strict numbers and leading numbers of texts."""
+    n = F.col("l_linenumber") % 4
+    text = (F.when(n == 1, F.col("l_quantity").cast("string"))
+            .when(n == 2, F.concat(F.lit("x"), F.col("l_quantity").cast("string")))
+            .when(n == 3, F.concat(F.lit(" -"), F.col("l_quantity").cast("string"), F.lit("e2"))))
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", text.alias("t"))
+    return li.select("l_orderkey", "l_linenumber", clean.strict_float("t").alias("strict"),
+                     clean.leading_number("t").alias("leading"))
+
+
 def history_topk(spark, sf_dir):
     """LIM-2: the 20 newest results of every owner."""
     r = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"),
@@ -624,6 +660,11 @@ QUERIES = {
     "robust": robust,
     "impute_stat": impute_stat,
     "impute_median": impute_median,
+    "history_of_owner": history_of_owner,
+    "history_no_owner": history_no_owner,
+    "record_one": record_one,
+    "results_json": results_json,
+    "strict_numbers": strict_numbers,
     "append_mixed": append_mixed,
     "erase_then_append": erase_then_append,
     "requests_ok": requests_ok,

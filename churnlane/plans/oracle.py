@@ -1,17 +1,22 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
-Written independently of the Spark plans: plain SQL over the driver's views.
-Literal doubles are cast explicitly (DuckDB reads ``0.37`` as DECIMAL).
+Plain SQL over the driver's views.  Only the toy models and stand-in values
+are shared with the Spark side; rules, grammars and word lists are written out
+here on their own.  Literal doubles are cast explicitly (DuckDB reads ``0.37`` as DECIMAL).
 """
 
 from __future__ import annotations
 
-from churnlane.functions.clean import FLOAT_TEXT, SPECIAL_TEXT
-from churnlane.operators.features import accepted_values
 from churnlane.operators.scoring import LogisticModel
 from churnlane.plans import standins as SI
 
 
+# Python's float grammar: digit groups may hold single underscores.
+FLOAT_SQL = ("(?i)^[+-]?([0-9](_?[0-9])*([.]([0-9](_?[0-9])*)?)?|[.][0-9](_?[0-9])*)"
+             "(e[+-]?[0-9](_?[0-9])*)?$")
+SPECIAL_SQL = "(?i)^[+-]?(nan|inf|infinity)$"
+
+
 def _d(x: float) -> str:
     return f"CAST({float(x)!r} AS DOUBLE)"
 
@@ -46,8 +51,8 @@ def label_sql(pred: str) -> str:
 def lenient_sql(raw: str) -> str:
     v = f"regexp_replace(replace({raw}, ',', '.'), '^\\s+|\\s+$', '', 'g')"
     return (f"CASE WHEN {raw} IS NULL OR {raw} = '' THEN {_d(0)} "
-            f"WHEN regexp_matches({v}, '{FLOAT_TEXT}') THEN TRY_CAST(replace({v}, '_', '') AS DOUBLE) "
-            f"WHEN regexp_matches({v}, '{SPECIAL_TEXT}') THEN "
+            f"WHEN regexp_matches({v}, '{FLOAT_SQL}') THEN TRY_CAST(replace({v}, '_', '') AS DOUBLE) "
+            f"WHEN regexp_matches({v}, '{SPECIAL_SQL}') THEN "
             f"CASE WHEN lower({v}) LIKE '%nan' THEN CAST('nan' AS DOUBLE) ELSE TRY_CAST({v} AS DOUBLE) END "
             f"ELSE {_d(0)} END")
 
@@ -106,7 +111,7 @@ OVERTIME_CODE = "CAST(CASE o_orderstatus WHEN 'F' THEN 1.0 ELSE 0.0 END AS DOUBL
 ENC = f"""
 SELECT o_orderkey, {TRAVEL} AS valeur, {TRAVEL_CODE} AS code,
   CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN
-    'unknown value for ''frequence_deplacement'': not specified. expected: [{accepted_values('frequence_deplacement')}]'
+    'unknown value for ''frequence_deplacement'': not specified. expected: [0, 1, 2, aucun, aucune, frequent, fréquent, non-travel, nontravel, occasionnel, rare, travel_frequently, travel_rarely, travelfrequently, travelrarely]'
   END AS reason
 FROM orders
 """
@@ -309,6 +314,21 @@ ORACLE = {
                      CAST(c_custkey AS VARCHAR) ||
                        CASE WHEN c_nationkey = 7 THEN 'x' ELSE '' END AS ident
               FROM customer)""",
+    "history_of_owner": RESULTS_CTE + f"""
+        SELECT id, prenom, nom, round(p, 6) AS probabilite_de_quitter
+        FROM r WHERE id_user = 7 AND prenom ILIKE '%f%' ORDER BY id DESC LIMIT 5""",
+    "history_no_owner": "SELECT o_orderkey AS id, o_custkey AS id_user FROM orders WHERE false",
+    "record_one": """SELECT d.*, l.quality FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+                     WHERE d.doc_id = 11 LIMIT 1""",
+    "results_json": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 4 > 0 THEN o_totalprice END AS p
+        FROM orders""",
+    "strict_numbers": """
+        SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN NULL
+          WHEN 1 THEN l_quantity WHEN 2 THEN NULL ELSE -l_quantity * 100 END AS strict,
+          CASE l_linenumber % 4 WHEN 2 THEN 0 WHEN 0 THEN 0 WHEN 3 THEN -l_quantity * 100
+            ELSE l_quantity END AS leading
+        FROM lineitem""",
     "append_mixed": """
         SELECT count(*) AS n_rows, count(*) AS n_ids, 1 AS first_id, count(*) AS last_id,
                sum(user_id) AS users FROM events""",
