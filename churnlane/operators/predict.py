@@ -55,10 +55,16 @@ def predict_requests(requests: DataFrame, model: LogisticModel, features_col: st
     ok, rejected = FE.split_ok_rejected(prepared)
     seuil = F.coalesce(F.col("seuil"), F.lit(S.DEFAULT_THRESHOLD)) if "seuil" in requests.columns \
         else F.lit(S.DEFAULT_THRESHOLD)
-    scored = score(ok, model, threshold=seuil, proba_digits=proba_digits)
+    scored = score(ok, model, threshold=seuil, proba_digits=proba_digits).withColumns(_inputs(model))
     return _finish(scored, requests.columns, features_col), rejected
 
 
+def _inputs(model: LogisticModel) -> dict:
+    """ML-2: the columns a prediction used and their layout."""
+    return {"colonnes_utilisees": F.array(*[F.lit(c) for c in model.columns]),
+            "format_entree": F.lit(S.LAYOUT_NAMES[model.layout])}
+
+
 def _finish(scored: DataFrame, request_cols: list[str], features_col: str) -> DataFrame:
     """Predict-path names (null or '' -> John / Doe) and the details JSON."""
     scored = scored.withColumns({
@@ -127,5 +133,11 @@ def predict_with_models(requests: DataFrame, models: dict[str, LogisticModel],
         PREDICTION: pred,
         LABEL: label_text(pred),
     })
+    for out in ("colonnes_utilisees", "format_entree"):
+        used = None
+        for mname, _, m in probas:
+            value = _inputs(m)[out]
+            used = F.when(name == F.lit(mname), value) if used is None else used.when(name == F.lit(mname), value)
+        scored = scored.withColumn(out, used)
     helper = [c for c in scored.columns if c.startswith("_cl_")] + [FE.REASON]
     return _finish(scored.drop(*helper), requests.columns, features_col), rejected

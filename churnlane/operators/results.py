@@ -212,8 +212,9 @@ def detail(results: DataFrame, features: DataFrame, features_key: str = "id",
     Linked rows (link not null) take the features table row (all columns
     but its key) as JSON; an unmatched link gives ``{}``.  Unlinked rows
     parse the stored ``details`` JSON (null / empty -> ``{}``).  Adds
-    ``source_features``.  Rows with no link skip the join entirely, so
-    null links (often most rows) never pile into one shuffle partition.
+    ``source_features``.  The results are scanned once; rows without a link
+    (often most) are spread over extra key values that match nothing, so they
+    never pile into one shuffle partition.
     ``owner`` scopes the rows (FLT-5): another owner's row is not found.
     ``salts`` > 0 splits employees linked by at least ``hot_min_rows`` results
     over that many tasks (see ``joins.salted_join``); 0 leaves skew to AQE.
@@ -225,18 +226,26 @@ def detail(results: DataFrame, features: DataFrame, features_key: str = "id",
     # only for the rows that matched, not for the whole features table.
     packed = features.select(F.col(features_key).alias("_cl_fk"),
                              F.struct(*[F.col(c) for c in feat_cols]).alias("_cl_feat"))
-    with_link = results.where(F.col(link_col).isNotNull())
-    joined = (salted_join(with_link, packed, link_col, "_cl_fk", "left", salts, hot_min_rows)
-              if salts else with_link.join(packed, F.col(link_col) == F.col("_cl_fk"), "left"))
-    linked = (joined
-              .withColumns({"features": F.coalesce(
-                  F.to_json("_cl_feat", {"ignoreNullFields": "false"}), F.lit("{}")),
-                  "source_features": F.lit(S.FEATURES_FROM_TABLE)})
-              .drop("_cl_fk", "_cl_feat"))
     raw = F.col(details_col)
-    unlinked = (results.where(F.col(link_col).isNull())
-                .withColumns({
-                    "features": F.when(clean.is_blank(raw), F.lit("{}"))
-                    .otherwise(F.coalesce(F.to_json(F.try_parse_json(raw)), F.lit("{}"))),
-                    "source_features": F.lit(S.FEATURES_FROM_JSON)}))
-    return linked.unionByName(unlinked).drop(details_col)
+    stored = F.when(clean.is_blank(raw), F.lit("{}")).otherwise(
+        F.coalesce(F.to_json(F.try_parse_json(raw)), F.lit("{}")))
+    from_table = F.coalesce(F.to_json("_cl_feat", {"ignoreNullFields": "false"}), F.lit("{}"))
+    if salts:
+        with_link = results.where(F.col(link_col).isNotNull())
+        linked = (salted_join(with_link, packed, link_col, "_cl_fk", "left", salts, hot_min_rows)
+                  .withColumns({"features": from_table, "source_features": F.lit(S.FEATURES_FROM_TABLE)})
+                  .drop("_cl_fk", "_cl_feat"))
+        unlinked = (results.where(F.col(link_col).isNull())
+                    .withColumns({"features": stored, "source_features": F.lit(S.FEATURES_FROM_JSON)}))
+        return linked.unionByName(unlinked).drop(details_col)
+    own = [F.col(c) for c, t in results.dtypes if not t.startswith(("map", "variant"))]
+    tagged = results.withColumn("_cl_s", F.when(
+        F.col(link_col).isNull(), F.pmod(F.xxhash64(*own), F.lit(64)).cast("int") + 1).otherwise(F.lit(0)))
+    packed = packed.withColumn("_cl_s0", F.lit(0))
+    same = (F.col(link_col) == F.col("_cl_fk")) & (F.col("_cl_s") == F.col("_cl_s0"))
+    linked = F.col(link_col).isNotNull()
+    return (tagged.join(packed, same, "left")
+            .withColumns({"features": F.when(linked, from_table).otherwise(stored),
+                          "source_features": F.when(linked, F.lit(S.FEATURES_FROM_TABLE)).otherwise(
+                              F.lit(S.FEATURES_FROM_JSON))})
+            .drop("_cl_s", "_cl_s0", "_cl_fk", "_cl_feat", details_col))

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from churnlane import schemas as S
 from churnlane.operators import features as FE
+from churnlane.session import cut_lineage
 
 PROBA, PREDICTION, LABEL, THRESHOLD = ("probabilite_de_quitter", "prediction",
                                        "libelle_prediction", "seuil_applique")
@@ -177,71 +178,85 @@ def fit_minmax(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]
     return {c: (row[f"{c}__lo"], row[f"{c}__hi"] - row[f"{c}__lo"]) for c in cols}
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float]:
-    """Exact linearly-interpolated quantiles, computed without one big group.
+def exact_quantiles_of(df: DataFrame, cols: list[str], probs: list[float],
+                       accuracy: int = 1000) -> dict[str, list[float]]:
+    """Exact linearly-interpolated quantiles of several columns, in two scans.
 
     Position h = (n - 1) * q; the value is x[floor h] + frac * (x[floor h + 1]
-    - x[floor h]).  Values are counted per distinct value (partial
-    aggregation), range-partitioned, and each partition's running count is
-    derived from per-partition totals (one row per partition).  Only the
-    rows at the needed ranks are returned to the driver.
+    - x[floor h]).  One ``percentile_approx`` brackets every rank of every
+    column; one more scan counts the values below each bracket and keeps those
+    inside (about 6 / ``accuracy`` of the rows per rank), which are then
+    counted by value and ranked on their own.  A bracket that misses its rank
+    (it would break the sketch's error bound) is widened to the whole column,
+    so the result is exact either way.  A column without values gives NaN.
+    """
+    x = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    slack = 3.0 / accuracy
+    sides = [s for q in probs for s in (max(0.0, q - slack), min(1.0, q + slack))]
+    first = x.agg(*[F.count(f"x{i}").alias(f"n{i}") for i in range(len(cols))],
+                  *[F.percentile_approx(f"x{i}", sides, accuracy).alias(f"p{i}") for i in range(len(cols))]).first()
+    brackets = []  # (column, probability, low, high)
+    for i in range(len(cols)):
+        if first[f"n{i}"]:
+            p = first[f"p{i}"]
+            brackets += [(i, j, p[2 * j], p[2 * j + 1]) for j in range(len(probs))]
+    found: dict[tuple[int, int], float] = {}
+    while brackets:
+        inside = F.array(*[F.when((F.col(f"x{i}") >= lo) & (F.col(f"x{i}") <= hi),
+                                  F.struct(F.lit(b).alias("b"), F.col(f"x{i}").alias("x")))
+                           for b, (i, _, lo, hi) in enumerate(brackets)])
+        below = x.agg(*[F.count(F.when(F.col(f"x{i}") < lo, 1)).alias(f"b{b}")
+                        for b, (i, _, lo, _) in enumerate(brackets)]).first()
+        counts = cut_lineage(x.select(F.explode(F.filter(inside, lambda s: s.isNotNull())).alias("s"))
+                             .groupBy("s.b", "s.x").agg(F.count(F.lit(1)).alias("n")))
+        again = []
+        for b, (i, j, lo, hi) in enumerate(brackets):
+            n, h = first[f"n{i}"], (first[f"n{i}"] - 1) * probs[j]
+            ranks = [int(h), min(int(h) + 1, n - 1)]
+            got = _at_ranks(counts.where(F.col("b") == b).select("x", "n"), [r - below[f"b{b}"] for r in ranks])
+            if None in got:
+                again.append((i, j, float("-inf"), float("inf")))
+            else:
+                found[i, j] = got[0] + (h - int(h)) * (got[1] - got[0])
+        brackets = again
+    return {c: [found.get((i, j), float("nan")) for j in range(len(probs))] for i, c in enumerate(cols)}
+
+
+def _at_ranks(counts: DataFrame, ranks: list[int]) -> list[float | None]:
+    """The values at 0-based ``ranks`` of a table (x, n) of distinct values; None outside it.
+
+    Running counts per range partition plus the partitions' offsets (one row
+    each); only the rows at the ranks reach the driver.
     """
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    counts = x.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
-    ranged = counts.repartitionByRange("x").withColumn("pid", F.spark_partition_id())
-    # Running count inside each range partition (window per partition only).
-    w_in = Window.partitionBy("pid").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("cum_in", F.sum("n").over(w_in))
-    totals = ranged.groupBy("pid").agg(F.sum("n").alias("tot"))
-    w_p = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("pid", F.coalesce(F.sum("tot").over(w_p), F.lit(0)).alias("off"),
-                            F.sum("tot").over(Window.orderBy("pid").rowsBetween(
-                                Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
-    # cum = number of values <= x ; value x covers ranks [cum - n, cum - 1].
-    # ``offsets`` has one row per range partition (at most the shuffle
-    # partition count), so broadcasting it is bounded by construction.
-    cum = (local.join(F.broadcast(offsets), "pid")
-           .select("x", "n", (F.col("cum_in") + F.col("off")).alias("cum"), "total"))
-    cum = cum.persist()
-    total_row = cum.select("total").limit(1).collect()
-    if not total_row:
-        return [float("nan")] * len(probs)
-    n = int(total_row[0]["total"])
-    ranks = set()
-    plan = []
-    for q in probs:
-        h = (n - 1) * q
-        lo = int(h)
-        hi = min(lo + 1, n - 1)
-        ranks.update([lo, hi])
-        plan.append((lo, hi, h - lo))
-    cond = None
-    for r in ranks:
-        c = (F.col("cum") - F.col("n") <= r) & (F.col("cum") > r)
-        cond = c if cond is None else (cond | c)
-    hits = cum.where(cond).select("x", "n", "cum").collect()   # <= 2 rows per quantile
-    cum.unpersist()
-
-    def at(rank: int) -> float:
-        for h in hits:
-            if h["cum"] - h["n"] <= rank < h["cum"]:
-                return float(h["x"])
-        raise RuntimeError("rank not found")
-
-    return [at(lo) + frac * (at(hi) - at(lo)) for lo, hi, frac in plan]
+    ranged = cut_lineage(counts.repartitionByRange("x").withColumn("pid", F.spark_partition_id()))
+    inner = Window.partitionBy("pid").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("pid").agg(F.sum("n").alias("tot")).select(
+        "pid", F.coalesce(F.sum("tot").over(before), F.lit(0)).alias("off"))
+    cum = (ranged.withColumn("cum", F.sum("n").over(inner)).join(F.broadcast(offsets), "pid")
+           .select("x", (F.col("cum") + F.col("off")).alias("upto"), "n"))
+    wanted = F.lit(False)
+    for r in set(ranks):
+        wanted = wanted | ((F.col("upto") - F.col("n") <= r) & (F.col("upto") > r))
+    hits = cum.where(wanted).collect()   # one row per rank at most
+    return [next((float(t["x"]) for t in hits if t["upto"] - t["n"] <= r < t["upto"]), None) for r in ranks]
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float]:
+    """Exact quantiles of one column (see :func:`exact_quantiles_of`)."""
+    return exact_quantiles_of(df, [col], probs)[col]
 
 
 def fit_robust(df: DataFrame, cols: list[str], exact: bool = True,
                accuracy: int = 10000) -> dict[str, tuple[float, float]]:
     """DEL-5: center = median, scale = p75 - p25.
 
-    ``exact=True`` uses :func:`exact_quantiles`; otherwise one
-    ``percentile_approx`` aggregate (bounded memory sketch).
+    ``exact=True`` uses :func:`exact_quantiles_of`, all columns at once;
+    otherwise one ``percentile_approx`` aggregate (bounded memory sketch).
     """
     out = {}
     if exact:
-        for c in cols:
-            q25, q50, q75 = exact_quantiles(df, c, [0.25, 0.5, 0.75])
+        for c, (q25, q50, q75) in exact_quantiles_of(df, cols, [0.25, 0.5, 0.75]).items():
             out[c] = (q50, q75 - q25)
         return out
     row = df.agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy).alias(c)
@@ -270,11 +285,8 @@ def fit_impute_mean(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
 
 def fit_impute_median(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """DEL-6: per-column exact median of the present values (None when none is present)."""
-    fills = {}
-    for c in cols:
-        m = exact_quantiles(df, c, [0.5])[0]
-        fills[c] = None if math.isnan(m) else m
-    return fills
+    medians = exact_quantiles_of(df, cols, [0.5])
+    return {c: None if math.isnan(m) else m for c, (m,) in medians.items()}
 
 
 def apply_impute(df: DataFrame, fills: dict[str, float | None], suffix: str = "") -> DataFrame:

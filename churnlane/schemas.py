@@ -132,3 +132,6 @@ REQUEST_SCHEMA = T.StructType([
     T.StructField("employe_id", T.LongType(), True),
     T.StructField("id_user", T.LongType(), True),
 ])
+
+# How the service names the input layouts in a prediction.
+LAYOUT_NAMES = {"aligned": "dataframe_aligne", "mixed": "dataframe_mixte", "numeric": "dataframe_float64"}

@@ -127,6 +127,8 @@ def test_predict_with_models_per_request(spark):
     scored, rejected = predict_with_models(reqs, {"a": m1, "b": m2})
     got = {r.request_id: (r.modele_utilise, round(r.probabilite_de_quitter, 6)) for r in scored.collect()}
     assert got == {1: ("a", 0.5), 2: ("b", round(1 / (1 + 2.718281828459045 ** -2), 6))}
+    assert {(r.request_id, r.format_entree, *r.colonnes_utilisees) for r in scored.collect()} == {
+        (1, "dataframe_float64", "age"), (2, "dataframe_aligne", "statut_marital")}
     reasons = {r.request_id: r._reason for r in rejected.collect()}
     assert reasons[3] == "unknown_model" and reasons[5] == "missing_model"
     assert reasons[4].startswith("unknown value for 'statut_marital'")
