@@ -125,7 +125,7 @@ class _Chunk:
         return self.keys[self.at[x]: self.at[x + 1]]
 
 
-def _postings(c: _Chunk, bits: int) -> pa.Table:
+def _postings(c: _Chunk, bits: int, chunk: int) -> pa.Table:
     """The prefix words of the chunk's sets, by bucket: word, set, first id, size, place, parities."""
     n = c.sizes[c.first]
     prefix = n - (NUM * n + DEN - 1) // DEN + 1
@@ -149,6 +149,7 @@ def _postings(c: _Chunk, bits: int) -> pa.Table:
                 + sizes[o].astype(np.uint32).tobytes() + place[a:b].astype(np.uint32).tobytes())
 
     return pa.table({"bucket": pa.array(bucket[cut], pa.int32()),
+                     "chunk": pa.array(np.full(len(cut), chunk), pa.int32()),
                      "words": binary([pack48(word[a:b]) for a, b in zip(cut, end)]),
                      "entries": binary([planes(a, b) for a, b in zip(cut, end)])})
 
@@ -156,8 +157,8 @@ def _postings(c: _Chunk, bits: int) -> pa.Table:
 class _Runs:
     """Postings sorted by word and first id; one entry per word and set."""
 
-    def __init__(self, word, sets, parity, ids, size, place):
-        order = np.lexsort((ids, sets, word))
+    def __init__(self, word, sets, parity, ids, size, place, chunk):
+        order = np.lexsort((chunk, ids, sets, word))
         keep = np.ones(len(order), dtype=bool)
         w, s = word[order], sets[order]
         keep[1:] = (w[1:] != w[:-1]) | (s[1:] != s[:-1])
@@ -171,6 +172,7 @@ class _Runs:
         order = order[shared]
         self.word, self.sets, self.parity, self.ids = word[order], sets[order], parity[order], ids[order]
         self.size, self.place = size[order].astype(np.int64), place[order].astype(np.int64)
+        self.chunk = chunk[order]  # where the set first stands
         lead = np.ones(len(self.word), dtype=bool)
         lead[1:] = self.word[1:] != self.word[:-1]
         self.at = np.maximum.accumulate(np.where(lead, np.arange(len(lead)), 0))
@@ -188,25 +190,24 @@ class _Runs:
 
 def _read_postings(table: pa.Table) -> _Runs:
     parts = []
-    for w, e in zip(*(table.column(c).to_pylist() for c in ("words", "entries"))):
+    for w, e, chunk in zip(*(table.column(c).to_pylist() for c in ("words", "entries", "chunk"))):
         n = len(w) // 6
         parts.append((unpack48(w), np.frombuffer(e, np.int64, n), np.frombuffer(e, np.uint64, n, 8 * n),
                       np.frombuffer(e, np.int64, n, 16 * n), np.frombuffer(e, np.uint32, n, 24 * n),
-                      np.frombuffer(e, np.uint32, n, 28 * n)))
+                      np.frombuffer(e, np.uint32, n, 28 * n), np.full(n, chunk, np.int32)))
     return _Runs(*(np.concatenate(x) for x in zip(*parts)))
 
 
-_PAIR = "a long, b long, open boolean, run binary"
+#: kind 0: a candidate pair (a, b); 1: set a first stands in chunk b; 2: set a is left open; 3: a run to revisit.
+_MET = "kind int, a long, b long, run binary"
 
 
-def _pair_rows(a: np.ndarray, b: np.ndarray) -> pa.Table:
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    keep = a != b
-    keep[1:] &= (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    n = int(keep.sum())
-    return pa.table({"a": pa.array(a[keep], pa.int64()), "b": pa.array(b[keep], pa.int64()),
-                     "open": pa.array(np.zeros(n, bool)), "run": pa.nulls(n, pa.binary())})
+def _met_rows(kind: int, a, b=None, run=None) -> pa.Table:
+    n = len(run) if run is not None else len(a)
+    return pa.table({"kind": pa.array([kind] * n, pa.int32()),
+                     "a": pa.nulls(n, pa.int64()) if a is None else pa.array(a, pa.int64()),
+                     "b": pa.nulls(n, pa.int64()) if b is None else pa.array(b, pa.int64()),
+                     "run": pa.nulls(n, pa.binary()) if run is None else binary(run)})
 
 
 def _meeting(small: int):
@@ -236,20 +237,24 @@ def _meeting(small: int):
             found[active] += ok
             active = active[found[active] < FIRST]
             step += 1
-        rows = [_pair_rows(np.concatenate(one), np.concatenate(two))]
+        a, b = np.concatenate(one), np.concatenate(two)
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        keep = a != b
+        keep[1:] &= (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        a, b = a[keep], b[keep]
         unsure = found >= FIRST
-        opened = np.unique(r.sets[unsure])
-        rows.append(pa.table({"a": pa.array(opened, pa.int64()), "b": pa.nulls(len(opened), pa.int64()),
-                              "open": pa.array(np.ones(len(opened), bool)), "run": pa.nulls(len(opened), pa.binary())}))
-        runs = np.unique(r.at[unsure])
-        packed = []
-        for s in runs:
+        packed, members = [], [a, b]
+        for s in np.unique(r.at[unsure]):
             e = slice(s, s + r.length[s])
+            members.append(r.sets[e])
             packed.append(r.sets[e].tobytes() + r.parity[e].tobytes() + r.ids[e].tobytes()
                           + r.size[e].tobytes() + r.place[e].tobytes())
-        rows.append(pa.table({"a": pa.nulls(len(runs), pa.int64()), "b": pa.nulls(len(runs), pa.int64()),
-                              "open": pa.array(np.ones(len(runs), bool)), "run": binary(packed)}))
-        return pa.concat_tables(rows)
+        known, at = np.unique(r.sets, return_index=True)
+        used = np.isin(known, np.concatenate(members))
+        return pa.concat_tables([
+            _met_rows(0, a, b), _met_rows(1, known[used], r.chunk[at[used]].astype(np.int64)),
+            _met_rows(2, np.unique(r.sets[unsure])), _met_rows(3, None, None, packed)])
 
     return meet
 
@@ -271,7 +276,7 @@ def _run_rest(batches):
             n = len(run) // 40
             v = [np.frombuffer(run, t, n, 8 * n * i) for i, t in enumerate(
                 (np.int64, np.uint64, np.int64, np.int64, np.int64))]
-            r = _Runs(np.zeros(n, np.uint64), v[0], v[1], v[2], v[3], v[4])
+            r = _Runs(np.zeros(n, np.uint64), v[0], v[1], v[2], v[3], v[4], np.zeros(n, np.int32))
             for j in np.flatnonzero(np.isin(r.sets, np.array(todo, np.int64))):
                 i = np.arange(j)
                 i = i[r.passing(i, np.full(len(i), j))]
@@ -321,13 +326,13 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     bits = bucket_bits(docs)
 
     def post(table: pa.Table) -> pa.Table:
-        return _postings(_Chunk(table, level.value), bits)
+        return _postings(_Chunk(table, level.value), bits, table.column("chunk")[0].as_py())
 
-    (texts.groupBy("chunk").applyInArrow(post, "bucket int, words binary, entries binary")
-     .groupBy("bucket").applyInArrow(_meeting(small_run), _PAIR).write.parquet(f"{path}/met"))
-    met = spark.read.schema(_PAIR).parquet(f"{path}/met")
+    (texts.groupBy("chunk").applyInArrow(post, "bucket int, chunk int, words binary, entries binary")
+     .groupBy("bucket").applyInArrow(_meeting(small_run), _MET).write.partitionBy("kind").parquet(f"{path}/met"))
+    met = spark.read.schema(_MET).parquet(f"{path}/met")
     release(spark)
-    pairs = met.where("b is not null").select("a", "b").distinct()
+    pairs = met.where("kind = 0").select("a", "b").distinct()
 
     def known(table: pa.Table, need: pa.Table) -> pa.Table:
         """Words and first place, in this chunk, of the sets asked for."""
@@ -343,24 +348,18 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          "id": pa.array(c.ids[c.doc[x]]), "line": pa.array(c.number[x]),
                          "words": binary([c.set_words(i).tobytes() for i in x])})
 
-    # where each set of a pair first stands: the least (id, line) over all chunks
-    everywhere = _places(texts, level, bits)
-    wanted = met.select(F.explode(F.array("a", "b")).alias("set_id")).where("set_id is not null").distinct()
-    first = everywhere.join(wanted, "set_id", "left_semi")
-    first.write.parquet(f"{path}/first")
-    first = spark.read.schema("set_id long, chunk int").parquet(f"{path}/first")
-    release(spark)
+    first = met.where("kind = 1").select(F.col("a").alias("set_id"), F.col("b").cast("int").alias("chunk")).distinct()
     (texts.groupBy("chunk").cogroup(first.groupBy("chunk")).applyInArrow(known, _SET)
      .write.parquet(f"{path}/words"))
     words = spark.read.schema(_SET).parquet(f"{path}/words")
 
     _similar(pairs, words).write.parquet(f"{path}/links")
     links = spark.read.schema("a long, b long").parquet(f"{path}/links")
-    opened = met.where("open and a is not null").select(F.col("a").alias("set_id")).distinct()
+    opened = met.where("kind = 2").select(F.col("a").alias("set_id")).distinct()
     if opened.limit(1).count():
         done = _later(links, words).select("set_id").distinct()
         todo = opened.join(done, "set_id", "left_anti")
-        member = met.where("run is not null").select("run").mapInArrow(_run_members, "run binary, set_id long")
+        member = met.where("kind = 3").select("run").mapInArrow(_run_members, "run binary, set_id long")
         rest = (member.join(todo, "set_id", "left_semi").groupBy("run")
                 .agg(F.collect_list("set_id").alias("todo")).mapInArrow(_run_rest, "a long, b long").distinct())
         _similar(rest.join(pairs, ["a", "b"], "left_anti"), words).write.parquet(f"{path}/links2")
@@ -412,29 +411,6 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return out.withColumnRenamed("id", id_col)
 
 
-def _places(texts: DataFrame, level, bits: int) -> DataFrame:
-    """(set_id, chunk): the chunk in which each set first stands, by id (smaller chunk on ties)."""
-
-    def offer(table: pa.Table) -> pa.Table:
-        c = _Chunk(table, level.value)
-        return pack(c.names, c.ids[c.doc[c.first]], bits, table.column("chunk")[0].as_py())
-
-    def least(table: pa.Table) -> pa.Table:
-        chunks = table.column("chunk").to_pylist()
-        h = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
-        owner = np.repeat(np.array(chunks), [len(x) for x in h])
-        ids = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("flags").to_pylist()])
-        h = np.concatenate(h)
-        order = np.lexsort((owner, ids, h))
-        h, owner = h[order], owner[order]
-        lead = np.ones(len(h), dtype=bool)
-        lead[1:] = h[1:] != h[:-1]
-        return pa.table({"set_id": pa.array(to_long(h[lead])), "chunk": pa.array(owner[lead], pa.int32())})
-
-    return (texts.groupBy("chunk").applyInArrow(offer, BLOB).groupBy("bucket")
-            .applyInArrow(least, "set_id long, chunk int"))
-
-
 def _later(links: DataFrame, words: DataFrame) -> DataFrame:
     """(set_id, chunk) of the later set of each link, by first id, line number and hash."""
     place = words.select("set_id", "chunk", "id", "line")
