@@ -25,20 +25,26 @@ BLOB = "bucket int, chunk int, hashes binary, flags binary"
 BITS = "chunk int, level int, bucket int, n long, bits binary"
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str, per_chunk: int = 1024) -> DataFrame:
-    """(chunk, id, text): rows of one id share a chunk; chunk = hash(id) mod count.
+def _count(docs: DataFrame, per_chunk: int) -> int:
+    return max(1, math.ceil(docs.count() / per_chunk))
+
+
+def dealt(docs: DataFrame, id_col: str, text_col: str, per_chunk: int = 1024) -> DataFrame:
+    """(id, text, chunk) without an exchange: rows of one id share a chunk; chunk = hash(id) mod count.
 
     The number of chunks follows the row count, so a chunk stays a few MB.
-    The one exchange is by chunk; every later pass over the texts reuses it.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    chunks = max(1, math.ceil(docs.count() / per_chunk))
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     # rows without an id are spread by their text
     key = F.coalesce(F.xxhash64("id"), F.xxhash64("text"))
-    parts = max(1, min(chunks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    return rows.withColumn("chunk", F.pmod(key, F.lit(chunks)).cast("int")).repartition(parts, "chunk")
+    return rows.withColumn("chunk", F.pmod(key, F.lit(_count(docs, per_chunk))).cast("int"))
+
+
+def chunked(docs: DataFrame, id_col: str, text_col: str, per_chunk: int = 1024) -> DataFrame:
+    """``dealt`` rows, exchanged by chunk once; every later pass of a job over the texts reuses that."""
+    parts = min(_count(docs, per_chunk), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return dealt(docs, id_col, text_col, per_chunk).repartition(max(1, parts), "chunk")
 
 
 def bucket_bits(docs: DataFrame) -> int:

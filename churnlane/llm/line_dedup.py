@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.chunks import BLOB, bucket_bits, chunked, held_before, pack, release, unpacked
+from churnlane.llm.chunks import bucket_bits, chunked, dealt, release
 from churnlane.llm.kernels import U64, Words, binary, mix64, pack48, slices, starts_of, to_long, unpack48
 from churnlane.llm.ship import ship
 from churnlane.session import scratch_path
@@ -125,8 +125,23 @@ class _Chunk:
         return self.keys[self.at[x]: self.at[x + 1]]
 
 
-def _postings(c: _Chunk, bits: int, chunk: int) -> pa.Table:
-    """The prefix words of the chunk's sets, by bucket: word, set, first id, size, place, parities."""
+def _narrow(x: np.ndarray) -> bytes:
+    """Non-negative numbers in 2, 4 or 8 bytes each, whichever the largest needs, behind that width."""
+    width = 2 if not len(x) or x.max() < 1 << 16 else 4 if x.max() < 1 << 32 else 8
+    return bytes([width]) + x.astype(f"<u{width}").tobytes()
+
+
+def _wide(raw: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
+    width = raw[at]
+    end = at + 1 + n * width
+    return np.frombuffer(raw[at + 1: end], f"<u{width}").astype(np.int64), end
+
+
+def _postings(c: _Chunk, bits: int, chunk: np.ndarray) -> pa.Table:
+    """The prefix words of the sets, by bucket: word, set, parities, first id and its chunk, size, place.
+
+    ``chunk`` has the chunk of each text.  Ids travel above the least of them.
+    """
     n = c.sizes[c.first]
     prefix = n - (NUM * n + DEN - 1) // DEN + 1
     line = np.repeat(c.first, prefix)
@@ -141,15 +156,18 @@ def _postings(c: _Chunk, bits: int, chunk: int) -> pa.Table:
     bucket = (word >> U64(64 - bits)).astype(np.int64)
     cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(word) else np.zeros(0, np.int64)
     end = np.concatenate([cut[1:], [len(word)]]).astype(np.int64)
-    names, ids, sizes, par = to_long(c.names), c.ids[c.doc[c.first]], n, parity[c.first]
+    names, sizes, par = to_long(c.names), n, parity[c.first]
+    ids, home = c.ids[c.doc[c.first]], chunk[c.doc[c.first]]
+    base = int(ids.min()) if len(ids) else 0
+    above = np.where(ids == _NO_ID, 0, ids.astype(np.uint64) - U64(base % (1 << 64)) + U64(1))  # 0: no id
 
     def planes(a: int, b: int) -> bytes:
         o = of[a:b]
-        return (names[o].tobytes() + par[o].tobytes() + ids[o].tobytes()
-                + sizes[o].astype(np.uint32).tobytes() + place[a:b].astype(np.uint32).tobytes())
+        return (names[o].tobytes() + par[o].tobytes() + _narrow(above[o]) + _narrow(home[o])
+                + _narrow(sizes[o]) + _narrow(place[a:b]))
 
     return pa.table({"bucket": pa.array(bucket[cut], pa.int32()),
-                     "chunk": pa.array(np.full(len(cut), chunk), pa.int32()),
+                     "base": pa.array(np.full(len(cut), base), pa.int64()),
                      "words": binary([pack48(word[a:b]) for a, b in zip(cut, end)]),
                      "entries": binary([planes(a, b) for a, b in zip(cut, end)])})
 
@@ -162,6 +180,10 @@ class _Runs:
         keep = np.ones(len(order), dtype=bool)
         w, s = word[order], sets[order]
         keep[1:] = (w[1:] != w[:-1]) | (s[1:] != s[:-1])
+        # all places of a set meet under its first word: where it stands again, in a later document
+        lead = np.maximum.accumulate(np.where(keep, np.arange(len(order)), 0))
+        again = ~keep & (place[order] == 0) & (ids[order] > ids[order][lead]) & (chunk[order] != chunk[order][lead])
+        self.copies = np.unique(np.stack([s[again], chunk[order][again]], axis=1), axis=0)
         order = order[keep]
         order = order[np.lexsort((sets[order], ids[order], word[order]))]
         w = word[order]
@@ -190,15 +212,19 @@ class _Runs:
 
 def _read_postings(table: pa.Table) -> _Runs:
     parts = []
-    for w, e, chunk in zip(*(table.column(c).to_pylist() for c in ("words", "entries", "chunk"))):
+    for w, e, base in zip(*(table.column(c).to_pylist() for c in ("words", "entries", "base"))):
         n = len(w) // 6
+        above, at = _wide(e, 16 * n, n)
+        chunk, at = _wide(e, at, n)
+        size, at = _wide(e, at, n)
+        place, at = _wide(e, at, n)
         parts.append((unpack48(w), np.frombuffer(e, np.int64, n), np.frombuffer(e, np.uint64, n, 8 * n),
-                      np.frombuffer(e, np.int64, n, 16 * n), np.frombuffer(e, np.uint32, n, 24 * n),
-                      np.frombuffer(e, np.uint32, n, 28 * n), np.full(n, chunk, np.int32)))
+                      np.where(above == 0, _NO_ID, above - 1 + base), size, place, chunk))
     return _Runs(*(np.concatenate(x) for x in zip(*parts)))
 
 
-#: kind 0: a candidate pair (a, b); 1: set a first stands in chunk b; 2: set a is left open; 3: a run to revisit.
+#: kind 0: a candidate pair (a, b); 1: set a first stands in chunk b; 2: set a is left open; 3: a run to revisit;
+#: 4: set a, which stands in chunk b, first stands in another chunk, under a smaller id.
 _MET = "kind int, a long, b long, run binary"
 
 
@@ -254,7 +280,8 @@ def _meeting(small: int):
         used = np.isin(known, np.concatenate(members))
         return pa.concat_tables([
             _met_rows(0, a, b), _met_rows(1, known[used], r.chunk[at[used]].astype(np.int64)),
-            _met_rows(2, np.unique(r.sets[unsure])), _met_rows(3, None, None, packed)])
+            _met_rows(2, np.unique(r.sets[unsure])), _met_rows(3, None, None, packed),
+            _met_rows(4, r.copies[:, 0], r.copies[:, 1])])
 
     return meet
 
@@ -276,7 +303,7 @@ def _run_rest(batches):
             n = len(run) // 40
             v = [np.frombuffer(run, t, n, 8 * n * i) for i, t in enumerate(
                 (np.int64, np.uint64, np.int64, np.int64, np.int64))]
-            r = _Runs(np.zeros(n, np.uint64), v[0], v[1], v[2], v[3], v[4], np.zeros(n, np.int32))
+            r = _Runs(np.zeros(n, np.uint64), v[0], v[1], v[2], v[3], v[4], np.zeros(n, np.int64))
             for j in np.flatnonzero(np.isin(r.sets, np.array(todo, np.int64))):
                 i = np.arange(j)
                 i = i[r.passing(i, np.full(len(i), j))]
@@ -325,10 +352,15 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     texts = chunked(docs, id_col, text_col)
     bits = bucket_bits(docs)
 
-    def post(table: pa.Table) -> pa.Table:
-        return _postings(_Chunk(table, level.value), bits, table.column("chunk")[0].as_py())
+    def post(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                part = pa.Table.from_batches([batch.slice(i, 1024)])
+                c = _Chunk(part, level.value)
+                yield from _postings(c, bits, part.column("chunk").to_numpy().astype(np.int64)).to_batches()
 
-    (texts.groupBy("chunk").applyInArrow(post, "bucket int, chunk int, words binary, entries binary")
+    # the first pass needs no exchange of the texts: a row's chunk goes with its postings
+    (dealt(docs, id_col, text_col).mapInArrow(post, "bucket int, base long, words binary, entries binary")
      .groupBy("bucket").applyInArrow(_meeting(small_run), _MET).write.partitionBy("kind").parquet(f"{path}/met"))
     met = spark.read.schema(_MET).parquet(f"{path}/met")
     release(spark)
@@ -366,25 +398,18 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         links = links.unionByName(spark.read.schema("a long, b long").parquet(f"{path}/links2"))
     gone = _later(links, words).distinct()
 
-    def offer(table: pa.Table) -> pa.Table:
-        c = _Chunk(table, level.value)
-        return pack(c.names, c.ids[c.doc[c.first]], bits, table.column("chunk")[0].as_py())
-
-    before = held_before(texts.groupBy("chunk").applyInArrow(offer, BLOB), 0)
-    answers = before.withColumn("set_id", F.lit(None).cast("long")).unionByName(
-        gone.select("chunk", F.lit(1).alias("level"), F.lit(None).cast("int").alias("bucket"),
-                    F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("bits"), "set_id"))
+    answers = gone.unionByName(met.where("kind = 4").select(
+        F.col("a").alias("set_id"), F.col("b").cast("int").alias("chunk")))
 
     def cut(table: pa.Table, got: pa.Table) -> pa.Table:
         if not len(table):
             return pa.table({"id": pa.array([], pa.int64()), "n_lines": pa.array([], pa.int64()),
                              "n_removed": pa.array([], pa.int64()), "kept_text": pa.array([], pa.string())})
         c = _Chunk(table, level.value)
-        earlier = unpacked(got, 0, len(c.names))
-        similar = np.isin(to_long(c.names), got.column("set_id").drop_null().to_numpy())
+        out = np.isin(to_long(c.names), got.column("set_id").to_numpy())
         place = np.searchsorted(c.names, c.set_of)
         keep = c.sizes == 0
-        stays = c.first[~earlier & ~similar]
+        stays = c.first[~out]
         keep[stays] = True
         # lines that nothing orders before the first stay with it
         x = np.flatnonzero((c.sizes > 0) & ~keep)
