@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import gc
 import math
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -126,10 +127,13 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now.
 
     Its cleaner waits for the driver's garbage collection, which a driver
-    with little to do may not run for long.
+    with little to do may not run for long.  The first round lets go of the
+    finished plans, the second of the shuffles that only they held.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def held_before(blobs: DataFrame, level: int) -> DataFrame:

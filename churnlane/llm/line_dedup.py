@@ -384,6 +384,7 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     (texts.groupBy("chunk").cogroup(first.groupBy("chunk")).applyInArrow(known, _SET)
      .write.parquet(f"{path}/words"))
     words = spark.read.schema(_SET).parquet(f"{path}/words")
+    release(spark)
 
     _similar(pairs, words).write.parquet(f"{path}/links")
     links = spark.read.schema("a long, b long").parquet(f"{path}/links")
@@ -397,6 +398,7 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         _similar(rest.join(pairs, ["a", "b"], "left_anti"), words).write.parquet(f"{path}/links2")
         links = links.unionByName(spark.read.schema("a long, b long").parquet(f"{path}/links2"))
     gone = _later(links, words).distinct()
+    release(spark)
 
     answers = gone.unionByName(met.where("kind = 4").select(
         F.col("a").alias("set_id"), F.col("b").cast("int").alias("chunk")))
