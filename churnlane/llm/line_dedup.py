@@ -317,7 +317,7 @@ def _similar(pairs: DataFrame, words: DataFrame) -> DataFrame:
         for batch in batches:
             ok = []
             for x, y in zip(batch.column("wa").to_pylist(), batch.column("wb").to_pylist()):
-                both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
+                both = np.concatenate([unpack48(x), unpack48(y)])
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
                 ok.append(DEN * common >= NUM * (len(both) - common))
@@ -378,7 +378,7 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return pa.table({"set_id": pa.array(to_long(c.set_of[x])),
                          "chunk": pa.array([table.column("chunk")[0].as_py()] * len(x), pa.int32()),
                          "id": pa.array(c.ids[c.doc[x]]), "line": pa.array(c.number[x]),
-                         "words": binary([c.set_words(i).tobytes() for i in x])})
+                         "words": binary([pack48(mix64(c.set_words(i))) for i in x])})
 
     first = met.where("kind = 1").select(F.col("a").alias("set_id"), F.col("b").cast("int").alias("chunk")).distinct()
     (texts.groupBy("chunk").cogroup(first.groupBy("chunk")).applyInArrow(known, _SET)
