@@ -137,34 +137,48 @@ def _wide(raw: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
     return np.frombuffer(raw[at + 1: end], f"<u{width}").astype(np.int64), end
 
 
+def _leads(*keys: np.ndarray) -> np.ndarray:
+    """Which rows differ from the row before in one of the ``keys``."""
+    lead = np.ones(len(keys[0]), dtype=bool)
+    lead[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return lead
+
+
 def _postings(c: _Chunk, bits: int, chunk: np.ndarray) -> pa.Table:
     """The prefix words of the sets, by bucket: word, set, parities, first id and its chunk, size, place.
 
-    ``chunk`` has the chunk of each text.  Ids travel above the least of them.
+    ``chunk`` has the chunk of each text; for the other chunks that a set
+    stands in, its first word is given once each, with the first id there.
+    Ids travel above the least of them.
     """
-    n = c.sizes[c.first]
+    has = np.flatnonzero(c.sizes > 0)
+    has = has[np.lexsort((c.number[has], c.ids[c.doc[has]], chunk[c.doc[has]], c.set_of[has]))]
+    has = has[_leads(c.set_of[has], chunk[c.doc[has]])]  # one line per set and chunk
+    has = has[np.lexsort((chunk[c.doc[has]], c.number[has], c.ids[c.doc[has]], c.set_of[has]))]
+    lead = _leads(c.set_of[has])
+    first, other = has[lead], has[~lead]
+    n = c.sizes[first]
     prefix = n - (NUM * n + DEN - 1) // DEN + 1
-    line = np.repeat(c.first, prefix)
-    place = np.arange(len(line)) - np.repeat(starts_of(prefix)[:-1], prefix)
+    place = np.arange(prefix.sum()) - np.repeat(starts_of(prefix)[:-1], prefix)
+    line = np.concatenate([np.repeat(first, prefix), other])
+    place = np.concatenate([place, np.zeros(len(other), np.int64)])
     word = mix64(c.keys[c.at[line] + place])
-    of = np.repeat(np.arange(len(c.first)), prefix)
     owner = np.repeat(np.arange(len(c.sizes)), c.sizes)
     parity = np.zeros(len(c.sizes), dtype=np.uint64)
     np.bitwise_xor.at(parity, owner, U64(1) << (mix64(c.keys) >> U64(58)))
     order = np.argsort(word, kind="stable")
-    word, of, place = word[order], of[order], place[order]
+    word, line, place = word[order], line[order], place[order]
     bucket = (word >> U64(64 - bits)).astype(np.int64)
     cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(word) else np.zeros(0, np.int64)
     end = np.concatenate([cut[1:], [len(word)]]).astype(np.int64)
-    names, sizes, par = to_long(c.names), n, parity[c.first]
-    ids, home = c.ids[c.doc[c.first]], chunk[c.doc[c.first]]
+    ids = c.ids[c.doc]
     base = int(ids.min()) if len(ids) else 0
     above = np.where(ids == _NO_ID, 0, ids.astype(np.uint64) - U64(base % (1 << 64)) + U64(1))  # 0: no id
 
     def planes(a: int, b: int) -> bytes:
-        o = of[a:b]
-        return (names[o].tobytes() + par[o].tobytes() + _narrow(above[o]) + _narrow(home[o])
-                + _narrow(sizes[o]) + _narrow(place[a:b]))
+        o = line[a:b]
+        return (c.set_of[o].tobytes() + parity[o].tobytes() + _narrow(above[o]) + _narrow(chunk[c.doc[o]])
+                + _narrow(c.sizes[o]) + _narrow(place[a:b]))
 
     return pa.table({"bucket": pa.array(bucket[cut], pa.int32()),
                      "base": pa.array(np.full(len(cut), base), pa.int64()),
@@ -333,7 +347,7 @@ _OUT = "id long, n_lines long, n_removed long, kept_text string"
 
 
 def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         small_run: int = SMALL_RUN) -> DataFrame:
+                         small_run: int = SMALL_RUN, per_chunk: int = 1024) -> DataFrame:
     """(id, n_lines, n_removed, kept_text) for every row of ``docs``.
 
     Lines are cut at ``\\n``, words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  A
@@ -349,7 +363,7 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     path = scratch_path(spark, "line-dedup")
     level = spark.sparkContext.broadcast(word_counts(docs, text_col))  # COUNTERS bytes
-    texts = chunked(docs, id_col, text_col)
+    texts = chunked(docs, id_col, text_col, per_chunk)
     bits = bucket_bits(docs)
 
     def post(batches):
@@ -360,7 +374,7 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
                 yield from _postings(c, bits, part.column("chunk").to_numpy().astype(np.int64)).to_batches()
 
     # the first pass needs no exchange of the texts: a row's chunk goes with its postings
-    (dealt(docs, id_col, text_col).mapInArrow(post, "bucket int, base long, words binary, entries binary")
+    (dealt(docs, id_col, text_col, per_chunk).mapInArrow(post, "bucket int, base long, words binary, entries binary")
      .groupBy("bucket").applyInArrow(_meeting(small_run), _MET).write.partitionBy("kind").parquet(f"{path}/met"))
     met = spark.read.schema(_MET).parquet(f"{path}/met")
     release(spark)

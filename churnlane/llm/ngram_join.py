@@ -321,9 +321,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
-def _candidates(docs: DataFrame, id_col: str, text_col: str, width: int, path: str) -> DataFrame:
+def _candidates(docs: DataFrame, id_col: str, text_col: str, width: int, path: str,
+                per_chunk: int = 1024) -> DataFrame:
     """Writes and returns (kind 0) every row's id, set size and set id, (kind 2) the sets that may link."""
-    texts = chunked(docs, id_col, text_col)
+    texts = chunked(docs, id_col, text_col, per_chunk)
     bits = bucket_bits(docs)
 
     def counted(table: pa.Table):
@@ -377,7 +378,7 @@ def _met(sets: DataFrame, meet, schema: str, bits: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       width: int = 5, small_group: int = SMALL_GROUP) -> DataFrame:
+                       width: int = 5, small_group: int = SMALL_GROUP, per_chunk: int = 1024) -> DataFrame:
     """(id, n_shingles, component_id, set_id) for every row of ``docs``.
 
     ``n_shingles`` counts the distinct ``width``-word n-grams of the whole
@@ -391,7 +392,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     path = scratch_path(spark, "ngram-join")
     pair, bits = "a long, b long", bucket_bits(docs)
-    parts = _candidates(docs, id_col, text_col, width, f"{path}/parts")
+    parts = _candidates(docs, id_col, text_col, width, f"{path}/parts", per_chunk)
     release(spark)
     # one row per set; any of its rows will do, its least id ranks it
     rank = parts.where("kind = 2").groupBy("set_id").agg(

@@ -89,7 +89,7 @@ class _Chunk:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   width: int = 13) -> DataFrame:
+                   width: int = 13, per_chunk: int = 1024) -> DataFrame:
     """(id, n_words, n_removed, kept_text) for every row of ``docs``.
 
     A word is removed when a window of ``width`` consecutive words around it
@@ -100,7 +100,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id counts as the largest: it is compared with all others and spares them.
     Columns other than the two named are ignored, so names cannot clash.
     """
-    texts = chunked(docs, id_col, text_col)
+    texts = chunked(docs, id_col, text_col, per_chunk)
     bits = bucket_bits(docs)
     levels = level_lengths(width)
 

@@ -101,3 +101,14 @@ def test_signatures_of_linked_sets_always_meet():
             continue
         sig, own = ngram_join.signatures([np.sort(a), np.sort(b)])
         assert set(sig[own == 0]) & set(sig[own == 1])
+
+
+def test_many_chunks_match_brute_force(frame):
+    docs = _corpus(seed=5, n=240)
+    rows = frame(docs.items()).coalesce(1)  # several chunks meet in each slice of the posting pass
+    got = line_dedup.with_digest(line_dedup.remove_similar_lines(rows, per_chunk=16)).collect()
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.kept_sha256) for r in got} == brute.kept_lines(docs)
+    got = ngram_join.jaccard_components(rows, per_chunk=16).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(docs)
+    got = substring.with_digest(substring.remove_repeats(rows, per_chunk=16)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute.kept_words(docs)
