@@ -126,8 +126,9 @@ class _Chunk:
 
 
 def _narrow(x: np.ndarray) -> bytes:
-    """Non-negative numbers in 2, 4 or 8 bytes each, whichever the largest needs, behind that width."""
-    width = 2 if not len(x) or x.max() < 1 << 16 else 4 if x.max() < 1 << 32 else 8
+    """Non-negative numbers in 1, 2, 4 or 8 bytes each, whichever the largest needs, behind that width."""
+    most = int(x.max()) if len(x) else 0
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
     return bytes([width]) + x.astype(f"<u{width}").tobytes()
 
 
@@ -145,10 +146,10 @@ def _leads(*keys: np.ndarray) -> np.ndarray:
 
 
 def _postings(c: _Chunk, bits: int, chunk: np.ndarray) -> pa.Table:
-    """The prefix words of the sets, by bucket: word, set, parities, first id and its chunk, size, place.
+    """The prefix words of the sets, by bucket: word, set, parities, first id and line, its chunk, size, place.
 
     ``chunk`` has the chunk of each text; for the other chunks that a set
-    stands in, its first word is given once each, with the first id there.
+    stands in, its first word is given once each, with the first place there.
     Ids travel above the least of them.
     """
     has = np.flatnonzero(c.sizes > 0)
@@ -177,8 +178,8 @@ def _postings(c: _Chunk, bits: int, chunk: np.ndarray) -> pa.Table:
 
     def planes(a: int, b: int) -> bytes:
         o = line[a:b]
-        return (c.set_of[o].tobytes() + parity[o].tobytes() + _narrow(above[o]) + _narrow(chunk[c.doc[o]])
-                + _narrow(c.sizes[o]) + _narrow(place[a:b]))
+        return (c.set_of[o].tobytes() + parity[o].tobytes() + _narrow(above[o]) + _narrow(c.number[o])
+                + _narrow(chunk[c.doc[o]]) + _narrow(c.sizes[o]) + _narrow(place[a:b]))
 
     return pa.table({"bucket": pa.array(bucket[cut], pa.int32()),
                      "base": pa.array(np.full(len(cut), base), pa.int64()),
@@ -187,10 +188,10 @@ def _postings(c: _Chunk, bits: int, chunk: np.ndarray) -> pa.Table:
 
 
 class _Runs:
-    """Postings sorted by word and first id; one entry per word and set."""
+    """Postings sorted by word and, as ``_later`` decides, first id, line and set; one entry per word and set."""
 
-    def __init__(self, word, sets, parity, ids, size, place, chunk):
-        order = np.lexsort((chunk, ids, sets, word))
+    def __init__(self, word, sets, parity, ids, line, size, place, chunk):
+        order = np.lexsort((chunk, line, ids, sets, word))
         keep = np.ones(len(order), dtype=bool)
         w, s = word[order], sets[order]
         keep[1:] = (w[1:] != w[:-1]) | (s[1:] != s[:-1])
@@ -199,7 +200,7 @@ class _Runs:
         again = ~keep & (place[order] == 0) & (ids[order] > ids[order][lead]) & (chunk[order] != chunk[order][lead])
         self.copies = np.unique(np.stack([s[again], chunk[order][again]], axis=1), axis=0)
         order = order[keep]
-        order = order[np.lexsort((sets[order], ids[order], word[order]))]
+        order = order[np.lexsort((sets[order], line[order], ids[order], word[order]))]
         w = word[order]
         again = np.zeros(len(w), dtype=bool)
         again[1:] = w[1:] == w[:-1]
@@ -207,6 +208,7 @@ class _Runs:
         shared[:-1] |= again[1:]
         order = order[shared]
         self.word, self.sets, self.parity, self.ids = word[order], sets[order], parity[order], ids[order]
+        self.line = line[order]
         self.size, self.place = size[order].astype(np.int64), place[order].astype(np.int64)
         self.chunk = chunk[order]  # where the set first stands
         lead = np.ones(len(self.word), dtype=bool)
@@ -229,11 +231,12 @@ def _read_postings(table: pa.Table) -> _Runs:
     for w, e, base in zip(*(table.column(c).to_pylist() for c in ("words", "entries", "base"))):
         n = len(w) // 6
         above, at = _wide(e, 16 * n, n)
+        line, at = _wide(e, at, n)
         chunk, at = _wide(e, at, n)
         size, at = _wide(e, at, n)
         place, at = _wide(e, at, n)
         parts.append((unpack48(w), np.frombuffer(e, np.int64, n), np.frombuffer(e, np.uint64, n, 8 * n),
-                      np.where(above == 0, _NO_ID, above - 1 + base), size, place, chunk))
+                      np.where(above == 0, _NO_ID, above - 1 + base), line, size, place, chunk))
     return _Runs(*(np.concatenate(x) for x in zip(*parts)))
 
 
@@ -251,7 +254,7 @@ def _met_rows(kind: int, a, b=None, run=None) -> pa.Table:
 
 
 def _meeting(small: int):
-    """Function of one bucket: candidates (a earlier by id, b); sets left open, and the runs they are in."""
+    """Function of one bucket: candidates (a earlier, b); sets left open, and the runs they are in."""
 
     def meet(table: pa.Table) -> pa.Table:
         r = _read_postings(table)
@@ -289,7 +292,7 @@ def _meeting(small: int):
             e = slice(s, s + r.length[s])
             members.append(r.sets[e])
             packed.append(r.sets[e].tobytes() + r.parity[e].tobytes() + r.ids[e].tobytes()
-                          + r.size[e].tobytes() + r.place[e].tobytes())
+                          + r.line[e].tobytes() + r.size[e].tobytes() + r.place[e].tobytes())
         known, at = np.unique(r.sets, return_index=True)
         used = np.isin(known, np.concatenate(members))
         return pa.concat_tables([
@@ -304,7 +307,7 @@ def _run_members(batches):
     """(run, set) of the stored runs."""
     for batch in batches:
         for run in batch.column("run").to_pylist():
-            n = len(run) // 40
+            n = len(run) // 48
             sets = np.frombuffer(run, np.int64, n)
             yield pa.RecordBatch.from_arrays([binary([run] * 1).take(pa.array(np.zeros(n), pa.int64())),
                                               pa.array(sets)], ["run", "set_id"])
@@ -314,10 +317,10 @@ def _run_rest(batches):
     """All candidates of the sets of a run that are still open."""
     for batch in batches:
         for run, todo in zip(batch.column("run").to_pylist(), batch.column("todo").to_pylist()):
-            n = len(run) // 40
+            n = len(run) // 48
             v = [np.frombuffer(run, t, n, 8 * n * i) for i, t in enumerate(
-                (np.int64, np.uint64, np.int64, np.int64, np.int64))]
-            r = _Runs(np.zeros(n, np.uint64), v[0], v[1], v[2], v[3], v[4], np.zeros(n, np.int64))
+                (np.int64, np.uint64, np.int64, np.int64, np.int64, np.int64))]
+            r = _Runs(np.zeros(n, np.uint64), *v, np.zeros(n, np.int64))
             for j in np.flatnonzero(np.isin(r.sets, np.array(todo, np.int64))):
                 i = np.arange(j)
                 i = i[r.passing(i, np.full(len(i), j))]

@@ -112,3 +112,16 @@ def test_many_chunks_match_brute_force(frame):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(docs)
     got = substring.with_digest(substring.remove_repeats(rows, per_chunk=16)).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute.kept_words(docs)
+
+
+@pytest.mark.parametrize("small_run", [2, 64])
+def test_lines_of_one_long_document(frame, small_run):
+    rng = random.Random(8)
+    lines = []
+    for f in range(3):  # the second line goes, and is all that puts the lines after it away
+        centre = [f"c{f}x{i}" for i in range(40)]
+        leaves = [" ".join(rng.sample(centre, 32)) for _ in range(120)]
+        lines += [leaves[0], " ".join(centre), *leaves[1:]]
+    docs = {1: "\n".join(lines), 2: "\n".join(rng.sample(lines, 50))}
+    got = line_dedup.with_digest(line_dedup.remove_similar_lines(frame(docs.items()), small_run=small_run)).collect()
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.kept_sha256) for r in got} == brute.kept_lines(docs)
