@@ -33,6 +33,8 @@ COUNTERS = 1 << 19
 SMALL_RUN = 64
 #: In larger runs, each set is first paired with so many earlier candidates.
 FIRST = 8
+#: Entries of a stored run per row.
+BLOCK = 512
 _SLICES = 16
 _NO_ID = np.iinfo(np.int64).max
 _LINE_BREAK = 10
@@ -217,13 +219,17 @@ class _Runs:
         self.length = np.bincount(self.at, minlength=len(lead))[self.at]
 
     def passing(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Which pairs of entries the length, positional and parity filters leave."""
-        a, b = self.size[i], self.size[j]
-        need = -(-NUM * (a + b) // (NUM + DEN))
-        ok = (DEN * np.minimum(a, b) >= NUM * np.maximum(a, b)) \
-            & (1 + np.minimum(a - self.place[i], b - self.place[j]) - 1 >= need)
-        ok[ok] = np.bitwise_count(self.parity[i[ok]] ^ self.parity[j[ok]]) <= (a + b - 2 * need)[ok]
-        return ok
+        return _passing(self.size, self.place, self.parity, i, j)
+
+
+def _passing(size, place, parity, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of entries the length, positional and parity filters leave."""
+    a, b = size[i], size[j]
+    need = -(-NUM * (a + b) // (NUM + DEN))
+    ok = (DEN * np.minimum(a, b) >= NUM * np.maximum(a, b)) \
+        & (1 + np.minimum(a - place[i], b - place[j]) - 1 >= need)
+    ok[ok] = np.bitwise_count(parity[i[ok]] ^ parity[j[ok]]) <= (a + b - 2 * need)[ok]
+    return ok
 
 
 def _read_postings(table: pa.Table) -> _Runs:
@@ -240,16 +246,16 @@ def _read_postings(table: pa.Table) -> _Runs:
     return _Runs(*(np.concatenate(x) for x in zip(*parts)))
 
 
-#: kind 0: a candidate pair (a, b); 1: set a first stands in chunk b; 2: set a is left open; 3: a run to revisit;
-#: 4: set a, which stands in chunk b, first stands in another chunk, under a smaller id.
-_MET = "kind int, a long, b long, run binary"
+#: kind 0: a candidate pair (a, b); 1: set a first stands in chunk b; 2: set a is left open in block c of run b;
+#: 3: block b of run a, to revisit; 4: set a, which stands in chunk b, first stands in another chunk, under a smaller id.
+_MET = "kind int, a long, b long, c long, run binary"
 
 
-def _met_rows(kind: int, a, b=None, run=None) -> pa.Table:
-    n = len(run) if run is not None else len(a)
+def _met_rows(kind: int, a, b, c=None, run=None) -> pa.Table:
+    n = len(a)
     return pa.table({"kind": pa.array([kind] * n, pa.int32()),
-                     "a": pa.nulls(n, pa.int64()) if a is None else pa.array(a, pa.int64()),
-                     "b": pa.nulls(n, pa.int64()) if b is None else pa.array(b, pa.int64()),
+                     "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()),
+                     "c": pa.nulls(n, pa.int64()) if c is None else pa.array(c, pa.int64()),
                      "run": pa.nulls(n, pa.binary()) if run is None else binary(run)})
 
 
@@ -287,44 +293,57 @@ def _meeting(small: int):
         keep[1:] &= (a[1:] != a[:-1]) | (b[1:] != b[:-1])
         a, b = a[keep], b[keep]
         unsure = found >= FIRST
-        packed, members = [], [a, b]
+        packed, members, of_run, number = [], [a, b], [], []
+        run = to_long(r.word)
         for s in np.unique(r.at[unsure]):
-            e = slice(s, s + r.length[s])
-            members.append(r.sets[e])
-            packed.append(r.sets[e].tobytes() + r.parity[e].tobytes() + r.ids[e].tobytes()
-                          + r.line[e].tobytes() + r.size[e].tobytes() + r.place[e].tobytes())
+            end = s + r.length[s]
+            members.append(r.sets[s:end])
+            for k in range(s, end, BLOCK):
+                e = slice(k, min(k + BLOCK, end))
+                of_run.append(run[s])
+                number.append((k - s) // BLOCK)
+                packed.append(r.sets[e].tobytes() + r.parity[e].tobytes() + r.size[e].tobytes() + r.place[e].tobytes())
+        x = np.flatnonzero(unsure)
         known, at = np.unique(r.sets, return_index=True)
         used = np.isin(known, np.concatenate(members))
         return pa.concat_tables([
             _met_rows(0, a, b), _met_rows(1, known[used], r.chunk[at[used]].astype(np.int64)),
-            _met_rows(2, np.unique(r.sets[unsure])), _met_rows(3, None, None, packed),
+            _met_rows(2, r.sets[x], run[x], (x - r.at[x]) // BLOCK), _met_rows(3, of_run, number, None, packed),
             _met_rows(4, r.copies[:, 0], r.copies[:, 1])])
 
     return meet
 
 
-def _run_members(batches):
-    """(run, set) of the stored runs."""
-    for batch in batches:
-        for run in batch.column("run").to_pylist():
-            n = len(run) // 48
-            sets = np.frombuffer(run, np.int64, n)
-            yield pa.RecordBatch.from_arrays([binary([run] * 1).take(pa.array(np.zeros(n), pa.int64())),
-                                              pa.array(sets)], ["run", "set_id"])
-
-
-def _run_rest(batches):
-    """All candidates of the sets of a run that are still open."""
+def _block_pairs(batches):
+    """All candidates of the open sets ``todo`` of block ``two`` in the block ``one`` of the same run."""
     for batch in batches:
-        for run, todo in zip(batch.column("run").to_pylist(), batch.column("todo").to_pylist()):
-            n = len(run) // 48
-            v = [np.frombuffer(run, t, n, 8 * n * i) for i, t in enumerate(
-                (np.int64, np.uint64, np.int64, np.int64, np.int64, np.int64))]
-            r = _Runs(np.zeros(n, np.uint64), *v, np.zeros(n, np.int64))
-            for j in np.flatnonzero(np.isin(r.sets, np.array(todo, np.int64))):
-                i = np.arange(j)
-                i = i[r.passing(i, np.full(len(i), j))]
-                yield pa.RecordBatch.from_arrays([pa.array(r.sets[i]), pa.array(np.full(len(i), r.sets[j]))], ["a", "b"])
+        for one, two, same, todo in zip(*(batch.column(c).to_pylist() for c in ("one", "two", "same", "todo"))):
+            n, m = len(one) // 32, len(two) // 32
+            v = [np.concatenate([np.frombuffer(one, t, n, 8 * n * i), np.frombuffer(two, t, m, 8 * m * i)])
+                 for i, t in enumerate((np.int64, np.uint64, np.int64, np.int64))]
+            sets, parity, size, place = v
+            at = np.flatnonzero(np.isin(sets[n:], np.array(todo, np.int64)))
+            j, i = np.repeat(at, n) + n, np.tile(np.arange(n), len(at))
+            if same:  # earlier entries only
+                i, j = i[i < j - n], j[i < j - n]
+            ok = _passing(size, place, parity, i, j)
+            yield pa.RecordBatch.from_arrays([pa.array(sets[i[ok]]), pa.array(sets[j[ok]])], ["a", "b"])
+
+
+def _rest_of_runs(met: DataFrame, done: DataFrame) -> DataFrame:
+    """Candidates (a, b) of the open sets b that are not ``done``: each block of them with the run's blocks up to it.
+
+    A row is a pair of blocks, and no task holds a whole run.
+    """
+    todo = (met.where("kind = 2").select(F.col("a").alias("set_id"), F.col("b").alias("run"), F.col("c").alias("j"))
+            .join(done, "set_id", "left_anti").groupBy("run", "j").agg(F.collect_list("set_id").alias("todo")))
+    blocks = met.where("kind = 3").select(F.col("a").alias("run"), F.col("b").alias("n"), F.col("run").alias("held"))
+    one = blocks.select("run", F.col("n").alias("i"), F.col("held").alias("one"))
+    two = blocks.select("run", F.col("n").alias("j"), F.col("held").alias("two"))
+    pairs = todo.select("run", "j", "todo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("j"))).alias("i"))
+    return (pairs.join(two, ["run", "j"]).join(one, ["run", "i"])
+            .select("one", "two", (F.col("i") == F.col("j")).alias("same"), "todo")
+            .mapInArrow(_block_pairs, "a long, b long").distinct())
 
 
 def _similar(pairs: DataFrame, words: DataFrame) -> DataFrame:
@@ -405,14 +424,9 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     _similar(pairs, words).write.parquet(f"{path}/links")
     links = spark.read.schema("a long, b long").parquet(f"{path}/links")
-    opened = met.where("kind = 2").select(F.col("a").alias("set_id")).distinct()
-    if opened.limit(1).count():
+    if met.where("kind = 2").limit(1).count():
         done = _later(links, words).select("set_id").distinct()
-        todo = opened.join(done, "set_id", "left_anti")
-        member = met.where("kind = 3").select("run").mapInArrow(_run_members, "run binary, set_id long")
-        rest = (member.join(todo, "set_id", "left_semi").groupBy("run")
-                .agg(F.collect_list("set_id").alias("todo")).mapInArrow(_run_rest, "a long, b long").distinct())
-        _similar(rest.join(pairs, ["a", "b"], "left_anti"), words).write.parquet(f"{path}/links2")
+        _similar(_rest_of_runs(met, done).join(pairs, ["a", "b"], "left_anti"), words).write.parquet(f"{path}/links2")
         links = links.unionByName(spark.read.schema("a long, b long").parquet(f"{path}/links2"))
     gone = _later(links, words).distinct()
     release(spark)

@@ -125,3 +125,31 @@ def test_lines_of_one_long_document(frame, small_run):
     docs = {1: "\n".join(lines), 2: "\n".join(rng.sample(lines, 50))}
     got = line_dedup.with_digest(line_dedup.remove_similar_lines(frame(docs.items()), small_run=small_run)).collect()
     assert {r.doc_id: (r.n_lines, r.n_removed, r.kept_sha256) for r in got} == brute.kept_lines(docs)
+
+
+def test_runs_to_revisit_are_stored_in_blocks():
+    import numpy as np
+    import pyarrow as pa
+    n = line_dedup.BLOCK * 3 + 5  # sets of four words under one, no two of them similar
+    text = "\n".join(f"a b{i} c{i} d{i}" for i in range(n))
+    c = line_dedup._Chunk(pa.table({"id": [1], "text": [text]}), np.zeros(line_dedup.COUNTERS, np.uint8))
+    word = np.full(n, 1 << 20, np.uint64)
+    order = np.arange(n)
+    planes = (c.set_of[:n].tobytes() + np.zeros(n, np.uint64).tobytes() + line_dedup._narrow(np.ones(n, np.int64))
+              + line_dedup._narrow(order) + line_dedup._narrow(np.zeros(n, np.int64))
+              + line_dedup._narrow(np.full(n, 4)) + line_dedup._narrow(np.zeros(n, np.int64)))
+    table = pa.table({"bucket": [0], "base": [0], "words": [line_dedup.pack48(word)], "entries": [planes]})
+    met = line_dedup._meeting(64)(table).to_pylist()
+    assert max(len(r["run"]) for r in met if r["kind"] == 3) <= 32 * line_dedup.BLOCK
+    opened = {r["a"]: r["c"] for r in met if r["kind"] == 2}
+    assert len(opened) == n - line_dedup.FIRST
+    block = {r["b"]: r["run"] for r in met if r["kind"] == 3}
+    got = set()
+    for j in block:
+        for i in range(j + 1):
+            rows = pa.RecordBatch.from_pydict({"one": [block[i]], "two": [block[j]], "same": [i == j],
+                                               "todo": [[s for s, k in opened.items() if k == j]]})
+            for out in line_dedup._block_pairs([rows]):
+                got.update(zip(out.column(0).to_pylist(), out.column(1).to_pylist()))
+    sets = c.set_of[:n].view(np.int64).tolist()
+    assert got == {(sets[i], sets[j]) for j in range(line_dedup.FIRST, n) for i in range(j)}
