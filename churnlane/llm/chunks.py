@@ -16,7 +16,7 @@ import time
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlane.llm.kernels import U64, binary, pack40, unpack40
@@ -30,6 +30,12 @@ def _count(docs: DataFrame, per_chunk: int) -> int:
     return max(1, math.ceil(docs.count() / per_chunk))
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """(id, h1, h2): a row's id and two hashes of its text; never null, and equal for rows equal in both."""
+    return F.struct(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h1"),
+                    F.xxhash64(F.lit(1), text_col).alias("h2"))
+
+
 def dealt(docs: DataFrame, id_col: str, text_col: str, per_chunk: int = 1024) -> DataFrame:
     """(id, text, chunk) without an exchange: rows of one id share a chunk; chunk = hash(id) mod count.
 

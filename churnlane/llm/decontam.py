@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnlane.llm.chunks import row_key
+
 #: Windows that may be broadcast; about 0.2 KB each.
 MAX_WINDOWS = 200_000
 _WORD = r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"
@@ -111,21 +113,26 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns kept, that are not contaminated.
 
-    A row without an id is judged by its own text like any other.
+    Every row is judged by its own text, also one without an id or of a repeated id.
     """
-    bad = hits(docs, items, id_col, text_col).where(contaminated()).select(id_col).distinct()
-    named = docs.join(bad, id_col, "left_anti")
-    return named
+    bad = _hits_by_key(docs, items, id_col, text_col).where(contaminated()).select("_cl_key").distinct()
+    return docs.withColumn("_cl_key", row_key(id_col, text_col)).join(bad, "_cl_key", "left_anti").select(*docs.columns)
+
+
+def _hits_by_key(docs: DataFrame, items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``hits`` with each row's ``_cl_key`` for its id: rows of one key have one text, and so equal hits."""
+    keyed = docs.select(row_key(id_col, text_col).alias("_cl_key"), F.col(text_col).alias("text"))
+    return hits(keyed, items, "_cl_key", "text")
 
 
 def without_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """(id, clean_text): the words (normalised) outside every occurrence, joined by one space."""
-    found = hits(docs, items, id_col, text_col).select(id_col, "spans").where(F.size("spans") > 0) \
-        .dropDuplicates([id_col])
+    found = _hits_by_key(docs, items, id_col, text_col).select("_cl_key", "spans").where(F.size("spans") > 0) \
+        .dropDuplicates(["_cl_key"])
     covered = F.array_distinct(F.flatten(F.transform(
         "spans", lambda s: F.sequence(s["start"], s["start"] + s["len"] - 1))))
-    both = docs.select(id_col, item_words(F.col(text_col)).alias("w")).join(
-        found.select(id_col, covered.alias("gone")), id_col, "left")
+    both = docs.select(id_col, row_key(id_col, text_col).alias("_cl_key"), item_words(F.col(text_col)).alias("w")).join(
+        found.select("_cl_key", covered.alias("gone")), "_cl_key", "left")
     kept = F.filter("w", lambda x, i: ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), i))
     return both.select(id_col, F.array_join(kept, " ").alias("clean_text"))

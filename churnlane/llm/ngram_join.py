@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.chunks import BLOB, bucket_bits, chunked, held_elsewhere, pack, release, unpacked
+from churnlane.llm.chunks import BLOB, bucket_bits, chunked, held_elsewhere, pack, release, row_key, unpacked
 from churnlane.llm.components import components
 from churnlane.llm.kernels import U64, binary, mix64, pack48, shingle_sets, starts_of, to_long, unpack48
 from churnlane.session import scratch_path
@@ -42,7 +42,7 @@ SMALL_GROUP = 6
 #: Sets whose signatures are made at a time.
 _BATCH = 1000
 
-_OUT = "kind int, id long, n long, set_id long, elements binary"
+_OUT = "kind int, id long, n long, set_id long, elements binary, h1 long, h2 long"
 _SIGS = "bucket int, sigs binary, owner binary, sets binary"
 
 
@@ -130,9 +130,11 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sig_parts), np.concatenate(own_parts)
 
 
-def _rows(kind: int, ids, n, set_ids, elements) -> pa.Table:
+def _rows(kind: int, ids, n, set_ids, elements, h1=None, h2=None) -> pa.Table:
     return pa.table({"kind": pa.array([kind] * len(n), pa.int32()), "id": ids, "n": pa.array(n, pa.int64()),
-                     "set_id": set_ids, "elements": elements})
+                     "set_id": set_ids, "elements": elements,
+                     "h1": pa.nulls(len(n), pa.int64()) if h1 is None else h1,
+                     "h2": pa.nulls(len(n), pa.int64()) if h2 is None else h2})
 
 
 def _signed(batches):
@@ -323,7 +325,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _candidates(docs: DataFrame, id_col: str, text_col: str, width: int, path: str,
                 per_chunk: int = 1024) -> DataFrame:
-    """Writes and returns (kind 0) every row's id, set size and set id, (kind 2) the sets that may link."""
+    """Writes and returns (kind 0) every row's id, set size, set id and text hashes, (kind 2) the sets that may link."""
     texts = chunked(docs, id_col, text_col, per_chunk)
     bits = bucket_bits(docs)
 
@@ -362,11 +364,14 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, width: int, path: s
                 best[s] = int(d)
         keep = list(best.values())
         return pa.concat_tables([
-            _rows(0, ids, sizes, pa.array(set_ids, pa.int64(), mask=sizes == 0), pa.nulls(len(sizes), pa.binary())),
+            _rows(0, ids, sizes, pa.array(set_ids, pa.int64(), mask=sizes == 0), pa.nulls(len(sizes), pa.binary()),
+                  table.column("h1"), table.column("h2")),
             _rows(2, pa.array(order_id[keep], pa.int64()), sizes[keep], pa.array(set_ids[keep], pa.int64()),
                   binary([pack48(sets[at[d]: at[d + 1]]) for d in keep]))])
 
-    (texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(emit, _OUT)
+    key = row_key("id", "text")
+    keyed = texts.withColumns({"h1": key["h1"], "h2": key["h2"]})
+    (keyed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(emit, _OUT)
      .write.partitionBy("kind").parquet(path))
     return docs.sparkSession.read.schema(_OUT).parquet(path)
 
@@ -389,6 +394,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id never names a component; alone, its component is null.  Columns other
     than the two named are ignored, so their names cannot clash.
     """
+    return (_component_rows(docs, id_col, text_col, width, small_group, per_chunk)
+            .select(F.col("key.id").alias(id_col), F.col("n").alias("n_shingles"),
+                    F.coalesce("best.id", "key.id").alias("component_id"), "set_id"))
+
+
+def _component_rows(docs: DataFrame, id_col: str, text_col: str, width: int = 5, small_group: int = SMALL_GROUP,
+                    per_chunk: int = 1024) -> DataFrame:
+    """(key, n, set_id, best) for every row: its ``row_key``, and the key of the first row of its component.
+
+    The first row is the one of the least id, rows without an id last;
+    ``best`` is null for a row without n-grams.
+    """
     spark = docs.sparkSession
     path = scratch_path(spark, "ngram-join")
     pair, bits = "a long, b long", bucket_bits(docs)
@@ -415,23 +432,36 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             label = components(links.unionByName(rest))
     release(spark)
 
-    rows = parts.where("kind = 0").select("id", "n", "set_id")
-    least = rows.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("first_id"))
+    rows = parts.where("kind = 0").select(F.struct("id", "h1", "h2").alias("key"), "n", "set_id")
+    least = rows.where("set_id is not null").groupBy("set_id").agg(
+        F.min(F.struct(F.col("key.id").isNull().alias("no_id"), "key")).alias("first"))
     tagged = (least.join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
-              .select("set_id", "first_id", F.coalesce("label", "set_id").alias("label")))
-    comp = tagged.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    by_set = tagged.join(comp, "label").select("set_id", "component_id")
-    return (rows.join(by_set, "set_id", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "id").alias("component_id"), "set_id"))
+              .select("set_id", "first", F.coalesce("label", "set_id").alias("label")))
+    comp = tagged.groupBy("label").agg(F.min("first").alias("first"))
+    by_set = tagged.select("set_id", "label").join(comp, "label").select("set_id", F.col("first.key").alias("best"))
+    return rows.join(by_set, "set_id", "left").select("key", "n", "set_id", "best")
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay: the one of the smallest id in each component, all columns kept.
+    """The documents that stay: one row of each component, all columns kept.
 
-    Rows that share the id of a document that stays are kept with it; rows
-    without an id are kept.
+    It is the row of the smallest id, rows without an id last; of rows that
+    agree in id the text's hashes decide, and of rows that agree in both any
+    one stays.  Rows without n-grams all stay.
     """
-    own = jaccard_components(docs, id_col, text_col)
-    gone = own.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    path = scratch_path(docs.sparkSession, "one-per-component")
+    own = _component_rows(docs, id_col, text_col).where("best is not null")
+    # the keys that do not all stay; first: one row of them does
+    (own.groupBy("key").agg(F.first("best").alias("best"), F.count(F.lit(1)).alias("times"))
+     .select("key", F.expr("key <=> best").alias("first"), "times").where("times > 1 or not first")
+     .write.parquet(path))
+    some = docs.sparkSession.read.schema(
+        "key struct<id: bigint, h1: bigint, h2: bigint>, first boolean, times long").parquet(path)
+    keyed = docs.withColumn("_cl_key", row_key(id_col, text_col))
+    keys = some.select(F.col("key").alias("_cl_key"))
+    stay = keyed.join(keys, "_cl_key", "left_anti").select(*docs.columns)
+    repeated = some.where("first").select(F.col("key").alias("_cl_key"))
+    if repeated.limit(1).count():
+        stay = stay.unionByName(keyed.join(repeated, "_cl_key", "left_semi").dropDuplicates(["_cl_key"])
+                                .select(*docs.columns))
+    return stay

@@ -124,3 +124,17 @@ def test_pipeline_stages(spark):
     empty = docs.where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_decontamination_decides_by_row(spark, frame):
+    window = " ".join(f"q{i}" for i in range(13))
+    items = spark.createDataFrame([("a", window)], "item_id string, text string")
+    rows = [(None, "x " + window), (None, "clean"), (1, window), (1, "clean one"), (1, "y " + window + " z"),
+            (2, None), (3, window), (3, window)]
+    got = decontam.drop_contaminated(frame(rows), items)
+    assert got.columns == frame([]).columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(
+        [(None, "clean"), (1, "clean one"), (2, None)])
+    cleaned = decontam.without_spans(frame(rows), items).collect()
+    assert Counter((r.doc_id, r.clean_text) for r in cleaned) == Counter(
+        [(None, "x"), (None, "clean"), (1, ""), (1, "clean one"), (1, "y z"), (2, ""), (3, ""), (3, "")])

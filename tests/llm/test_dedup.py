@@ -153,3 +153,16 @@ def test_runs_to_revisit_are_stored_in_blocks():
                 got.update(zip(out.column(0).to_pylist(), out.column(1).to_pylist()))
     sets = c.set_of[:n].view(np.int64).tolist()
     assert got == {(sets[i], sets[j]) for j in range(line_dedup.FIRST, n) for i in range(j)}
+
+
+def test_one_per_component_decides_by_row(frame):
+    rng = random.Random(2)
+    one, two, three = (" ".join(f"{k}{rng.randrange(900)}" for _ in range(30)) for k in "xyz")
+    rows = [(1, one), (2, one + " more"), (2, two), (None, three), (None, three + " more"), (None, three),
+            (5, two + " end"), (6, "alone"), (6, "alone"), (7, None), (7, None), (None, None), (None, one)]
+    got = [(r.doc_id, r.text) for r in ngram_join.one_per_component(frame(rows)).collect()]
+    assert {r for r in got if r[0] is None and r[1]} <= {(None, three), (None, three + " more")}
+    assert sum(r[0] is None and r[1] is not None for r in got) == 1
+    assert sorted((r for r in got if r[0] is not None), key=str) == sorted(
+        [(1, one), (2, two), (6, "alone"), (7, None), (7, None)], key=str)
+    assert got.count((None, None)) == 1 and len(got) == 7
