@@ -315,9 +315,15 @@ def _safe(v: str) -> str:
     return "".join(ch if ch.isalnum() else "_" for ch in str(v))
 
 
-def vocabulary(df: DataFrame, col: str) -> list[str]:
-    """Distinct categories of ``col``, sorted: one per indicator column of :func:`one_hot`."""
-    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().sort(col).collect()]
+def vocabulary(df: DataFrame, col: str, max_size: int = 10_000) -> list[str]:
+    """Distinct categories of ``col``, sorted: one per indicator column of :func:`one_hot`.
+
+    More than ``max_size`` are an error, and never go to the driver.
+    """
+    vals = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_size + 1).collect()
+    if len(vals) > max_size:
+        raise ValueError(f"{col} has more than {max_size} categories")
+    return sorted(r[0] for r in vals)
 
 
 def apply_function(df: DataFrame, col: str, fn: Callable[[Column], Column],

@@ -118,3 +118,10 @@ def test_fit_logistic_separates_classes(spark):
     scored = SC.score(df, m).collect()
     acc = sum(r.prediction == r.y for r in scored) / len(scored)
     assert acc > 0.9 and m.scaler["x"][0] == pytest.approx(49.5)
+
+
+def test_vocabulary_size_is_checked(spark):
+    df = spark.range(6).selectExpr("CAST(id AS STRING) AS c")
+    assert SC.vocabulary(df, "c", max_size=6) == list("012345")
+    with pytest.raises(ValueError):
+        SC.vocabulary(df, "c", max_size=5)
