@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlane.llm import chat, decontam, langid, line_dedup, mixing, ngram_join, quality, sharding, substring, tokens
+from churnlane.llm import (
+    chat,
+    decontam,
+    divergence,
+    langid,
+    line_dedup,
+    mixing,
+    ngram_join,
+    pieces,
+    quality,
+    runs,
+    sharding,
+    substring,
+    tokens,
+)
 from churnlane.session import read_table
 
 
@@ -80,6 +96,36 @@ def sharding_of(docs: DataFrame, shards: int = 40) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document with begin and end, and the text that they decode to."""
+    out = pieces.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), check=True)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "library_agrees")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every two sources of a language, and the terms that each source overuses."""
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def planted_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """For a tenth of the ids, a text that turns periodic after its first words (the query's contract)."""
+    if doc_id is None:
+        return words
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, the longest one, and the text without the repeats."""
+    return runs.with_digest(runs.periodic_runs(read_table(spark, sf_dir, "documents"), edit=planted_repeats))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup,
     op2_chat_formatting,
@@ -91,4 +137,7 @@ QUERIES = {f.__name__: f for f in (
     op8_mixing,
     op9_quality_rules,
     op10_sharding,
+    op11_sentencepiece,
+    op12_source_divergence,
+    op13_periodic_runs,
 )}

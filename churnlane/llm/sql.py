@@ -1,7 +1,8 @@
 """DuckDB SQL for the training-data queries that SQL can express.
 
-Token counts (a tokenizer), language ID (learned vectors) and sharding
-(64-bit hash draws) have none; tests/llm checks them by other means.
+Token counts and piece ids (tokenizers), language ID (learned vectors),
+sharding (64-bit hash draws) and runs (every period of every text is too much
+for SQL) have none; tests/llm checks them by other means.
 """
 
 from __future__ import annotations
@@ -185,6 +186,34 @@ FROM failed
 """.replace("{stop}", "a and de der die el en et for from in is it la las le les los of que that the this to un und "
                       "une von was with y zu")
 
+DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+occ AS (SELECT lang, source, t, count(*) AS n, count(DISTINCT row_no) AS docs
+        FROM (SELECT row_no, lang, source, unnest(ts) AS t FROM d) GROUP BY ALL),
+kept AS (SELECT lang, t, sum(n)::HUGEINT AS n FROM occ GROUP BY lang, t HAVING sum(docs) >= 10),
+lang_size AS (SELECT lang, count(t)::HUGEINT AS v, coalesce(sum(n), 0)::HUGEINT AS total
+              FROM (SELECT DISTINCT lang FROM g) LEFT JOIN kept USING (lang) GROUP BY lang),
+grid AS (SELECT g.lang, g.source, k.t, coalesce(o.n, 0)::HUGEINT AS n, k.n AS lang_n
+         FROM g JOIN kept k USING (lang) LEFT JOIN occ o ON o.lang = g.lang AND o.source = g.source AND o.t = k.t),
+total AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM grid GROUP BY ALL),
+p AS (SELECT lang, source, t, n,
+             1 + (1000000000::HUGEINT * (n + 2)) // (x.total + 2 * z.v) AS p,
+             1 + (1000000000::HUGEINT * (lang_n + 2)) // (z.total + 2 * z.v) AS q
+      FROM grid JOIN total x USING (lang, source) JOIN lang_size z USING (lang)),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN pair x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, t AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+         FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM term))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_chat_formatting": CHAT,
@@ -193,4 +222,5 @@ ORACLE: dict[str, str] = {
     "op6_substring_dedup": SUBSTRING,
     "op8_mixing": MIXING,
     "op9_quality_rules": QUALITY,
+    "op12_source_divergence": DIVERGENCE,
 }

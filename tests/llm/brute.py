@@ -135,3 +135,63 @@ def targets(sizes: dict, most=3) -> dict:
         if not over:
             return {s: goal.get(s, most * sizes[s]) for s in order}
         capped |= over
+
+
+def word_runs(words: list, least=12) -> list:
+    """(start, length, period) of every run, by start, then period."""
+    n, out = len(words), {}
+    for p in range(1, n // 2 + 1):
+        i = 0
+        while i + p < n:
+            if words[i] != words[i + p]:
+                i += 1
+                continue
+            j = i
+            while j + p < n and words[j] == words[j + p]:
+                j += 1
+            if j + p - i >= max(least, 2 * p):
+                out.setdefault((i, j + p), p)
+            i = j + 1
+    return sorted((s, e - s, p) for (s, e), p in out.items())
+
+
+def runs_row(words: list) -> tuple:
+    found, gone = word_runs(words), set()
+    for s, n, p in found:
+        gone.update(range(s + p, s + n))
+    best = min(found, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    top = (best[0], best[1], best[2], 1000 * best[1] // best[2]) if best else (None,) * 4
+    return (len(found), *top, sha("".join(f"{s},{n},{p}\n" for s, n, p in found)),
+            sha(" ".join(w for i, w in enumerate(words) if i not in gone)))
+
+
+def divergences(rows: list, least_docs=10, top=10) -> set:
+    """(lang, source, part, item, value, rank); rows: (lang, source, text)."""
+    rows = [tuple(x or "" for x in r) for r in rows]
+    out, term = set(), re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    for lang in {r[0] for r in rows}:
+        counts, docs = defaultdict(Counter), Counter()
+        for lg, source, text in rows:
+            if lg == lang:
+                c = Counter(term.findall(low(text)))
+                counts[source].update(c)
+                docs.update(c.keys())
+        kept = [t for t, n in docs.items() if n >= least_docs]
+        whole = sum(counts.values(), Counter())
+
+        def share(c):
+            total = sum(c[t] for t in kept)
+            return {t: 1 + 10**9 * (c[t] + 2) // (total + 2 * len(kept)) for t in kept}
+
+        p, q = {s: share(c) for s, c in counts.items()}, share(whole)
+
+        def price(a, b):
+            return (a - b) ** 2 // (a + b)
+
+        for s in counts:
+            pairs = [(o, sum(price(p[s][t], p[o][t]) for t in kept)) for o in counts if o != s]
+            terms = [(t, price(p[s][t], q[t])) for t in kept if counts[s][t] and p[s][t] > q[t]]
+            for part, items, most in (("pair", pairs, None), ("term", terms, top)):
+                items.sort(key=lambda x: (-x[1], x[0].encode()))
+                out |= {(lang, s, part, i, v, k) for k, (i, v) in enumerate(items[:most], 1)}
+    return out
