@@ -29,8 +29,8 @@ from churnlane.llm.ship import ship
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 _BPE = 2
-#: Distinct short parts whose ids a task remembers; the memory is emptied when full.
-REMEMBERED = 400_000
+#: Distinct short parts whose ids a task remembers, in two halves; the older one goes when the newer is full.
+REMEMBERED = 250_000
 _SHORT = 32
 
 
@@ -89,7 +89,9 @@ class PieceModel:
         self.bos = named.get(trainer.get(78, b"<s>").decode())
         self.eos = named.get(trainer.get(79, b"</s>").decode())
         self.unk_text = trainer.get(44, b" \xe2\x81\x87 ").decode()
-        self.score = {p: s for p, s, k in pieces if k == NORMAL}
+        places = {score: i for i, score in enumerate(sorted({s for _, s, k in pieces if k == NORMAL}, reverse=True))}
+        #: A piece's place by score, the highest first; equal scores share a place.
+        self.rank = {p: places[s] for p, s, k in pieces if k == NORMAL}
         self.ids = {p: i for i, (p, _, k) in enumerate(pieces) if k == NORMAL}
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == BYTE}
         #: What an id stands for in bytes; None for control and unknown pieces.
@@ -100,10 +102,11 @@ class PieceModel:
         self.special[special] = True
         self._parts = self._cutter()
         self._packed: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _cutter(self) -> re.Pattern:
         """Parts of a normalised text between which no piece can stand."""
-        longer = [p for p in self.score if len(p) > 1]
+        longer = [p for p in self.rank if len(p) > 1]
         if any(SPACE in p.lstrip(SPACE) for p in longer):
             return re.compile(r"[\s\S]+")
         joined = set("".join(longer))
@@ -112,49 +115,48 @@ class PieceModel:
 
     def merged(self, part: str) -> list[str]:
         """The pieces left of one part once its agenda is empty."""
-        score, symbols, n = self.score, list(part), len(part)
+        rank, symbols, n = self.rank.get, list(part), len(part)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = []
-        for i in range(n - 1):
-            pair = symbols[i] + symbols[i + 1]
-            s = score.get(pair)
-            if s is not None:
-                agenda.append((-s, i, pair))
+        # an entry is one number: the place of its score among all scores, then its position
+        bits = n.bit_length()
+        mask = (1 << bits) - 1
+        agenda = [r << bits | i for i in range(n - 1) if (r := rank(symbols[i] + symbols[i + 1])) is not None]
         heapq.heapify(agenda)
         while agenda:
-            _, i, pair = heapq.heappop(agenda)
+            entry = heapq.heappop(agenda)
+            i = entry & mask
             j = after[i]
-            # one of the two was merged meanwhile: the symbols no longer make up the pair
-            if j >= n or not symbols[i] or symbols[i] + symbols[j] != pair:
+            if j >= n or not symbols[i]:
+                continue
+            pair = symbols[i] + symbols[j]
+            # one of the two was merged meanwhile: the symbols make up another pair
+            if rank(pair) != entry >> bits:
                 continue
             symbols[i], symbols[j] = pair, ""
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                longer = pair + symbols[k]
-                s = score.get(longer)
-                if s is not None:
-                    heapq.heappush(agenda, (-s, i, longer))
+                if (r := rank(pair + symbols[k])) is not None:
+                    heapq.heappush(agenda, r << bits | i)
             h = before[i]
-            if h >= 0:
-                longer = symbols[h] + pair
-                s = score.get(longer)
-                if s is not None:
-                    heapq.heappush(agenda, (-s, h, longer))
+            if h >= 0 and (r := rank(symbols[h] + pair)) is not None:
+                heapq.heappush(agenda, r << bits | h)
         return [s for s in symbols if s]
 
     def _pack(self, part: str) -> bytes:
-        out: list[int] = []
-        for piece in self.merged(part):
-            i = self.ids.get(piece)
-            if i is None:
-                out += [self.byte_ids[b] for b in piece.encode()]
-            else:
-                out.append(i)
-        packed = np.array(out, "<u4").tobytes()
+        packed = self._older.get(part)
+        if packed is None:
+            out: list[int] = []
+            for piece in self.merged(part):
+                i = self.ids.get(piece)
+                if i is None:
+                    out += [self.byte_ids[b] for b in piece.encode()]
+                else:
+                    out.append(i)
+            packed = struct.pack(f"<{len(out)}I", *out)
         if len(part) <= _SHORT:
-            if len(self._packed) >= REMEMBERED:
-                self._packed.clear()
+            if len(self._packed) >= REMEMBERED:  # what is still in use comes back from the older half
+                self._older, self._packed = self._packed, {}
             self._packed[part] = packed
         return packed
 
