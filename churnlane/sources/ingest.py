@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlane.operators.joins import join_bounded
+from churnlane.session import cut_lineage
 
 # FIXED VALUES: text tokens a pandas CSV read treats as missing by default.
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -97,35 +98,50 @@ def apply_types(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols, *rest)
 
 
-def with_positional_id(df: DataFrame, id_col: str = "id", start: int = 1) -> DataFrame:
-    """SRC-5: dense key ``start..start+n-1`` in file order, fully distributed.
+def _tagged(df: DataFrame) -> DataFrame:
+    """Rows of a file scan with the place they were read at, read once and kept (``checkpoint``).
 
-    ``df`` must come straight from a file scan (csv/json/parquet), before any
-    shuffle.  Order = file path (name order), then byte offset of the split,
-    then row position inside the split.  One extra aggregate over the scan
-    computes rows per split (one row per split, never per data row); the
-    running offsets of those few rows are attached with a size-checked
-    broadcast join, so the data itself is never shuffled or sorted.
+    How a scan is split follows the executors present and the session's
+    settings, so two scans of one file need not be split alike.  The place
+    (file, split start, number of the row) is therefore fixed by one read, and
+    both the counts and the numbering work on what that read kept.
     """
-    base = df.select(
+    return cut_lineage(df.select(
         "*",
         F.col("_metadata.file_path").alias("_cl_fp"),
         F.col("_metadata.file_block_start").alias("_cl_fb"),
-        F.monotonically_increasing_id().alias("_cl_mono"),
-    )
-    splits = base.groupBy("_cl_fp", "_cl_fb").agg(
-        F.count(F.lit(1)).alias("_cl_n"), F.min("_cl_mono").alias("_cl_m0"))
+        F.monotonically_increasing_id().alias("_cl_mono")))
+
+
+def _split_counts() -> list:
+    return [F.count(F.lit(1)).alias("_cl_n"), F.min("_cl_mono").alias("_cl_m0")]
+
+
+def _numbered(rows: DataFrame, splits: DataFrame, id_col: str, start: int, cols: list[str]) -> DataFrame:
+    """Dense keys from the rows' places and one row per split (``_cl_n`` rows, first number ``_cl_m0``)."""
     # One row per input split (data size / split size): small and bounded.
     w = Window.orderBy("_cl_fp", "_cl_fb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "_cl_fp", "_cl_fb", "_cl_m0",
-        F.coalesce(F.sum("_cl_n").over(w), F.lit(0)).alias("_cl_off"))
-    joined = join_bounded(base, offsets, ["_cl_fp", "_cl_fb"], "inner",
-                          max_rows=MAX_BROADCAST_ROWS)
+    offsets = splits.select("_cl_fp", "_cl_fb", "_cl_m0",
+                            F.coalesce(F.sum("_cl_n").over(w), F.lit(0)).alias("_cl_off"))
+    joined = join_bounded(rows, offsets, ["_cl_fp", "_cl_fb"], "inner", max_rows=MAX_BROADCAST_ROWS)
     return joined.select(
-        (F.col("_cl_off") + (F.col("_cl_mono") - F.col("_cl_m0")) + F.lit(start))
-        .cast("long").alias(id_col),
-        *[_q(c) for c in df.columns])
+        (F.col("_cl_off") + (F.col("_cl_mono") - F.col("_cl_m0")) + F.lit(start)).cast("long").alias(id_col),
+        *[_q(c) for c in cols])
+
+
+def with_positional_id(df: DataFrame, id_col: str = "id", start: int = 1) -> DataFrame:
+    """SRC-5: dense key ``start..start+n-1`` in file order, fully distributed.
+
+    ``df`` must come straight from a file scan (csv/json/parquet), before any
+    shuffle.  Order = file path (name order), then byte offset of the split,
+    then row position inside the split.  The files are read once; rows per
+    split are counted on that read, and their running offsets (one row per
+    split, never per data row) are attached with a size-checked broadcast
+    join, so the data itself is never shuffled or sorted and no id depends on
+    how a later job would split the files.
+    """
+    rows = _tagged(df)
+    return _numbered(rows, rows.groupBy("_cl_fp", "_cl_fb").agg(*_split_counts()), id_col, start, df.columns)
 
 
 def with_dense_id(df: DataFrame, id_col: str = "id", start: int = 1) -> DataFrame:
@@ -153,9 +169,9 @@ def read_csv_table(spark: SparkSession, path: str, id_col: str | None = "id",
                    **options) -> DataFrame:
     """SRC-1 + SRC-2 + SRC-5: typed table with a positional key.
 
-    Two passes over the files: the first learns, in one grouped aggregate,
-    each split's row count and the per-column type counters (one row per
-    split); the second casts and numbers the rows.  The column types come
+    The files are parsed once; what was read is kept with its places
+    (:func:`_tagged`).  One grouped aggregate learns each split's row count and
+    the per-column type counters (one row per split); the column types come
     from summing the split rows, the split offsets from a running sum over
     them, so no data row is ever shuffled, sorted or collected.
     """
@@ -163,25 +179,11 @@ def read_csv_table(spark: SparkSession, path: str, id_col: str | None = "id",
     if id_col is None:
         return apply_types(text, infer_three_types(text))
     cols = text.columns
-    base = text.select(
-        "*",
-        F.col("_metadata.file_path").alias("_cl_fp"),
-        F.col("_metadata.file_block_start").alias("_cl_fb"),
-        F.monotonically_increasing_id().alias("_cl_mono"))
-    splits = base.groupBy("_cl_fp", "_cl_fb").agg(
-        F.count(F.lit(1)).alias("_cl_n"), F.min("_cl_mono").alias("_cl_m0"),
-        *_type_counters(cols)).checkpoint(eager=True)   # one row per split
+    rows = _tagged(text)
+    splits = cut_lineage(rows.groupBy("_cl_fp", "_cl_fb").agg(*_split_counts(), *_type_counters(cols)))
     counters = [c for c in splits.columns if "__" in c]
     schema = _decide_types(cols, splits.agg(*[F.sum(_q(c)).alias(c) for c in counters]).first())
-    w = Window.orderBy("_cl_fp", "_cl_fb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("_cl_fp", "_cl_fb", "_cl_m0",
-                            F.coalesce(F.sum("_cl_n").over(w), F.lit(0)).alias("_cl_off"))
-    typed = apply_types(base, schema)
-    joined = join_bounded(typed, offsets, ["_cl_fp", "_cl_fb"], "inner",
-                          max_rows=MAX_BROADCAST_ROWS)
-    return joined.select(
-        (F.col("_cl_off") + (F.col("_cl_mono") - F.col("_cl_m0")) + F.lit(1)).cast("long")
-        .alias(id_col), *[_q(c) for c in cols])
+    return _numbered(apply_types(rows, schema), splits, id_col, 1, cols)
 
 
 def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:

@@ -43,6 +43,29 @@ def test_positional_ids_follow_file_order_across_splits(spark, tmp_dir):
     assert all(r.id == r.v + 1 for r in rows)
 
 
+def test_ids_do_not_depend_on_how_later_jobs_split_the_files(spark, tmp_dir):
+    n = 4000
+    _write(f"{tmp_dir}/d/a.csv", "v,name\n" + "".join(f"{i},row{i}\n" for i in range(n)))
+    (spark.range(n).select(F.col("id").alias("v")).coalesce(1).write
+     .option("parquet.block.size", 4096).option("parquet.enable.dictionary", "false").parquet(f"{tmp_dir}/p"))
+    size, number = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
+    old = spark.conf.get(size)
+    for first, second in (("4096", "1500"), ("1500", "64000"), ("64000", "2048")):
+        try:
+            spark.conf.set(size, first)
+            csv = IN.read_csv_table(spark, f"{tmp_dir}/d", id_col="id")
+            keyed = IN.with_positional_id(spark.read.parquet(f"{tmp_dir}/p"))
+            spark.conf.set(size, second)   # later jobs would split the files otherwise
+            for parts in ("1", "7"):
+                spark.conf.set(number, parts)
+                for df in (csv, keyed):
+                    rows = df.select("id", "v").collect()
+                    assert len(rows) == n and all(r.id == r.v + 1 for r in rows)
+        finally:
+            spark.conf.set(size, old)
+            spark.conf.unset(number)
+
+
 def test_dense_ids_for_computed_frames(spark):
     df = spark.range(0, 1000, numPartitions=7).select((F.col("id") * 3).alias("x")).checkpoint()
     ids = sorted(r.id for r in IN.with_dense_id(df, "id", start=11).collect())
