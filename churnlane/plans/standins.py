@@ -127,3 +127,55 @@ def events_as_results(events: DataFrame) -> DataFrame:
     link = F.when(purchase, F.col("user_id"))
     return events.select(F.col("event_id").alias("id"), F.col("user_id").alias("id_user"),
                          link.alias("employe_id"), details_json(F.col("props"), link).alias("details"))
+
+
+# Models as data: one toy model per part, of five kinds.
+
+def part_registry(part: DataFrame) -> DataFrame:
+    """One registry bundle per part; its kind is p_partkey % 5.
+
+    0 numbers only, 1 one-hot text with strict categories, 2 text that is not
+    among its one-hot roles, 3 categories as numbers, 4 as 1 but lenient.
+    """
+    kind = F.col("p_partkey") % 5
+    columns = (F.when(kind == 0, '["k", "revenu_mensuel"]').when(kind == 2, '["k", "statut_marital", "heure_supplementaires"]')
+               .when(kind == 3, '["k", "frequence_deplacement"]').otherwise('["k", "statut_marital"]'))
+    onehot = F.when(kind == 2, '"heure_supplementaires"').when(kind == 3, "").otherwise('"statut_marital"')
+    unknown = F.when(kind == 4, "ignore").otherwise("error")
+    return part.select(F.concat(F.lit("p"), F.col("p_partkey")).alias("name"), F.concat(
+        F.lit('{"model": {"type": "Pipeline", "predict": true, "handle_unknown": "'), unknown,
+        F.lit('", "steps": [{"type": "ColumnTransformer", "transformers": [{"name": "o", "columns": ['), onehot,
+        F.lit('], "steps": ["OneHotEncoder"]}]}]}, "colonnes": '), columns, F.lit("}")).alias("metadata"))
+
+
+def part_coefficients(part: DataFrame) -> DataFrame:
+    """The weights of ``part_registry``'s models, a row per coefficient."""
+    kind = F.col("p_partkey") % 5
+    none = F.lit(None).cast("double")
+
+    def row(when, feature, category, weight, center=none, scale=none):
+        return F.when(when, F.struct(F.lit(feature).alias("feature"), F.lit(category).cast("string").alias("category"),
+                                     weight.alias("weight"), center.alias("center"), scale.alias("scale")))
+
+    text = kind.isin(1, 2, 4)
+    rows = F.array(
+        row(F.lit(True), "__intercept__", None, (F.col("p_partkey") % 3) * F.lit(-0.5)),
+        row(F.lit(True), "k", None, F.col("p_size") / F.lit(100.0), F.lit(50.0), F.lit(29.0)),
+        row(kind == 0, "revenu_mensuel", None, (F.col("p_partkey") % 7) * F.lit(0.01)),
+        row(text, "statut_marital", "single", F.lit(0.5)), row(text, "statut_marital", "Married", F.lit(-0.25)),
+        row(kind == 2, "heure_supplementaires", "oui", F.lit(0.125)),
+        row(kind == 3, "frequence_deplacement", None, F.lit(0.3)))
+    return (part.select(F.concat(F.lit("p"), F.col("p_partkey")).alias("model"),
+                        F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r")).select("model", "r.*"))
+
+
+def events_as_registry_requests(events: DataFrame) -> DataFrame:
+    """events -> requests that name one of ``part_registry``'s models (some name none of them)."""
+    i = F.col("event_id")
+    status = (F.when(F.col("event_type") == "error", "alien")
+              .otherwise(F.element_at(F.array(*map(F.lit, ("single", "Married", "divorced", ""))), (i % 4 + 1).cast("int"))))
+    travel = F.element_at(F.array(*map(F.lit, ("Frequent", "2", " rare "))), (i % 3 + 1).cast("int"))
+    features = F.concat(F.lit('{"k": '), F.get_json_object("props", "$.k"), F.lit(', "statut_marital": "'), status,
+                        F.lit('", "frequence_deplacement": "'), travel,
+                        F.lit('", "heure_supplementaires": "oui", "revenu_mensuel": '), F.col("user_id"), F.lit("}"))
+    return events.select(i.alias("request_id"), F.concat(F.lit("p"), i % 2500).alias("modele"), features.alias("features"))
