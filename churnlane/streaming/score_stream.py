@@ -10,6 +10,7 @@ sink with a checkpoint in shared storage (exactly-once file sink).
 
 from __future__ import annotations
 
+import time
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,26 @@ def run_to_parquet(stream: DataFrame, out_path: str, checkpoint: str,
     return q
 
 
+def run_until_idle(stream: DataFrame, out_path: str, checkpoint: str, every: str = "1 second",
+                   timeout_s: float = 3600.0) -> None:
+    """Append ``stream`` to a Parquet sink until a batch finds no new input, then stop.
+
+    For queries whose state lives by the clock: they always have another batch
+    to run, so ``availableNow`` would not end.
+    """
+    q = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+         .option("path", out_path).trigger(processingTime=every).start())
+    until = time.monotonic() + timeout_s
+    try:
+        while not q.awaitTermination(0.2):
+            if any(p["numInputRows"] == 0 for p in q.recentProgress):
+                return
+            if time.monotonic() > until:
+                raise TimeoutError(f"the stream had input for more than {timeout_s} s; its checkpoint resumes it")
+    finally:
+        q.stop()
+
+
 def enrich_stream(stream: DataFrame, static: DataFrame, link_col: str,
                   static_key: str) -> DataFrame:
     """STR-2: stream LEFT JOIN static table on the link (stateless)."""
