@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from churnlane import schemas as S
 from churnlane.functions import clean
 from churnlane.operators.joins import join_bounded, salted_join
-from churnlane.session import scratch_path
-from churnlane.sources.sinks import carry_ledger
+from churnlane.session import cut_lineage, scratch_path
+from churnlane.sources.sinks import OWNER_BUCKET, carry_ledger, owner_bucket
 
 # Largest id set broadcast to every task (a long hash set of ~2M keys stays
 # well under 100 MB); larger sets take the shuffle join.
@@ -102,6 +102,62 @@ def erase_and_write(spark: SparkSession, users: DataFrame, results: DataFrame,
     return ErasureOutcome(up, rp, report)
 
 
+def erase_buckets(spark: SparkSession, table: str, buckets: int, users: DataFrame, requested: DataFrame,
+                  user_key: str = "id", owner_col: str = "id_user", requested_key: str | None = None,
+                  users_out: str | None = None, rewritten_out: str | None = None) -> ErasureOutcome:
+    """GOV-1 on a results table of owner buckets: only buckets that hold an erased owner are read and written.
+
+    ``table`` is a catalog table of ``sinks.write_owner_buckets`` with the same
+    ``buckets``.  The erased ids give at most ``buckets`` bucket numbers, which
+    become a partition filter of the scan.  The rows that stay are written to
+    a new path in one pass, which also counts the rows on both sides; only then
+    does the catalog point each rewritten bucket at its new folder, one
+    statement a bucket.  Old folders stay until their readers are done.  A run
+    that ends between two statements is simply run again: the buckets already
+    moved lose nothing more.
+
+    ``results_kept`` of the report counts untouched buckets from their
+    file footers (no column is read).  ``results_path`` is the rewritten folder.
+    """
+    asked = cut_lineage(requested.select(F.col(requested_key or user_key).alias("_cl_uid")).where("_cl_uid is not null").distinct())
+    erased = cut_lineage(users.select(F.col(user_key).alias("_cl_uid")).join(asked, "_cl_uid", "left_semi").distinct())
+    touched = [r[0] for r in erased.select(owner_bucket(F.col("_cl_uid"), buckets)).distinct().collect()]
+    up, rp = users_out or scratch_path(spark, "users"), rewritten_out or scratch_path(spark, "results")
+    on_users, on_results = Observation(), Observation()
+
+    def flagged(rows: DataFrame, key: str) -> DataFrame:
+        return join_bounded(rows.withColumn("_cl_uid", F.col(key)), erased.withColumn("_cl_gone", F.lit(True)), "_cl_uid",
+                            "left", max_rows=MAX_BROADCAST_IDS)
+
+    def counted(rows: DataFrame, seen: Observation, keep: list[str]) -> DataFrame:
+        gone = F.col("_cl_gone").isNotNull()
+        return (rows.observe(seen, F.count_if(gone).alias("gone"), F.count_if(~gone).alias("kept"))
+                .where(~gone).select(*keep))
+
+    counted(flagged(users, user_key), on_users, users.columns).write.parquet(up)
+    results = spark.table(table)
+    gone_r = kept_r = 0
+    if touched:
+        rows = results.where(F.col(OWNER_BUCKET).isin(touched))
+        counted(flagged(rows, owner_col), on_results, results.columns).write.partitionBy(OWNER_BUCKET).parquet(rp)
+        gone_r, kept_r = on_results.get["gone"], on_results.get["kept"]
+        left = {r[0] for r in spark.read.parquet(rp).select(OWNER_BUCKET).distinct().collect()} if kept_r else set()
+        stored = {r[0].split("=")[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        for b in touched:
+            part = f"PARTITION ({OWNER_BUCKET}={b})"
+            if b in left:
+                spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{rp}/{OWNER_BUCKET}={b}'")
+            elif str(b) in stored:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {part}")
+        spark.sql(f"REFRESH TABLE {table}")
+    untouched = results.where(~F.col(OWNER_BUCKET).isin(touched)) if touched else results
+    report = spark.createDataFrame(
+        [(on_users.get["gone"], gone_r, asked.join(erased, "_cl_uid", "left_anti").count(), on_users.get["kept"],
+          kept_r + untouched.count())],
+        "users_deleted long, results_deleted long, unknown_users long, users_kept long, results_kept long")
+    return ErasureOutcome(up, rp, report)
+
+
 # ---------------------------------------------------------------- GOV-2
 
 def register_unique(incoming: DataFrame, stored: DataFrame, name_col: str = "username",

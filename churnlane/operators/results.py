@@ -19,7 +19,7 @@ from churnlane import schemas as S
 from churnlane.functions import clean
 from churnlane.operators.joins import salted_join
 from churnlane.sources.ingest import with_dense_id
-from churnlane.sources.sinks import reserve_ids
+from churnlane.sources.sinks import carry_ledger, reserve_ids
 
 HISTORY_COLUMNS = ["id", "prenom", "nom", "modele_utilise", "probabilite_de_quitter",
                    "prediction", "libelle_prediction", "seuil_applique", "id_user", "employe_id"]
@@ -117,6 +117,29 @@ def append_batch(spark: SparkSession, path: str, rows: DataFrame, batch_key: str
     return _append(spark, path, rows, batch_key, batch_key, owner_col)
 
 
+def cluster_results(spark: SparkSession, path: str, out: str, rows_per_file: int = 2_000_000,
+                    owner_col: str = "id_user", row_group_bytes: int = 16 << 20) -> int:
+    """SNK-1 / SRT-1 / FLT-1: a new version of the results table, ordered by (owner, id).
+
+    Appends leave a folder each, and an owner's rows in all of them.  The
+    rewrite range-partitions all rows by (owner, id), so a file holds
+    neighbouring owners, a hot owner is spread over as many files as its rows
+    need, and the min/max of the row groups let a history read only its
+    share.  ``out`` is a new path whose ids go on where those of ``path``
+    end; appends may follow there.  Nothing of ``path`` is changed.  Returns the
+    number of rows, which must be the same on both sides.
+    """
+    rows = read_results(spark, path)
+    n = rows.count()
+    files = max(1, -(-n // rows_per_file))
+    (rows.repartitionByRange(files, owner_col, "id").sortWithinPartitions(owner_col, "id").write
+     .option("parquet.block.size", row_group_bytes).parquet(f"{out.rstrip('/')}/batch=clustered-{uuid.uuid4().hex}"))
+    carry_ledger(spark, path, out)
+    if read_results(spark, out).count() != n:
+        raise RuntimeError("the clustered version has another number of rows; the old one stays in use")
+    return n
+
+
 # ---------------------------------------------------------------- history
 
 def history(results: DataFrame, owner, prenom: str | None = None, nom: str | None = None,

@@ -10,7 +10,7 @@ import hashlib
 import time
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -155,6 +155,30 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int,
     return df.sparkSession.table(table)
 
 
+def write_owner_buckets(df: DataFrame, table: str, owner_col: str, buckets: int = 256,
+                        files_per_bucket: int = 1, path: str | None = None) -> DataFrame:
+    """Write ``df`` as a catalog table partitioned by a hash bucket of its owner.
+
+    The bucket column is :data:`OWNER_BUCKET`; rows without an owner are in
+    bucket -1.  ``files_per_bucket`` spreads each bucket, and with it a hot
+    owner or the rows without one, over so many tasks.
+    """
+    own = [F.col(c) for c, t in df.dtypes if not t.startswith(("map", "variant"))]
+    spread = F.pmod(F.xxhash64(*own), F.lit(files_per_bucket))
+    rows = df.withColumn(OWNER_BUCKET, owner_bucket(F.col(owner_col), buckets))
+    writer = rows.repartition(OWNER_BUCKET, spread).write.format("parquet").partitionBy(OWNER_BUCKET)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+#: The partition column of a table that :func:`write_owner_buckets` wrote.
+OWNER_BUCKET = "owner_bucket"
+
+
+def owner_bucket(owner: Column, buckets: int) -> Column:
+    return F.when(owner.isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(owner.cast("string")), F.lit(buckets)).cast("int"))
+
+
 def compact_ledger(spark: SparkSession, path: str) -> int:
     """Delete the reservations that later ones replace; returns the files left.
 
