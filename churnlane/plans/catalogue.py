@@ -14,6 +14,7 @@ from churnlane.functions import clean
 from churnlane.operators import directory as D
 from churnlane.operators import features as FE
 from churnlane.operators import governance as G
+from churnlane.operators import model_tables as MT
 from churnlane.operators import registry as R
 from churnlane.operators import results as RS
 from churnlane.operators import scoring as SC
@@ -22,6 +23,8 @@ from churnlane.plans import standins as SI
 from churnlane.session import read_table, scratch_path
 from churnlane.sources import ingest as IN
 from churnlane.sources import sinks as SK
+from churnlane.streaming import dedup as DD
+from churnlane.streaming import registration as RG
 from churnlane.streaming import score_stream as ST
 
 
@@ -87,14 +90,15 @@ def history_by_owner(spark, sf_dir):
 
 
 def history_of_owner(spark, sf_dir):
-    """FLT-1 FLT-2 SRT-1 LIM: one owner's newest results whose first name matches."""
-    h = RS.history(_results(spark, sf_dir), 7, prenom=" F ", limit=5)
+    """FLT-1 FLT-2 SRT-1: one owner's whole history of results whose first name matches."""
+    h = RS.history(_results(spark, sf_dir), 7, prenom=" F ")
     return h.select("id", "prenom", "nom", F.round("probabilite_de_quitter", 6).alias("probabilite_de_quitter"))
 
 
 def history_no_owner(spark, sf_dir):
-    """FLT-5: no owner, no rows."""
-    return RS.history(_results(spark, sf_dir), None).select("id", "id_user")
+    """FLT-5: histories asked for by requests of which a part names no owner; those get no rows."""
+    asked = _t(spark, sf_dir, "events").select(F.when(F.col("event_type") != "error", F.col("user_id") * 7).alias("id_user"))
+    return RS.history_for_owners(_results(spark, sf_dir), asked, columns=["id", "id_user"])
 
 
 def record_one(spark, sf_dir):
@@ -365,6 +369,25 @@ def score_by_model_rejected(spark, sf_dir):
     return rejected.select("request_id", "modele", F.col("_reason").alias("reason"))
 
 
+def _by_registry(spark, sf_dir):
+    part = _t(spark, sf_dir, "part")
+    return MT.predict_with_registry(SI.events_as_registry_requests(_t(spark, sf_dir, "events")), SI.part_registry(part),
+                                    SI.part_coefficients(part), proba_digits=6)
+
+
+def score_by_registry(spark, sf_dir):
+    """JOI-9 ML-1 ML-2 ML-4: a model per part, joined as data; each request in the first layout that fits."""
+    scored, _ = _by_registry(spark, sf_dir)
+    return scored.select("request_id", "modele_utilise", SC.PROBA, SC.PREDICTION, SC.LABEL, "format_entree",
+                         F.size("colonnes_utilisees").cast("long").alias("nb_colonnes"))
+
+
+def score_by_registry_rejected(spark, sf_dir):
+    """ML-1 ML-10 JOI-9: the other requests: unknown models and values, and every layout's failure."""
+    _, rejected = _by_registry(spark, sf_dir)
+    return rejected.select("request_id", "modele", F.col("_reason").alias("reason"))
+
+
 def stream_score(spark, sf_dir):
     """STR-1: the same scoring as a file-source stream into a Parquet sink."""
     schema = _t(spark, sf_dir, "events").schema
@@ -550,6 +573,62 @@ def register_rejected(spark, sf_dir):
     return rejected.select("username", "event_id", "reason")
 
 
+def _registration_files(spark, sf_dir):
+    """The registration requests of ``events`` as three files, in the order of their arrival."""
+    src = scratch_path(spark, "registrations")
+    ev = _t(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 500 != 7, F.concat(F.lit(" u"), (F.col("user_id") * 11).cast("string"), F.lit(" ")))
+        .alias("username"), "event_id", "ts")
+    cuts = ev.agg(*(F.percentile_approx("ts", q).alias(f"q{i}") for i, q in enumerate((0.3, 0.6)))).first()
+    for part in (F.col("ts") <= cuts[0], (F.col("ts") > cuts[0]) & (F.col("ts") <= cuts[1]), F.col("ts") > cuts[1]):
+        ev.where(part).coalesce(1).write.mode("append").parquet(src)
+    return src, ev.schema
+
+
+def _stream_register(spark, sf_dir):
+    src, schema = _registration_files(spark, sf_dir)
+    stored = _t(spark, sf_dir, "customer").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("username"))
+    return RG.register_files(spark, src, schema, stored, ["ts", "event_id"], scratch_path(spark, "registered"),
+                             scratch_path(spark, "registered-ckpt"), max_files_per_trigger=1)
+
+
+def stream_register(spark, sf_dir):
+    """GOV-2 JOI-6 STR-1: names registered as requests arrive, in three batches; state keyed by name."""
+    return _stream_register(spark, sf_dir).where(F.col("reason").isNull()).select("username", "event_id")
+
+
+def stream_register_rejected(spark, sf_dir):
+    """GOV-2 STR-1: the other requests of the stream, each with its reason."""
+    return _stream_register(spark, sf_dir).where(F.col("reason").isNotNull()).select("username", "event_id", "reason")
+
+
+def _stream_dedup(spark, sf_dir):
+    """Events out of order over eight files: every fifth is sent again in the next file,
+    every 50th comes three files late."""
+    src = scratch_path(spark, "requests")
+    ev = _t(spark, sf_dir, "events").select(F.col("event_id").alias("request_id"), "ts", "event_type")
+    lo, hi = ev.agg(F.min(DD.micros("ts")), F.max(DD.micros("ts"))).first()
+    step = (hi - lo) / 8
+    own = F.least(F.floor((DD.micros("ts") - lo) / step), F.lit(7))
+    sent = F.when(F.col("request_id") % 50 == 9, F.array(own + 3)).when(
+        F.col("request_id") % 5 == 0, F.array(own, own + 1)).otherwise(F.array(own))
+    files = ev.withColumn("file", F.explode(sent)).where(F.col("file") < 8)
+    for i in range(8):
+        files.where(F.col("file") == i).drop("file").coalesce(1).write.mode("append").parquet(src)
+    return DD.dedup_files(spark, src, ev.schema, "request_id", "ts", 1.5 * step / 1e6, scratch_path(spark, "deduped"),
+                          scratch_path(spark, "deduped-ckpt"), max_files_per_trigger=1)
+
+
+def stream_dedup(spark, sf_dir):
+    """STR-1: requests that arrive once, although some are sent again and out of order."""
+    return _stream_dedup(spark, sf_dir)[0].select("request_id", "ts", "event_type")
+
+
+def stream_late(spark, sf_dir):
+    """STR-1: the side table of requests that came after the watermark."""
+    return _stream_dedup(spark, sf_dir)[1].select("request_id", "side")
+
+
 def validate_lengths(spark, sf_dir):
     """GOV-3 SCA-17 FLT-8 FLT-12: first failing rule per account request."""
     c = _t(spark, sf_dir, "customer")
@@ -649,6 +728,8 @@ QUERIES = {
     "score_and_append": score_and_append,
     "score_by_model": score_by_model,
     "score_by_model_rejected": score_by_model_rejected,
+    "score_by_registry": score_by_registry,
+    "score_by_registry_rejected": score_by_registry_rejected,
     "stream_score": stream_score,
     "stream_to_results": stream_to_results,
     "stream_enrich": stream_enrich,
@@ -675,6 +756,10 @@ QUERIES = {
     "erase_report": erase_report,
     "register_unique": register_unique,
     "register_rejected": register_rejected,
+    "stream_register": stream_register,
+    "stream_register_rejected": stream_register_rejected,
+    "stream_dedup": stream_dedup,
+    "stream_late": stream_late,
     "validate_lengths": validate_lengths,
     "orphan_audit": orphan_audit,
     "orphan_repair": orphan_repair,

@@ -144,6 +144,46 @@ FROM lineitem
 
 FPA = "CASE l_returnflag WHEN 'R' THEN CAST(l_discount AS VARCHAR) WHEN 'A' THEN 'abc' END"
 
+# Requests that name a model per part: the five kinds of models written out.
+BY_REGISTRY = """
+WITH r AS (
+  SELECT event_id AS request_id, 'p' || (event_id % 2500) AS modele, CAST(json_extract(props, '$.k') AS DOUBLE) AS k,
+         CAST(user_id AS DOUBLE) AS revenu,
+         CASE WHEN event_type = 'error' THEN 'alien' ELSE ['single', 'Married', 'divorced', ''][event_id % 4 + 1] END AS statut,
+         ['Frequent', '2', ' rare '][event_id % 3 + 1] AS travel
+  FROM events),
+m AS (
+  SELECT 'p' || p_partkey AS modele, p_partkey % 5 AS kind, (p_partkey % 3) * CAST(-0.5 AS DOUBLE) AS b,
+         p_size / CAST(100 AS DOUBLE) AS wk, (p_partkey % 7) * CAST(0.01 AS DOUBLE) AS wr FROM part),
+j AS (
+  SELECT r.*, kind, b + wk * ((k - 50) / 29) AS base, wr,
+         CASE statut WHEN 'single' THEN CAST(0.5 AS DOUBLE) WHEN 'Married' THEN CAST(-0.25 AS DOUBLE) END AS ws,
+         CASE statut WHEN 'Married' THEN '1.0' WHEN 'divorced' THEN '2.0' ELSE '0.0' END AS code
+  FROM r LEFT JOIN m USING (modele)),
+s AS (
+  SELECT *, kind IS NOT NULL AND (kind IN (0, 3) OR statut <> 'alien') AND (kind NOT IN (1, 2) OR ws IS NOT NULL) AS fits,
+         base + CASE kind WHEN 0 THEN wr * revenu WHEN 2 THEN ws + CAST(0.125 AS DOUBLE)
+           WHEN 3 THEN CAST(0.3 AS DOUBLE) * CASE travel WHEN ' rare ' THEN 1 ELSE 2 END ELSE coalesce(ws, 0) END AS z
+  FROM j),
+p AS (SELECT *, 1 / (1 + exp(-z)) AS p, ' of ' || chr(39) || 'statut_marital' || chr(39) AS where_,
+             chr(39) || statut || chr(39) AS shown FROM s)
+"""
+
+
+# Eight files of events: every fifth again in the next file, every 50th three files late.
+SENT = """
+WITH span AS (SELECT epoch_us(min(ts)) AS lo, (epoch_us(max(ts)) - epoch_us(min(ts))) / 8 AS step FROM events),
+own AS (SELECT event_id, ts, event_type, least(floor((epoch_us(ts) - lo) / step), 7)::INTEGER AS f FROM events, span),
+sent AS (
+  SELECT event_id, ts, event_type, CASE WHEN event_id % 50 = 9 THEN f + 3 ELSE f END AS f FROM own
+  UNION ALL SELECT event_id, ts, event_type, f + 1 FROM own WHERE event_id % 50 <> 9 AND event_id % 5 = 0),
+newest AS (SELECT f, max(max(epoch_us(ts))) OVER (ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+           FROM sent WHERE f < 8 GROUP BY f),
+arrived AS (SELECT event_id, ts, event_type, coalesce(epoch_us(ts) < seen - 1.5 * step, false) AS late
+            FROM sent JOIN newest USING (f), span)
+"""
+
+
 ORACLE = {
     "directory_prefix": DIR_BASE + " WHERE CAST(d.doc_id AS VARCHAR) LIKE '1%' ORDER BY d.doc_id",
     "directory_all": DIR_BASE + " ORDER BY d.doc_id",
@@ -230,6 +270,22 @@ ORACLE = {
     "score_by_model_rejected": """
         SELECT event_id AS request_id, 'ghost' AS modele, 'unknown_model' AS reason
         FROM events WHERE event_type = 'error'""",
+    "score_by_registry": BY_REGISTRY + f"""
+        SELECT request_id, modele AS modele_utilise, round(p, 6) AS probabilite_de_quitter,
+               {pred_sql('p')} AS prediction, {label_sql(pred_sql('p'))} AS libelle_prediction,
+               CASE WHEN kind = 2 THEN 'dataframe_mixte' WHEN kind = 3 AND travel <> '2' THEN 'dataframe_float64'
+                    ELSE 'dataframe_aligne' END AS format_entree,
+               CAST(CASE WHEN kind = 2 THEN 3 ELSE 2 END AS BIGINT) AS nb_colonnes
+        FROM p WHERE fits""",
+    "score_by_registry_rejected": BY_REGISTRY + """
+        SELECT request_id, modele, CASE WHEN kind IS NULL THEN 'unknown_model'
+          WHEN statut = 'alien' THEN 'unknown value for ' || chr(39) || 'statut_marital' || chr(39)
+            || ': alien. expected: [0, 1, 2, celibataire, célibataire, divorce, divorce(e), divorced, divorcé, '
+            || 'divorcé(e), marie, marie(e), marié, marié(e), married, single]'
+          ELSE 'no layout fits. dataframe_aligne: unknown category ' || CASE kind WHEN 1 THEN shown ELSE code END || where_
+            || ' | dataframe_mixte: unknown category ' || shown || where_
+            || ' | dataframe_float64: unknown category ' || code || where_ END AS reason
+        FROM p WHERE NOT fits""",
     "stream_enrich": """
         SELECT e.event_id, e.user_id, c.c_name, c.c_acctbal
         FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id""",
@@ -303,6 +359,21 @@ ORACLE = {
                     ELSE 'duplicate' END AS reason
         FROM r WHERE username IS NULL OR length(username) NOT BETWEEN 3 AND 80
                      OR rn > 1 OR username IN (SELECT username FROM s)""",
+    "stream_register": REG + """
+        SELECT username, event_id FROM r
+        WHERE rn = 1 AND username IS NOT NULL AND length(username) BETWEEN 3 AND 80
+          AND username NOT IN (SELECT username FROM s)""",
+    "stream_register_rejected": REG + """
+        SELECT username, event_id,
+               CASE WHEN username IS NULL THEN 'missing_username'
+                    WHEN length(username) NOT BETWEEN 3 AND 80 THEN 'username_length'
+                    WHEN username IN (SELECT username FROM s) THEN 'already_exists'
+                    ELSE 'duplicate' END AS reason
+        FROM r WHERE username IS NULL OR length(username) NOT BETWEEN 3 AND 80
+                     OR rn > 1 OR username IN (SELECT username FROM s)""",
+    "stream_dedup": SENT + """
+        SELECT DISTINCT event_id AS request_id, ts, event_type FROM arrived WHERE NOT late""",
+    "stream_late": SENT + "SELECT event_id AS request_id, 'late' AS side FROM arrived WHERE late",
     "validate_lengths": """
         SELECT c_custkey,
           CASE WHEN NOT regexp_matches(ident, '^[0-9]+$') THEN 'id_not_integer'
@@ -316,8 +387,10 @@ ORACLE = {
               FROM customer)""",
     "history_of_owner": RESULTS_CTE + f"""
         SELECT id, prenom, nom, round(p, 6) AS probabilite_de_quitter
-        FROM r WHERE id_user = 7 AND prenom ILIKE '%f%' ORDER BY id DESC LIMIT 5""",
-    "history_no_owner": "SELECT o_orderkey AS id, o_custkey AS id_user FROM orders WHERE false",
+        FROM r WHERE id_user = 7 AND prenom ILIKE '%f%' ORDER BY id DESC""",
+    "history_no_owner": """
+        SELECT o_orderkey AS id, o_custkey AS id_user FROM orders
+        WHERE o_custkey IN (SELECT user_id * 7 FROM events WHERE event_type <> 'error')""",
     "record_one": """SELECT d.*, l.quality FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
                      WHERE d.doc_id = 11 LIMIT 1""",
     "results_json": """
