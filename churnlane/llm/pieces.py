@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding for merge-type vocabularies.
 
-The symbols of a text are its characters.  An agenda (heap) holds the adjacent
-pairs whose concatenation is a piece; the pair of highest score, leftmost on
-ties, is merged until the agenda is empty.  What is left becomes piece ids, or
+The symbols of a text are its characters.  An agenda holds the adjacent pairs
+whose concatenation is a piece, by score; the pair of highest score, leftmost on
+ties, is merged until the agenda is empty.  A long part has a heap for it; short
+parts of one length are merged together, a row of an array each (numpy).  What is left becomes piece ids, or
 one id per UTF-8 byte where a character has no piece.
 
 A text is cut where no piece can reach across (before a space mark that follows
@@ -15,7 +16,8 @@ from __future__ import annotations
 import heapq
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +31,11 @@ from churnlane.llm.ship import ship
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 _BPE = 2
-#: Distinct short parts whose ids a task remembers, in two halves; the older one goes when the newer is full.
+#: Short parts whose ids a task remembers, about, in two halves; the older one goes when the newer is full.
 REMEMBERED = 250_000
-_SHORT = 32
+SHORT = 32
+_NONE = np.iinfo(np.int64).max
+_EMPTY = np.uint64(np.iinfo(np.uint64).max)
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, bytes | int]]:
@@ -64,6 +68,17 @@ def _fields(raw: bytes) -> Iterator[tuple[int, bytes | int]]:
         at += size
 
 
+class _Remembered(dict):
+    """Packed ids by part; a part that is not there is packed each time."""
+
+    def __init__(self, pack):
+        super().__init__()
+        self._pack = pack
+
+    def __missing__(self, part: str) -> bytes:
+        return self._pack(part)
+
+
 class PieceModel:
     """Pieces, scores and special ids of a model file, with ``encode`` and ``decode``."""
 
@@ -101,7 +116,8 @@ class PieceModel:
         self.special = np.zeros(self.size, dtype=bool)
         self.special[special] = True
         self._parts = self._cutter()
-        self._packed: dict[str, bytes] = {}
+        self._pair_table()
+        self._packed = _Remembered(self._pack)
         self._older: dict[str, bytes] = {}
 
     def _cutter(self) -> re.Pattern:
@@ -114,7 +130,7 @@ class PieceModel:
         return re.compile(f"[{alone}]|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
     def merged(self, part: str) -> list[str]:
-        """The pieces left of one part once its agenda is empty."""
+        """The pieces left of one part once its agenda, a heap over linked symbols, is empty."""
         rank, symbols, n = self.rank.get, list(part), len(part)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         # an entry is one number: the place of its score among all scores, then its position
@@ -144,33 +160,132 @@ class PieceModel:
         return [s for s in symbols if s]
 
     def _pack(self, part: str) -> bytes:
-        packed = self._older.get(part)
-        if packed is None:
-            out: list[int] = []
-            for piece in self.merged(part):
-                i = self.ids.get(piece)
-                if i is None:
-                    out += [self.byte_ids[b] for b in piece.encode()]
-                else:
-                    out.append(i)
-            packed = struct.pack(f"<{len(out)}I", *out)
-        if len(part) <= _SHORT:
-            if len(self._packed) >= REMEMBERED:  # what is still in use comes back from the older half
-                self._older, self._packed = self._packed, {}
-            self._packed[part] = packed
-        return packed
+        out: list[int] = []
+        for piece in self.merged(part):
+            i = self.ids.get(piece)
+            if i is None:
+                out += [self.byte_ids[b] for b in piece.encode()]
+            else:
+                out.append(i)
+        return struct.pack(f"<{len(out)}I", *out)
+
+    def _pair_table(self) -> None:
+        """Hash table (open addressing) of every two pieces whose concatenation is a piece: its score's place and id."""
+        left, right, whole = [], [], []
+        for p, i in self.ids.items():
+            for cut in range(1, len(p)):
+                x, y = self.ids.get(p[:cut]), self.ids.get(p[cut:])
+                if x is not None and y is not None:
+                    left.append(x)
+                    right.append(y)
+                    whole.append(i)
+        key = np.array(left, np.uint64) << np.uint64(32) | np.array(right, np.uint64)
+        self._bits = max(10, (4 * len(key)).bit_length())
+        self._keys = np.full(1 << self._bits, _EMPTY, dtype=np.uint64)
+        self._whole = np.zeros(1 << self._bits, dtype=np.int64)
+        names = {i: p for p, i in self.ids.items()}
+        self._place = np.full(self.size, _NONE, dtype=np.int64)
+        for i, p in names.items():
+            self._place[i] = self.rank[p]
+        todo, at, whole = np.arange(len(key)), self._slot(key), np.array(whole, np.int64)
+        while len(todo):
+            free = todo[self._keys[at[todo]] == _EMPTY]
+            _, one = np.unique(at[free], return_index=True)
+            free = free[one]
+            self._keys[at[free]], self._whole[at[free]] = key[free], whole[free]
+            todo = todo[self._keys[at[todo]] != key[todo]]
+            at[todo] = (at[todo] + 1) & ((1 << self._bits) - 1)
+        codes = np.full(0x110000, -1, dtype=np.int32)
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                codes[ord(p)] = i
+        self._codes = codes
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self._bits)).astype(np.int64)
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the score, id) of each concatenation; the place is _NONE where it is no piece."""
+        key = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
+        at, out = self._slot(key), np.full(len(key), -1, dtype=np.int64)
+        todo = np.arange(len(key))
+        while len(todo):
+            held = self._keys[at[todo]]
+            hit = held == key[todo]
+            out[todo[hit]] = self._whole[at[todo[hit]]]
+            todo = todo[~hit & (held != _EMPTY)]
+            at[todo] = (at[todo] + 1) & ((1 << self._bits) - 1)
+        return np.where(out < 0, _NONE, self._place[out]), out
+
+    def _pack_alike(self, symbols: np.ndarray) -> list[bytes]:
+        """Packed ids of parts of one length, given as rows of their characters' ids; each has its agenda in a row."""
+        n, width = symbols.shape
+        agenda = np.full((n, width), _NONE, dtype=np.int64)
+        whole = np.zeros((n, width), dtype=np.int64)
+        if width > 1:
+            place, ids = self._joined(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())
+            agenda[:, :-1], whole[:, :-1] = place.reshape(n, -1), ids.reshape(n, -1)
+        # links to the next and to the previous symbol; column width stands for none
+        after = np.tile(np.arange(1, width + 1), (n, 1))
+        before = np.tile(np.arange(-1, width - 1), (n, 1))
+        alive = np.ones((n, width), dtype=bool)
+        row = np.arange(n)
+        while len(row):
+            i = agenda[row].argmin(axis=1)  # the best score, the first of equal ones
+            going = agenda[row, i] < _NONE
+            row, i = row[going], i[going]
+            j = after[row, i]
+            symbols[row, i] = whole[row, i]
+            alive[row, j] = False
+            agenda[row, j] = _NONE
+            k = after[row, j]
+            after[row, i] = k
+            inner = k < width
+            r, x, y = row[inner], i[inner], k[inner]
+            before[r, y] = x
+            agenda[row, i] = _NONE
+            agenda[r, x], whole[r, x] = self._joined(symbols[r, x], symbols[r, y])
+            h = before[row, i]
+            inner = h >= 0
+            r, x, y = row[inner], h[inner], i[inner]
+            agenda[r, x], whole[r, x] = self._joined(symbols[r, x], symbols[r, y])
+        raw = symbols[alive].astype("<u4").tobytes()
+        ends = np.cumsum(alive.sum(axis=1)) * 4
+        return [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+    def _learn(self, parts: Iterable[str]) -> None:
+        """Remember the ids of new short parts."""
+        known, older, alike = self._packed, self._older, {}
+        for p in parts:
+            if p in older:
+                known[p] = older[p]
+            elif len(p) <= SHORT:
+                alike.setdefault(len(p), []).append(p)
+        for same in alike.values():
+            codes = self._codes[np.frombuffer("".join(same).encode("utf-32-le"), np.uint32)].reshape(len(same), -1)
+            plain = (codes >= 0).all(axis=1)
+            if not plain.all():  # characters without a piece
+                known.update((p, self._pack(p)) for p, ok in zip(same, plain.tolist()) if not ok)
+                same, codes = [p for p, ok in zip(same, plain.tolist()) if ok], codes[plain]
+            if same:
+                known.update(zip(same, self._pack_alike(codes.astype(np.int64))))
+
+    def encode_many(self, texts: list[str], begin: bool = False, end: bool = False) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        lead = SPACE if self.prefix else ""
+        find = self._parts.findall
+        cut = [find(lead + t.replace(" ", SPACE)) if t else [] for t in texts]
+        if len(self._packed) >= REMEMBERED:  # what is still in use comes back from the older half
+            self._older, self._packed = self._packed, _Remembered(self._pack)
+        self._learn(set(chain.from_iterable(cut)).difference(self._packed))
+        first = struct.pack("<I", self.bos) if begin else b""
+        last = struct.pack("<I", self.eos) if end else b""
+        packed = self._packed.__getitem__
+        return [first + b"".join(map(packed, parts)) + last for parts in cut]
 
     def encode(self, text: str, begin: bool = False, end: bool = False) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        known, pack = self._packed, self._pack
-        if text:
-            text = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
-        body = [known.get(p) or pack(p) for p in self._parts.findall(text)]
-        if begin:
-            body.insert(0, struct.pack("<I", self.bos))
-        if end:
-            body.append(struct.pack("<I", self.eos))
-        return b"".join(body)
+        """``encode_many`` of one text."""
+        return self.encode_many([text], begin, end)[0]
 
     def decode(self, packed: bytes) -> str:
         """The text of packed ids; bytes that are no UTF-8 become one U+FFFD each."""
@@ -259,8 +374,8 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
 
     ``ids`` are packed little-endian unsigned 32-bit integers, ``decoded`` the
     text that they give back.  With ``check`` the sentencepiece library encodes
-    and decodes each Arrow batch as well and ``library_agrees`` says whether
-    both results are the same.  Null and empty texts have no ids but begin and
+    each Arrow batch as well and ``library_agrees`` says whether its ids are the
+    same.  Null and empty texts have no ids but begin and
     end.  Ids are carried as they are, repeated and null ones too; other
     columns are ignored; an empty table gives an empty table.
     """
@@ -271,18 +386,17 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
         model, library = _model(shared, check)
         for whole in batches:
             # a batch of long texts is taken apart, so that its results stay small
-            step = max(1, min(whole.num_rows, (8 << 20) * whole.num_rows // max(1, whole.nbytes)))
+            step = max(1, min(whole.num_rows, (4 << 20) * whole.num_rows // max(1, whole.nbytes)))
             for at in range(0, whole.num_rows, step):
                 batch = whole.slice(at, step)
                 texts = batch.column(1).fill_null("").to_pylist()
-                packed = [model.encode(t, begin, end) for t in texts]
+                packed = model.encode_many(texts, begin, end)
                 back = [model.decode(p) for p in packed]
                 cols = [batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()),
                         pa.array(packed, pa.binary()), pa.array(back, pa.string())]
                 if check:
                     ids = library.encode(texts, add_bos=begin, add_eos=end, num_threads=1)
-                    cols.append(pa.array([np.array(i, "<u4").tobytes() == p and library.decode(i) == b
-                                          for i, p, b in zip(ids, packed, back)], pa.bool_()))
+                    cols.append(pa.array([struct.pack(f"<{len(i)}I", *i) == p for i, p in zip(ids, packed)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     names = ["id", "n_tokens", "ids", "decoded"] + ["library_agrees"] * check

@@ -44,6 +44,18 @@ def test_pieces_equal_the_library(spark, frame, odd, library):
     assert len({bytes(r["ids"]) for r in small}) == 1 and sorted(str(r.doc_id) for r in small) == ["1", "1", "None"]
 
 
+@pytest.mark.parametrize("short", [0, 1000])
+def test_both_agendas_merge_alike(monkeypatch, library, short):
+    monkeypatch.setattr(pieces, "SHORT", short)
+    monkeypatch.setattr(pieces, "REMEMBERED", 20)
+    with open(tokenizer_path("piece_bpe_32k.model"), "rb") as f:
+        model = pieces.PieceModel(f.read())
+    rng = random.Random(6)
+    for _ in range(300):
+        text = "".join(rng.choices(["a", "e", "n", "t", "th", "ing", " ", "  ", "z", "é", "日", "\n"], k=rng.randint(0, 60)))
+        assert model.encode(text) == _packed(library.encode(text))
+
+
 def test_any_ids_decode_as_in_the_library(spark, library):
     rng = random.Random(4)
     cases = [[rng.choice([0, 1, 2, 259, rng.randrange(3, 259), rng.randrange(259, 32000)])
