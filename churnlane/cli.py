@@ -4,7 +4,7 @@
 
 Inputs are Parquet paths (CSV for ``ingest``; a registry is Parquet or JSON
 lines with ``name`` and ``metadata``).  Results are written to ``--out``
-(Parquet) or, without it, the first rows are shown.  Every command builds
+(Parquet); only one record or model description can be printed instead.  Every command builds
 one DataFrame plan over whole tables; nothing is collected beyond ``show``.
 """
 
@@ -21,6 +21,7 @@ from churnlane.operators import directory as D
 from churnlane.operators import governance as G
 from churnlane.operators import registry as R
 from churnlane.operators import results as RS
+from churnlane.operators.model_tables import predict_with_registry
 from churnlane.operators.predict import as_results_rows, predict_with_models
 from churnlane.operators.scoring import models_from_table
 from churnlane.sources import ingest as IN
@@ -33,7 +34,7 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _emit(df: DataFrame, out: str | None) -> DataFrame:
-    """Write to ``out``, or print every row as a JSON line (streamed, never gathered)."""
+    """Write to ``out``; commands about one record or model may print it as a JSON line instead."""
     if out:
         df.write.mode("overwrite").parquet(out)
     else:
@@ -49,8 +50,12 @@ def cmd_ingest(spark, a):
 
 
 def cmd_predict(spark, a):
-    scored, rejected = predict_with_models(_read(spark, a.requests),
-                                           _load_models(spark, a.coefficients))
+    if a.registry:   # models as data: contracts from the bundles, weights from the coefficients
+        scored, rejected = predict_with_registry(_read(spark, a.requests), _read(spark, a.registry),
+                                                 _read(spark, a.coefficients))
+    else:
+        scored, rejected = predict_with_models(_read(spark, a.requests),
+                                               _load_models(spark, a.coefficients))
     if a.rejected:
         rejected.write.mode("overwrite").parquet(a.rejected)
     n = RS.append_results(spark, a.results, as_results_rows(scored))
@@ -103,6 +108,10 @@ def cmd_history(spark, a):
     _emit(RS.history(RS.read_results(spark, a.results), a.owner, a.prenom, a.nom, a.limit), a.out)
 
 
+def cmd_cluster(spark, a):
+    print(json.dumps({"rows": RS.cluster_results(spark, a.results, a.out), "results_path": a.out}))
+
+
 def cmd_detail(spark, a):
     det = RS.detail(RS.read_results(spark, a.results), _read(spark, a.features), owner=a.owner)
     if a.id is not None:
@@ -152,6 +161,7 @@ def build_parser() -> argparse.ArgumentParser:
     s = sub.add_parser("predict", help="score requests with the model each names and append")
     s.add_argument("--requests", required=True, help="request_id, modele, features JSON, ...")
     s.add_argument("--coefficients", required=True, help="model coefficient table")
+    s.add_argument("--registry", help="model bundles: contracts, roles and options, joined as data")
     s.add_argument("--results", required=True)
     s.add_argument("--rejected")
     s.set_defaults(fn=cmd_predict)
@@ -181,15 +191,20 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--prenom")
     s.add_argument("--nom")
     s.add_argument("--limit", type=int)
-    s.add_argument("--out")
+    s.add_argument("--out", required=True)
     s.set_defaults(fn=cmd_history)
 
+    s = sub.add_parser("cluster", help="rewrite the results to a new path in owner order")
+    s.add_argument("--results", required=True)
+    s.add_argument("--out", required=True, help="the new version (a new path)")
+    s.set_defaults(fn=cmd_cluster)
+
     s = sub.add_parser("detail", help="predictions with their features (table or stored JSON)")
     s.add_argument("--results", required=True)
     s.add_argument("--features", required=True)
     s.add_argument("--owner", type=int)
     s.add_argument("--id", type=int)
-    s.add_argument("--out")
+    s.add_argument("--out", required=True)
     s.set_defaults(fn=cmd_detail)
 
     s = sub.add_parser("directory", help="features joined to labels, optional id prefix")
@@ -199,7 +214,7 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--label", default="a_quitte_l_entreprise", help="label column")
     s.add_argument("--q")
     s.add_argument("--limit", type=int)
-    s.add_argument("--out")
+    s.add_argument("--out", required=True)
     s.set_defaults(fn=cmd_directory)
 
     s = sub.add_parser("record", help="one employee's features and label")

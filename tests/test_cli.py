@@ -42,6 +42,16 @@ def test_cli_end_to_end(spark, tmp_dir, capsys):
     assert stored.count() == 2 and spark.read.parquet(f"{tmp_dir}/rej").count() == 1
     assert {(r.prenom, r.nom) for r in stored.collect()} == {("Ana", "Doe"), ("John", "X")}
 
+    bundle = json.dumps({"model": {"type": "L", "predict": True}, "colonnes": ["age"]})
+    spark.createDataFrame([("top1", bundle)], "name string, metadata string").write.parquet(f"{tmp_dir}/registry")
+    cli.main(["predict", "--requests", f"{tmp_dir}/reqs", "--coefficients", f"{tmp_dir}/coef",
+              "--registry", f"{tmp_dir}/registry", "--results", f"{tmp_dir}/results2"], spark)
+    same = ["prenom", "nom", "probabilite_de_quitter", "prediction", "details"]
+    again = spark.read.parquet(f"{tmp_dir}/results2").select(same).collect()
+    assert sorted(again) == sorted(stored.select(same).collect())
+    cli.main(["cluster", "--results", res, "--out", f"{tmp_dir}/clustered"], spark)
+    assert spark.read.parquet(f"{tmp_dir}/clustered").count() == 2
+
     cli.main(["history", "--results", res, "--owner", "7", "--out", f"{tmp_dir}/h"], spark)
     assert spark.read.parquet(f"{tmp_dir}/h").count() == 1
     cli.main(["detail", "--results", res, "--features", fx, "--owner", "8", "--out", f"{tmp_dir}/d"],
