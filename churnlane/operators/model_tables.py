@@ -52,9 +52,9 @@ def model_table(registry: DataFrame, coefficients: DataFrame, unknown: str = "ig
     is what a bundle without ``handle_unknown`` does.  Everything is a join or
     an aggregate over model metadata; no row reaches the driver.
     """
-    loaded = R.loaded_models(registry).select(
+    loaded = cut_lineage(R.loaded_models(registry).select(
         "name", "columns", F.col("has_scaler").alias("numbers_only"),
-        (F.coalesce(F.try_variant_get("model", "$.handle_unknown", "string"), F.lit(unknown)) == "error").alias("strict"))
+        (F.coalesce(F.try_variant_get("model", "$.handle_unknown", "string"), F.lit(unknown)) == "error").alias("strict")))
     roles = (R.roles_report(R.branches_from_registry(registry)).where(F.col("role") == "onehot")
              .select("name", F.col("colonnes").alias("onehot")))
     special = F.col("feature").isin(INTERCEPT, SAVED_THRESHOLD)

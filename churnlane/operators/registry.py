@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from churnlane import schemas as S
 from churnlane.operators.joins import join_bounded
+from churnlane.session import cut_lineage
 
 MAX_MODELS = 10_000
 
@@ -226,10 +227,11 @@ def _nodes(registry: DataFrame) -> DataFrame:
 
     Children are the objects among an object's ``steps`` and the
     ``transformer`` of each entry of its ``transformers``; models nest as deep
-    as they like.
+    as they like.  Each level is kept (checkpoint of model metadata), so the
+    next one does not parse the bundles again.
     """
-    level = resolve(registry).where(F.col("loaded")).select(
-        "name", F.array().cast("array<int>").alias("path"), F.col("model").alias("node"))
+    level = cut_lineage(resolve(registry).where(F.col("loaded")).select(
+        "name", F.array().cast("array<int>").alias("path"), F.col("model").alias("node")))
     found = level
     while True:
         steps = F.transform(F.try_variant_get("node", "$.steps", "array<variant>"),
@@ -240,8 +242,8 @@ def _nodes(registry: DataFrame) -> DataFrame:
         none = F.array().cast("array<struct<at:array<int>,node:variant>>")
         below = level.select("name", "path", F.explode(F.concat(
             F.coalesce(steps, none), F.coalesce(inner, none))).alias("c"))
-        level = below.select("name", F.concat("path", "c.at").alias("path"), F.col("c.node").alias("node")) \
-            .where(F.schema_of_variant("node").startswith("OBJECT"))
+        level = cut_lineage(below.select("name", F.concat("path", "c.at").alias("path"), F.col("c.node").alias("node"))
+                            .where(F.schema_of_variant("node").startswith("OBJECT")))
         if level.isEmpty():
             return found
         found = found.unionByName(level)

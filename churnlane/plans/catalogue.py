@@ -18,6 +18,8 @@ from churnlane.operators import model_tables as MT
 from churnlane.operators import registry as R
 from churnlane.operators import results as RS
 from churnlane.operators import scoring as SC
+from churnlane.operators import sparse as SP
+from churnlane.operators import statistics as STAT
 from churnlane.operators.predict import as_results_rows, predict_requests, predict_with_models
 from churnlane.plans import standins as SI
 from churnlane.session import read_table, scratch_path
@@ -518,6 +520,20 @@ def one_hot(spark, sf_dir):
     return SC.one_hot(o, "o_orderpriority", vocab, prefix="oh").drop("o_orderpriority")
 
 
+def one_hot_sparse(spark, sf_dir):
+    """DEL-2: the index of every order's customer in a distributed vocabulary of customers."""
+    o = _t(spark, sf_dir, "orders")
+    return SP.one_hot_rows(o, "o_orderkey", "o_custkey", SP.vocabulary_index(o, "o_custkey"))
+
+
+def merged_statistics(spark, sf_dir):
+    """DEL-3 DEL-4 DEL-6: statistics kept per batch of lineitem (a ship month each) and merged."""
+    li = _t(spark, sf_dir, "lineitem").withColumn("batch", F.date_trunc("month", F.col("l_shipdate").cast("timestamp")))
+    merged = STAT.merge_statistics(STAT.batch_statistics(li, ["l_quantity", "l_extendedprice", "l_discount"], batch="batch"))
+    return merged.select("column", "n", F.round("mean", 4).alias("mean"),
+                         F.round(F.sqrt(F.col("m2") / F.col("n")), 4).alias("deviation"), "low", "high")
+
+
 def model_fit(spark, sf_dir):
     """DEL-1 DEL-7 DEL-8: fit a logistic model with pyspark.ml, score everything."""
     docs = _t(spark, sf_dir, "documents").select("doc_id", "n_chars")
@@ -751,6 +767,8 @@ QUERIES = {
     "requests_ok": requests_ok,
     "requests_rejected": requests_rejected,
     "one_hot": one_hot,
+    "one_hot_sparse": one_hot_sparse,
+    "merged_statistics": merged_statistics,
     "model_fit": model_fit,
     "erase_users": erase_users,
     "erase_report": erase_report,

@@ -270,6 +270,14 @@ ORACLE = {
     "score_by_model_rejected": """
         SELECT event_id AS request_id, 'ghost' AS modele, 'unknown_model' AS reason
         FROM events WHERE event_type = 'error'""",
+    "one_hot_sparse": """
+        SELECT o_orderkey, i AS "index" FROM orders
+        JOIN (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) - 1 AS i
+              FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL)) USING (o_custkey)""",
+    "merged_statistics": " UNION ALL ".join(f"""
+        SELECT '{c}' AS "column", count({c}) AS n, round(avg({c}), 4) AS mean, round(stddev_pop({c}), 4) AS deviation,
+               min(CAST({c} AS DOUBLE)) AS low, max(CAST({c} AS DOUBLE)) AS high FROM lineitem"""
+        for c in ("l_quantity", "l_extendedprice", "l_discount")),
     "score_by_registry": BY_REGISTRY + f"""
         SELECT request_id, modele AS modele_utilise, round(p, 6) AS probabilite_de_quitter,
                {pred_sql('p')} AS prediction, {label_sql(pred_sql('p'))} AS libelle_prediction,
