@@ -79,9 +79,10 @@ def kept_terms(counts: DataFrame, least_docs: int = 10) -> tuple[DataFrame, Data
 
     Both are checkpointed, so that the ids stay as they are.
     """
-    by_lang = (counts.groupBy("lang", "term").agg(F.sum("docs").alias("lang_docs"))
-               .where(F.col("lang_docs") >= least_docs).select("lang", "term"))
-    groups = cut_lineage(counts.join(by_lang, ["lang", "term"]).select("lang", "source", "term", "n"))
+    # counts are dealt by (lang, term) already: the window needs no exchange, and the texts are counted once
+    lang_docs = F.sum("docs").over(Window.partitionBy("lang", "term"))
+    groups = cut_lineage(counts.withColumn("lang_docs", lang_docs).where(F.col("lang_docs") >= least_docs)
+                         .select("lang", "source", "term", "n"))
     terms = groups.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
     return groups, cut_lineage(terms.withColumn("term_id", F.monotonically_increasing_id()))
 
