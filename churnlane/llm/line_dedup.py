@@ -5,7 +5,8 @@ sets that reach the similarity share a word among the first
 ``n - ceil(3 n / 4) + 1`` of each (prefix filter).  Sets meet under these
 words; pairs pass when their sizes (length filter), the places of the shared
 word (positional filter) and the parities of their words (64-bit bitmaps)
-leave the similarity possible, and are then verified on the whole sets.  A
+leave the similarity possible, then wider bitmaps in proportion to the sets, and
+are then verified on the whole sets.  A
 line goes when an earlier line is similar enough.
 
 Rarity comes from a table of counters by word hash: any order that all lines
@@ -35,6 +36,8 @@ SMALL_RUN = 64
 FIRST = 8
 #: Entries of a stored run per row.
 BLOCK = 512
+#: Parity bits of a set's sketch per word.
+SKETCH = 4
 _SLICES = 16
 _NO_ID = np.iinfo(np.int64).max
 _LINE_BREAK = 10
@@ -346,6 +349,39 @@ def _rest_of_runs(met: DataFrame, done: DataFrame) -> DataFrame:
             .mapInArrow(_block_pairs, "a long, b long").distinct())
 
 
+def _sketch(words: np.ndarray) -> bytes:
+    """Parities of a set's words in at least ``SKETCH`` bits a word (a power of two, 64 at least)."""
+    bits = max(64, 1 << int(SKETCH * len(words) - 1).bit_length())
+    odd = np.bincount((words >> U64(16)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _may_be_similar(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the sketches leave; sketches of several widths are folded to the narrower one.
+
+    Each word that only one of two sets has turns one parity, so more odd
+    parities than the similarity allows such words rule a pair out.
+    """
+
+    def check(batches):
+        for batch in batches:
+            ok = []
+            for x, y, a, b in zip(*(batch.column(c).to_pylist() for c in ("sa", "sb", "na", "nb"))):
+                p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                while len(p) > len(q):
+                    p = p[: len(p) // 2] ^ p[len(p) // 2:]
+                while len(q) > len(p):
+                    q = q[: len(q) // 2] ^ q[len(q) // 2:]
+                need = -(-NUM * (a + b) // (NUM + DEN))
+                ok.append(int(np.bitwise_count(p ^ q).sum()) <= a + b - 2 * need)
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    left = words.select(F.col("set_id").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
+    right = words.select(F.col("set_id").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
+    return (pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "na", "nb")
+            .mapInArrow(check, "a long, b long"))
+
+
 def _similar(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity."""
 
@@ -364,7 +400,7 @@ def _similar(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(check, "a long, b long")
 
 
-_SET = "set_id long, chunk int, id long, line long, words binary"
+_SET = "set_id long, chunk int, id long, line long, n long, sketch binary, words binary"
 _OUT = "id long, n_lines long, n_removed long, kept_text string"
 
 
@@ -405,7 +441,8 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def known(table: pa.Table, need: pa.Table) -> pa.Table:
         """Words and first place, in this chunk, of the sets asked for."""
         empty = pa.table({"set_id": pa.array([], pa.int64()), "chunk": pa.array([], pa.int32()),
-                          "id": pa.array([], pa.int64()), "line": pa.array([], pa.int64()), "words": binary([])})
+                          "id": pa.array([], pa.int64()), "line": pa.array([], pa.int64()),
+                          "n": pa.array([], pa.int64()), "sketch": binary([]), "words": binary([])})
         if not len(table) or not len(need):
             return empty
         c = _Chunk(table, level.value)
@@ -414,6 +451,8 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return pa.table({"set_id": pa.array(to_long(c.set_of[x])),
                          "chunk": pa.array([table.column("chunk")[0].as_py()] * len(x), pa.int32()),
                          "id": pa.array(c.ids[c.doc[x]]), "line": pa.array(c.number[x]),
+                         "n": pa.array(c.sizes[x], pa.int64()),
+                         "sketch": binary([_sketch(mix64(c.set_words(i))) for i in x]),
                          "words": binary([pack48(mix64(c.set_words(i))) for i in x])})
 
     first = met.where("kind = 1").select(F.col("a").alias("set_id"), F.col("b").cast("int").alias("chunk")).distinct()
@@ -422,12 +461,18 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     words = spark.read.schema(_SET).parquet(f"{path}/words")
     release(spark)
 
-    _similar(pairs, words).write.parquet(f"{path}/links")
-    links = spark.read.schema("a long, b long").parquet(f"{path}/links")
+    def verified(candidates: DataFrame, name: str) -> DataFrame:
+        # the sketches, a tenth of the words, go first; whole sets travel for the pairs they leave
+        _may_be_similar(candidates, words).write.parquet(f"{path}/{name}-candidates")
+        left = spark.read.schema("a long, b long").parquet(f"{path}/{name}-candidates")
+        release(spark)
+        _similar(left, words).write.parquet(f"{path}/{name}")
+        return spark.read.schema("a long, b long").parquet(f"{path}/{name}")
+
+    links = verified(pairs, "links")
     if met.where("kind = 2").limit(1).count():
         done = _later(links, words).select("set_id").distinct()
-        _similar(_rest_of_runs(met, done).join(pairs, ["a", "b"], "left_anti"), words).write.parquet(f"{path}/links2")
-        links = links.unionByName(spark.read.schema("a long, b long").parquet(f"{path}/links2"))
+        links = links.unionByName(verified(_rest_of_runs(met, done).join(pairs, ["a", "b"], "left_anti"), "links2"))
     gone = _later(links, words).distinct()
     release(spark)
 
