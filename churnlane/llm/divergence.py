@@ -12,7 +12,7 @@ A price is floor((p - q)^2 / (p + q)).
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -42,27 +42,29 @@ def count_terms(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
     ship(docs.sparkSession)
 
     def rows(counts: dict, seen: dict):
-        keys = list(counts)
-        for a in range(0, len(keys), 100_000):
-            part = keys[a: a + 100_000]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([k[0] for k in part], pa.string()), pa.array([k[1] for k in part], pa.string()),
-                pa.array([k[2].decode() for k in part], pa.string()),
-                pa.array([counts[k] for k in part], pa.int64()), pa.array([seen[k] for k in part], pa.int64()),
-            ], ["lang", "source", "term", "n", "docs"])
+        for (lang, source), terms in counts.items():
+            found, n = list(terms), list(terms.values())
+            for a in range(0, len(found), 100_000):
+                part = found[a: a + 100_000]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang] * len(part), pa.string()), pa.array([source] * len(part), pa.string()),
+                    pa.array(part, pa.binary()).cast(pa.string()), pa.array(n[a: a + 100_000], pa.int64()),
+                    pa.array([seen[lang, source][t] for t in part], pa.int64()),
+                ], ["lang", "source", "term", "n", "docs"])
 
     def count(batches):
-        counts, seen = Counter(), Counter()
+        counts, seen, held = defaultdict(Counter), defaultdict(Counter), 0
         for batch in batches:
             for lang, source, text in zip(*(batch.column(c) for c in range(3))):
-                lang, source, text = lang.as_py(), source.as_py(), text.as_py()
-                for term, n in Counter(text.encode().translate(_TERMS).split()).items():
-                    key = lang, source, term
-                    counts[key] += n
-                    seen[key] += 1
-                if len(counts) >= HELD:
+                group = lang.as_py(), source.as_py()
+                terms, own = text.as_py().encode().translate(_TERMS).split(), counts[group]
+                held -= len(own)
+                own.update(terms)
+                seen[group].update(set(terms))
+                held += len(own)
+                if held >= HELD:
                     yield from rows(counts, seen)
-                    counts, seen = Counter(), Counter()
+                    counts, seen, held = defaultdict(Counter), defaultdict(Counter), 0
         yield from rows(counts, seen)
 
     def plain(c):
