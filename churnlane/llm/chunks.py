@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from churnlane.llm.kernels import U64, binary, pack40, unpack40
 from churnlane.llm.ship import ship
 
+#: Row keys (40 bytes or so each) that may be broadcast to drop or find rows; more take a shuffled join.
+MAX_KEYS = 1_000_000
 BLOB = "bucket int, chunk int, hashes binary, flags binary"
 BITS = "chunk int, level int, bucket int, n long, bits binary"
 
@@ -43,8 +45,8 @@ def dealt(docs: DataFrame, id_col: str, text_col: str, per_chunk: int = 1024) ->
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    # rows without an id are spread by their text
-    key = F.coalesce(F.xxhash64("id"), F.xxhash64("text"))
+    # rows without an id are spread by their text (the hash of a null is not null)
+    key = F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("id"))
     return rows.withColumn("chunk", F.pmod(key, F.lit(_count(docs, per_chunk))).cast("int"))
 
 
