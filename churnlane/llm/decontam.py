@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.chunks import row_key
+from churnlane.llm.chunks import MAX_KEYS, row_key
+from churnlane.operators.joins import join_bounded
+from churnlane.session import cut_lineage
 
 #: Windows that may be broadcast; about 0.2 KB each.
 MAX_WINDOWS = 200_000
@@ -116,7 +118,10 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     Every row is judged by its own text, also one without an id or of a repeated id.
     """
     bad = _hits_by_key(docs, items, id_col, text_col).where(contaminated()).select("_cl_key").distinct()
-    return docs.withColumn("_cl_key", row_key(id_col, text_col)).join(bad, "_cl_key", "left_anti").select(*docs.columns)
+    keyed = docs.withColumn("_cl_key", row_key(id_col, text_col))
+    # the keys are kept, so that counting them does not search the texts twice
+    bad = cut_lineage(bad)
+    return join_bounded(keyed, bad, "_cl_key", "left_anti", max_rows=MAX_KEYS).select(*docs.columns)
 
 
 def _hits_by_key(docs: DataFrame, items: DataFrame, id_col: str, text_col: str) -> DataFrame:

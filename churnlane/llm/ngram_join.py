@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.chunks import BLOB, bucket_bits, chunked, held_elsewhere, pack, release, row_key, unpacked
+from churnlane.llm.chunks import BLOB, MAX_KEYS, bucket_bits, chunked, held_elsewhere, pack, release, row_key, unpacked
 from churnlane.llm.components import components
 from churnlane.llm.kernels import U64, binary, mix64, pack48, shingle_sets, starts_of, to_long, unpack48
+from churnlane.operators.joins import join_bounded
 from churnlane.session import scratch_path
 
 #: Similarity bound: den * intersection >= num * union.
@@ -459,9 +460,10 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         "key struct<id: bigint, h1: bigint, h2: bigint>, first boolean, times long").parquet(path)
     keyed = docs.withColumn("_cl_key", row_key(id_col, text_col))
     keys = some.select(F.col("key").alias("_cl_key"))
-    stay = keyed.join(keys, "_cl_key", "left_anti").select(*docs.columns)
+    # up to MAX_KEYS keys the rows are filtered where they are read, and no text is shuffled
+    stay = join_bounded(keyed, keys, "_cl_key", "left_anti", max_rows=MAX_KEYS).select(*docs.columns)
     repeated = some.where("first").select(F.col("key").alias("_cl_key"))
     if repeated.limit(1).count():
-        stay = stay.unionByName(keyed.join(repeated, "_cl_key", "left_semi").dropDuplicates(["_cl_key"])
-                                .select(*docs.columns))
+        again = join_bounded(keyed, repeated, "_cl_key", "left_semi", max_rows=MAX_KEYS)
+        stay = stay.unionByName(again.dropDuplicates(["_cl_key"]).select(*docs.columns))
     return stay
