@@ -66,11 +66,17 @@ def to_float(c, dtype: T.DataType | None = None, default: float = 0.0) -> Column
     c = _c(c)
     if dtype is not None and not isinstance(dtype, T.StringType):
         return F.coalesce(c.cast("double"), F.lit(float(default)))
+    return (F.when(is_blank(c), F.lit(float(default)))
+            .otherwise(F.coalesce(text_number(c), F.lit(float(default)))))
+
+
+def text_number(c) -> Column:
+    """The number that SCA-1 reads in a text, null when it reads none (a blank text has none)."""
     # ',' becomes '.'.  Plain ASCII numbers (the common case) need no regex:
     # translate() removes the plain-number characters and, when nothing is
     # left, the cast validates the structure.  Everything else is stripped
     # of Unicode whitespace like str.strip() and checked against the grammar.
-    plain = F.translate(c, ",", ".")
+    plain = F.translate(_c(c), ",", ".")
     fast = F.when(F.translate(plain, _PLAIN_CHARS, "") == "",
                   F.trim(plain, F.lit(_ASCII_WS)).try_cast("double"))
     v = F.regexp_replace(plain, STRIP, "")
@@ -78,8 +84,7 @@ def to_float(c, dtype: T.DataType | None = None, default: float = 0.0) -> Column
             .when(v.rlike(SPECIAL_TEXT),
                   F.when(F.lower(v).endswith("nan"), F.lit(float("nan")))
                   .otherwise(v.try_cast("double"))))
-    return (F.when(is_blank(c), F.lit(float(default)))
-            .otherwise(F.coalesce(fast, slow, F.lit(float(default)))))
+    return F.coalesce(fast, slow)
 
 
 def strict_float(c) -> Column:

@@ -177,15 +177,17 @@ def with_json_values(df: DataFrame, json_col: str, keys: list[str]) -> tuple[Dat
                  for i, k in enumerate(keys)}
 
 
-def request_problem(requests: DataFrame, features_col: str, model_col: str | None = None) -> Column:
+def request_problem(requests: DataFrame, features_col: str, model_col: str | None = None,
+                    parsed: Column | None = None) -> Column:
     """FLT-12: why a request cannot be scored at all, null when it can.
 
     ``features`` must be there and be a JSON object, the model must be named
     and a threshold, where the table has the column, must be given and be a number.
+    ``parsed`` is the features' VARIANT where the caller has it already.
     """
     requests.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     raw = qcol(features_col)
-    kind = F.schema_of_variant(F.try_parse_json(raw))
+    kind = F.schema_of_variant(F.try_parse_json(raw) if parsed is None else parsed)
     out = (F.when(raw.isNull(), F.lit("missing_features"))
            .when(kind.isNull(), F.lit("features_not_json"))
            .when(~kind.startswith("OBJECT"), F.lit("features_not_an_object")))

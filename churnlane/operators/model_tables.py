@@ -78,41 +78,47 @@ def model_table(registry: DataFrame, coefficients: DataFrame, unknown: str = "ig
         F.forall("terms", lambda t: t["weight"].isNotNull() | (F.coalesce(F.size(t["categories"]), F.lit(0)) > 0)).alias("complete")))
 
 
-def _entries(raw: Column) -> Column:
-    """A JSON object's members as key -> (kind, text, number, lenient float, text as a number)."""
-    members = F.try_variant_get(F.try_parse_json(raw), "$", "map<string,variant>")
+def _entries(parsed: Column) -> Column:
+    """A JSON object's members as key -> (kind, text, number, lenient float, text as a number).
 
-    def entry(_, v):
-        typ = F.schema_of_variant(v)
-        kind = (F.when(v.isNull() | typ.isin("VOID", "NULL"), F.lit(FE.NULL)).when(typ == "BOOLEAN", F.lit(FE.BOOL))
+    Each step's values are made once per member for the next one, and a
+    member's text, JSON text and number only where its kind asks for them.
+    """
+    members = F.try_variant_get(parsed, "$", "map<string,variant>")
+
+    def typed(_, v):
+        return F.struct(v.alias("v"), F.schema_of_variant(v).alias("typ"))
+
+    def kinded(_, e):
+        typ = e["typ"]
+        kind = (F.when(e["v"].isNull() | typ.isin("VOID", "NULL"), F.lit(FE.NULL)).when(typ == "BOOLEAN", F.lit(FE.BOOL))
                 .when(typ.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
                       | typ.startswith("DECIMAL"), F.lit(FE.NUMBER)).otherwise(F.lit(FE.STRING)))
-        text = F.try_variant_get(v, "$", "string")
-        return F.struct(kind.alias("kind"), text.alias("text"), F.to_json(v).alias("json"),
-                        F.try_variant_get(v, "$", "double").alias("num"))
+        return F.struct(e["v"].alias("v"), kind.alias("kind"))
 
     def finished(_, e):
-        kind = e["kind"]
-        text = (F.when(kind == FE.BOOL, F.initcap(e["text"]))
-                .when(kind == FE.STRING, F.coalesce(e["text"], e["json"])).when(kind == FE.NUMBER, e["text"]))
-        num = F.when(kind.isin(FE.NUMBER, FE.BOOL), e["num"])
+        v, kind = e["v"], e["kind"]
+        text = F.try_variant_get(v, "$", "string")
+        text = (F.when(kind == FE.BOOL, F.initcap(text))
+                .when(kind == FE.STRING, F.coalesce(text, F.to_json(v))).when(kind == FE.NUMBER, text))
+        num = F.when(kind.isin(FE.NUMBER, FE.BOOL), F.try_variant_get(v, "$", "double"))
         return F.struct(kind.alias("kind"), text.alias("text"), num.alias("num"))
 
     def valued(_, e):
-        x = FE.Value(e["kind"], e["text"], e["num"])
-        return F.struct(e["kind"].alias("kind"), e["text"].alias("text"), e["num"].alias("num"),
-                        FE.lenient_float(x).alias("value"))
-
-    def parsed(_, e):
-        # what the text is as a number, null when it is none; 0 may be a real zero or the lenient default
-        zero = F.when(clean.to_float(e["text"], default=1.0) == 0, F.lit(0.0))
-        finite = F.when(~F.isnan(e["value"]) & (F.abs(e["value"]) != float("inf")), e["value"])
-        return F.struct(*(e[c].alias(c) for c in ("kind", "text", "num", "value")),
-                        F.when(e["kind"].isin(FE.NUMBER, FE.STRING), F.when(e["value"] == 0, zero).otherwise(finite))
-                        .alias("parsed"))
+        number = (F.when(e["kind"].isin(FE.NUMBER, FE.BOOL), e["num"])
+                  .when((e["kind"] == FE.STRING) & (e["text"] != ""), clean.text_number(e["text"])))
+        return F.struct(e["kind"].alias("kind"), e["text"].alias("text"), e["num"].alias("num"), number.alias("number"))
+
+    def parsed_(_, e):
+        # a text that is no number counts as 0 (the lenient float) and has no parsed number
+        kind, number = e["kind"], e["number"]
+        value = F.when(kind.isin(FE.NUMBER, FE.BOOL), number).otherwise(F.coalesce(number, F.lit(0.0)))
+        finite = F.when(number == 0, F.lit(0.0)).when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
+        return F.struct(kind.alias("kind"), e["text"].alias("text"), e["num"].alias("num"), value.alias("value"),
+                        F.when(kind.isin(FE.NUMBER, FE.STRING), finite).alias("parsed"))
 
     whole = members
-    for step in (entry, finished, valued, parsed):
+    for step in (typed, kinded, finished, valued, parsed_):
         whole = F.transform_values(whole, step)
     return F.coalesce(whole, F.create_map().cast(f"map<string,{_ENTRY}>"))
 
@@ -123,26 +129,39 @@ def _once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def _contract_values(df: DataFrame) -> DataFrame:
-    """Add what every contract needs from ``_cl_e``: derived numbers, category codes, unknown values."""
-    def entry(key: str) -> Column:
-        return F.try_element_at(F.col("_cl_e"), F.lit(key))
-
-    def number(key: str) -> FE.Value:
-        e = entry(key)
-        blank = F.coalesce(e["kind"], F.lit(FE.NULL)).isin(FE.NULL) | ((e["kind"] == FE.STRING) & (e["text"] == ""))
-        return FE.Value.number(F.when(~blank, e["value"]))
-
-    vals = FE.derive({k: number(k) for k in DERIVATION_INPUTS})
-    derived, codes, reasons = [], [], []
-    for k in ("formations_par_an", "poste_x_niveau"):
-        derived += [F.lit(k), vals[k].num]
-    for k in S.CATEGORICAL_COLUMNS:
-        e = entry(k)
-        x = FE.Value(F.coalesce(e["kind"], F.lit(FE.NULL)), e["text"], e["num"])
+    """Add what every contract needs from ``_cl_e``: derived numbers, category codes, unknown values.
+
+    The members are looked up once, in steps of their own, so that the code
+    generated for a step stays small enough for the JVM to compile.
+    """
+    def found(prefix: str, keys: list[str]) -> dict[str, Column]:
+        return {f"{prefix}{i}": F.try_element_at(F.col("_cl_e"), F.lit(k)) for i, k in enumerate(keys)}
+
+    keep = df.columns
+    blank, out = F.lit(FE.NULL), _once(df, **found("_cl_n", DERIVATION_INPUTS))
+
+    def number(e: Column) -> Column:
+        empty = F.coalesce(e["kind"], blank).isin(FE.NULL) | ((e["kind"] == FE.STRING) & (e["text"] == ""))
+        return F.when(~empty, e["value"])
+
+    out = _once(out.select(*map(FE.qcol, keep), *(number(F.col(f"_cl_n{i}")).alias(f"_cl_n{i}")
+                                                   for i in range(len(DERIVATION_INPUTS)))),
+                **found("_cl_c", S.CATEGORICAL_COLUMNS))
+    vals = FE.derive({k: FE.Value.number(F.col(f"_cl_n{i}")) for i, k in enumerate(DERIVATION_INPUTS)})
+    derived = [x for k in ("formations_par_an", "poste_x_niveau") for x in (F.lit(k), vals[k].num)]
+    out = _once(out, _cl_derived=F.create_map(*derived))
+    codes, reasons = [], []
+    for i, k in enumerate(S.CATEGORICAL_COLUMNS):
+        e = F.col(f"_cl_c{i}")
+        x = FE.Value(F.coalesce(e["kind"], blank), e["text"], e["num"])
         code, unknown = FE.encode(k, x)
-        codes += [F.lit(k), code]
+        out = _once(out, **{f"_cl_code{i}": code})
+        codes += [F.lit(k), F.col(f"_cl_code{i}")]
+        # the code of a number and of a known text is there; a text without one is unknown
+        unknown = ~FE.is_blank(x) & (x.kind != FE.NUMBER) & F.col(f"_cl_code{i}").isNull()
         reasons += [F.lit(k), F.when(unknown, FE.unknown_reason(k, x))]
-    return _once(df, _cl_derived=F.create_map(*derived), _cl_codes=F.create_map(*codes), _cl_unknown=F.create_map(*reasons))
+    out = _once(out, _cl_codes=F.create_map(*codes), _cl_unknown=F.create_map(*reasons))
+    return out.select(*map(FE.qcol, keep), "_cl_derived", "_cl_codes", "_cl_unknown")
 
 
 def _taken(t: Column, as_text: Column, number: Column, text: Column, parsed: Column) -> Column:
@@ -161,21 +180,34 @@ def _taken(t: Column, as_text: Column, number: Column, text: Column, parsed: Col
     return F.struct(z.alias("z"), fail.alias("fail"))
 
 
-def _term(t: Column) -> Column:
-    """One feature of the contract in the three layouts, and why the row cannot be laid out at all."""
+def _looked_up(t: Column) -> Column:
+    """A feature of the contract with what the request has for it."""
     name = t["feature"]
-    e = F.try_element_at(F.col("_cl_e"), name)
-    derived = F.try_element_at(F.col("_cl_derived"), name)
-    number = F.coalesce(derived, F.try_element_at(F.col("_cl_codes"), name), e["value"], F.lit(0.0))
-    text = F.coalesce(derived.cast("string"), e["text"], F.lit(""))
-    parsed = F.coalesce(derived, e["parsed"])
-    categorical = name.isin(*S.CATEGORICAL_COLUMNS)
-    onehot = F.array_contains(F.col("onehot"), name)
-    reason = F.coalesce(F.try_element_at(F.col("_cl_unknown"), name), F.when(
-        ~categorical & ~onehot & (F.isnan(number) | (F.abs(number) == float("inf"))),
+    return F.struct(t.alias("t"), F.try_element_at(F.col("_cl_e"), name).alias("e"),
+                    F.try_element_at(F.col("_cl_derived"), name).alias("derived"),
+                    F.try_element_at(F.col("_cl_codes"), name).alias("code"),
+                    F.try_element_at(F.col("_cl_unknown"), name).alias("unknown"),
+                    name.isin(*S.CATEGORICAL_COLUMNS).alias("categorical"),
+                    F.array_contains(F.col("onehot"), name).alias("onehot"))
+
+
+def _valued(x: Column) -> Column:
+    """Its number, its text and its text as a number."""
+    return F.struct(x["t"].alias("t"), F.coalesce(x["derived"], x["code"], x["e"]["value"], F.lit(0.0)).alias("number"),
+                    F.coalesce(x["derived"].cast("string"), x["e"]["text"], F.lit("")).alias("text"),
+                    F.coalesce(x["derived"], x["e"]["parsed"]).alias("parsed"),
+                    *(x[c].alias(c) for c in ("unknown", "categorical", "onehot")))
+
+
+def _term(x: Column) -> Column:
+    """One feature of the contract in the three layouts, and why the row cannot be laid out at all."""
+    name, number = x["t"]["feature"], x["number"]
+    reason = F.coalesce(x["unknown"], F.when(
+        ~x["categorical"] & ~x["onehot"] & (F.isnan(number) | (F.abs(number) == float("inf"))),
         F.concat(F.lit("value of '"), name, F.lit("' is not finite"))))
-    as_text = {FE.ALIGNED_LAYOUT: onehot, FE.MIXED_LAYOUT: categorical, FE.NUMERIC_LAYOUT: F.lit(False)}
-    return F.struct(*(_taken(t, as_text[layout], number, text, parsed).alias(layout) for layout in LAYOUTS), reason.alias("reason"))
+    as_text = {FE.ALIGNED_LAYOUT: x["onehot"], FE.MIXED_LAYOUT: x["categorical"], FE.NUMERIC_LAYOUT: F.lit(False)}
+    return F.struct(*(_taken(x["t"], as_text[layout], number, x["text"], x["parsed"]).alias(layout) for layout in LAYOUTS),
+                    reason.alias("reason"))
 
 
 def predict_with_registry(requests: DataFrame, registry: DataFrame, coefficients: DataFrame,
@@ -197,15 +229,17 @@ def predict_with_registry(requests: DataFrame, registry: DataFrame, coefficients
     """
     models = cut_lineage(model_table(registry, coefficients, unknown).withColumnRenamed("name", "_cl_name"))
     keep = [*request_columns(requests), features_col]
-    problem = FE.request_problem(requests, features_col, model_col)
-    rows = _once(requests.select(*map(FE.qcol, keep)), _cl_e=_entries(FE.qcol(features_col)), _cl_problem=problem)
-    rows = _contract_values(rows).withColumn("_cl_model", FE.qcol(model_col))
+    problem = FE.request_problem(requests, features_col, model_col, F.col("_cl_v"))
+    # joined as they come: the values that are worked out of a request are many times its size
+    rows = requests.select(*map(FE.qcol, keep)).withColumn("_cl_model", FE.qcol(model_col))
     if salts:
         joined = salted_join(rows, models, "_cl_model", "_cl_name", "left", salts=salts)
     else:
         joined = join_bounded(rows, models.withColumnRenamed("_cl_name", "_cl_model").withColumn("_cl_name", F.col("_cl_model")),
                               "_cl_model", "left", max_rows=max_broadcast)
-    terms = _once(joined, _cl_t=F.transform("terms", _term))
+    joined = _once(joined, _cl_v=F.try_parse_json(FE.qcol(features_col)))
+    joined = _contract_values(_once(joined, _cl_e=_entries(F.col("_cl_v")), _cl_problem=problem).drop("_cl_v"))
+    terms = _once(joined, _cl_t=F.transform(F.transform(F.transform("terms", _looked_up), _valued), _term))
 
     def total(layout: str) -> Column:
         return F.aggregate(F.transform("_cl_t", lambda t: t[layout]["z"]), F.col("intercept"), lambda a, z: a + z)

@@ -150,3 +150,13 @@ def test_empty_tables(spark):
     assert ok.count() == no.count() == 0
     ok, no = MT.predict_with_registry(reqs, registry.where("false"), coef)
     assert ok.count() == 0 and no.count() == 20
+
+
+def test_requests_are_joined_before_their_values_are_worked_out(spark):
+    """The exchange of a large registry carries requests as they came, not what is made of them."""
+    registry, coef = _tables(spark, 2)
+    ok, no = MT.predict_with_registry(_requests(spark, 20, 2), registry, coef, max_broadcast=0)
+    for df in (ok, no):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftOuter" in plan and "parseJson" in plan.split("LeftOuter")[0]
+        assert "parseJson" not in plan.split("LeftOuter")[1]
