@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlane.session import cut_lineage
@@ -34,18 +34,34 @@ def _forest(batches):
                                           pa.array([root(x) for x in part], pa.int64())], ["u", "v"])
 
 
+def _least(e: DataFrame) -> DataFrame:
+    """``e`` with ``m``, the least ``v`` of each ``u``: the rows of a node are exchanged once."""
+    return e.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+
+
+def _both_ways(e: DataFrame) -> DataFrame:
+    """Each edge in both directions, from one read."""
+    return e.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+
+
 def _large_star(e: DataFrame) -> DataFrame:
-    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return (both.join(least, "u").where("v > u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+    return _least(_both_ways(e)).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    return (down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+    """``e`` has u > v in every row."""
+    to_least = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
+                       F.struct(F.col("u").alias("u"), F.col("m").alias("v")))
+    return _least(e).select(F.inline(to_least)).where("u <> v").distinct()
+
+
+def _settled(e: DataFrame) -> bool:
+    """Every node has one edge down to a node that has none: each component is a star around its least node."""
+    ends = e.select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")),
+                                     F.struct(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))))
+    open_ = (ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+             .where("down > 1 or (down = 1 and up = 1)"))
+    return open_.agg(F.count(F.lit(1))).first()[0] == 0
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -53,25 +69,16 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     Nodes without links are not listed.  Null ends and self-links are ignored;
     no links give an empty table.  Each round is checkpointed; the rounds end
-    when the star edges no longer change (their number grows with the
-    logarithm of the widest component, ``rounds`` only guards against a bug).
+    when every component is a star (their number grows with the logarithm of
+    the widest component, ``rounds`` only guards against a bug).
     """
     a, b = links.columns[:2]
     edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     edges = cut_lineage(edges.mapInArrow(_forest, _EDGE).distinct())
-
-    def seal(e: DataFrame):
-        return e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-
-    last = seal(edges)
     for _ in range(rounds):
-        if last[0] == 0:
+        if _settled(edges):
             break
         edges = cut_lineage(_small_star(_large_star(edges)))
-        now = seal(edges)
-        if now == last:
-            break
-        last = now
     else:
         raise RuntimeError("components did not settle")
     return (edges.select(F.col("u").alias("node"), F.col("v").alias("label"))

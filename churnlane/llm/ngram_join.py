@@ -430,7 +430,8 @@ def _component_rows(docs: DataFrame, id_col: str, text_col: str, width: int = 5,
         _links_across(stars, sets, label).write.parquet(f"{path}/links2")
         rest = spark.read.schema(pair).parquet(f"{path}/links2")
         if rest.limit(1).count():
-            label = components(links.unionByName(rest))
+            # the stars of the first links stand for them
+            label = components(label.toDF("a", "b").unionByName(rest))
     release(spark)
 
     rows = parts.where("kind = 0").select(F.struct("id", "h1", "h2").alias("key"), "n", "set_id")
