@@ -4,9 +4,9 @@ A line is the set of its distinct words.  Words are ordered by rarity, and two
 sets that reach the similarity share a word among the first
 ``n - ceil(3 n / 4) + 1`` of each (prefix filter).  Sets meet under these
 words; pairs pass when their sizes (length filter), the places of the shared
-word (positional filter) and the parities of their words (64-bit bitmaps)
-leave the similarity possible, then wider bitmaps in proportion to the sets, and
-are then verified on the whole sets.  A
+word (positional filter) and the parities of their words (bitmaps of 64 bits,
+128 or 256 for large sets) leave the similarity possible, then wider bitmaps in
+proportion to the sets, and are then verified on the whole sets.  A
 line goes when an earlier line is similar enough.
 
 Rarity comes from a table of counters by word hash: any order that all lines
@@ -36,6 +36,8 @@ SMALL_RUN = 64
 FIRST = 8
 #: Entries of a stored run per row.
 BLOCK = 512
+#: Sets of so many words meet under 128 and under 256 parity bits; 64 would tell too few of them apart.
+HALVED, QUARTERED = 64, 128
 #: Parity bits of a set's sketch per word.
 SKETCH = 4
 _SLICES = 16
@@ -143,6 +145,23 @@ def _wide(raw: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
     return np.frombuffer(raw[at + 1: end], f"<u{width}").astype(np.int64), end
 
 
+def _more(size: np.ndarray, *planes: np.ndarray) -> bytes:
+    """The half and the two quarters of the sets that are large enough to have them, see ``_Parity``."""
+    return b"".join(p[size >= least].tobytes() for p, least in zip(planes, (HALVED, QUARTERED, QUARTERED)))
+
+
+def _read_more(raw: bytes, at: int, size: np.ndarray) -> list[np.ndarray]:
+    """What ``_more`` wrote, 0 for the smaller sets."""
+    out = []
+    for least in (HALVED, QUARTERED, QUARTERED):
+        x = np.flatnonzero(size >= least)
+        plane = np.zeros(len(size), dtype=np.uint64)
+        plane[x] = np.frombuffer(raw, np.uint64, len(x), at) if len(x) else 0
+        at += 8 * len(x)
+        out.append(plane)
+    return out
+
+
 def _leads(*keys: np.ndarray) -> np.ndarray:
     """Which rows differ from the row before in one of the ``keys``."""
     lead = np.ones(len(keys[0]), dtype=bool)
@@ -170,8 +189,12 @@ def _postings(c: _Chunk, bits: int, chunk: np.ndarray) -> pa.Table:
     place = np.concatenate([place, np.zeros(len(other), np.int64)])
     word = mix64(c.keys[c.at[line] + place])
     owner = np.repeat(np.arange(len(c.sizes)), c.sizes)
-    parity = np.zeros(len(c.sizes), dtype=np.uint64)
-    np.bitwise_xor.at(parity, owner, U64(1) << (mix64(c.keys) >> U64(58)))
+    # four times 64 parities, by the next two bits of the word's hash
+    at = mix64(c.keys) >> U64(56)
+    quarter = np.zeros((4, len(c.sizes)), dtype=np.uint64)
+    np.bitwise_xor.at(quarter, ((at & U64(3)).astype(np.int64), owner), U64(1) << (at >> U64(2)))
+    parity = np.bitwise_xor.reduce(quarter)
+    half = quarter[1] ^ quarter[3]
     order = np.argsort(word, kind="stable")
     word, line, place = word[order], line[order], place[order]
     bucket = (word >> U64(64 - bits)).astype(np.int64)
@@ -184,7 +207,8 @@ def _postings(c: _Chunk, bits: int, chunk: np.ndarray) -> pa.Table:
     def planes(a: int, b: int) -> bytes:
         o = line[a:b]
         return (c.set_of[o].tobytes() + parity[o].tobytes() + _narrow(above[o]) + _narrow(c.number[o])
-                + _narrow(chunk[c.doc[o]]) + _narrow(c.sizes[o]) + _narrow(place[a:b]))
+                + _narrow(chunk[c.doc[o]]) + _narrow(c.sizes[o]) + _narrow(place[a:b])
+                + _more(c.sizes[o], half[o], quarter[0][o], quarter[1][o]))
 
     return pa.table({"bucket": pa.array(bucket[cut], pa.int32()),
                      "base": pa.array(np.full(len(cut), base), pa.int64()),
@@ -195,7 +219,7 @@ def _postings(c: _Chunk, bits: int, chunk: np.ndarray) -> pa.Table:
 class _Runs:
     """Postings sorted by word and, as ``_later`` decides, first id, line and set; one entry per word and set."""
 
-    def __init__(self, word, sets, parity, ids, line, size, place, chunk):
+    def __init__(self, word, sets, parity, ids, line, size, place, chunk, half, first, second):
         order = np.lexsort((chunk, line, ids, sets, word))
         keep = np.ones(len(order), dtype=bool)
         w, s = word[order], sets[order]
@@ -212,7 +236,8 @@ class _Runs:
         shared = again.copy()
         shared[:-1] |= again[1:]
         order = order[shared]
-        self.word, self.sets, self.parity, self.ids = word[order], sets[order], parity[order], ids[order]
+        self.word, self.sets, self.ids = word[order], sets[order], ids[order]
+        self.parity = _Parity(parity[order], half[order], first[order], second[order])
         self.line = line[order]
         self.size, self.place = size[order].astype(np.int64), place[order].astype(np.int64)
         self.chunk = chunk[order]  # where the set first stands
@@ -225,13 +250,34 @@ class _Runs:
         return _passing(self.size, self.place, self.parity, i, j)
 
 
-def _passing(size, place, parity, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+class _Parity:
+    """Parities of sets: 64 bits, one half of 128 (from ``HALVED`` words on), two quarters of 256 (from ``QUARTERED``).
+
+    The other halves and quarters follow from these, as their sums are the parities of fewer bits.
+    """
+
+    def __init__(self, *planes: np.ndarray):
+        self.planes = planes
+
+    def odd(self, level: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """How many parities differ in pairs of entries, at 64, 128 or 256 bits (``level`` 0, 1, 2)."""
+        d = [p[i] ^ p[j] for p in self.planes[: (1, 2, 4)[level]]]
+        if level == 1:
+            d = [d[1], d[0] ^ d[1]]
+        elif level == 2:
+            d = [d[2], d[3], d[1] ^ d[3], d[0] ^ d[1] ^ d[2]]
+        return np.sum([np.bitwise_count(x).astype(np.int64) for x in d], axis=0)
+
+
+def _passing(size, place, parity: _Parity, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Which pairs of entries the length, positional and parity filters leave."""
     a, b = size[i], size[j]
     need = -(-NUM * (a + b) // (NUM + DEN))
     ok = (DEN * np.minimum(a, b) >= NUM * np.maximum(a, b)) \
         & (1 + np.minimum(a - place[i], b - place[j]) - 1 >= need)
-    ok[ok] = np.bitwise_count(parity[i[ok]] ^ parity[j[ok]]) <= (a + b - 2 * need)[ok]
+    for level, least in enumerate((1, HALVED, QUARTERED)):
+        x = np.flatnonzero(ok & (np.minimum(a, b) >= least))
+        ok[x] = parity.odd(level, i[x], j[x]) <= (a + b - 2 * need)[x]
     return ok
 
 
@@ -245,7 +291,7 @@ def _read_postings(table: pa.Table) -> _Runs:
         size, at = _wide(e, at, n)
         place, at = _wide(e, at, n)
         parts.append((unpack48(w), np.frombuffer(e, np.int64, n), np.frombuffer(e, np.uint64, n, 8 * n),
-                      np.where(above == 0, _NO_ID, above - 1 + base), line, size, place, chunk))
+                      np.where(above == 0, _NO_ID, above - 1 + base), line, size, place, chunk, *_read_more(e, at, size)))
     return _Runs(*(np.concatenate(x) for x in zip(*parts)))
 
 
@@ -305,7 +351,7 @@ def _meeting(small: int):
                 e = slice(k, min(k + BLOCK, end))
                 of_run.append(run[s])
                 number.append((k - s) // BLOCK)
-                packed.append(r.sets[e].tobytes() + r.parity[e].tobytes() + r.size[e].tobytes() + r.place[e].tobytes())
+                packed.append(_packed(r.sets[e], r.size[e], r.place[e], [p[e] for p in r.parity.planes]))
         x = np.flatnonzero(unsure)
         known, at = np.unique(r.sets, return_index=True)
         used = np.isin(known, np.concatenate(members))
@@ -317,14 +363,28 @@ def _meeting(small: int):
     return meet
 
 
+def _packed(sets, size, place, planes: list[np.ndarray]) -> bytes:
+    """Entries of a run: their number, then column by column."""
+    return (len(sets).to_bytes(8, "little") + sets.tobytes() + planes[0].tobytes() + _narrow(size) + _narrow(place)
+            + _more(size, *planes[1:]))
+
+
+def _unpacked(raw: bytes) -> list[np.ndarray]:
+    """Set, size, place and the planes of the parities."""
+    n = int.from_bytes(raw[:8], "little")
+    size, at = _wide(raw, 8 + 16 * n, n)
+    place, at = _wide(raw, at, n)
+    return [np.frombuffer(raw, np.int64, n, 8), size, place, np.frombuffer(raw, np.uint64, n, 8 + 8 * n),
+            *_read_more(raw, at, size)]
+
+
 def _block_pairs(batches):
     """All candidates of the open sets ``todo`` of block ``two`` in the block ``one`` of the same run."""
     for batch in batches:
         for one, two, same, todo in zip(*(batch.column(c).to_pylist() for c in ("one", "two", "same", "todo"))):
-            n, m = len(one) // 32, len(two) // 32
-            v = [np.concatenate([np.frombuffer(one, t, n, 8 * n * i), np.frombuffer(two, t, m, 8 * m * i)])
-                 for i, t in enumerate((np.int64, np.uint64, np.int64, np.int64))]
-            sets, parity, size, place = v
+            v = [np.concatenate(x) for x in zip(_unpacked(one), _unpacked(two))]
+            sets, size, place, parity = *v[:3], _Parity(*v[3:])
+            n = int.from_bytes(one[:8], "little")
             at = np.flatnonzero(np.isin(sets[n:], np.array(todo, np.int64)))
             j, i = np.repeat(at, n) + n, np.tile(np.arange(n), len(at))
             if same:  # earlier entries only

@@ -166,3 +166,28 @@ def test_one_per_component_decides_by_row(frame):
     assert sorted((r for r in got if r[0] is not None), key=str) == sorted(
         [(1, one), (2, two), (6, "alone"), (7, None), (7, None)], key=str)
     assert got.count((None, None)) == 1 and len(got) == 7
+
+
+def test_long_lines_of_few_words_in_common_do_not_become_candidates():
+    """Sets of 70 to 300 words under one rare word: 64 parities leave many pairs, the wider ones the similar pair only."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    vocab = [f"w{i}" for i in range(3000)]
+    sizes = (70, 100, 130, 200, 300)
+    lines = [" ".join(["rare", *rng.sample(vocab, sizes[i % 5])]) for i in range(150)]
+    lines.append(" ".join(lines[2].split()[:-3] + ["x", "y", "z"]))
+    n = len(lines)
+    text = "\n".join(lines)
+    words = line_dedup.Words(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), lower=False).hashes()
+    level = np.full(line_dedup.COUNTERS, 9, np.uint8)
+    level[int(words[0] % line_dedup.U64(line_dedup.COUNTERS))] = 1
+    table = pa.table({"id": pa.array([1], pa.int64()), "text": [text]})
+    c = line_dedup._Chunk(table, level)
+    posted = line_dedup._postings(c, 1, np.zeros(1, np.int64))
+    for small in (n + 1, 4):  # runs paired at once, and large ones
+        sets = c.set_of.astype(np.int64)
+        pairs = {(r["a"], r["b"]) for i in range(len(posted))
+                 for r in line_dedup._meeting(small)(posted.slice(i, 1)).to_pylist() if r["kind"] == 0}
+        assert (sets[2], sets[n - 1]) in pairs and len(pairs) < 30
