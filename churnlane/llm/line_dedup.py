@@ -239,7 +239,7 @@ class _Runs:
         self.word, self.sets, self.ids = word[order], sets[order], ids[order]
         self.parity = _Parity(parity[order], half[order], first[order], second[order])
         self.line = line[order]
-        self.size, self.place = size[order].astype(np.int64), place[order].astype(np.int64)
+        self.size, self.place = size[order].astype(np.int32), place[order].astype(np.int32)
         self.chunk = chunk[order]  # where the set first stands
         lead = np.ones(len(self.word), dtype=bool)
         lead[1:] = self.word[1:] != self.word[:-1]
@@ -262,6 +262,8 @@ class _Parity:
     def odd(self, level: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """How many parities differ in pairs of entries, at 64, 128 or 256 bits (``level`` 0, 1, 2)."""
         d = [p[i] ^ p[j] for p in self.planes[: (1, 2, 4)[level]]]
+        if level == 0:
+            return np.bitwise_count(d[0])
         if level == 1:
             d = [d[1], d[0] ^ d[1]]
         elif level == 2:
@@ -272,12 +274,18 @@ class _Parity:
 def _passing(size, place, parity: _Parity, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Which pairs of entries the length, positional and parity filters leave."""
     a, b = size[i], size[j]
-    need = -(-NUM * (a + b) // (NUM + DEN))
-    ok = (DEN * np.minimum(a, b) >= NUM * np.maximum(a, b)) \
-        & (1 + np.minimum(a - place[i], b - place[j]) - 1 >= need)
-    for level, least in enumerate((1, HALVED, QUARTERED)):
-        x = np.flatnonzero(ok & (np.minimum(a, b) >= least))
-        ok[x] = parity.odd(level, i[x], j[x]) <= (a + b - 2 * need)[x]
+    ok = DEN * np.minimum(a, b) >= NUM * np.maximum(a, b)
+    x = np.flatnonzero(ok)
+    i, j, a, b = i[x], j[x], a[x], b[x]
+    least, both = np.minimum(a, b), a + b
+    # rest >= ceil(NUM * both / (NUM + DEN)), without the division
+    near = (NUM + DEN) * np.minimum(a - place[i], b - place[j]) >= NUM * both
+    ok[x] = near
+    x, i, j, least, both = x[near], i[near], j[near], least[near], both[near]
+    slack = both - 2 * -(-NUM * both // (NUM + DEN))
+    for level, floor in enumerate((1, HALVED, QUARTERED)):
+        y = np.flatnonzero(ok[x] & (least >= floor))
+        ok[x[y]] = parity.odd(level, i[y], j[y]) <= slack[y]
     return ok
 
 
@@ -321,11 +329,13 @@ def _meeting(small: int):
             two.append(r.sets[j[ok]])
             return ok
 
-        for d in range(1, small):
-            i = np.flatnonzero((r.word[d:] == r.word[:-d]) & (r.length[d:] <= small))
-            if not len(i):
-                break
-            take(i, i + d)
+        rank = np.arange(len(r.word)) - r.at
+        later = np.flatnonzero((r.length <= small) & (rank > 0))
+        d = 1
+        while len(later):
+            take(later - d, later)
+            d += 1
+            later = later[rank[later] >= d]
         active = np.flatnonzero(r.length > small)
         found = np.zeros(len(r.word), dtype=np.int64)
         step = 0
