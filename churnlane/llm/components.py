@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
+import math
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from churnlane.session import cut_lineage
 
 _EDGE = "u long, v long"
+#: Links that one task joins at a time, about, before the rounds begin.
+LOCAL = 100_000
 
 
 def _forest(batches):
@@ -34,51 +37,48 @@ def _forest(batches):
                                           pa.array([root(x) for x in part], pa.int64())], ["u", "v"])
 
 
-def _least(e: DataFrame) -> DataFrame:
-    """``e`` with ``m``, the least ``v`` of each ``u``: the rows of a node are exchanged once."""
-    return e.withColumn("m", F.min("v").over(Window.partitionBy("u")))
-
-
-def _both_ways(e: DataFrame) -> DataFrame:
-    """Each edge in both directions, from one read."""
-    return e.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
-
-
 def _large_star(e: DataFrame) -> DataFrame:
-    return _least(_both_ways(e)).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+    """Each edge leads from u to the least neighbour of v, or to v itself; one row per edge."""
+    least = e.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m"))
+    return e.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
-    """``e`` has u > v in every row."""
-    to_least = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
-                       F.struct(F.col("u").alias("u"), F.col("m").alias("v")))
-    return _least(e).select(F.inline(to_least)).where("u <> v").distinct()
+    """Of the edges down from u the least stays, the other ends are led to its end; at most one row per edge."""
+    least = e.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+    return least.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
+                        F.col("m").alias("v")).distinct()
 
 
 def _settled(e: DataFrame) -> bool:
     """Every node has one edge down to a node that has none: each component is a star around its least node."""
-    ends = e.select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")),
-                                     F.struct(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))))
-    open_ = (ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
-             .where("down > 1 or (down = 1 and up = 1)"))
-    return open_.agg(F.count(F.lit(1))).first()[0] == 0
+    down = e.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+    if down.where("n > 1").limit(1).count():
+        return False
+    return not e.join(down.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, label): the least node reachable by ``links`` (two long columns).
 
     Nodes without links are not listed.  Null ends and self-links are ignored;
-    no links give an empty table.  Each round is checkpointed; the rounds end
-    when every component is a star (their number grows with the logarithm of
-    the widest component, ``rounds`` only guards against a bug).
+    no links give an empty table.  The links are thinned to forests, first in
+    the tasks that hold them, then in tasks of about ``LOCAL`` edges; every
+    edge has u > v from then on.  Each round is checkpointed; the rounds end when
+    every component is a star (their number grows with the logarithm of the
+    widest component, ``rounds`` only guards against a bug).
     """
     a, b = links.columns[:2]
     edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     edges = cut_lineage(edges.mapInArrow(_forest, _EDGE).distinct())
-    for _ in range(rounds):
+    for step in range(rounds):
         if _settled(edges):
             break
-        edges = cut_lineage(_small_star(_large_star(edges)))
+        if step == 0:
+            tasks = math.ceil(edges.count() / LOCAL)
+            edges = cut_lineage(edges.coalesce(tasks).mapInArrow(_forest, _EDGE).distinct())
+        else:
+            edges = cut_lineage(_small_star(_large_star(edges)))
     else:
         raise RuntimeError("components did not settle")
     return (edges.select(F.col("u").alias("node"), F.col("v").alias("label"))

@@ -425,7 +425,7 @@ def _component_rows(docs: DataFrame, id_col: str, text_col: str, width: int = 5,
     links = spark.read.schema(pair).parquet(f"{path}/links")
     label = components(links)
 
-    stars = met.where("hub").select("a", "b").distinct()
+    stars = met.where("hub").select("a", "b")
     if stars.limit(1).count():
         _links_across(stars, sets, label).write.parquet(f"{path}/links2")
         rest = spark.read.schema(pair).parquet(f"{path}/links2")
