@@ -128,10 +128,6 @@ class _Chunk:
         self.first = order[lead]  # one line per set, by set id
         self.names = self.set_of[self.first]
 
-    def set_words(self, x: int) -> np.ndarray:
-        return self.keys[self.at[x]: self.at[x + 1]]
-
-
 def _narrow(x: np.ndarray) -> bytes:
     """Non-negative numbers in 1, 2, 4 or 8 bytes each, whichever the largest needs, behind that width."""
     most = int(x.max()) if len(x) else 0
@@ -216,10 +212,24 @@ def _postings(c: _Chunk, bits: int, chunk: np.ndarray) -> pa.Table:
                      "entries": binary([planes(a, b) for a, b in zip(cut, end)])})
 
 
+def _repeated(x: np.ndarray) -> np.ndarray:
+    """Where the values stand that stand more than once."""
+    order = np.argsort(x)
+    same = x[order][1:] == x[order][:-1]
+    out = np.zeros(len(x), dtype=bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return np.flatnonzero(out)
+
+
 class _Runs:
     """Postings sorted by word and, as ``_later`` decides, first id, line and set; one entry per word and set."""
 
-    def __init__(self, word, sets, parity, ids, line, size, place, chunk, half, first, second):
+    def __init__(self, *columns):
+        # a word that stands once can neither pair sets nor tell of copies
+        again = _repeated(columns[0])
+        columns = [x[again] for x in columns]
+        word, sets, parity, ids, line, size, place, chunk, half, first, second = columns
         order = np.lexsort((chunk, line, ids, sets, word))
         keep = np.ones(len(order), dtype=bool)
         w, s = word[order], sets[order]
@@ -419,15 +429,37 @@ def _rest_of_runs(met: DataFrame, done: DataFrame) -> DataFrame:
             .mapInArrow(_block_pairs, "a long, b long").distinct())
 
 
-def _sketch(words: np.ndarray) -> bytes:
-    """Parities of a set's words in at least ``SKETCH`` bits a word (a power of two, 64 at least)."""
-    bits = max(64, 1 << int(SKETCH * len(words) - 1).bit_length())
-    odd = np.bincount((words >> U64(16)).astype(np.int64) & (bits - 1), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+def _sketches(words: np.ndarray, at: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """For each set ``words[at: at + n]``: parities in at least ``SKETCH`` bits a word (a power of two, 64 at least)."""
+    out = np.empty(len(n), dtype=object)
+    width = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(1, SKETCH * n))).astype(np.int64))
+    for bits in np.unique(width).tolist():
+        x = np.flatnonzero(width == bits)
+        owner = np.repeat(np.arange(len(x)), n[x])
+        place = np.arange(len(owner)) + np.repeat(at[x] - starts_of(n[x])[:-1], n[x])
+        bit = (words[place] >> U64(16)).astype(np.int64) & (bits - 1)
+        odd = np.bincount(owner * bits + bit, minlength=len(x) * bits) & 1
+        packed = np.packbits(odd.astype(np.uint8)).tobytes()
+        out[x] = [packed[i: i + bits // 8] for i in range(0, len(packed), bits // 8)]
+    return out.tolist()
+
+
+def _odd_parities(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """How many parities of each two sketches differ; those of several widths are folded to the narrower one."""
+    out = np.zeros(len(left), dtype=np.int64)
+    sizes = np.array([[len(x), len(y)] for x, y in zip(left, right)], dtype=np.int64).reshape(-1, 2)
+    for widths in np.unique(sizes, axis=0):
+        rows = np.flatnonzero((sizes == widths).all(axis=1))
+        p, q = (np.frombuffer(b"".join([side[i] for i in rows]), np.uint8).reshape(len(rows), -1)
+                for side in (left, right))
+        least = int(widths.min())
+        p, q = (np.bitwise_xor.reduce(v.reshape(len(rows), -1, least), axis=1) for v in (p, q))
+        out[rows] = np.bitwise_count(p ^ q).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _may_be_similar(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """The pairs (a, b) that the sketches leave; sketches of several widths are folded to the narrower one.
+    """The pairs (a, b) that the sketches leave.
 
     Each word that only one of two sets has turns one parity, so more odd
     parities than the similarity allows such words rule a pair out.
@@ -435,16 +467,9 @@ def _may_be_similar(pairs: DataFrame, words: DataFrame) -> DataFrame:
 
     def check(batches):
         for batch in batches:
-            ok = []
-            for x, y, a, b in zip(*(batch.column(c).to_pylist() for c in ("sa", "sb", "na", "nb"))):
-                p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-                while len(p) > len(q):
-                    p = p[: len(p) // 2] ^ p[len(p) // 2:]
-                while len(q) > len(p):
-                    q = q[: len(q) // 2] ^ q[len(q) // 2:]
-                need = -(-NUM * (a + b) // (NUM + DEN))
-                ok.append(int(np.bitwise_count(p ^ q).sum()) <= a + b - 2 * need)
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            both = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            odd = _odd_parities(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())
+            yield batch.select(["a", "b"]).filter(pa.array(odd <= both - 2 * -(-NUM * both // (NUM + DEN)), pa.bool_()))
 
     left = words.select(F.col("set_id").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
     right = words.select(F.col("set_id").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
@@ -518,12 +543,13 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         c = _Chunk(table, level.value)
         x = np.flatnonzero(np.isin(to_long(c.names), need.column("set_id").to_numpy()))
         x = c.first[x]
+        mixed = mix64(c.keys)
         return pa.table({"set_id": pa.array(to_long(c.set_of[x])),
                          "chunk": pa.array([table.column("chunk")[0].as_py()] * len(x), pa.int32()),
                          "id": pa.array(c.ids[c.doc[x]]), "line": pa.array(c.number[x]),
                          "n": pa.array(c.sizes[x], pa.int64()),
-                         "sketch": binary([_sketch(mix64(c.set_words(i))) for i in x]),
-                         "words": binary([pack48(mix64(c.set_words(i))) for i in x])})
+                         "sketch": binary(_sketches(mixed, c.at[x], c.sizes[x])),
+                         "words": binary([pack48(mixed[a:b]) for a, b in zip(c.at[x], c.at[x + 1])])})
 
     first = met.where("kind = 1").select(F.col("a").alias("set_id"), F.col("b").cast("int").alias("chunk")).distinct()
     (texts.groupBy("chunk").cogroup(first.groupBy("chunk")).applyInArrow(known, _SET)

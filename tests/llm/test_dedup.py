@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from churnlane.llm import line_dedup, ngram_join, substring
@@ -191,3 +192,22 @@ def test_long_lines_of_few_words_in_common_do_not_become_candidates():
         pairs = {(r["a"], r["b"]) for i in range(len(posted))
                  for r in line_dedup._meeting(small)(posted.slice(i, 1)).to_pylist() if r["kind"] == 0}
         assert (sets[2], sets[n - 1]) in pairs and len(pairs) < 30
+
+
+def test_sketches_of_many_sets_at_once():
+    rng = np.random.default_rng(5)
+    n = np.array([1, 2, 16, 17, 40, 300, 64, 5])
+    at = np.cumsum(n) - n
+    words = rng.integers(0, 1 << 63, n.sum(), dtype=np.uint64)
+    got = line_dedup._sketches(words, at[::-1], n[::-1])[::-1]
+
+    def odd(i, bits):
+        return {b for b in range(bits)
+                if sum(int(w) >> 16 & bits - 1 == b for w in words[at[i]: at[i] + n[i]]) % 2}
+
+    assert [len(x) * 8 for x in got] == [64, 64, 64, 128, 256, 2048, 256, 64]
+    for i, x in enumerate(got):
+        assert set(np.flatnonzero(np.unpackbits(np.frombuffer(x, np.uint8))).tolist()) == odd(i, len(x) * 8)
+    pairs = [(i, j) for i in range(len(n)) for j in range(len(n))]
+    want = [len(odd(i, b) ^ odd(j, b)) for i, j in pairs for b in [8 * min(len(got[i]), len(got[j]))]]
+    assert line_dedup._odd_parities([got[i] for i, _ in pairs], [got[j] for _, j in pairs]).tolist() == want
