@@ -104,8 +104,8 @@ class Words:
         return mix64(h + (self.ends - self.starts).astype(np.uint64))
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of runs of texts of about SLICE_BYTES; null is empty."""
+def slices(texts: pa.Array, size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of runs of texts of about ``size`` (SLICE_BYTES); null is empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
         if isinstance(texts, pa.ChunkedArray):
@@ -114,12 +114,13 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     n = len(texts)
     if not n:
         return
+    size = size or SLICE_BYTES
     _, off_buf, data = texts.buffers()
     off = np.frombuffer(off_buf, dtype=np.int64)[texts.offset: texts.offset + n + 1]
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     a = 0
     while a < n:
-        b = int(np.searchsorted(off, off[a] + SLICE_BYTES, side="right")) - 1
+        b = int(np.searchsorted(off, off[a] + size, side="right")) - 1
         b = min(n, max(b, a + 1))
         yield a, b, raw[off[a]: off[b]], off[a: b + 1] - off[a]
         a = b

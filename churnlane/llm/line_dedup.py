@@ -30,12 +30,16 @@ from churnlane.session import scratch_path
 NUM, DEN = 3, 4
 #: Counters of word frequencies (by hash); one byte each when broadcast.
 COUNTERS = 1 << 19
+#: Bytes of text cut into words at a time: the work arrays stay in the CPU's cache.
+SLICE = 1 << 17
 #: Sets under one word up to this number are paired whole at once.
 SMALL_RUN = 64
 #: In larger runs, each set is first paired with so many earlier candidates.
 FIRST = 8
 #: Entries of a stored run per row.
 BLOCK = 512
+#: Pairs compared by their parities at a time.
+PAIRS = 1 << 19
 #: Sets of so many words meet under 128 and under 256 parity bits; 64 would tell too few of them apart.
 HALVED, QUARTERED = 64, 128
 #: Parity bits of a set's sketch per word.
@@ -45,15 +49,25 @@ _NO_ID = np.iinfo(np.int64).max
 _LINE_BREAK = 10
 
 
+def _line_edges(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the lines of a slice of texts start, and its end; lines of each text.  A break ends its line."""
+    breaks = np.flatnonzero(buf == _LINE_BREAK)
+    # a line ends before its break; each text has one line more than breaks
+    owner = np.searchsorted(off, breaks, side="right") - 1
+    lines = np.bincount(owner, minlength=len(off) - 1) + 1
+    cuts = np.sort(np.concatenate([off[:-1], breaks + 1]), kind="stable")
+    return np.concatenate([cuts, [len(buf)]]), lines
+
+
 def _line_words(texts: pa.Array):
-    """Per slice: words of every line, as (first row, Words over lines, lines per text, bytes, line offsets)."""
-    for a, _, buf, off in slices(texts):
-        breaks = np.flatnonzero(buf == _LINE_BREAK)
-        # a line ends before its break; each text has one line more than breaks
-        owner = np.searchsorted(off, breaks, side="right") - 1
-        lines = np.bincount(owner, minlength=len(off) - 1) + 1
-        cuts = np.sort(np.concatenate([off[:-1], breaks + 1]), kind="stable")
-        yield a, Words(buf, np.concatenate([cuts, [len(buf)]]), lower=False), lines, buf
+    """Per slice: words of every line, as (Words over lines, lines per text)."""
+    for _, _, buf, off in slices(texts, SLICE):
+        edges, lines = _line_edges(buf, off)
+        yield Words(buf, edges, lower=False), lines
+
+
+def _counter(h: np.ndarray) -> np.ndarray:
+    return (h & U64(COUNTERS - 1)).astype(np.int64)
 
 
 def word_counts(docs: DataFrame, text_col: str) -> np.ndarray:
@@ -63,9 +77,10 @@ def word_counts(docs: DataFrame, text_col: str) -> np.ndarray:
     def count(batches):
         total = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
-            for _, _, buf, off in slices(batch.column("text")):
-                h = Words(buf, off, lower=False).hashes()
-                total += np.bincount((h % U64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+            for i in range(0, batch.num_rows, 1024):
+                at = [_counter(Words(buf, off, lower=False).hashes())
+                      for _, _, buf, off in slices(batch.column("text").slice(i, 1024), SLICE)]
+                total += np.bincount(np.concatenate(at), minlength=COUNTERS)
         size = COUNTERS // _SLICES
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(_SLICES), pa.int32()),
@@ -86,19 +101,23 @@ def word_counts(docs: DataFrame, text_col: str) -> np.ndarray:
     return np.round(2 * np.log2(total + 1)).astype(np.uint8)
 
 
+def _ids(column: pa.ChunkedArray) -> np.ndarray:
+    return np.array([_NO_ID if x is None else x for x in column.to_pylist()], np.int64)
+
+
 class _Chunk:
-    """Lines of a chunk's texts as rarity-ordered word sets, and their first places.
+    """Lines of a chunk's texts as rarity-ordered word sets.
 
     ``set_of`` has for each line its set's id, or 0 for a line without words.
     """
 
     def __init__(self, table: pa.Table, level: np.ndarray):
-        self.ids = np.array([_NO_ID if x is None else x for x in table.column("id").to_pylist()], np.int64)
-        keys, sizes, lines, self.bytes = [], [], [], []
-        for _, w, n, buf in _line_words(table.column("text")):
+        self.ids = _ids(table.column("id"))
+        keys, sizes, lines = [], [], []
+        for w, n in _line_words(table.column("text")):
             h = w.hashes()
             # rarest first; the hash orders words of one level
-            k = (level[(h % U64(COUNTERS)).astype(np.int64)].astype(np.uint64) << U64(56)) | (h >> U64(8))
+            k = (level[_counter(h)].astype(np.uint64) << U64(56)) | (h >> U64(8))
             for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist()):
                 if b - a > 1:
                     k[a:b].sort()
@@ -108,7 +127,6 @@ class _Chunk:
             keys.append(k[keep])
             sizes.append(np.bincount(line[keep], minlength=w.n_docs))
             lines.append(n)
-            self.bytes.append((buf, w))
         none = np.zeros(0, np.int64)
         self.keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
         self.sizes = np.concatenate(sizes) if sizes else none
@@ -120,14 +138,56 @@ class _Chunk:
         np.cumsum(mix64(self.keys + U64(5)), out=total[1:])
         fold = mix64(total[self.at[1:]] - total[self.at[:-1]] + self.sizes.astype(np.uint64))
         self.set_of = np.where(self.sizes > 0, fold | U64(1), U64(0))
+
+
+def _held_sets(c: _Chunk, chunk: np.ndarray, key: np.ndarray) -> pa.Table:
+    """The sets of the lines of each text, one row per chunk: bucket -1 - chunk, for ``_Lines`` of that chunk.
+
+    ``key`` is a hash of each text.
+    """
+    order = np.argsort(chunk, kind="stable")
+    at = starts_of(c.lines)
+    cut = np.flatnonzero(_leads(chunk[order])) if len(order) else np.zeros(0, np.int64)
+    held = []
+    for a, b in zip(cut, [*cut[1:], len(order)]):
+        x = order[a:b]
+        held.append(len(x).to_bytes(8, "little") + c.ids[x].tobytes() + key[x].tobytes() + c.lines[x].tobytes()
+                    + b"".join([c.set_of[at[d]: at[d + 1]].tobytes() for d in x]))
+    return pa.table({"bucket": pa.array(-1 - chunk[order[cut]], pa.int32()),
+                     "base": pa.array(np.zeros(len(cut), np.int64)),
+                     "words": binary([b""] * len(cut)), "entries": binary(held)})
+
+
+class _Lines:
+    """Lines of a chunk's texts, their sets as ``_held_sets`` noted them, and the sets' first places.
+
+    The texts are not cut into words again.
+    """
+
+    def __init__(self, table: pa.Table, held: list[bytes]):
+        self.ids = _ids(table.column("id"))
+        known = {}
+        for raw in held:
+            n = int.from_bytes(raw[:8], "little")
+            ids, key, lines = np.frombuffer(raw, np.int64, 3 * n, 8).reshape(3, n)
+            sets = np.frombuffer(raw, np.uint64, offset=8 + 24 * n)
+            at = starts_of(lines).tolist()
+            known.update(zip(zip(ids.tolist(), key.tolist()), [sets[a:b] for a, b in zip(at, at[1:])]))
+        try:
+            sets = [known[x] for x in zip(self.ids.tolist(), table.column("key").to_pylist())]
+        except KeyError:
+            raise RuntimeError("a text without its sets: the documents changed between two reads") from None
+        self.lines = np.array([len(x) for x in sets], np.int64)  # per text
+        self.set_of = np.concatenate(sets)
+        self.doc = np.repeat(np.arange(len(sets)), self.lines)
+        self.number = np.arange(len(self.doc)) - starts_of(self.lines)[self.doc]  # of the line in its text
         # the first line of each set, by id and line number
-        has = np.flatnonzero(self.sizes > 0)
+        has = np.flatnonzero(self.set_of)
         order = has[np.lexsort((self.number[has], self.ids[self.doc[has]], self.set_of[has]))]
-        lead = np.ones(len(order), dtype=bool)
-        lead[1:] = self.set_of[order][1:] != self.set_of[order][:-1]
-        self.first = order[lead]  # one line per set, by set id
+        self.first = order[_leads(self.set_of[order])]  # one line per set, by set id
         self.names = self.set_of[self.first]
 
+
 def _narrow(x: np.ndarray) -> bytes:
     """Non-negative numbers in 1, 2, 4 or 8 bytes each, whichever the largest needs, behind that width."""
     most = int(x.max()) if len(x) else 0
@@ -160,11 +220,19 @@ def _read_more(raw: bytes, at: int, size: np.ndarray) -> list[np.ndarray]:
 
 def _leads(*keys: np.ndarray) -> np.ndarray:
     """Which rows differ from the row before in one of the ``keys``."""
-    lead = np.ones(len(keys[0]), dtype=bool)
-    lead[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    lead = np.zeros(len(keys[0]), dtype=bool)
+    lead[:1] = True
+    for k in keys:
+        lead[1:] |= k[1:] != k[:-1]
     return lead
 
 
+def _nth(x: np.ndarray) -> np.ndarray:
+    """The number of each row among those equal to it, which stand together."""
+    at = np.arange(len(x))
+    return at - np.maximum.accumulate(np.where(_leads(x), at, 0))
+
+
 def _postings(c: _Chunk, bits: int, chunk: np.ndarray) -> pa.Table:
     """The prefix words of the sets, by bucket: word, set, parities, first id and line, its chunk, size, place.
 
@@ -183,14 +251,19 @@ def _postings(c: _Chunk, bits: int, chunk: np.ndarray) -> pa.Table:
     place = np.arange(prefix.sum()) - np.repeat(starts_of(prefix)[:-1], prefix)
     line = np.concatenate([np.repeat(first, prefix), other])
     place = np.concatenate([place, np.zeros(len(other), np.int64)])
-    word = mix64(c.keys[c.at[line] + place])
-    owner = np.repeat(np.arange(len(c.sizes)), c.sizes)
+    mixed = mix64(c.keys)
+    word = mixed[c.at[line] + place]
     # four times 64 parities, by the next two bits of the word's hash
-    at = mix64(c.keys) >> U64(56)
-    quarter = np.zeros((4, len(c.sizes)), dtype=np.uint64)
-    np.bitwise_xor.at(quarter, ((at & U64(3)).astype(np.int64), owner), U64(1) << (at >> U64(2)))
-    parity = np.bitwise_xor.reduce(quarter)
-    half = quarter[1] ^ quarter[3]
+    at = mixed >> U64(56)
+    bit, at = U64(1) << (at >> U64(2)), at & U64(3)
+    full = np.flatnonzero(c.sizes)
+
+    def odd(bits: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(c.sizes), dtype=np.uint64)
+        out[full] = np.bitwise_xor.reduceat(bits, c.at[full]) if len(full) else 0
+        return out
+
+    parity, half, quarter = odd(bit), odd(bit * (at & U64(1))), [odd(bit * (at == U64(q))) for q in (0, 1)]
     order = np.argsort(word, kind="stable")
     word, line, place = word[order], line[order], place[order]
     bucket = (word >> U64(64 - bits)).astype(np.int64)
@@ -200,15 +273,22 @@ def _postings(c: _Chunk, bits: int, chunk: np.ndarray) -> pa.Table:
     base = int(ids.min()) if len(ids) else 0
     above = np.where(ids == _NO_ID, 0, ids.astype(np.uint64) - U64(base % (1 << 64)) + U64(1))  # 0: no id
 
+    n, sets = c.sizes[line], c.set_of[line].tobytes()
+    narrow = [_narrow(x) for x in (above[line], c.number[line], chunk[c.doc[line]], n, place)]
+    parity = parity[line].tobytes()
+    more = [(starts_of(n >= least), p[line[n >= least]].tobytes())
+            for p, least in zip((half, *quarter), (HALVED, QUARTERED, QUARTERED))]
+    high, low = (word >> U64(32)).astype(np.uint32).tobytes(), (word >> U64(16)).astype(np.uint16).tobytes()
+
     def planes(a: int, b: int) -> bytes:
-        o = line[a:b]
-        return (c.set_of[o].tobytes() + parity[o].tobytes() + _narrow(above[o]) + _narrow(c.number[o])
-                + _narrow(chunk[c.doc[o]]) + _narrow(c.sizes[o]) + _narrow(place[a:b])
-                + _more(c.sizes[o], half[o], quarter[0][o], quarter[1][o]))
+        return b"".join([sets[8 * a: 8 * b], parity[8 * a: 8 * b],
+                         *[x[:1] + x[1 + x[0] * a: 1 + x[0] * b] for x in narrow],
+                         *[p[8 * before[a]: 8 * before[b]] for before, p in more]])
 
+    cut, end = cut.tolist(), end.tolist()
     return pa.table({"bucket": pa.array(bucket[cut], pa.int32()),
                      "base": pa.array(np.full(len(cut), base), pa.int64()),
-                     "words": binary([pack48(word[a:b]) for a, b in zip(cut, end)]),
+                     "words": binary([high[4 * a: 4 * b] + low[2 * a: 2 * b] for a, b in zip(cut, end)]),
                      "entries": binary([planes(a, b) for a, b in zip(cut, end)])})
 
 
@@ -222,6 +302,33 @@ def _repeated(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(out)
 
 
+def _ranks(x: np.ndarray) -> np.ndarray:
+    """Dense ranks of the values, from 0."""
+    order = np.argsort(x)
+    out = np.empty(len(x), dtype=np.int64)
+    out[order] = np.cumsum(_leads(x[order])) - 1
+    return out
+
+
+def _sorted_by(*keys: np.ndarray) -> np.ndarray:
+    """The order by the ``keys``, the first one first: one sort by the first three, packed, then of what they leave equal."""
+    n = len(keys[0])
+    bits = n.bit_length()
+    if 3 * bits > 64 or not n:
+        return np.lexsort(keys[::-1])
+    packed = np.zeros(n, dtype=np.uint64)
+    for x in keys[:3]:
+        least = x.min()
+        x = x - least if int(x.max()) - int(least) < 1 << bits else _ranks(x)
+        packed = (packed << U64(bits)) | x.astype(np.uint64)
+    order = np.argsort(packed)
+    tied = ~_leads(packed[order])
+    tied[:-1] |= tied[1:]
+    x = order[tied]
+    order[tied] = x[np.lexsort((*[k[x] for k in keys[:2:-1]], packed[x]))]
+    return order
+
+
 class _Runs:
     """Postings sorted by word and, as ``_later`` decides, first id, line and set; one entry per word and set."""
 
@@ -230,16 +337,18 @@ class _Runs:
         again = _repeated(columns[0])
         columns = [x[again] for x in columns]
         word, sets, parity, ids, line, size, place, chunk, half, first, second = columns
-        order = np.lexsort((chunk, line, ids, sets, word))
-        keep = np.ones(len(order), dtype=bool)
-        w, s = word[order], sets[order]
-        keep[1:] = (w[1:] != w[:-1]) | (s[1:] != s[:-1])
+        # rows of one word and set share this sum, others only by chance
+        x = _repeated(mix64(word) + sets.view(np.uint64))
+        order = x[np.lexsort((chunk[x], line[x], ids[x], sets[x], word[x]))]
+        keep = _leads(word[order], sets[order])
         # all places of a set meet under its first word: where it stands again, in a later document
         lead = np.maximum.accumulate(np.where(keep, np.arange(len(order)), 0))
         again = ~keep & (place[order] == 0) & (ids[order] > ids[order][lead]) & (chunk[order] != chunk[order][lead])
-        self.copies = np.unique(np.stack([s[again], chunk[order][again]], axis=1), axis=0)
-        order = order[keep]
-        order = order[np.lexsort((sets[order], line[order], ids[order], word[order]))]
+        self.copies = np.unique(np.stack([sets[order][again], chunk[order][again]], axis=1), axis=0)
+        stays = np.ones(len(word), dtype=bool)
+        stays[order[~keep]] = False
+        stays = np.flatnonzero(stays)
+        order = stays[_sorted_by(word[stays], ids[stays], line[stays], sets[stays])]
         w = word[order]
         again = np.zeros(len(w), dtype=bool)
         again[1:] = w[1:] == w[:-1]
@@ -256,8 +365,59 @@ class _Runs:
         self.at = np.maximum.accumulate(np.where(lead, np.arange(len(lead)), 0))
         self.length = np.bincount(self.at, minlength=len(lead))[self.at]
 
+        self.reach, self.needs = _reach(self.size, self.place)
+
     def passing(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return _passing(self.size, self.place, self.parity, i, j)
+        """Which pairs of entries pass."""
+        return _passing(self.reach, self.needs, self.size, self.parity, i, j)
+
+    def in_runs(self, starts: np.ndarray):
+        """As ``first_of``, of all entries of the runs from ``starts``, of ``BLOCK`` entries at most, in several parts."""
+        earlier = np.tri(BLOCK, k=-1, dtype=bool)
+        one, two, held = [], [], 0
+        for k, s in enumerate(starts.tolist()):
+            n = int(self.length[s])
+            reach, needs = self.reach[s: s + n], self.needs[s: s + n]
+            at = np.flatnonzero((reach >= needs[:, None]) & (reach[:, None] >= needs) & earlier[:n, :n])
+            j = at // n
+            one.append(at - j * n + s)
+            two.append(j + s)
+            held += len(at)
+            if held > PAIRS or k == len(starts) - 1:
+                i, j = np.concatenate(one), np.concatenate(two)
+                x = np.flatnonzero(_close(self.size, self.parity, i, j))
+                i, j = i[x], j[x]
+                x = _nth(j) < FIRST
+                yield i[x], j[x]
+                one, two, held = [], [], 0
+
+    def first_of(self, start: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (i, j) that pass of the entries j in a .. b of the run from ``start``, with its earliest i < j each.
+
+        At most ``FIRST`` for an entry.  Entries are compared in rectangles, which widen.
+        """
+        one, two, found = [], [], np.zeros(b - a, dtype=np.int64)
+        left, width = start, SMALL_RUN
+        while left < b:
+            j = a + np.flatnonzero(found < FIRST)
+            j = j[j > left]
+            if not len(j):
+                break
+            right = min(left + width, b)
+            y, x = np.nonzero((self.reach[None, left:right] >= self.needs[j, None])
+                              & (self.reach[j, None] >= self.needs[None, left:right]))
+            i, j = x + left, j[y]
+            x = np.flatnonzero(i < j)
+            x = x[_close(self.size, self.parity, i[x], j[x])]
+            i, j = i[x], j[x]  # by j, then i
+            x = found[j - a] + _nth(j) < FIRST
+            i, j = i[x], j[x]
+            found += np.bincount(j - a, minlength=b - a)
+            one.append(i)
+            two.append(j)
+            left, width = right, min(2 * width, BLOCK)
+        none = [np.zeros(0, np.int64)]
+        return np.concatenate(one + none), np.concatenate(two + none)
 
 
 class _Parity:
@@ -281,21 +441,34 @@ class _Parity:
         return np.sum([np.bitwise_count(x).astype(np.int64) for x in d], axis=0)
 
 
-def _passing(size, place, parity: _Parity, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Which pairs of entries the length, positional and parity filters leave."""
-    a, b = size[i], size[j]
-    ok = DEN * np.minimum(a, b) >= NUM * np.maximum(a, b)
-    x = np.flatnonzero(ok)
-    i, j, a, b = i[x], j[x], a[x], b[x]
+def _reach(size: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers per entry: a pair passes the length and positional filters if each one's first reaches the other's second.
+
+    For sizes a, b and the place p in a, the words that a has left suffice if
+    (NUM + DEN) * (a - p) >= NUM * (a + b), that is DEN * a - (NUM + DEN) * p >= NUM * b.
+    With p = 0 or more this holds only for sizes that pass the length filter.
+    """
+    return DEN * size - (NUM + DEN) * place, NUM * size
+
+
+def _close(size, parity: _Parity, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of entries the parities leave."""
+    a, b = size[i].astype(np.int64), size[j].astype(np.int64)
     least, both = np.minimum(a, b), a + b
-    # rest >= ceil(NUM * both / (NUM + DEN)), without the division
-    near = (NUM + DEN) * np.minimum(a - place[i], b - place[j]) >= NUM * both
-    ok[x] = near
-    x, i, j, least, both = x[near], i[near], j[near], least[near], both[near]
     slack = both - 2 * -(-NUM * both // (NUM + DEN))
-    for level, floor in enumerate((1, HALVED, QUARTERED)):
-        y = np.flatnonzero(ok[x] & (least >= floor))
-        ok[x[y]] = parity.odd(level, i[y], j[y]) <= slack[y]
+    ok = parity.odd(0, i, j) <= slack
+    for level, floor in ((1, HALVED), (2, QUARTERED)):
+        y = np.flatnonzero(ok & (least >= floor))
+        if len(y):
+            ok[y] = parity.odd(level, i[y], j[y]) <= slack[y]
+    return ok
+
+
+def _passing(reach, needs, size, parity: _Parity, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of entries the length, positional and parity filters leave."""
+    ok = (reach[i] >= needs[j]) & (reach[j] >= needs[i])
+    x = np.flatnonzero(ok)
+    ok[x] = _close(size, parity, i[x], j[x])
     return ok
 
 
@@ -314,7 +487,8 @@ def _read_postings(table: pa.Table) -> _Runs:
 
 
 #: kind 0: a candidate pair (a, b); 1: set a first stands in chunk b; 2: set a is left open in block c of run b;
-#: 3: block b of run a, to revisit; 4: set a, which stands in chunk b, first stands in another chunk, under a smaller id.
+#: 3: block b of run a, to revisit; 4: set a, which stands in chunk b, first stands in another chunk, under a smaller id;
+#: 5: what chunk a's texts have for sets, see ``_held_sets``.
 _MET = "kind int, a long, b long, c long, run binary"
 
 
@@ -330,6 +504,10 @@ def _meeting(small: int):
     """Function of one bucket: candidates (a earlier, b); sets left open, and the runs they are in."""
 
     def meet(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        if bucket < 0:  # of ``_held_sets``
+            n = len(table)
+            return _met_rows(5, [-1 - bucket] * n, [0] * n, None, table.column("entries").to_pylist())
         r = _read_postings(table)
         one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
@@ -337,7 +515,6 @@ def _meeting(small: int):
             ok = r.passing(i, j)
             one.append(r.sets[i[ok]])
             two.append(r.sets[j[ok]])
-            return ok
 
         rank = np.arange(len(r.word)) - r.at
         later = np.flatnonzero((r.length <= small) & (rank > 0))
@@ -346,15 +523,20 @@ def _meeting(small: int):
             take(later - d, later)
             d += 1
             later = later[rank[later] >= d]
-        active = np.flatnonzero(r.length > small)
         found = np.zeros(len(r.word), dtype=np.int64)
-        step = 0
-        while len(active):
-            active = active[r.at[active] + step < active]
-            ok = take(r.at[active] + step, active)
-            found[active] += ok
-            active = active[found[active] < FIRST]
-            step += 1
+
+        def add(i, j):
+            one.append(r.sets[i])
+            two.append(r.sets[j])
+            np.add.at(found, j, 1)
+
+        large = np.flatnonzero((r.length > small) & (rank == 0))
+        for i, j in r.in_runs(large[r.length[large] <= BLOCK]):
+            add(i, j)
+        for s in large[r.length[large] > BLOCK].tolist():
+            end = s + int(r.length[s])
+            for k in range(s, end, BLOCK):
+                add(*r.first_of(s, k, min(k + BLOCK, end)))
         a, b = np.concatenate(one), np.concatenate(two)
         order = np.lexsort((b, a))
         a, b = a[order], b[order]
@@ -409,7 +591,7 @@ def _block_pairs(batches):
             j, i = np.repeat(at, n) + n, np.tile(np.arange(n), len(at))
             if same:  # earlier entries only
                 i, j = i[i < j - n], j[i < j - n]
-            ok = _passing(size, place, parity, i, j)
+            ok = _passing(*_reach(size, place), size, parity, i, j)
             yield pa.RecordBatch.from_arrays([pa.array(sets[i[ok]]), pa.array(sets[j[ok]])], ["a", "b"])
 
 
@@ -516,7 +698,8 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     path = scratch_path(spark, "line-dedup")
     level = spark.sparkContext.broadcast(word_counts(docs, text_col))  # COUNTERS bytes
-    texts = chunked(docs, id_col, text_col, per_chunk)
+    key = F.xxhash64("text")
+    texts = chunked(docs, id_col, text_col, per_chunk).withColumn("key", key)
     bits = bucket_bits(docs)
 
     def post(batches):
@@ -524,15 +707,28 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
             for i in range(0, batch.num_rows, 1024):
                 part = pa.Table.from_batches([batch.slice(i, 1024)])
                 c = _Chunk(part, level.value)
-                yield from _postings(c, bits, part.column("chunk").to_numpy().astype(np.int64)).to_batches()
+                chunk = part.column("chunk").to_numpy().astype(np.int64)
+                yield from _postings(c, bits, chunk).to_batches()
+                yield from _held_sets(c, chunk, part.column("key").to_numpy()).to_batches()
 
     # the first pass needs no exchange of the texts: a row's chunk goes with its postings
-    (dealt(docs, id_col, text_col, per_chunk).mapInArrow(post, "bucket int, base long, words binary, entries binary")
+    (dealt(docs, id_col, text_col, per_chunk).withColumn("key", key)
+     .mapInArrow(post, "bucket int, base long, words binary, entries binary")
      .groupBy("bucket").applyInArrow(_meeting(small_run), _MET).write.partitionBy("kind").parquet(f"{path}/met"))
     met = spark.read.schema(_MET).parquet(f"{path}/met")
     release(spark)
     pairs = met.where("kind = 0").select("a", "b").distinct()
 
+    # per chunk, the sets of its texts and the sets that a pass asks for
+    held = met.where("kind = 5").select(F.lit(None).cast("long").alias("set_id"), F.col("a").cast("int").alias("chunk"),
+                                        F.col("run").alias("held"))
+
+    def asking(sets: DataFrame):
+        return sets.withColumn("held", F.lit(None).cast("binary")).unionByName(held).groupBy("chunk")
+
+    def asked(need: pa.Table) -> tuple[np.ndarray, list[bytes]]:
+        return (need.column("set_id").drop_null().to_numpy(), need.column("held").drop_null().to_pylist())
+
     def known(table: pa.Table, need: pa.Table) -> pa.Table:
         """Words and first place, in this chunk, of the sets asked for."""
         empty = pa.table({"set_id": pa.array([], pa.int64()), "chunk": pa.array([], pa.int32()),
@@ -540,19 +736,32 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
                           "n": pa.array([], pa.int64()), "sketch": binary([]), "words": binary([])})
         if not len(table) or not len(need):
             return empty
-        c = _Chunk(table, level.value)
-        x = np.flatnonzero(np.isin(to_long(c.names), need.column("set_id").to_numpy()))
-        x = c.first[x]
+        sets, held = asked(need)
+        at = _Lines(table, held)
+        x = at.first[np.isin(to_long(at.names), sets)]
+        if not len(x):
+            return empty
+        x.sort()
+        # only the lines asked for are cut into words
+        found, i = [], 0
+        for _, _, buf, off in slices(table.column("text")):
+            edges, lines = _line_edges(buf, off)
+            raw = buf.tobytes()
+            here = x[np.searchsorted(x, i): np.searchsorted(x, i + len(edges) - 1)] - i
+            found += [raw[a:b].removesuffix(b"\n") for a, b in zip(edges[here].tolist(), edges[here + 1].tolist())]
+            i += len(edges) - 1
+        ids = at.ids[at.doc[x]]
+        c = _Chunk(pa.table({"id": pa.array(ids), "text": pa.array(found, pa.binary()).cast(pa.string())}), level.value)
         mixed = mix64(c.keys)
-        return pa.table({"set_id": pa.array(to_long(c.set_of[x])),
+        return pa.table({"set_id": pa.array(to_long(c.set_of)),
                          "chunk": pa.array([table.column("chunk")[0].as_py()] * len(x), pa.int32()),
-                         "id": pa.array(c.ids[c.doc[x]]), "line": pa.array(c.number[x]),
-                         "n": pa.array(c.sizes[x], pa.int64()),
-                         "sketch": binary(_sketches(mixed, c.at[x], c.sizes[x])),
-                         "words": binary([pack48(mixed[a:b]) for a, b in zip(c.at[x], c.at[x + 1])])})
+                         "id": pa.array(ids), "line": pa.array(at.number[x]),
+                         "n": pa.array(c.sizes, pa.int64()),
+                         "sketch": binary(_sketches(mixed, c.at[:-1], c.sizes)),
+                         "words": binary([pack48(mixed[a:b]) for a, b in zip(c.at, c.at[1:])])})
 
     first = met.where("kind = 1").select(F.col("a").alias("set_id"), F.col("b").cast("int").alias("chunk")).distinct()
-    (texts.groupBy("chunk").cogroup(first.groupBy("chunk")).applyInArrow(known, _SET)
+    (texts.groupBy("chunk").cogroup(asking(first)).applyInArrow(known, _SET)
      .write.parquet(f"{path}/words"))
     words = spark.read.schema(_SET).parquet(f"{path}/words")
     release(spark)
@@ -579,34 +788,38 @@ def remove_similar_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         if not len(table):
             return pa.table({"id": pa.array([], pa.int64()), "n_lines": pa.array([], pa.int64()),
                              "n_removed": pa.array([], pa.int64()), "kept_text": pa.array([], pa.string())})
-        c = _Chunk(table, level.value)
-        out = np.isin(to_long(c.names), got.column("set_id").to_numpy())
+        sets, held = asked(got)
+        c = _Lines(table, held)
+        out = np.isin(to_long(c.names), sets)
         place = np.searchsorted(c.names, c.set_of)
-        keep = c.sizes == 0
+        keep = c.set_of == 0
         stays = c.first[~out]
         keep[stays] = True
         # lines that nothing orders before the first stay with it
-        x = np.flatnonzero((c.sizes > 0) & ~keep)
+        x = np.flatnonzero((c.set_of > 0) & ~keep)
         f = c.first[place[x]]
         tie = (c.ids[c.doc[x]] == c.ids[c.doc[f]]) & (c.number[x] == c.number[f]) & keep[f]
         keep[x[tie]] = True
+        removed = np.bincount(c.doc[~keep], minlength=len(c.lines))
         kept, i = [], 0
-        for buf, w in c.bytes:
+        for a, b, buf, off in slices(table.column("text")):
             raw = buf.tobytes()
-            edge = w.offsets
+            edge = _line_edges(buf, off)[0].tolist()
             n = 0
-            while n < w.n_docs:
-                m = n + int(c.lines[len(kept)])
-                kept.append(b"\n".join([raw[edge[k]: edge[k + 1]].removesuffix(b"\n") if k < m - 1
-                                        else raw[edge[k]: edge[k + 1]] for k in range(n, m) if keep[i + k]]))
+            for d in range(a, b):
+                m = n + int(c.lines[d])
+                if removed[d]:
+                    kept.append(b"\n".join([raw[edge[k]: edge[k + 1]].removesuffix(b"\n") if k < m - 1
+                                            else raw[edge[k]: edge[k + 1]] for k in range(n, m) if keep[i + k]]))
+                else:
+                    kept.append(raw[edge[n]: edge[m]])
                 n = m
-            i += w.n_docs
-        removed = np.bincount(c.doc[~keep], minlength=len(c.lines))
+            i += n
         return pa.table({"id": table.column("id"), "n_lines": pa.array(c.lines, pa.int64()),
                          "n_removed": pa.array(removed, pa.int64()),
                          "kept_text": pa.array(kept, pa.binary()).cast(pa.string())})
 
-    out = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(cut, _OUT)
+    out = texts.groupBy("chunk").cogroup(asking(answers)).applyInArrow(cut, _OUT)
     return out.withColumnRenamed("id", id_col)
 
 

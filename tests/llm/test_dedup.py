@@ -211,3 +211,61 @@ def test_sketches_of_many_sets_at_once():
     pairs = [(i, j) for i in range(len(n)) for j in range(len(n))]
     want = [len(odd(i, b) ^ odd(j, b)) for i, j in pairs for b in [8 * min(len(got[i]), len(got[j]))]]
     assert line_dedup._odd_parities([got[i] for i, _ in pairs], [got[j] for _, j in pairs]).tolist() == want
+
+
+def test_sets_of_lines_are_known_without_cutting_texts_again():
+    import pyarrow as pa
+    ids = [7, None, 3, 3, -5, 9, None]
+    texts = ["a b\n\nb a\nc", None, "x y\nx y", "a b", "", " \n", "c\nd e\n"]
+    table = pa.table({"id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string()),
+                      "key": pa.array(range(len(ids)), pa.int64())})
+    c = line_dedup._Chunk(table, np.zeros(line_dedup.COUNTERS, np.uint8))
+    chunk = np.array([1, 0, 1, 1, 0, 0, 1])
+    posted = line_dedup._held_sets(c, chunk, np.arange(len(ids)))
+    met = [r for i in range(len(posted)) for r in line_dedup._meeting(64)(posted.slice(i, 1)).to_pylist()]
+    assert {(r["kind"], r["a"]) for r in met} == {(5, 0), (5, 1)}
+    for k in (0, 1):
+        rows = np.flatnonzero(chunk == k)[::-1]
+        held = [r["run"] for r in met if r["a"] == k]
+        got = line_dedup._Lines(table.take(rows), held)
+        want = line_dedup._Chunk(table.take(rows), np.zeros(line_dedup.COUNTERS, np.uint8))
+        for name in ("ids", "lines", "set_of", "doc", "number"):
+            assert getattr(got, name).tolist() == getattr(want, name).tolist()
+        assert got.set_of[got.first].tolist() == sorted(set(want.set_of.tolist()) - {0})
+        with pytest.raises(RuntimeError):  # a text that was not there in the first pass
+            line_dedup._Lines(table.take(rows).set_column(2, "key", pa.array(rows + 100)), held)
+
+
+def test_earliest_candidates_of_every_entry_of_a_run():
+    rng = np.random.default_rng(3)
+    lengths = [70, 200, line_dedup.BLOCK, line_dedup.BLOCK + 1, 3 * line_dedup.BLOCK + 7]
+    n = sum(lengths)
+    word = np.repeat(np.arange(1, len(lengths) + 1, dtype=np.uint64) << np.uint64(50), lengths)
+    sets = rng.permutation(n).astype(np.int64)
+    ids = rng.integers(-(1 << 62), 1 << 62, n) // rng.choice([1, 1 << 60], n)  # some are equal
+    size = rng.integers(2, 200, n)
+    place = rng.integers(0, size // 4 + 1)
+    planes = [rng.integers(0, 1 << 63, n, dtype=np.uint64) & np.uint64(0x1111) for _ in range(4)]
+    line = rng.integers(0, 3, n)
+    r = line_dedup._Runs(word, sets, planes[0], ids, line, size, place, np.zeros(n, np.int64), *planes[1:])
+    assert r.sets.tolist() == sets[np.lexsort((sets, line, ids, word))].tolist()
+    got = []
+    starts = np.cumsum([0, *lengths])
+    for i, j in r.in_runs(starts[:3]):
+        got += zip(i.tolist(), j.tolist())
+    for s, end in zip(starts[3:-1].tolist(), starts[4:].tolist()):
+        for k in range(s, end, line_dedup.BLOCK):
+            i, j = r.first_of(s, k, min(k + line_dedup.BLOCK, end))
+            got += zip(i.tolist(), j.tolist())
+    want, full = [], 0
+    for s, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        for j in range(s + 1, end):
+            i = np.arange(s, j)
+            a, b = r.size[i], r.size[j]
+            ok = ((4 * np.minimum(a, b) >= 3 * np.maximum(a, b))
+                  & (7 * np.minimum(a - r.place[i], b - r.place[j]) >= 3 * (a + b)))
+            i = i[ok]
+            i = i[line_dedup._close(r.size, r.parity, i, np.full(len(i), j))][: line_dedup.FIRST]
+            full += len(i) == line_dedup.FIRST
+            want += [(int(x), j) for x in i]
+    assert sorted(got) == sorted(want) and 0 < full < n
