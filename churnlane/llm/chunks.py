@@ -81,13 +81,13 @@ def pack(hashes: np.ndarray, flags: np.ndarray, bits: int, chunk: int, short: bo
     })
 
 
-def unpacked(bits: pa.Table, level: int, size: int) -> np.ndarray:
-    """The answers of one level, in the order of the hashes that ``pack`` was given."""
+def unpacked(bits: pa.Table, level: int, size: int, whole: bool = False) -> np.ndarray:
+    """The answers of one level, in the order of the hashes that ``pack`` was given; ``whole``: a byte each."""
     rows = [(b, n, x) for lv, b, n, x in zip(*(bits.column(c).to_pylist() for c in ("level", "bucket", "n", "bits")))
             if lv == level]
     rows.sort(key=lambda r: r[0])
-    out = [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for _, n, x in rows]
-    got = np.concatenate(out).astype(bool) if out else np.zeros(0, dtype=bool)
+    out = [np.frombuffer(x, np.uint8) if whole else np.unpackbits(np.frombuffer(x, np.uint8), count=n) for _, n, x in rows]
+    got = np.concatenate(out).astype(np.uint8 if whole else bool) if out else np.zeros(0, dtype=bool)
     if len(got) != size:
         raise RuntimeError(f"{len(got)} answers for {size} hashes: the documents changed between two reads")
     return got
@@ -100,14 +100,15 @@ def _together(table: pa.Table, short: bool = False) -> tuple[list[int], np.ndarr
     return chunks, np.concatenate(parts), sizes
 
 
-def _answer(chunks: list[int], sizes: np.ndarray, hit: np.ndarray, level: int, bucket: int) -> pa.Table:
-    ends = np.cumsum(sizes)
+def _answer(chunks: list[int], sizes: np.ndarray, hit: np.ndarray, level: int, bucket: int,
+            whole: bool = False) -> pa.Table:
+    ends, as_bytes = np.cumsum(sizes), (lambda x: x) if whole else np.packbits
     return pa.table({
         "chunk": pa.array(chunks, pa.int32()),
         "level": pa.array([level] * len(chunks), pa.int32()),
         "bucket": pa.array([bucket] * len(chunks), pa.int32()),
         "n": pa.array(sizes, pa.int64()),
-        "bits": binary([np.packbits(hit[b - n: b]).tobytes() for n, b in zip(sizes, ends)]),
+        "bits": binary([as_bytes(hit[b - n: b]).tobytes() for n, b in zip(sizes, ends)]),
     })
 
 
@@ -131,6 +132,22 @@ def held_elsewhere(blobs: DataFrame, level: int, short: bool = False) -> DataFra
     return blobs.groupBy("bucket").applyInArrow(compare, BITS)
 
 
+def held_times(blobs: DataFrame, level: int) -> DataFrame:
+    """One byte per packed hash (40 bits): 8 times the binary logarithm of its occurrences in all chunks.
+
+    ``flags`` (uint32) are those in its own chunk.
+    """
+
+    def compare(table: pa.Table) -> pa.Table:
+        chunks, h, sizes = _together(table, short=True)
+        own = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("flags").to_pylist()])
+        _, back = np.unique(h, return_inverse=True)
+        scale = np.rint(8 * np.log2(np.bincount(back, weights=own))).clip(0, 255).astype(np.uint8)
+        return _answer(chunks, sizes, scale[back], level, table.column("bucket")[0].as_py(), whole=True)
+
+    return blobs.groupBy("bucket").applyInArrow(compare, BITS)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now.
 

@@ -11,22 +11,41 @@ signatures of a set are the hashes of those pairs of thirds.
    missing from its partner, so the other elements occur elsewhere.
 2. The rest emit PartEnum signatures for each pair of size bands that can
    hold a link.  Copies (equal sets) emit them once a chunk.
-3. Sets that share a signature are paired and verified on the whole sets; in
-   a large group each is paired with the group's hub only.  Components join
-   the links.
-4. Where the sets of large groups are left in several components, the sets
-   outside the main one are compared with all others, a block of sets at a
-   time, so that no link between components is lost.
+3. Sets that share a signature are paired.  A passage that many texts hold
+   makes large groups, whose pairs would grow with the square of the input.
+   The sets of large groups meet again by their rarest elements: at most a
+   quarter of a set is missing from its partner, so of the rarest quarter and
+   one more, counted over all sets of large groups, the two share one.
+4. Pairs are verified on parities first, which bound the difference from
+   below, and those left on the whole sets.  Components join the links.
+5. Rare elements that many sets hold are those of families of near copies.
+   There each set is paired with the group's hub only, and where a family is
+   left in several components, the sets outside the main one are compared with
+   all others, a block of sets at a time, so that no link between components
+   is lost.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlane.llm.chunks import BLOB, MAX_KEYS, bucket_bits, chunked, held_elsewhere, pack, release, row_key, unpacked
+from churnlane.llm.chunks import (
+    BLOB,
+    MAX_KEYS,
+    bucket_bits,
+    chunked,
+    held_elsewhere,
+    held_times,
+    pack,
+    release,
+    row_key,
+    unpacked,
+)
 from churnlane.llm.components import components
 from churnlane.llm.kernels import U64, binary, mix64, pack48, shingle_sets, starts_of, to_long, unpack48
 from churnlane.operators.joins import join_bounded
@@ -40,11 +59,14 @@ _HALF = U64(1) << U64(63)
 
 #: Groups of one signature up to this size are paired whole at once.
 SMALL_GROUP = 6
+#: Sets that share a rare element are paired whole up to this number.
+RARE_GROUP = 64
 #: Sets whose signatures are made at a time.
 _BATCH = 1000
 
 _OUT = "kind int, id long, n long, set_id long, elements binary, h1 long, h2 long"
 _SIGS = "bucket int, sigs binary, owner binary, sets binary"
+_SETS = "set_id long, rank long, elements binary, parity binary"
 
 
 def size_bands(largest: int) -> list[tuple[int, int]]:
@@ -138,34 +160,41 @@ def _rows(kind: int, ids, n, set_ids, elements, h1=None, h2=None) -> pa.Table:
                      "h2": pa.nulls(len(n), pa.int64()) if h2 is None else h2})
 
 
+def _by_bucket(sig: np.ndarray, own: np.ndarray, names: np.ndarray, bits: int) -> list[pa.Array]:
+    """Columns of _SIGS: a row for each bucket (the leading ``bits``) of the signatures of sets called ``names``."""
+    order = np.argsort(sig, kind="stable")
+    sig, own = sig[order], own[order]
+    bucket = (sig >> U64(64 - bits)).astype(np.int64)
+    cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(sig) else []
+    ends = [*cut[1:], len(sig)]
+    some = [np.unique(own[a:b], return_inverse=True) for a, b in zip(cut, ends)]
+    return [pa.array([int(bucket[a]) for a in cut], pa.int32()),
+            binary([pack48(sig[a:b]) for a, b in zip(cut, ends)]),
+            binary([x.astype(np.uint16).tobytes() for _, x in some]),
+            binary([names[u].tobytes() for u, _ in some])]
+
+
 def _signed(batches):
-    """Signature rows of (set_id, rank, elements): one per bucket and batch of sets."""
+    """Signature rows of (set_id, elements): one per bucket and batch of sets."""
     for whole in batches:
         for i in range(0, whole.num_rows, _BATCH):
             batch = whole.slice(i, _BATCH)
-            names = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
-                              for c in ("set_id", "rank")], axis=1)
-            bits = batch.column("bits")[0].as_py()
+            names = batch.column("set_id").to_numpy(zero_copy_only=False).astype(np.int64)
             sig, own = signatures([unpack48(x) for x in batch.column("elements").to_pylist()])
-            order = np.argsort(sig, kind="stable")
-            sig, own = sig[order], own[order]
-            bucket = (sig >> U64(64 - bits)).astype(np.int64)
-            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(sig) else []
-            ends = [*cut[1:], len(sig)]
-            some = [np.unique(own[a:b], return_inverse=True) for a, b in zip(cut, ends)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([int(bucket[a]) for a in cut], pa.int32()),
-                binary([pack48(sig[a:b]) for a, b in zip(cut, ends)]),
-                binary([x.astype(np.uint16).tobytes() for _, x in some]),
-                binary([names[u].tobytes() for u, _ in some])], ["bucket", "sigs", "owner", "sets"])
-
-
-def _groups(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures and (set_id, rank) of one bucket that several sets share, by signature and rank."""
+            yield pa.RecordBatch.from_arrays(_by_bucket(sig, own, names, batch.column("bits")[0].as_py()),
+                                             ["bucket", "sigs", "owner", "sets"])
+
+
+def _groups(table: pa.Table, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures and names of one bucket that several sets share, by signature.
+
+    A name has ``width`` numbers, the set's id first; a signature's sets are in
+    the order of the second, if there is one.
+    """
     sig, names = [], []
     for h, o, s in zip(*(table.column(c).to_pylist() for c in ("sigs", "owner", "sets"))):
         sig.append(unpack48(h))
-        names.append(np.frombuffer(s, np.int64).reshape(-1, 2)[np.frombuffer(o, np.uint16)])
+        names.append(np.frombuffer(s, np.int64).reshape(-1, width)[np.frombuffer(o, np.uint16)])
     sig, names = np.concatenate(sig), np.concatenate(names)
     order = np.argsort(sig, kind="stable")
     sig, names = sig[order], names[order]
@@ -173,7 +202,7 @@ def _groups(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     shared[1:] = sig[1:] == sig[:-1]
     shared[:-1] |= shared[1:]
     sig, names = sig[shared], names[shared]
-    order = np.lexsort((names[:, 0], names[:, 1], sig))
+    order = np.lexsort((*names.T[:2], sig))
     sig, names = sig[order], names[order]
     keep = np.ones(len(sig), dtype=bool)
     keep[1:] = (sig[1:] != sig[:-1]) | (names[1:, 0] != names[:-1, 0])
@@ -201,28 +230,90 @@ def _run_of(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _meeting(small: int):
-    """Function of one bucket: candidate pairs (a, b, hub) of sets that share a signature.
-
-    Groups of up to ``small`` sets are paired whole; in a larger one every set
-    is paired with the group's hub only, the set of the least document.
-    """
+    """Function of one bucket: pairs (a, b) of the sets of groups of up to ``small``, and (a, null) the sets of larger ones."""
 
     def meet(table: pa.Table) -> pa.Table:
         sig, names = _groups(table)
         sets = names[:, 0]
-        at, size = _run_of(sig)
+        _, size = _run_of(sig)
         pairs = []
         for d in range(1, small):
             i = np.flatnonzero((sig[d:] == sig[:-d]) & (size[d:] <= small))
             pairs.append((sets[i], sets[i + d]))
-        member = np.flatnonzero(size > small)
-        whole, star = _distinct_pairs(pairs), _distinct_pairs([(sets[at[member]], sets[member])])
+        large = np.unique(sets[size > small])
+        return pa.concat_tables([_distinct_pairs(pairs), pa.table({
+            "a": pa.array(large, pa.int64()), "b": pa.nulls(len(large), pa.int64())})])
+
+    return meet
+
+
+def _rare_meeting(whole: int):
+    """Function of one bucket: candidate pairs (a, b, hub) of sets that share a rare element.
+
+    Groups of up to ``whole`` sets are paired whole, but for pairs whose sizes
+    rule a link out; in a larger one every set is paired with the group's hub
+    only, the set of the least document.
+    """
+
+    def meet(table: pa.Table) -> pa.Table:
+        sig, names = _groups(table, 3)
+        sets, n = names[:, 0], names[:, 2]
+        at, size = _run_of(sig)
+        pairs = []
+        for d in range(1, whole):
+            i = np.flatnonzero((sig[d:] == sig[:-d]) & (size[d:] <= whole))
+            if not len(i):
+                break
+            x, y = n[i], n[i + d]
+            i = i[DEN * np.minimum(x, y) >= NUM * np.maximum(x, y)]
+            pairs.append((sets[i], sets[i + d]))
+        member = np.flatnonzero(size > whole)
+        both, star = _distinct_pairs(pairs), _distinct_pairs([(sets[at[member]], sets[member])])
         return pa.concat_tables([t.append_column("hub", pa.array([k] * len(t), pa.bool_()))
-                                 for t, k in ((whole, False), (star, True))])
+                                 for t, k in ((both, False), (star, True))])
 
     return meet
 
 
+def _met_by_rarest(sets: DataFrame, whole: int, bits: int, per_chunk: int = 1024) -> DataFrame:
+    """Candidate pairs (a, b, hub) of all ``sets`` (set_id, rank, elements) that link, by their rarest elements.
+
+    Linked sets share ``num / den`` of the larger one.  In any one order of the
+    elements, each has a shared one among its first n - ceil(n * num / den) + 1,
+    and the least shared one is among them in both.  The order is by how many
+    sets hold an element, so what many hold comes last.
+    """
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = max(1, math.ceil(sets.count() / per_chunk))
+    dealt = (sets.select("set_id", "rank", "elements", F.pmod(F.xxhash64("set_id"), F.lit(count)).cast("int").alias("chunk"))
+             .repartition(max(1, min(count, parts)), "chunk"))
+
+    def counted(table: pa.Table):
+        each = [unpack48(x) for x in table.column("elements").to_pylist()]
+        elements = np.concatenate(each)
+        distinct, back, times = np.unique(elements >> U64(24), return_inverse=True, return_counts=True)
+        return np.array([len(x) for x in each]), elements, distinct << U64(24), back, times
+
+    def ask(table: pa.Table) -> pa.Table:
+        _, _, distinct, _, times = counted(table)
+        return pack(distinct, times.astype(np.uint32), bits, table.column("chunk")[0].as_py(), short=True)
+
+    answers = held_times(dealt.groupBy("chunk").applyInArrow(ask, BLOB), 1)
+
+    def emit(table: pa.Table, got: pa.Table) -> pa.Table:
+        n, elements, distinct, back, _ = counted(table)
+        held = unpacked(got, 1, len(distinct), whole=True)[back]
+        own = np.repeat(np.arange(len(n)), n)
+        order = np.lexsort((elements, held, own))
+        first = np.arange(len(own)) - starts_of(n)[own] < (n - (NUM * n + DEN - 1) // DEN + 1)[own]
+        names = np.stack([*(table.column(c).to_numpy().astype(np.int64) for c in ("set_id", "rank")), n], axis=1)
+        return pa.table(_by_bucket(elements[order][first], own[first], names, bits),
+                        names=["bucket", "sigs", "owner", "sets"])
+
+    return (dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(emit, _SIGS)
+            .groupBy("bucket").applyInArrow(_rare_meeting(whole), "a long, b long, hub boolean"))
+
+
 def _common(left: list[np.ndarray], right: list[np.ndarray], tile: int = 4096) -> np.ndarray:
     """Sizes of the intersections of each left with each right set."""
     out = np.zeros((len(left), len(right)), dtype=np.float32)
@@ -271,7 +362,7 @@ def _block_links(batches):
 
 
 def _links_across(stars: DataFrame, sets: DataFrame, label: DataFrame, block: int = 256) -> DataFrame:
-    """Links that join components of ``label`` inside the clusters that large groups form.
+    """Links that join components of ``label`` inside the clusters that large groups of ``stars`` form.
 
     Sets of one large group are in one cluster, joined by its hub.  In a
     cluster of several components all sets outside the main one are compared
@@ -305,13 +396,53 @@ def _links_across(stars: DataFrame, sets: DataFrame, label: DataFrame, block: in
             .mapInArrow(_block_links, "a long, b long"))
 
 
+def _parity(elements: np.ndarray) -> bytes:
+    """For each of 2**k bits (as many as elements, 64 at least) whether an odd number of elements falls on it."""
+    bits = max(64, 1 << (len(elements) - 1).bit_length())
+    place = ((elements >> U64(16)) & U64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def _differ(x: bytes, y: bytes) -> int:
+    """The number of bits in which two parities differ, the longer one folded: never more than their sets' differences."""
+    if len(x) < len(y):
+        x, y = y, x
+    p, n = int.from_bytes(x, "little"), len(x)
+    while n > len(y):
+        n //= 2
+        p = (p & ((1 << 8 * n) - 1)) ^ (p >> 8 * n)
+    return (p ^ int.from_bytes(y, "little")).bit_count()
+
+
+def _with_parity(batches):
+    for batch in batches:
+        yield batch.append_column("parity", binary([_parity(unpack48(x)) for x in batch.column("elements").to_pylist()]))
+
+
+def _with_both(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """The pairs (a, b) with ``columns`` of both sets, as a_ and b_."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("set_id").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in columns)), side)
+    return pairs
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity, decided on the whole sets."""
+    """The pairs (a, b) whose sets reach the similarity, decided on the whole sets.
+
+    Whole sets travel only for pairs whose parities allow a link: linked sets
+    differ in at most ``(den - num) / (den + num)`` of both sizes.
+    """
+
+    def near(batches):
+        for batch in batches:
+            ok = [(DEN + NUM) * _differ(x, y) <= (DEN - NUM) * (n + m) for x, y, n, m in zip(
+                *(batch.column(c).to_pylist() for c in ("a_parity", "b_parity", "a_n", "b_n")))]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     def check(batches):
         for batch in batches:
             ok = []
-            for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
+            for x, y in zip(batch.column("a_elements").to_pylist(), batch.column("b_elements").to_pylist()):
                 both = np.concatenate([unpack48(x), unpack48(y)])
                 n = len(both)
                 both.sort()
@@ -319,9 +450,9 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 ok.append(DEN * common >= NUM * (n - common))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    left = sets.select(F.col("set_id").alias("a"), F.col("elements").alias("sa"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("elements").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+    sized = sets.withColumn("n", (F.octet_length("elements") / 6).cast("long"))
+    left = _with_both(pairs, sized, "n", "parity").mapInArrow(near, "a long, b long")
+    return _with_both(left, sets, "elements").mapInArrow(check, "a long, b long")
 
 
 def _candidates(docs: DataFrame, id_col: str, text_col: str, width: int, path: str,
@@ -378,13 +509,14 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, width: int, path: s
 
 
 def _met(sets: DataFrame, meet, schema: str, bits: int) -> DataFrame:
-    """``meet`` over the signatures of ``sets`` (set_id, rank, elements), bucket by bucket."""
-    return (sets.select("set_id", "rank", "elements", F.lit(bits).alias("bits"))
+    """``meet`` over the signatures of ``sets`` (set_id, elements), bucket by bucket."""
+    return (sets.select("set_id", "elements", F.lit(bits).alias("bits"))
             .mapInArrow(_signed, _SIGS).groupBy("bucket").applyInArrow(meet, schema))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       width: int = 5, small_group: int = SMALL_GROUP, per_chunk: int = 1024) -> DataFrame:
+                       width: int = 5, small_group: int = SMALL_GROUP, per_chunk: int = 1024,
+                       rare_group: int = RARE_GROUP) -> DataFrame:
     """(id, n_shingles, component_id, set_id) for every row of ``docs``.
 
     ``n_shingles`` counts the distinct ``width``-word n-grams of the whole
@@ -395,13 +527,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id never names a component; alone, its component is null.  Columns other
     than the two named are ignored, so their names cannot clash.
     """
-    return (_component_rows(docs, id_col, text_col, width, small_group, per_chunk)
+    return (_component_rows(docs, id_col, text_col, width, small_group, per_chunk, rare_group)
             .select(F.col("key.id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.coalesce("best.id", "key.id").alias("component_id"), "set_id"))
 
 
 def _component_rows(docs: DataFrame, id_col: str, text_col: str, width: int = 5, small_group: int = SMALL_GROUP,
-                    per_chunk: int = 1024) -> DataFrame:
+                    per_chunk: int = 1024, rare_group: int = RARE_GROUP) -> DataFrame:
     """(key, n, set_id, best) for every row: its ``row_key``, and the key of the first row of its component.
 
     The first row is the one of the least id, rows without an id last;
@@ -415,18 +547,26 @@ def _component_rows(docs: DataFrame, id_col: str, text_col: str, width: int = 5,
     # one row per set; any of its rows will do, its least id ranks it
     rank = parts.where("kind = 2").groupBy("set_id").agg(
         F.min("id").alias("rank"), F.min_by("elements", "id").alias("elements"))
-    rank.write.parquet(f"{path}/sets")
-    sets = spark.read.schema("set_id long, rank long, elements binary").parquet(f"{path}/sets")
+    rank.mapInArrow(_with_parity, _SETS).write.parquet(f"{path}/sets")
+    sets = spark.read.schema(_SETS).parquet(f"{path}/sets")
 
-    _met(sets, _meeting(small_group), f"{pair}, hub boolean", bits - 1).write.parquet(f"{path}/met")
-    met = spark.read.schema(f"{pair}, hub boolean").parquet(f"{path}/met")
+    _met(sets, _meeting(small_group), pair, bits - 1).write.parquet(f"{path}/met")
+    met = spark.read.schema(pair).parquet(f"{path}/met")
     release(spark)
-    _verified(met.select("a", "b").distinct(), sets).write.parquet(f"{path}/links")
+    pairs, stars = met.where("b is not null"), None
+    large = met.where("b is null").select(F.col("a").alias("set_id"))
+    if large.limit(1).count():
+        sets.join(large.distinct(), "set_id", "left_semi").select("set_id", "rank", "elements").write.parquet(f"{path}/large")
+        hot = spark.read.schema("set_id long, rank long, elements binary").parquet(f"{path}/large")
+        _met_by_rarest(hot, rare_group, bits).write.parquet(f"{path}/met2")
+        again = spark.read.schema(f"{pair}, hub boolean").parquet(f"{path}/met2")
+        pairs, stars = pairs.unionByName(again.select("a", "b")), again.where("hub").select("a", "b")
+        release(spark)
+    _verified(pairs.distinct(), sets).write.parquet(f"{path}/links")
     links = spark.read.schema(pair).parquet(f"{path}/links")
     label = components(links)
 
-    stars = met.where("hub").select("a", "b")
-    if stars.limit(1).count():
+    if stars is not None and stars.limit(1).count():
         _links_across(stars, sets, label).write.parquet(f"{path}/links2")
         rest = spark.read.schema(pair).parquet(f"{path}/links2")
         if rest.limit(1).count():

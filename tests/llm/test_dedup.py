@@ -269,3 +269,38 @@ def test_earliest_candidates_of_every_entry_of_a_run():
             full += len(i) == line_dedup.FIRST
             want += [(int(x), j) for x in i]
     assert sorted(got) == sorted(want) and 0 < full < n
+
+
+def _shared_line(n=150):
+    """Texts of one line that all hold and words of their own, with a few near copies."""
+    rng = random.Random(21)
+    vocab = [f"v{i}" for i in range(3000)]
+    line = " ".join(rng.choices(vocab, k=13))
+    docs = {i: line + "\n" + " ".join(rng.choices(vocab, k=rng.randint(18, 24))) for i in range(n)}
+    return docs | {n + i: docs[i] + " more" for i in range(0, n, 10)}
+
+
+def test_texts_of_one_common_line_make_no_blocks(frame, monkeypatch):
+    docs = _shared_line()
+    monkeypatch.delattr(ngram_join, "_links_across")  # all pairs of the sets that a common passage brings together
+    got = ngram_join.jaccard_components(frame(docs.items())).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(docs)
+    assert len({r.component_id for r in got}) == 150
+
+
+@pytest.mark.parametrize("small_group, rare_group", [(1, 1), (1, 3), (2, 64)])
+def test_large_groups_lose_no_link(frame, small_group, rare_group):
+    docs = _corpus(seed=9) | {1000 + i: t for i, t in _shared_line(40).items()}
+    got = ngram_join.jaccard_components(frame(docs.items()), small_group=small_group, rare_group=rare_group,
+                                        per_chunk=32).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(docs)
+
+
+def test_parities_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        a, b = (rng.integers(1, 1 << 63, int(rng.integers(1, 400)), dtype=np.uint64) for _ in range(2))
+        b = np.concatenate([a[: int(rng.integers(0, len(a) + 1))], b[: int(rng.integers(0, len(b)))]])
+        if len(b):
+            assert ngram_join._differ(ngram_join._parity(a), ngram_join._parity(b)) <= len(np.setxor1d(a, b))
+    assert ngram_join._differ(ngram_join._parity(a), ngram_join._parity(a)) == 0
